@@ -1,6 +1,6 @@
 """Query catalogue. Importing this package registers every plan module."""
 
-from txscore.plans import evaluation  # noqa: F401
+from txscore.plans import evaluation, preparation  # noqa: F401
 from txscore.plans.registry import CATALOG
 
 
