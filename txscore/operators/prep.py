@@ -283,6 +283,28 @@ class PreparedModel:
     def num_name(feature: str) -> str:
         return f"num__{feature}"
 
+    def to_json(self) -> str:
+        import json
+        d = dict(self.__dict__)
+        d["dummies"] = [list(x) for x in self.dummies]
+        return json.dumps(d)
+
+    @staticmethod
+    def from_json(text: str) -> "PreparedModel":
+        import json
+        d = json.loads(text)
+        d["dummies"] = [tuple(x) for x in d["dummies"]]
+        return PreparedModel(**d)
+
+    def save(self, spark, path: str) -> None:
+        """Persist the frozen state as one JSON text row (small by construction)."""
+        spark.createDataFrame([(self.to_json(),)], "value string").coalesce(1) \
+             .write.mode("overwrite").text(path)
+
+    @staticmethod
+    def load(spark, path: str) -> "PreparedModel":
+        return PreparedModel.from_json(spark.read.text(path).first()["value"])
+
     def feature_columns(self) -> dict[str, Column]:
         """Every prepared feature (before top-k) as a Column over cleaned input."""
         cols: dict[str, Column] = {}

@@ -1,6 +1,6 @@
 """Query catalogue. Importing this package registers every plan module."""
 
-from txscore.plans import evaluation, explaining, learning, modeling, preparation, statistics  # noqa: F401
+from txscore.plans import evaluation, explaining, learning, modeling, preparation, statistics, streams  # noqa: F401
 from txscore.plans.registry import CATALOG
 
 

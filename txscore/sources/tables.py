@@ -27,7 +27,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tx_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    return tx_from_events(read_table(spark, sf_dir, "events"))
+
+
+def tx_from_events(ev: DataFrame) -> DataFrame:
+    """The transaction projection of an events frame (batch or streaming)."""
     eid = F.col("event_id")
     return ev.select(
         eid.alias("tx_id"),
