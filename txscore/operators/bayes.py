@@ -44,7 +44,12 @@ class GaussianNBModel:
     @staticmethod
     def fit(train: DataFrame, features: Sequence[str], label: str = "label",
             var_smoothing: float = VAR_SMOOTHING) -> "GaussianNBModel":
-        rows = gnb_fit_table(train, features, label, var_smoothing).collect()  # 2 x d rows
+        return GaussianNBModel.from_table(gnb_fit_table(train, features, label, var_smoothing), features)
+
+    @staticmethod
+    def from_table(table: DataFrame, features: Sequence[str]) -> "GaussianNBModel":
+        """Model from a (label, feature, prior, mean, var) table, e.g. a reloaded one."""
+        rows = table.collect()  # 2 x d rows
         params: dict[int, dict] = {}
         for r in rows:
             p = params.setdefault(int(r["label"]), {"prior": r["prior"], "mean": {}, "var": {}})

@@ -177,3 +177,48 @@ register("grid_best_candidate", "AGG-8,AGG-9,MDL-8", with_ctes(
 best AS (SELECT metric, model, m, ROW_NUMBER() OVER (PARTITION BY metric ORDER BY m DESC, model) AS rn FROM means)""",
     body=f"SELECT metric, {S.r6('m')} AS best_mean, model AS best_candidate FROM best WHERE rn = 1"))(
     grid_best_candidate_df)
+
+
+# ---- cross-validated comparison with oversampling inside the folds --------------
+
+def cv_model_scores(spark, sf_dir, n_folds: int = 10, parallelism: int = 4) -> DataFrame:
+    """(metric, model, fold, score) for GNB and 3-NN: each fold's training part
+    is oversampled with SMOTE (ratio 0.20) before fitting; the held-out fold is
+    scored as is. Fold jobs are submitted from driver threads."""
+    from txscore.operators.neighbors import knn_classify, knn_join
+    from txscore.operators.smote import smote
+    from txscore.session import materialize
+    train, _ = _train_test(spark, sf_dir)
+    folds = materialize(SM.stratified_folds(train, n_folds)
+                        .withColumn("vec", F.array(*[F.col(c) for c in GNB_FEATURES])))
+
+    def one(f):
+        fit_part = folds.where(F.col("fold") != f)
+        held = folds.where(F.col("fold") == f)
+        bal = smote(fit_part.select("tx_id", "vec", "label"), id_col="tx_id", ratio=0.20, metric="l2")
+        bal = materialize(bal.select("id", "label", "vec",
+                                     *[F.col("vec")[i].alias(c) for i, c in enumerate(GNB_FEATURES)]))
+        gnb = GaussianNBModel.fit(bal, GNB_FEATURES).transform(held) \
+            .select(F.lit("GaussianNB").alias("model"), "tx_id", "label", "score", "pred")
+        nn = knn_join(held.select(F.col("tx_id").alias("id"), "vec"), bal, 3, metric="l1")
+        knn = knn_classify(nn, bal, r_id="id").join(
+            held.select(F.col("tx_id").alias("q_id"), "label"), "q_id") \
+            .select(F.lit("KNN").alias("model"), F.col("q_id").alias("tx_id"), "label", "score", "pred")
+        return gnb.unionByName(knn).withColumn("fold", F.lit(f))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(one, range(n_folds)))
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    m = _fold_metrics(allp, ["model", "fold"])
+    return (m.select(F.lit("f1").alias("metric"), "model", "fold", F.col("f1").alias("score"))
+             .unionByName(m.select(F.lit("roc_auc").alias("metric"), "model", "fold",
+                                   F.col("roc_auc").alias("score"))))
+
+
+def cv_model_scores_df(spark, sf_dir):
+    return cv_model_scores(spark, sf_dir).select("metric", "model", "fold", r6("score").alias("score"))
+
+
+register("cv_model_scores", "MDL-10,SMP-3,SMP-6,JN-6")(cv_model_scores_df)

@@ -15,7 +15,7 @@ from txscore.operators.smote import SMOTE_K, smote, synthetic_count
 from txscore.operators.vote import majority_vote
 from txscore.plans import preparation as PP
 from txscore.plans import sqlkit as S
-from txscore.plans.registry import register
+from txscore.plans.registry import CATALOG, register
 from txscore.sources.tables import SCORES_SQL, TX_SQL, read_table, score_table, tx_view, with_ctes
 
 KNN_K = 3            # fixed value of the tuned classifier (3 neighbours, L1, distance weights)
@@ -243,3 +243,20 @@ register("majority_vote", "AGG-11,PRJ-12", with_ctes(
        CAST(COUNT(*) - SUM(pred) AS BIGINT) AS legit_votes,
        CASE WHEN SUM(pred) > COUNT(*) - SUM(pred) THEN 'Fraudulent' ELSE 'Legitimate' END AS verdict
 FROM scores GROUP BY tx_id"""))(majority_vote_df)
+
+
+# ---- persisted model ----------------------------------------------------------
+
+def gnb_persisted_scores_df(spark, sf_dir):
+    """Fit, persist the parameter table to the shared folder, reload it in a
+    fresh model object, score the test rows (same result as ``gnb_scores``)."""
+    from txscore.sources import io as IO
+    sc = scaled_split(spark, sf_dir)
+    path = IO.shared_path(spark, "models", "NaiveBayes")
+    IO.save_params(gnb_fit_table(sc.where(F.col("part") == "train"), GNB_FEATURES), path)
+    model = GaussianNBModel.from_table(IO.load_params(spark, path), GNB_FEATURES)
+    out = model.transform(sc.where(F.col("part") == "test"))
+    return out.select("tx_id", "label", r6("score").alias("score"), "pred")
+
+
+register("gnb_persisted_scores", "SNK-6,SRC-4,MDL-9", CATALOG["gnb_scores"].sql)(gnb_persisted_scores_df)

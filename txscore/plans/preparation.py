@@ -13,6 +13,7 @@ from txscore.operators import prep as P
 from txscore.operators import sampling as SM
 from txscore.plans import sqlkit as S
 from txscore.plans.registry import register
+from txscore.session import materialize
 from txscore.sources.tables import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TX_SQL, tx_view, with_ctes
 
 CATS = list(CATEGORICAL_FEATURES)
@@ -26,7 +27,8 @@ def clean_tx(spark, sf_dir) -> DataFrame:
 
 
 def split_tx(spark, sf_dir) -> DataFrame:
-    return SM.stratified_split(clean_tx(spark, sf_dir))
+    """The cleaned view with its train/test flag, written once (it feeds several fits)."""
+    return materialize(SM.stratified_split(clean_tx(spark, sf_dir)))
 
 
 # ---- SQL building blocks ------------------------------------------------------
@@ -317,11 +319,14 @@ register("variance_filter", "AGG-5,PRJ-16", with_ctes(
     + " FROM train) ON " + ", ".join(_KEPT_NUMS) + " INTO NAME feature VALUE v)"))(variance_filter_df)
 
 
+def fitted_preparation(spark, sf_dir):
+    sp = split_tx(spark, sf_dir)
+    train = sp.where(F.col("part") == "train").drop("part")
+    return P.fit_preparation(sp.drop("part"), train, CATS, NUMS, k=TOP_K, string_cols=CATS)
+
+
 def _mi_table(spark, sf_dir):
-    sp, _, cats, nums, _ = _fitted(spark, sf_dir)
-    train = sp.where(F.col("part") == "train")
-    model, tables = P.fit_preparation(tx_view(spark, sf_dir), train.drop("part"), cats, nums, k=TOP_K,
-                                      string_cols=CATS)
+    model, tables = fitted_preparation(spark, sf_dir)
     return tables["mi"]
 
 

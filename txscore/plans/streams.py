@@ -18,10 +18,7 @@ from txscore.streaming import scoring as ST
 
 
 def stream_prepare_df(spark, sf_dir):
-    sp, _, cats, nums, _ = PP._fitted(spark, sf_dir)
-    train = sp.where(F.col("part") == "train").drop("part")
-    model, _ = P.fit_preparation(tx_view(spark, sf_dir), train, cats, nums, k=PP.TOP_K,
-                                 string_cols=PP.CATS)
+    model, _ = PP.fitted_preparation(spark, sf_dir)
     path = IO.shared_path(spark, "prepared_model")
     model.save(spark, path)                       # fitted state persisted ...
     frozen = P.PreparedModel.load(spark, path)    # ... and reloaded by the scoring job
@@ -101,3 +98,47 @@ register("metrics_log_roundtrip", "SNK-2,SNK-3,SNK-4,SRC-3", with_ctes(
   FROM scores GROUP BY model)""",
     body=f"SELECT model, tn, fp, fn, tp, {S.r6(S.ratio('tn + tp', 'tn + fp + fn + tp'))} AS accuracy FROM conf"))(
     metrics_log_roundtrip_df)
+
+
+# ---- on-demand explanation of flagged records -----------------------------------
+
+MAX_EVALS = 200      # fixed value: evaluation budget per explained record
+TOP_SHOWN = 14       # fixed value: features shown per explained record
+
+
+def stream_explain_df(spark, sf_dir):
+    """Vote on the stream; for every micro-batch explain the records voted
+    Fraudulent with exact Shapley values (2^d coalitions within the budget)
+    against a background sample of the batch table; keep the top features."""
+    from pyspark.sql import Window
+    from txscore.operators import explain as X
+    from txscore.operators import sampling as SM
+    from txscore.plans.explaining import EXPLAIN_FEATURES, smooth_score
+    if 2 ** len(EXPLAIN_FEATURES) > MAX_EVALS:
+        raise ValueError("coalition count exceeds the evaluation budget")
+    background = SM.background_sample(tx_view(spark, sf_dir))
+    ev = ST.events_stream(spark, sf_dir)
+    tx = ST.tx_from_events(ev)
+    votes = ST.vote_stream(ev)
+    flagged = votes.where(F.col("verdict") == "Fraudulent").select("tx_id")
+
+    def explain(batch):
+        rows = batch.join(tx_view(spark, sf_dir), "tx_id")
+        phi = X.shapley_exact(rows, background, EXPLAIN_FEATURES, smooth_score)
+        w = Window.partitionBy("tx_id").orderBy(F.abs("phi").desc(), "feature")  # d rows per record
+        return phi.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_SHOWN)
+
+    out = ST.run_available_now(flagged, spark, "explain", per_batch=explain)
+    return out.select("tx_id", "feature", r6("phi").alias("phi"), F.col("rank").cast("long").alias("rank"))
+
+
+def _stream_explain_sql():
+    from txscore.plans.explaining import _SHAP_SQL_CTES
+    return with_ctes(*_SHAP_SQL_CTES, SCORES_SQL, """fl AS (
+  SELECT tx_id FROM scores GROUP BY tx_id HAVING SUM(pred) > COUNT(*) - SUM(pred))""",
+        body=f"""SELECT tx_id, feature, {S.r6('phi')} AS phi,
+       CAST(ROW_NUMBER() OVER (PARTITION BY tx_id ORDER BY abs(phi) DESC, feature) AS BIGINT) AS rank
+FROM phi WHERE tx_id IN (SELECT tx_id FROM fl)""")
+
+
+register("stream_explain", "STR-3,EXP-4,EXP-3", _stream_explain_sql())(stream_explain_df)

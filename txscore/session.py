@@ -52,3 +52,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back: later
+    actions reuse it, the lineage is cut, and a lost executor costs no recompute
+    of the upstream plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
