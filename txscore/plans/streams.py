@@ -129,14 +129,14 @@ def stream_explain_df(spark, sf_dir):
         return phi.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_SHOWN)
 
     out = ST.run_available_now(flagged, spark, "explain", per_batch=explain)
-    return out.select("tx_id", "feature", r6("phi").alias("phi"), F.col("rank").cast("long").alias("rank"))
+    return out.select("tx_id", "feature", r6("phi", 9).alias("phi"), F.col("rank").cast("long").alias("rank"))
 
 
 def _stream_explain_sql():
     from txscore.plans.explaining import _SHAP_SQL_CTES
     return with_ctes(*_SHAP_SQL_CTES, SCORES_SQL, """fl AS (
   SELECT tx_id FROM scores GROUP BY tx_id HAVING SUM(pred) > COUNT(*) - SUM(pred))""",
-        body=f"""SELECT tx_id, feature, {S.r6('phi')} AS phi,
+        body=f"""SELECT tx_id, feature, {S.r6('phi', 9)} AS phi,
        CAST(ROW_NUMBER() OVER (PARTITION BY tx_id ORDER BY abs(phi) DESC, feature) AS BIGINT) AS rank
 FROM phi WHERE tx_id IN (SELECT tx_id FROM fl)""")
 
