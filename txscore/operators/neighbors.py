@@ -13,8 +13,10 @@ by binary search, JVM side). Then
    the k best by (distance, id) are kept.
 
 Every true neighbour x has |s(x) - s(q)| <= d(q, x) <= r(q), so the result is
-exact. Work is proportional to the band populations, not to |Q| x |R|; the
-joins are shuffles on the band key, and AQE splits a band that is skewed.
+exact. Work is proportional to the band populations, not to |Q| x |R|. The
+distance blocks of one band key are computed with numpy inside a cogrouped
+``applyInPandas`` (Arrow batches; coordinates summed left to right, the same
+order as the SQL form ``distance``), and only the best k per query leave it.
 """
 
 from __future__ import annotations
@@ -82,16 +84,22 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     Qb = band(Q, "_s", "_b").withColumn("q_band", F.col("_b").cast("int")).drop("_b") \
         .withColumnRenamed("_s", "q_s")
 
-    def best_k(pairs: DataFrame) -> DataFrame:
-        if exclude_self:
-            pairs = pairs.where(F.col("q_id") != F.col("r_id"))
-        pairs = pairs.withColumn("dist", distance(F.col("q_vec"), F.col("r_vec"), metric))
-        w = Window.partitionBy("q_id").orderBy(F.col("dist"), F.col("r_id"))
-        return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-    # 1. radius from the own and adjacent bands
-    near = Qb.withColumn("band", F.explode(F.array(F.col("q_band") - 1, F.col("q_band"), F.col("q_band") + 1)))
-    cand1 = best_k(near.join(Rb.select("band", "r_id", "r_vec"), "band"))
+    def block_topk(qk: DataFrame, rk: DataFrame) -> DataFrame:
+        """Per band key: the distance block of its queries x references in
+        numpy (Arrow batches), best k per query; candidates of one query from
+        several keys are merged afterwards."""
+        fn = _block_topk_fn(k, metric, exclude_self)
+        return (qk.groupBy("band").cogroup(rk.groupBy("band"))
+                  .applyInPandas(fn, "q_id long, r_id long, dist double"))
+
+    def merge(cands: DataFrame) -> DataFrame:
+        w = Window.partitionBy("q_id").orderBy(F.col("dist"), F.col("r_id"))   # <= k per key
+        return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    # 1. radius from the own and adjacent bands (references replicated to b-1, b, b+1)
+    r_near = Rb.select(F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+                       "r_id", "r_vec")
+    cand1 = merge(block_topk(Qb.select(F.col("q_band").alias("band"), "q_id", "q_vec"), r_near))
     radius = cand1.groupBy("q_id").agg(F.max("dist").alias("_r"), F.count(F.lit(1)).alias("_c"))
     full_range = F.lit(math.inf)
     # the slack covers rounding in the projected sums and distances
@@ -106,10 +114,49 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     Qr = band(band(Qr, "_lo", "_blo"), "_hi", "_bhi")
     Qr = Qr.withColumn("band", F.explode(F.sequence(F.col("_blo").cast("int"),
                                                     F.least(F.col("_bhi").cast("int"), F.lit(n_bands - 1)))))
-    pairs = (Qr.select("q_id", "q_vec", "q_s", "_r", "band")
-             .join(Rb, "band")
-             .where(F.abs(F.col("r_s") - F.col("q_s")) <= F.col("_r")))
-    return best_k(pairs).select("q_id", "r_id", "dist", "rank")
+    cand2 = block_topk(Qr.select("band", "q_id", "q_vec"), Rb.select("band", "r_id", "r_vec"))
+    return merge(cand2).select("q_id", "r_id", "dist", "rank")
+
+
+QUERY_CHUNK = 2048   # queries per distance block inside one band group
+
+
+def _block_topk_fn(k: int, metric: str, exclude_self: bool):
+    import numpy as np
+    import pandas as pd
+
+    def fn(key, qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"q_id": pd.Series(dtype="int64"), "r_id": pd.Series(dtype="int64"),
+                              "dist": pd.Series(dtype="float64")})
+        if qdf.empty or rdf.empty:
+            return empty
+        rdf = rdf.drop_duplicates("r_id").sort_values("r_id", kind="stable")
+        r_ids = rdf["r_id"].to_numpy(np.int64)
+        R = np.stack(rdf["r_vec"].to_numpy()).astype(np.float64)
+        q_all = qdf.drop_duplicates("q_id")
+        out = []
+        for lo in range(0, len(q_all), QUERY_CHUNK):
+            part = q_all.iloc[lo:lo + QUERY_CHUNK]
+            q_ids = part["q_id"].to_numpy(np.int64)
+            Q = np.stack(part["q_vec"].to_numpy()).astype(np.float64)
+            D = np.zeros((len(Q), len(R)))
+            for i in range(R.shape[1]):          # left-to-right over coordinates
+                diff = Q[:, i:i + 1] - R[None, :, i][0]
+                D += np.abs(diff) if metric == "l1" else diff * diff
+            if metric != "l1":
+                D = np.sqrt(D)
+            if exclude_self:
+                D[q_ids[:, None] == r_ids[None, :]] = np.inf
+            kk = min(k, len(r_ids))
+            order = np.argsort(D, axis=1, kind="stable")[:, :kk]   # ties: smaller r_id first
+            rows = np.repeat(np.arange(len(Q)), kk)
+            cols = order.ravel()
+            d = D[rows, cols]
+            keep = np.isfinite(d)
+            out.append(pd.DataFrame({"q_id": q_ids[rows][keep], "r_id": r_ids[cols][keep], "dist": d[keep]}))
+        return pd.concat(out, ignore_index=True) if out else empty
+
+    return fn
 
 
 def knn_classify(neighbors: DataFrame, ref_labels: DataFrame, r_id: str = "id",
