@@ -1,10 +1,9 @@
 """Model explanation as DataFrame jobs.
 
-* permutation importance: for every (feature, repeat) the column is permuted by
-  pairing the rows' position in id order with their position in a seeded hash
-  order (both from ``ordered_row_number`` over one long table, so all
-  permutations are made in one distributed ranking); every permuted variant is
-  scored in one projection and the accuracy drop is one grouped aggregate,
+* permutation importance: repeat r pairs the rows' position in id order with
+  their position in a seeded hash order (all repeats in one distributed
+  ranking, ``ordered_row_number``); every single-column variant is scored in
+  one projection and the accuracy drop is one grouped aggregate,
 * exact Shapley values (interventional, against a background sample): the
   size-checked background is an explainer parameter held as literals, every
   row expands over it and over the coalition masks by ``explode``, v(S) is a
@@ -41,27 +40,28 @@ def permutation_importance(df: DataFrame, features: Sequence[str], predict: Scor
                            id_col: str = "tx_id", label: str = "label",
                            n_repeats: int = N_REPEATS, seed: int = DEFAULT_SEED) -> DataFrame:
     """(feature, importance_mean, importance_std): accuracy drop when one column
-    is permuted, over ``n_repeats`` seeded permutations."""
+    is permuted, over ``n_repeats`` seeded permutations.
+
+    Repeat r pairs the row at position i in id order with the donor at position
+    i in the hash(id, seed, r) order; that one permutation per repeat is applied
+    to each feature in turn (each variant permutes a single column).
+    """
     feats = list(features)
-    base = df.select(id_col, label, *feats)
+    base = df.select(id_col, label, *[F.col(f).cast("double").alias(f) for f in feats])
     baseline = base.select(predict({f: F.col(f) for f in feats}).alias("_p"), label) \
         .agg(F.avg((F.col("_p") == F.col(label)).cast("double")).alias("acc")).first()["acc"]
 
-    # positions: in id order (receivers) and in hash order per (feature, repeat) (donors)
     recv = ordered_row_number(base, [], [F.col(id_col)], "_pos")
-    donors = base.select(id_col, F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in feats])).alias("d"))
-    donors = donors.select(id_col, "d.feature", "d.value",
-                           F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat"))
-    donors = donors.withColumn("_h", row_hash(id_col, seed, "feature", "repeat"))
-    donors = ordered_row_number(donors, ["feature", "repeat"], [F.col("_h"), F.col(id_col)], "_pos")
-    moved = donors.select("feature", "repeat", "_pos", F.col("value").alias("_pv"))
-    recv_long = recv.select("*", F.explode(F.array(*[F.lit(f) for f in feats])).alias("feature"))
-    recv_long = recv_long.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat"))
-    j = recv_long.join(moved, ["feature", "repeat", "_pos"])
-    cols = {f: F.when(F.col("feature") == F.lit(f), F.col("_pv")).otherwise(F.col(f).cast("double"))
-            for f in feats}
-    scored = j.select("feature", "repeat", label, predict(cols).alias("_p"))
+    donors = base.select(F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat"),
+                         id_col, *[F.col(f).alias(f"_d_{f}") for f in feats])
+    donors = donors.withColumn("_h", row_hash(id_col, seed, "repeat"))
+    donors = ordered_row_number(donors, ["repeat"], [F.col("_h"), F.col(id_col)], "_pos") \
+        .drop(id_col, "_h")
+    pairs = recv.join(donors, "_pos")                          # one donor per (row, repeat)
+    variants = pairs.select("repeat", label, *feats, *[f"_d_{f}" for f in feats],
+                            F.explode(F.array(*[F.lit(f) for f in feats])).alias("feature"))
+    cols = {f: F.when(F.col("feature") == F.lit(f), F.col(f"_d_{f}")).otherwise(F.col(f)) for f in feats}
+    scored = variants.select("feature", "repeat", label, predict(cols).alias("_p"))
     acc = scored.groupBy("feature", "repeat").agg(
         F.avg((F.col("_p") == F.col(label)).cast("double")).alias("acc"))
     drop = acc.withColumn("drop", F.lit(float(baseline)) - F.col("acc"))

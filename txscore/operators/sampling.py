@@ -8,11 +8,13 @@ its share (stratification).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txscore.functions.hashing import DEFAULT_SEED, row_hash
-from txscore.operators.ordered import join_small, ordered_row_number
+from txscore.operators.ordered import ordered_row_number
 
 
 def _ranked(df: DataFrame, id_col: str, label: str, seed: int, salt=()) -> DataFrame:
@@ -30,11 +32,12 @@ def stratified_split(df: DataFrame, test_size: float = 0.25, id_col: str = "tx_i
     """Add ``part`` in {'train', 'test'}: the first round(test_size * n_class)
     rows of each class in hash order go to test."""
     ranked = _ranked(df, id_col, label, seed)
-    counts = class_counts(df, label)
-    out = join_small(ranked, counts, [label])
-    is_test = F.col("_rn") <= F.round(F.lit(float(test_size)) * F.col("n"))
-    return (out.withColumn("part", F.when(is_test, "test").otherwise("train"))
-               .drop("_h", "_rn", "n"))
+    # one row per class (a label column): the cut-offs become literals
+    cuts = {r[label]: int(math.floor(test_size * r["n"] + 0.5)) for r in class_counts(df, label).collect()}
+    cut = F.create_map(*[x for lab, c in cuts.items() for x in (F.lit(lab), F.lit(c))])
+    is_test = F.col("_rn") <= F.coalesce(cut[F.col(label)], F.lit(0))
+    return (ranked.withColumn("part", F.when(is_test, "test").otherwise("train"))
+                  .drop("_h", "_rn"))
 
 
 def stratified_folds(df: DataFrame, n_folds: int = 10, id_col: str = "tx_id",
