@@ -53,6 +53,17 @@ def test_knn_join_is_exact(spark, monkeypatch):
         assert {q: [i for _, i in sorted(v)] for q, v in got.items()} == want
 
 
+def test_knn_join_hot_band_is_exact(spark, monkeypatch):
+    """A third of the references share one vector: the hot band is sliced."""
+    monkeypatch.setattr(NB, "TARGET_BAND_ROWS", 8)
+    df, rows = _vectors(spark, 120, 5, 7, dup=60)
+    got = {}
+    for r in NB.knn_join(df, df, 3, metric="l1", exclude_self=True).collect():
+        got.setdefault(r["q_id"], []).append((r["rank"], r["r_id"]))
+    want = _brute(rows, rows, 3, "l1", True)
+    assert {q: [i for _, i in sorted(v)] for q, v in got.items()} == want
+
+
 def test_knn_classify_weights(spark):
     nn = spark.createDataFrame([(1, 10, 0.5, 1), (1, 11, 1.0, 2), (2, 10, 0.0, 1), (2, 12, 2.0, 2)],
                                "q_id long, r_id long, dist double, rank int")

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TARGET_BAND_ROWS = 256   # reference rows per band (candidate budget scales with it)
+HOT_BAND_FACTOR = 4      # a band with more than 4x the target rows is split into slices
 MAX_BANDS = 100_000
 
 
@@ -87,9 +88,24 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     def block_topk(qk: DataFrame, rk: DataFrame) -> DataFrame:
         """Per band key: the distance block of its queries x references in
         numpy (Arrow batches), best k per query; candidates of one query from
-        several keys are merged afterwards."""
+        several keys are merged afterwards.
+
+        A hot band (many references, e.g. repeated vectors) is split into
+        ``ceil(n / TARGET_BAND_ROWS)`` reference slices by id; its queries are
+        replicated to every slice, so no task holds more than a slice."""
         fn = _block_topk_fn(k, metric, exclude_self)
-        return (qk.groupBy("band").cogroup(rk.groupBy("band"))
+        hot = (rk.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+                 .where(F.col("n") > HOT_BAND_FACTOR * TARGET_BAND_ROWS).collect())
+        if hot:
+            slices = F.create_map(*[x for r in hot for x in
+                                    (F.lit(r["band"]), F.lit(-(-r["n"] // TARGET_BAND_ROWS)))])
+            n_slices = F.coalesce(slices[F.col("band")], F.lit(1))
+            rk = rk.withColumn("_slice", F.pmod(F.col("r_id"), n_slices).cast("int"))
+            qk = qk.withColumn("_slice", F.explode(F.sequence(F.lit(0), n_slices - 1)))
+        else:
+            rk = rk.withColumn("_slice", F.lit(0))
+            qk = qk.withColumn("_slice", F.lit(0))
+        return (qk.groupBy("band", "_slice").cogroup(rk.groupBy("band", "_slice"))
                   .applyInPandas(fn, "q_id long, r_id long, dist double"))
 
     def merge(cands: DataFrame) -> DataFrame:
