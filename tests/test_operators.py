@@ -64,6 +64,20 @@ def test_knn_join_hot_band_is_exact(spark, monkeypatch):
     assert {q: [i for _, i in sorted(v)] for q, v in got.items()} == want
 
 
+def test_knn_join_grouped(spark, monkeypatch):
+    """Groups are independent problems (e.g. folds) solved in one job."""
+    monkeypatch.setattr(NB, "TARGET_BAND_ROWS", 16)
+    df, rows = _vectors(spark, 150, 4, 9)
+    g = df.withColumn("g", (F.col("id") % 3).cast("int"))
+    got = {}
+    for r in NB.knn_join(g, g, 2, metric="l2", exclude_self=True, group="g").collect():
+        got.setdefault((r["g"], r["q_id"]), []).append((r["rank"], r["r_id"]))
+    for grp in range(3):
+        sub = [r for r in rows if r[0] % 3 == grp]
+        want = _brute(sub, sub, 2, "l2", True)
+        assert {q: [i for _, i in sorted(v)] for (gg, q), v in got.items() if gg == grp} == want
+
+
 def test_knn_classify_weights(spark):
     nn = spark.createDataFrame([(1, 10, 0.5, 1), (1, 11, 1.0, 2), (2, 10, 0.0, 1), (2, 12, 2.0, 2)],
                                "q_id long, r_id long, dist double, rank int")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from txscore.functions.algebra import safe_ratio
 from txscore.operators.ordered import join_small, ordered_prefix, ordered_row_number
+from txscore.session import materialize
 
 GroupCols = Sequence[str]
 
@@ -85,16 +86,39 @@ def specificity_from_balanced(bal: Column, rec: Column) -> Column:
 
 # --- ranking metrics -------------------------------------------------------
 
+def score_summary(scored: DataFrame, by: GroupCols = ("model",), label: str = "label",
+                  score: str = "score", pred: str = "pred") -> DataFrame:
+    """One row per (group, distinct score, prediction) with positive / negative
+    counts, written once to the shared checkpoint folder. Every metric is
+    derived from it, so the (possibly expensive) scored input is read once."""
+    y = F.col(label).cast("long")
+    summary = (scored.groupBy(*by, F.col(score).alias("score"), F.col(pred).cast("int").alias("pred"))
+               .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
+    return materialize(summary)
+
+
+def confusion_from_summary(summary: DataFrame, by: GroupCols = ("model",)) -> DataFrame:
+    p1 = F.col("pred") == 1
+    return summary.groupBy(*by).agg(
+        F.sum(F.when(~p1, F.col("neg")).otherwise(0)).cast("long").alias("tn"),
+        F.sum(F.when(p1, F.col("neg")).otherwise(0)).cast("long").alias("fp"),
+        F.sum(F.when(~p1, F.col("pos")).otherwise(0)).cast("long").alias("fn"),
+        F.sum(F.when(p1, F.col("pos")).otherwise(0)).cast("long").alias("tp"))
+
+
 def score_curve(scored: DataFrame, by: GroupCols = ("model",), label: str = "label",
-                score: str = "score") -> DataFrame:
+                score: str = "score", summary: DataFrame | None = None) -> DataFrame:
     """Distinct scores per group, descending, with cumulative tp/fp.
 
     Columns: by…, score, pos, neg, tp, fp, idx (1-based rank of the distinct
     score), n_pos, n_neg (group totals).
     """
-    y = F.col(label).cast("long")
-    per_score = (scored.groupBy(*by, F.col(score).alias("score"))
-                 .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
+    if summary is not None:
+        per_score = summary.groupBy(*by, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    else:
+        y = F.col(label).cast("long")
+        per_score = (scored.groupBy(*by, F.col(score).alias("score"))
+                     .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
     cum = ordered_prefix(per_score, by, [F.col("score").desc()], ["pos", "neg"])
     totals = per_score.groupBy(*by).agg(F.sum("pos").alias("n_pos"),
                                         F.sum("neg").alias("n_neg"))
@@ -102,6 +126,14 @@ def score_curve(scored: DataFrame, by: GroupCols = ("model",), label: str = "lab
             .withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp"))
 
 
+def fold_metrics(scored: DataFrame, by: GroupCols) -> DataFrame:
+    """Confusion counts, rate metrics, ROC AUC and AP per group from one summary."""
+    summary = score_summary(scored, by)
+    rates = with_rates(confusion_from_summary(summary, by))
+    rank = ranking_metrics(score_curve(None, by, summary=summary), by)
+    return rates.join(rank, list(by), "left")
+
+
 def ranking_metrics(curve: DataFrame, by: GroupCols = ("model",)) -> DataFrame:
     """ROC AUC (ties count one half) and average precision per group."""
     dec = "decimal(38,0)"
@@ -121,8 +153,9 @@ def ranking_metrics(curve: DataFrame, by: GroupCols = ("model",)) -> DataFrame:
 
 def metrics_report(scored: DataFrame, by: GroupCols = ("model",)) -> DataFrame:
     """Confusion counts, rate metrics, ROC AUC and PR AUC (average precision)."""
-    rates = with_rates(confusion(scored, by)).withColumn("confusion_matrix", confusion_json())
-    rank = ranking_metrics(score_curve(scored, by), by)
+    summary = score_summary(scored, by)
+    rates = with_rates(confusion_from_summary(summary, by)).withColumn("confusion_matrix", confusion_json())
+    rank = ranking_metrics(score_curve(None, by, summary=summary), by)
     return rates.join(rank, list(by), "left")
 
 

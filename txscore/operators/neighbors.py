@@ -60,15 +60,19 @@ def _band_edges(refs: DataFrame, n_refs: int) -> list[float]:
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id: str = "id",
              q_vec: str = "vec", r_vec: str = "vec", metric: str = "l1",
-             exclude_self: bool = False) -> DataFrame:
+             exclude_self: bool = False, group: str | None = None) -> DataFrame:
     """(q_id, r_id, dist, rank) for the k nearest references of every query.
 
     Ties on distance are broken by reference id. ``exclude_self`` drops the pair
-    with equal ids (self-join of one table).
+    with equal ids (self-join of one table). With ``group`` (an integer column on
+    both sides) every group is an independent problem -- e.g. all cross-validation
+    folds in one job -- and the group column is kept in the output.
     """
     dim = len(refs.select(r_vec).first()[0])
-    Q = queries.select(F.col(q_id).alias("q_id"), F.col(q_vec).cast("array<double>").alias("q_vec"))
-    R = refs.select(F.col(r_id).alias("r_id"), F.col(r_vec).cast("array<double>").alias("r_vec"))
+    gq = F.col(group).cast("long") if group else F.lit(0).cast("long")
+    Q = queries.select(gq.alias("_g"), F.col(q_id).alias("q_id"), F.col(q_vec).cast("array<double>").alias("q_vec"))
+    gr = F.col(group).cast("long") if group else F.lit(0).cast("long")
+    R = refs.select(gr.alias("_g"), F.col(r_id).alias("r_id"), F.col(r_vec).cast("array<double>").alias("r_vec"))
     Q = Q.withColumn("_s", _projection(F.col("q_vec"), dim, metric))
     R = R.withColumn("_s", _projection(F.col("r_vec"), dim, metric))
     n_refs = R.count()
@@ -94,32 +98,33 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
         ``ceil(n / TARGET_BAND_ROWS)`` reference slices by id; its queries are
         replicated to every slice, so no task holds more than a slice."""
         fn = _block_topk_fn(k, metric, exclude_self)
-        hot = (rk.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+        hot = (rk.groupBy("_g", "band").agg(F.count(F.lit(1)).alias("n"))
                  .where(F.col("n") > HOT_BAND_FACTOR * TARGET_BAND_ROWS).collect())
         if hot:
             slices = F.create_map(*[x for r in hot for x in
-                                    (F.lit(r["band"]), F.lit(-(-r["n"] // TARGET_BAND_ROWS)))])
-            n_slices = F.coalesce(slices[F.col("band")], F.lit(1))
+                                    (F.lit(f"{r['_g']}:{r['band']}"), F.lit(-(-r["n"] // TARGET_BAND_ROWS)))])
+            n_slices = F.coalesce(slices[F.concat_ws(":", F.col("_g").cast("string"), F.col("band").cast("string"))],
+                                  F.lit(1))
             rk = rk.withColumn("_slice", F.pmod(F.col("r_id"), n_slices).cast("int"))
             qk = qk.withColumn("_slice", F.explode(F.sequence(F.lit(0), n_slices - 1)))
         else:
             rk = rk.withColumn("_slice", F.lit(0))
             qk = qk.withColumn("_slice", F.lit(0))
-        return (qk.groupBy("band", "_slice").cogroup(rk.groupBy("band", "_slice"))
-                  .applyInPandas(fn, "q_id long, r_id long, dist double"))
+        return (qk.groupBy("_g", "band", "_slice").cogroup(rk.groupBy("_g", "band", "_slice"))
+                  .applyInPandas(fn, "_g long, q_id long, r_id long, dist double"))
 
     def merge(cands: DataFrame) -> DataFrame:
-        w = Window.partitionBy("q_id").orderBy(F.col("dist"), F.col("r_id"))   # <= k per key
+        w = Window.partitionBy("_g", "q_id").orderBy(F.col("dist"), F.col("r_id"))   # <= k per key
         return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
     # 1. radius from the own and adjacent bands (references replicated to b-1, b, b+1)
-    r_near = Rb.select(F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+    r_near = Rb.select("_g", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
                        "r_id", "r_vec")
-    cand1 = merge(block_topk(Qb.select(F.col("q_band").alias("band"), "q_id", "q_vec"), r_near))
-    radius = cand1.groupBy("q_id").agg(F.max("dist").alias("_r"), F.count(F.lit(1)).alias("_c"))
+    cand1 = merge(block_topk(Qb.select("_g", F.col("q_band").alias("band"), "q_id", "q_vec"), r_near))
+    radius = cand1.groupBy("_g", "q_id").agg(F.max("dist").alias("_r"), F.count(F.lit(1)).alias("_c"))
     full_range = F.lit(math.inf)
     # the slack covers rounding in the projected sums and distances
-    Qr = (Qb.join(radius, "q_id", "left")
+    Qr = (Qb.join(radius, ["_g", "q_id"], "left")
           .withColumn("_r", F.when(F.col("_c") >= k, F.col("_r") * F.lit(1 + 1e-9) + F.lit(1e-12))
                       .otherwise(full_range)))
 
@@ -130,8 +135,10 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     Qr = band(band(Qr, "_lo", "_blo"), "_hi", "_bhi")
     Qr = Qr.withColumn("band", F.explode(F.sequence(F.col("_blo").cast("int"),
                                                     F.least(F.col("_bhi").cast("int"), F.lit(n_bands - 1)))))
-    cand2 = block_topk(Qr.select("band", "q_id", "q_vec"), Rb.select("band", "r_id", "r_vec"))
-    return merge(cand2).select("q_id", "r_id", "dist", "rank")
+    cand2 = block_topk(Qr.select("_g", "band", "q_id", "q_vec"), Rb.select("_g", "band", "r_id", "r_vec"))
+    out = merge(cand2)
+    keep = [F.col("_g").alias(group)] if group else []
+    return out.select(*keep, "q_id", "r_id", "dist", "rank")
 
 
 QUERY_CHUNK = 2048   # queries per distance block inside one band group
@@ -142,8 +149,8 @@ def _block_topk_fn(k: int, metric: str, exclude_self: bool):
     import pandas as pd
 
     def fn(key, qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"q_id": pd.Series(dtype="int64"), "r_id": pd.Series(dtype="int64"),
-                              "dist": pd.Series(dtype="float64")})
+        empty = pd.DataFrame({"_g": pd.Series(dtype="int64"), "q_id": pd.Series(dtype="int64"),
+                              "r_id": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64")})
         if qdf.empty or rdf.empty:
             return empty
         rdf = rdf.drop_duplicates("r_id").sort_values("r_id", kind="stable")
@@ -169,26 +176,28 @@ def _block_topk_fn(k: int, metric: str, exclude_self: bool):
             cols = order.ravel()
             d = D[rows, cols]
             keep = np.isfinite(d)
-            out.append(pd.DataFrame({"q_id": q_ids[rows][keep], "r_id": r_ids[cols][keep], "dist": d[keep]}))
+            out.append(pd.DataFrame({"_g": np.full(int(keep.sum()), int(key[0]), dtype=np.int64),
+                                     "q_id": q_ids[rows][keep], "r_id": r_ids[cols][keep], "dist": d[keep]}))
         return pd.concat(out, ignore_index=True) if out else empty
 
     return fn
 
 
 def knn_classify(neighbors: DataFrame, ref_labels: DataFrame, r_id: str = "id",
-                 label: str = "label") -> DataFrame:
+                 label: str = "label", group: str | None = None) -> DataFrame:
     """Distance-weighted vote: (q_id, score = P(class 1), pred).
 
     Weights 1/d; if some neighbours are at distance 0 they share all weight.
     ``pred`` is 1 only when P(1) > 0.5 (a tie goes to class 0).
     """
-    j = neighbors.join(ref_labels.select(F.col(r_id).alias("r_id"), F.col(label).alias("_y")), "r_id")
+    gk = [group] if group else []
+    j = neighbors.join(ref_labels.select(*gk, F.col(r_id).alias("r_id"), F.col(label).alias("_y")), gk + ["r_id"])
     zero = F.col("dist") == 0
-    g = j.groupBy("q_id").agg(
+    g = j.groupBy(*gk, "q_id").agg(
         F.sum(F.when(zero, 1.0).otherwise(0.0)).alias("_nz"),
         F.sum(F.when(zero & (F.col("_y") == 1), 1.0).otherwise(0.0)).alias("_nz1"),
         F.sum(F.when(~zero, F.lit(1.0) / F.col("dist"))).alias("_w"),
         F.sum(F.when(~zero & (F.col("_y") == 1), F.lit(1.0) / F.col("dist"))).alias("_w1"))
     score = F.when(F.col("_nz") > 0, F.col("_nz1") / F.col("_nz")) \
              .otherwise(F.coalesce(F.col("_w1"), F.lit(0.0)) / F.col("_w"))
-    return g.select("q_id", score.alias("score")).withColumn("pred", (F.col("score") > 0.5).cast("int"))
+    return g.select(*gk, "q_id", score.alias("score")).withColumn("pred", (F.col("score") > 0.5).cast("int"))

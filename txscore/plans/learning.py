@@ -106,9 +106,7 @@ register("surrogate_rules", "EXP-5,SNK-7")(surrogate_rules_df)
 # ---- grid search ------------------------------------------------------------------
 
 def _fold_metrics(pred: DataFrame, by: list[str]) -> DataFrame:
-    rates = M.with_rates(M.confusion(pred, by))
-    rank = M.ranking_metrics(M.score_curve(pred, by), by)
-    return rates.join(rank, by, "left")
+    return M.fold_metrics(pred, by)
 
 
 def grid_search_gnb(train: DataFrame, test: DataFrame, grid=GNB_GRID, n_folds: int = 10,
@@ -181,37 +179,35 @@ best AS (SELECT metric, model, m, ROW_NUMBER() OVER (PARTITION BY metric ORDER B
 
 # ---- cross-validated comparison with oversampling inside the folds --------------
 
-def cv_model_scores(spark, sf_dir, n_folds: int = 10, parallelism: int = 4) -> DataFrame:
-    """(metric, model, fold, score) for GNB and 3-NN: each fold's training part
-    is oversampled with SMOTE (ratio 0.20) before fitting; the held-out fold is
-    scored as is. Fold jobs are submitted from driver threads."""
+def cv_model_scores(spark, sf_dir, n_folds: int = 10) -> DataFrame:
+    """(metric, model, fold, score) for GNB and 3-NN with SMOTE (ratio 0.20)
+    applied to each fold's training part only.
+
+    All folds run in the same jobs: every training row is copied once per fold
+    it trains (key ``cv``), SMOTE, the GNB fit and the kNN join are grouped by
+    that key, and one metric aggregate covers all (model, fold) pairs."""
+    from txscore.operators.bayes import gnb_fit_grouped, gnb_transform_grouped
     from txscore.operators.neighbors import knn_classify, knn_join
     from txscore.operators.smote import smote
     from txscore.session import materialize
     train, _ = _train_test(spark, sf_dir)
     folds = materialize(SM.stratified_folds(train, n_folds)
                         .withColumn("vec", F.array(*[F.col(c) for c in GNB_FEATURES])))
-
-    def one(f):
-        fit_part = folds.where(F.col("fold") != f)
-        held = folds.where(F.col("fold") == f)
-        bal = smote(fit_part.select("tx_id", "vec", "label"), id_col="tx_id", ratio=0.20, metric="l2")
-        bal = materialize(bal.select("id", "label", "vec",
-                                     *[F.col("vec")[i].alias(c) for i, c in enumerate(GNB_FEATURES)]))
-        gnb = GaussianNBModel.fit(bal, GNB_FEATURES).transform(held) \
-            .select(F.lit("GaussianNB").alias("model"), "tx_id", "label", "score", "pred")
-        nn = knn_join(held.select(F.col("tx_id").alias("id"), "vec"), bal, 3, metric="l1")
-        knn = knn_classify(nn, bal, r_id="id").join(
-            held.select(F.col("tx_id").alias("q_id"), "label"), "q_id") \
-            .select(F.lit("KNN").alias("model"), F.col("q_id").alias("tx_id"), "label", "score", "pred")
-        return gnb.unionByName(knn).withColumn("fold", F.lit(f))
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        parts = list(pool.map(one, range(n_folds)))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    m = _fold_metrics(allp, ["model", "fold"])
+    others = F.filter(F.sequence(F.lit(0), F.lit(n_folds - 1)), lambda t: t != F.col("fold"))
+    copies = folds.select("tx_id", "label", "vec", F.explode(others).alias("cv"))
+    bal = smote(copies, id_col="tx_id", ratio=0.20, metric="l2", group="cv")
+    bal = materialize(bal.select("cv", "id", "label", "vec",
+                                 *[F.col("vec")[i].alias(c) for i, c in enumerate(GNB_FEATURES)]))
+    held = folds.withColumn("cv", F.col("fold"))
+    params = gnb_fit_grouped(bal, GNB_FEATURES, "cv")
+    gnb = gnb_transform_grouped(held, params, GNB_FEATURES, "cv").select(
+        F.lit("GaussianNB").alias("model"), "fold", "tx_id", "label", "score", "pred")
+    nn = knn_join(held.select("cv", F.col("tx_id").alias("id"), "vec"), bal, 3, metric="l1", group="cv")
+    knn = (knn_classify(nn, bal, r_id="id", group="cv")
+           .join(held.select("cv", F.col("tx_id").alias("q_id"), "label"), ["cv", "q_id"])
+           .select(F.lit("KNN").alias("model"), F.col("cv").alias("fold"), F.col("q_id").alias("tx_id"),
+                   "label", "score", "pred"))
+    m = _fold_metrics(gnb.unionByName(knn), ["model", "fold"])
     return (m.select(F.lit("f1").alias("metric"), "model", "fold", F.col("f1").alias("score"))
              .unionByName(m.select(F.lit("roc_auc").alias("metric"), "model", "fold",
                                    F.col("roc_auc").alias("score"))))

@@ -25,11 +25,9 @@ def cv_fold_scores(spark, sf_dir) -> DataFrame:
     10 stratified folds of the transaction view."""
     tx = SM.stratified_folds(tx_view(spark, sf_dir), N_FOLDS).select("tx_id", "fold")
     scored = score_table(tx_view(spark, sf_dir)).join(tx, "tx_id")
-    by = ["model", "fold"]
-    f1 = M.with_rates(M.confusion(scored, by)).select(
-        F.lit("f1").alias("metric"), "model", "fold", F.col("f1").alias("score"))
-    auc = M.ranking_metrics(M.score_curve(scored, by), by).select(
-        F.lit("roc_auc").alias("metric"), "model", "fold", F.col("roc_auc").alias("score"))
+    m = M.fold_metrics(scored, ["model", "fold"])
+    f1 = m.select(F.lit("f1").alias("metric"), "model", "fold", F.col("f1").alias("score"))
+    auc = m.select(F.lit("roc_auc").alias("metric"), "model", "fold", F.col("roc_auc").alias("score"))
     return f1.unionByName(auc)
 
 
