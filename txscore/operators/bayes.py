@@ -74,14 +74,16 @@ class GaussianNBModel:
 
 
 def gnb_fit_grouped(train: DataFrame, features: Sequence[str], group: str, label: str = "label",
-                    var_smoothing: float = VAR_SMOOTHING) -> DataFrame:
-    """One row per group (e.g. per cross-validation fold) with both classes'
-    prior, means and smoothed variances as columns ``{c}_prior``, ``{c}_m__f``,
-    ``{c}_v__f``: all groups are fitted by two grouped aggregates."""
+                    var_smoothing: float = VAR_SMOOTHING, smoothing_col: str | None = None) -> DataFrame:
+    """One row per group (e.g. per cross-validation fold, or per grid candidate
+    and fold) with both classes' prior, means and smoothed variances as columns
+    ``{c}_prior``, ``{c}_m__f``, ``{c}_v__f``: all groups are fitted by two
+    grouped aggregates. ``smoothing_col`` carries a per-group var_smoothing."""
     feats = list(features)
+    smooth = F.first(smoothing_col) if smoothing_col else F.lit(var_smoothing)
     eps = train.groupBy(group).agg(
         (F.greatest(*[F.var_pop(c) for c in feats]) if len(feats) > 1 else F.var_pop(feats[0]))
-        .alias("_maxvar")).select(group, (F.col("_maxvar") * F.lit(var_smoothing)).alias("_eps"))
+        .alias("_maxvar"), smooth.alias("_vs")).select(group, (F.col("_maxvar") * F.col("_vs")).alias("_eps"))
     per = train.groupBy(group, label).agg(F.count(F.lit(1)).alias("n_c"),
                                           *[F.avg(c).alias(f"m__{c}") for c in feats],
                                           *[F.var_pop(c).alias(f"v__{c}") for c in feats])

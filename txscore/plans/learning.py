@@ -3,8 +3,6 @@ cross-validated grid search, and the best-candidate selection (SQL oracle)."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,41 +107,42 @@ def _fold_metrics(pred: DataFrame, by: list[str]) -> DataFrame:
     return M.fold_metrics(pred, by)
 
 
-def grid_search_gnb(train: DataFrame, test: DataFrame, grid=GNB_GRID, n_folds: int = 10,
-                    parallelism: int = 4) -> DataFrame:
-    """Candidates x folds: fit on the other folds, predict the held-out fold and
-    the training folds; all predictions form one long table, all metrics come
-    from one grouped aggregate; per-metric maxima over candidates (train and
-    validation), refit of the best-F1 candidate, test metrics; rows
-    (set, model, metrics…)."""
-    folds = SM.stratified_folds(train, n_folds).checkpoint(eager=True)
-
-    def fit_one(args):
-        ci, vs, f = args
-        fit_part = folds.where(F.col("fold") != f)
-        m = GaussianNBModel.fit(fit_part, GNB_FEATURES, var_smoothing=vs)
-        val = m.transform(folds.where(F.col("fold") == f)).withColumn("set", F.lit("Validation"))
-        trn = m.transform(fit_part).withColumn("set", F.lit("Training"))
-        return val.unionByName(trn).select(F.lit(ci).alias("candidate"), F.lit(f).alias("fold"),
-                                           "set", "tx_id", "label", "score", "pred")
-
-    jobs = [(ci, vs, f) for ci, vs in enumerate(grid) for f in range(n_folds)]
-    with ThreadPoolExecutor(parallelism) as pool:   # driver threads submit the fits
-        parts = list(pool.map(fit_one, jobs))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    per_fold = _fold_metrics(allp, ["candidate", "fold", "set"])
+def grid_search_gnb(train: DataFrame, test: DataFrame, grid=GNB_GRID, n_folds: int = 10) -> DataFrame:
+    """Candidates x folds in one set of jobs: each training row is copied once
+    per (candidate, fold) it trains, GNB is fitted per group, held-out and
+    training rows are scored with their group's parameters, and all metrics
+    come from one grouped summary. Then per-metric maxima over candidates
+    (train and validation), refit of the best-F1 candidate, test metrics; rows
+    (set, model, metrics...)."""
+    from txscore.operators.bayes import gnb_fit_grouped, gnb_transform_grouped
+    from txscore.session import materialize
+    folds = materialize(SM.stratified_folds(train, n_folds))
+    n_c = len(grid)
+    vs = F.create_map(*[x for i, v in enumerate(grid) for x in (F.lit(i), F.lit(float(v)))])
+    cand = F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("candidate")
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_folds - 1)), lambda t: t != F.col("fold")))
+    fit_rows = (folds.select("*", cand).select("*", others.alias("cv"))
+                .withColumn("g", F.col("candidate") * n_folds + F.col("cv"))
+                .withColumn("_vs", vs[F.col("candidate")]))
+    params = materialize(gnb_fit_grouped(fit_rows, GNB_FEATURES, "g", smoothing_col="_vs"))
+    held = folds.select("*", cand).withColumn("g", F.col("candidate") * n_folds + F.col("fold")) \
+        .withColumn("set", F.lit("Validation")).withColumn("cv", F.col("fold"))
+    trn = fit_rows.drop("_vs").withColumn("set", F.lit("Training"))
+    cols = ["candidate", "cv", "set", "tx_id", "label", "score", "pred"]
+    preds = (gnb_transform_grouped(held, params, GNB_FEATURES, "g").select(*cols)
+             .unionByName(gnb_transform_grouped(trn, params, GNB_FEATURES, "g").select(*cols)))
+    per_fold = M.fold_metrics(preds, ["candidate", "cv", "set"])
     metric_cols = M.RATE_METRICS + ["roc_auc", "pr_auc"]
     means = per_fold.groupBy("candidate", "set").agg(*[F.avg(c).alias(c) for c in metric_cols])
     best_per_metric = means.groupBy("set").agg(*[F.max(c).alias(c) for c in metric_cols])
     best = means.where(F.col("set") == "Validation").orderBy(F.col("f1").desc(), "candidate").first()
     model = GaussianNBModel.fit(train, GNB_FEATURES, var_smoothing=grid[best["candidate"]])
     test_rep = M.metrics_report(model.transform(test).withColumn("set", F.lit("Test")), ["set"])
-    cols = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
+    out_cols = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
     cv_rows = best_per_metric.select(
-        "set", *cols, M.specificity_from_balanced(F.col("balanced_accuracy"), F.col("recall")).alias("specificity"))
-    test_rows = test_rep.select("set", *cols, "specificity")
+        "set", *out_cols,
+        M.specificity_from_balanced(F.col("balanced_accuracy"), F.col("recall")).alias("specificity"))
+    test_rows = test_rep.select("set", *out_cols, "specificity")
     return cv_rows.unionByName(test_rows).withColumn("model", F.lit("NaiveBayes"))
 
 
