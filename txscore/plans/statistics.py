@@ -13,7 +13,7 @@ from txscore.operators import metrics as M
 from txscore.operators import sampling as SM
 from txscore.operators import stats as ST
 from txscore.plans import sqlkit as S
-from txscore.plans.registry import register
+from txscore.plans.registry import CATALOG, register
 from txscore.sources.tables import SCORE_MODELS, SCORES_SQL, TX_SQL, read_table, score_table, tx_view, with_ctes
 
 N_FOLDS = 10
@@ -209,3 +209,21 @@ register("qq_line", "TST-5", with_ctes(
     _qq_sql(), body=f"""SELECT c_mktsegment, {S.r6('regr_slope(sample, theoretical)')} AS slope,
        {S.r6('regr_intercept(sample, theoretical)')} AS intercept, {S.r6('corr(theoretical, sample)')} AS r
 FROM qq GROUP BY c_mktsegment"""))(qq_line_df)
+
+
+def fold_scores_csv_roundtrip_df(spark, sf_dir):
+    """Fold scores written in the column-per-model CSV layout (one file per
+    metric, one row per fold) and read back into long rows."""
+    from txscore.sources import io as IO
+    fs = cv_fold_scores(spark, sf_dir)
+    wide = IO.long_to_wide(fs, ["metric", "fold"], "model", "score", SCORE_MODELS)
+    path = IO.shared_path(spark, "fold_scores")
+    IO.write_table(wide, path, fmt="csv", partition_by=["metric"])
+    schema = "fold int, " + ", ".join(f"{m} double" for m in SCORE_MODELS) + ", metric string"
+    back = spark.read.schema(schema).option("header", True).csv(path)
+    long = IO.wide_to_long(back, ["metric", "fold"], SCORE_MODELS, "model", "score")
+    return long.select("metric", "model", "fold", r6("score").alias("score"))
+
+
+register("fold_scores_csv_roundtrip", "SRC-2,SRC-1,SNK-1", CATALOG["cv_fold_scores"].sql)(
+    fold_scores_csv_roundtrip_df)

@@ -66,3 +66,14 @@ def save_params(df: DataFrame, path: str) -> None:
 
 def load_params(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def long_to_wide(df: DataFrame, index: list[str], column: str, value: str, values: list[str]) -> DataFrame:
+    """One column per ``column`` value (e.g. one per model), as the fold-score
+    files are laid out; ``values`` fixes the column set and order."""
+    return df.groupBy(*index).pivot(column, values).agg(F.first(value))
+
+
+def wide_to_long(df: DataFrame, index: list[str], columns: list[str], name: str, value: str) -> DataFrame:
+    """The column-per-model layout back to long rows (index…, name, value)."""
+    return df.unpivot(index, columns, name, value)
