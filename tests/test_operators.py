@@ -135,3 +135,18 @@ def test_shapiro_invariants(spark):
     got = {r["g"]: r for r in ST.shapiro_wilk(df, ["g"], "v").collect()}
     assert 0 < got["a"]["w"] <= 1 and abs(got["a"]["w"] - got["b"]["w"]) < 1e-12   # shift/scale invariant
     assert got["a"]["p_value"] > 0.05 and got["u"]["p_value"] < 1e-6
+
+
+def test_split_cutoff_refinement_matches_ranking(spark, monkeypatch):
+    """Several refinement passes (tiny fetch limit) give the rank-based split."""
+    import hashlib
+    from txscore.operators import sampling as SM
+    monkeypatch.setattr(SM, "CUTOFF_COLLECT_MAX", 3)
+    monkeypatch.setattr(SM, "HEX_STEP", 1)
+    rows = [(i, int(i % 7 == 0)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "tx_id long, label int")
+    got = {r["tx_id"]: r["part"] for r in SM.stratified_split(df).collect()}
+    for lab in (0, 1):
+        ids = sorted((hashlib.md5(f"{i}:42".encode()).hexdigest(), i) for i, y in rows if y == lab)
+        k = int(0.25 * len(ids) + 0.5)
+        assert {i for _, i in ids[:k]} == {i for _, i in ids if got[i] == "test"}
