@@ -150,3 +150,29 @@ def test_split_cutoff_refinement_matches_ranking(spark, monkeypatch):
         ids = sorted((hashlib.md5(f"{i}:42".encode()).hexdigest(), i) for i, y in rows if y == lab)
         k = int(0.25 * len(ids) + 0.5)
         assert {i for _, i in ids[:k]} == {i for _, i in ids if got[i] == "test"}
+
+
+def test_sampled_shapley_efficiency_and_exact_limit(spark):
+    """Permutation sampling keeps sum(phi) = f(x) - E_b f(b); with all d!
+    orders it equals the exact values."""
+    from itertools import permutations
+    from txscore.operators import explain as X
+    rnd = random.Random(11)
+    rows = [(i, rnd.uniform(0, 5), rnd.uniform(0, 5), rnd.uniform(0, 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "tx_id long, a double, b double, c double")
+    bg = df.where("tx_id < 6")
+    f = lambda c: c["a"] * c["b"] + F.sin(c["c"]) * c["a"]
+    feats = ["a", "b", "c"]
+    exact = {(r["tx_id"], r["feature"]): r["phi"] for r in X.shapley_exact(df, bg, feats, f).collect()}
+    sampled = {(r["tx_id"], r["feature"]): r["phi"]
+               for r in X.shapley_values(df, bg, feats, f, n_permutations=4).collect()}
+    fx = {r[0]: r[1] * r[2] + math.sin(r[3]) * r[1] for r in rows}
+    ef = sum(fx[i] for i in range(6)) / 6
+    for i in fx:
+        assert abs(sum(sampled[(i, g)] for g in feats) - (fx[i] - ef)) < 1e-9
+        assert abs(sum(exact[(i, g)] for g in feats) - (fx[i] - ef)) < 1e-9
+    # 6 seeded orders need not be the 6 distinct orders; check the identity on the true set
+    perms = [list(p) for p in permutations(range(3))]
+    terms = X._coalition_terms(3, perms)
+    exact_terms = X._coalition_terms(3, None)
+    assert {(i, m): round(w, 12) for i, m, w in terms} == {(i, m): round(w, 12) for i, m, w in exact_terms}

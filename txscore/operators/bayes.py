@@ -66,6 +66,19 @@ class GaussianNBModel:
             quad = t if quad is None else quad + t
         return F.lit(const) - F.lit(0.5) * quad
 
+    def score_expr(self, cols: dict[str, Column]) -> Column:
+        """P(class 1 | x) as a Column over the given feature Columns (a scoring
+        function for the explainers)."""
+        def jll(c: int) -> Column:
+            p = self.params[c]
+            const = math.log(p["prior"]) - 0.5 * sum(math.log(2.0 * math.pi * p["var"][f]) for f in self.features)
+            quad = None
+            for f in self.features:
+                t = (cols[f] - F.lit(p["mean"][f])) ** 2 / F.lit(p["var"][f])
+                quad = t if quad is None else quad + t
+            return F.lit(const) - F.lit(0.5) * quad
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(jll(0) - jll(1)))
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``score`` = P(class 1 | x) and ``pred`` (1 iff P(1) > 0.5)."""
         j0, j1 = self.joint_log_likelihood(0), self.joint_log_likelihood(1)

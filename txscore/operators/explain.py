@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txscore.functions.hashing import DEFAULT_SEED, row_hash
-from txscore.operators.ordered import ordered_row_number
+from txscore.operators.ordered import join_small, ordered_row_number
 
 ScoreFn = Callable[[dict[str, Column]], Column]
 
@@ -69,18 +69,58 @@ def permutation_importance(df: DataFrame, features: Sequence[str], predict: Scor
                                        F.stddev_pop("drop").alias("importance_std"))
 
 
-def shapley_exact(rows: DataFrame, background: DataFrame, features: Sequence[str], score: ScoreFn,
-                  id_col: str = "tx_id") -> DataFrame:
-    """(id, feature, phi): exact Shapley values of ``score`` for every row.
+def _coalition_terms(d: int, permutations: list[list[int]] | None) -> list[tuple[int, int, float]]:
+    """(feature i, coalition S without i, weight) terms of phi_i = sum w (v(S+i) - v(S)).
+
+    Exact: every S with the Shapley weight |S|!(d-|S|-1)!/d!. Sampled: for each
+    permutation the features before i, weight 1/#permutations (the estimator of
+    Strumbelj & Kononenko; the efficiency property holds exactly)."""
+    terms: dict[tuple[int, int], float] = {}
+    if permutations is None:
+        for i in range(d):
+            for mask in range(2 ** d):
+                if mask & (1 << i):
+                    continue
+                s = bin(mask).count("1")
+                terms[(i, mask)] = math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d)
+    else:
+        w = 1.0 / len(permutations)
+        for perm in permutations:
+            mask = 0
+            for i in perm:
+                terms[(i, mask)] = terms.get((i, mask), 0.0) + w
+                mask |= 1 << i
+    return [(i, m, w) for (i, m), w in sorted(terms.items())]
+
+
+def sampled_permutations(d: int, n: int, seed: int = DEFAULT_SEED) -> list[list[int]]:
+    """``n`` seeded feature orders (md5 ranks), reproducible in any engine."""
+    import hashlib
+    perms = []
+    for m in range(n):
+        keys = [(hashlib.md5(f"{m}:{i}:{seed}".encode()).hexdigest(), i) for i in range(d)]
+        perms.append([i for _, i in sorted(keys)])
+    return perms
+
+
+def shapley_values(rows: DataFrame, background: DataFrame, features: Sequence[str], score: ScoreFn,
+                   id_col: str = "tx_id", n_permutations: int | None = None,
+                   seed: int = DEFAULT_SEED) -> DataFrame:
+    """(id, feature, phi): interventional Shapley values of ``score`` for every row.
 
     v(S) = mean over background b of score(x on S, b elsewhere). The background
     is a bounded sample (checked against ``MAX_BACKGROUND``) held as literals,
-    so each row expands to |background| x 2^d evaluations by ``explode``.
+    so each row expands to |background| x |coalitions| evaluations by
+    ``explode``. Exact (all 2^d coalitions) up to ``MAX_EXACT_FEATURES``;
+    otherwise, or when ``n_permutations`` is given, permutation sampling.
     """
     feats = list(features)
     d = len(feats)
-    if d > MAX_EXACT_FEATURES:
-        raise ValueError(f"exact Shapley enumerates 2^d coalitions; d={d} > {MAX_EXACT_FEATURES}")
+    perms = None
+    if n_permutations is not None or d > MAX_EXACT_FEATURES:
+        perms = sampled_permutations(d, n_permutations or 64, seed)
+    terms = _coalition_terms(d, perms)
+    masks = sorted({m for _, m, _ in terms} | {m | (1 << i) for i, m, _ in terms})
     # the background is an explainer parameter: a bounded sample held as literals
     bg_rows = background.select(*[F.col(f).cast("double").alias(f) for f in feats]) \
         .limit(MAX_BACKGROUND + 1).collect()
@@ -90,26 +130,31 @@ def shapley_exact(rows: DataFrame, background: DataFrame, features: Sequence[str
     bg_array = F.array(*[F.struct(*[lit(r[f]).alias(f) for f in feats]) for r in bg_rows])
     x = rows.select(id_col, *[F.col(f).cast("double").alias(f) for f in feats])
     xs = x.select("*", F.explode(bg_array).alias("_b"))
-    masks = xs.select("*", F.explode(F.sequence(F.lit(0), F.lit(2 ** d - 1))).alias("mask"))
+    xm = xs.select("*", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
     cols = {f: F.when((F.col("mask").bitwiseAND(F.lit(1 << i))) != 0, F.col(f)).otherwise(F.col("_b")[f])
             for i, f in enumerate(feats)}
-    v = masks.select(id_col, "mask", score(cols).alias("_f")).groupBy(id_col, "mask") \
+    v = xm.select(id_col, "mask", score(cols).alias("_f")).groupBy(id_col, "mask") \
         .agg(F.avg("_f").alias("v"))
-    # marginal gains: v(S + i) - v(S) for every S without i, weighted |S|!(d-|S|-1)!/d!
-    weights = [math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)]
-    wmap = F.create_map(*[x for s, w in enumerate(weights) for x in (F.lit(s), F.lit(w))])
-    base = v.select(id_col, "mask", "v", F.explode(F.array(*[F.lit(i) for i in range(d)])).alias("i"))
-    base = base.where((F.col("mask").bitwiseAND(F.expr("shiftleft(1, i)"))) == 0)
-    base = base.withColumn("with_i", F.col("mask").bitwiseOR(F.expr("shiftleft(1, i)")))
+    # phi_i = sum over terms of w * (v(S + i) - v(S)); the term table has at most
+    # d * 2^(d-1) (exact) or d * #permutations (sampled) rows and is joined on S
+    term_df = rows.sparkSession.createDataFrame(terms, "i int, mask int, w double")
+    base = join_small(v, term_df, ["mask"]).select(
+        id_col, "i", "w", "v", F.col("mask").bitwiseOR(F.expr("shiftleft(1, i)")).alias("with_i"))
     plus = v.select(id_col, F.col("mask").alias("with_i"), F.col("v").alias("v_plus"))
-    gains = base.join(plus, [id_col, "with_i"]).withColumn(
-        "size", F.expr("bit_count(mask)")).withColumn(
-        "g", wmap[F.col("size")] * (F.col("v_plus") - F.col("v")))
+    gains = base.join(plus, [id_col, "with_i"]).withColumn("g", F.col("w") * (F.col("v_plus") - F.col("v")))
     fmap = F.create_map(*[x for i, f in enumerate(feats) for x in (F.lit(i), F.lit(f))])
     return gains.groupBy(id_col, "i").agg(F.sum("g").alias("phi")) \
         .select(id_col, fmap[F.col("i")].alias("feature"), "phi")
 
 
+def shapley_exact(rows: DataFrame, background: DataFrame, features: Sequence[str], score: ScoreFn,
+                  id_col: str = "tx_id") -> DataFrame:
+    """Exact Shapley values (all 2^d coalitions); see ``shapley_values``."""
+    if len(features) > MAX_EXACT_FEATURES:
+        raise ValueError(f"exact Shapley enumerates 2^d coalitions; d={len(features)} > {MAX_EXACT_FEATURES}")
+    return shapley_values(rows, background, features, score, id_col)
+
+
 def shapley_summary(phi: DataFrame) -> DataFrame:
     """Global importance: mean |phi| per feature."""
     return phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi"))
