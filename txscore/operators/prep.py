@@ -23,6 +23,7 @@ projection is the transform used by batch and streaming alike.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -149,6 +150,67 @@ def exact_quantiles(long_df: DataFrame, probs: Sequence[float], group_cols: Sequ
     return ends.select(*group_cols, "p", q.alias("q"))
 
 
+def numeric_summary(train: DataFrame, num_cols: Sequence[str]) -> dict[str, dict]:
+    """Per numeric feature: n, n_null, exact median, and the exact quartiles of
+    the median-imputed column -- all from ONE cumulative table of distinct
+    values (``ordered_prefix``) plus three broadcast rank lookups.
+
+    The imputed column is the raw one with n_null copies of the median m inserted
+    after the L values below m and the E values equal to m, so its rank r maps to
+    raw rank r (r < L), to m (L <= r < L + E + n_null) or to raw rank r - n_null.
+    """
+    if not num_cols:
+        return {}
+    spark = train.sparkSession
+    long = to_long(train, num_cols)
+    ok = F.col("value").isNotNull() & ~F.isnan(F.col("value"))
+    base = {r["feature"]: {"n": int(r["n"]), "n_null": int(r["n_all"] - r["n"])} for r in
+            long.groupBy("feature").agg(F.sum(ok.cast("long")).alias("n"),
+                                        F.count(F.lit(1)).alias("n_all")).collect()}
+    per = long.where(ok).groupBy("feature", F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+    cum = ordered_prefix(per, ["feature"], [F.col("_v").asc()], ["_w"], index_col="_i")
+
+    def lookup(wanted: set) -> dict:
+        if not wanted:
+            return {}
+        tdf = spark.createDataFrame(sorted(wanted), "feature string, _r long")
+        hit = join_small(cum, tdf, ["feature"]).where(
+            (F.col("cum__w") - F.col("_w") <= F.col("_r")) & (F.col("_r") < F.col("cum__w")))
+        return {(r["feature"], r["_r"]): r["_v"] for r in hit.select("feature", "_r", "_v").collect()}
+
+    def lerp(lo_v, hi_v, pos):
+        return lo_v if lo_v == hi_v else lo_v + (hi_v - lo_v) * (pos - math.floor(pos))
+
+    med_pos = {f: (b["n"] - 1) * 0.5 for f, b in base.items() if b["n"] > 0}
+    vals = lookup({(f, r) for f, p in med_pos.items() for r in (math.floor(p), math.ceil(p))})
+    for f, p in med_pos.items():
+        base[f]["median"] = lerp(vals[(f, math.floor(p))], vals[(f, math.ceil(p))], p)
+    meds = {f: b["median"] for f, b in base.items() if "median" in b}
+    if meds:
+        mm = F.create_map(*[x for f, m in meds.items() for x in (F.lit(f), F.lit(float(m)))])
+        le = cum.where(F.col("_v") <= mm[F.col("feature")]).groupBy("feature").agg(
+            F.max(F.when(F.col("_v") < mm[F.col("feature")], F.col("cum__w"))).alias("L"),
+            F.sum(F.when(F.col("_v") == mm[F.col("feature")], F.col("_w"))).alias("E")).collect()
+        for r in le:
+            base[r["feature"]]["L"] = int(r["L"] or 0)
+            base[r["feature"]]["E"] = int(r["E"] or 0)
+    plans = {}
+    for f, b in base.items():
+        if "median" not in b:
+            continue
+        n_imp = b["n"] + b["n_null"]
+        lo_block, hi_block = b.get("L", 0), b.get("L", 0) + b.get("E", 0) + b["n_null"]
+        for p in (0.25, 0.75):
+            pos = (n_imp - 1) * p
+            plans[(f, p)] = (pos, [(r, None if lo_block <= r < hi_block else (r if r < lo_block else r - b["n_null"]))
+                                   for r in (math.floor(pos), math.ceil(pos))])
+    qv = lookup({(f, raw) for (f, _), (_, rs) in plans.items() for _, raw in rs if raw is not None})
+    for (f, p), (pos, rs) in plans.items():
+        v = [base[f]["median"] if raw is None else qv[(f, raw)] for _, raw in rs]
+        base[f]["q25" if p == 0.25 else "q75"] = lerp(v[0], v[1], pos)
+    return base
+
+
 def modes(long_df: DataFrame, group_cols: Sequence[str] = ("feature",), value: str = "value") -> DataFrame:
     """Most frequent value per group; ties -> smallest value. (group…, mode, mode_count)."""
     cnt = (long_df.where(F.col(value).isNotNull())
@@ -158,7 +220,8 @@ def modes(long_df: DataFrame, group_cols: Sequence[str] = ("feature",), value: s
                                         F.max("_c").alias("mode_count"))
 
 
-def fill_table(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str]) -> DataFrame:
+def fill_table(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str],
+               summary: dict | None = None) -> DataFrame:
     """(feature, role, fill_num, fill_cat): mode for categoricals, median for numerics."""
     parts = []
     if cat_cols:
@@ -167,37 +230,33 @@ def fill_table(train: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str
                               F.lit(None).cast("double").alias("fill_num"),
                               F.col("mode").alias("fill_cat")))
     if num_cols:
-        med = exact_quantiles(to_long(train, num_cols), [0.5])
-        parts.append(med.select("feature", F.lit("num").alias("role"),
-                                F.col("q").alias("fill_num"),
-                                F.lit(None).cast("string").alias("fill_cat")))
+        summary = summary if summary is not None else numeric_summary(train, num_cols)
+        rows = [(f, "num", float(summary[f]["median"]), None) for f in num_cols if "median" in summary.get(f, {})]
+        parts.append(train.sparkSession.createDataFrame(
+            rows, "feature string, role string, fill_num double, fill_cat string"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def robust_table(train: DataFrame, num_cols: Sequence[str], medians: dict[str, float]) -> DataFrame:
-    """(feature, center, q25, q75, scale) of the *imputed* training numerics.
+def robust_table(train: DataFrame, num_cols: Sequence[str], medians: dict[str, float] | None = None,
+                 summary: dict | None = None) -> DataFrame:
+    """(feature, center, q25, q75, scale) of the *median-imputed* training numerics.
 
-    The imputed column equals the raw one plus ``n_null`` copies of the median;
-    those copies enter as a weight on the median value, so no imputed table is
-    materialised. The centre is the median (copies of it cannot move it); a zero
-    inter-quartile range scales by 1.
-    """
-    long = to_long(train, num_cols)
-    counts = (long.where(F.col("value").isNotNull())
-              .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("w")))
-    fill = F.create_map(*[x for c in num_cols for x in (F.lit(c), F.lit(float(medians[c])))])
-    nulls = (long.where(F.col("value").isNull()).groupBy("feature")
-             .agg(F.count(F.lit(1)).alias("w"))
-             .select("feature", fill[F.col("feature")].alias("value"), "w"))
-    q = exact_quantiles(counts.unionByName(nulls), [0.25, 0.75], weight="w")
-    wide = q.groupBy("feature").agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q25"),
-                                    F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q75"))
-    iqr = F.col("q75") - F.col("q25")
-    return wide.select("feature", fill[F.col("feature")].alias("center"), "q25", "q75",
-                       F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"))
+    The centre is the median (copies of it cannot move it); the quartiles are
+    those of the imputed column (``numeric_summary``); a zero inter-quartile
+    range scales by 1. One row per feature."""
+    summary = summary if summary is not None else numeric_summary(train, num_cols)
+    rows = []
+    for f in num_cols:
+        b = summary.get(f, {})
+        if "median" not in b:
+            continue
+        iqr = b["q75"] - b["q25"]
+        rows.append((f, float(b["median"]), float(b["q25"]), float(b["q75"]), 1.0 if iqr == 0 else float(iqr)))
+    return train.sparkSession.createDataFrame(
+        rows, "feature string, center double, q25 double, q75 double, scale double")
 
 
 def category_shares(train_imputed: DataFrame, cat_cols: Sequence[str],
@@ -341,10 +400,11 @@ def fit_preparation(all_rows: DataFrame, train: DataFrame, cat_cols: Sequence[st
     cats = [c for c in cat_cols if c in kept]
     nums = [c for c in num_cols if c in kept]
 
-    fills_df = fill_table(train, cats, nums)
+    summary = numeric_summary(train, nums)
+    fills_df = fill_table(train, cats, nums, summary=summary)
     fills = {r["feature"]: (r["fill_cat"] if r["role"] == "cat" else r["fill_num"])
              for r in fills_df.collect()}
-    rob_df = robust_table(train, nums, {c: fills[c] for c in nums})
+    rob_df = robust_table(train, nums, summary=summary)
     rob = {r["feature"]: r for r in rob_df.collect()}
     center = {c: float(rob[c]["center"]) for c in nums}
     scale = {c: float(rob[c]["scale"]) for c in nums}

@@ -178,9 +178,9 @@ GNB_FEATURES = [f"num__{c}" for c in PP._KEPT_NUMS]
 
 def scaled_split(spark, sf_dir) -> DataFrame:
     """The transaction split with imputed, robust-scaled numerics (num__*)."""
-    sp, train, _, nums, fills = PP._fitted(spark, sf_dir)
+    sp, train, _, nums, fills, summary = PP._fitted(spark, sf_dir)
     from txscore.operators import prep as P
-    rob = {r["feature"]: r for r in P.robust_table(train, nums, {c: fills[c] for c in nums}).collect()}
+    rob = {r["feature"]: r for r in P.robust_table(train, nums, summary=summary).collect()}
     return sp.select("tx_id", "part", "label", *[
         ((F.coalesce(F.col(c).cast("double"), F.lit(float(fills[c]))) - F.lit(float(rob[c]["center"])))
          / F.lit(float(rob[c]["scale"]))).alias(f"num__{c}") for c in nums])

@@ -194,16 +194,19 @@ register("impute_fit", "AGG-1,AGG-2,PRJ-9", with_ctes(
 
 
 def _fitted(spark, sf_dir):
+    """Split, kept columns, fill values and the numeric summary (median and
+    imputed quartiles from one cumulative table)."""
     sp = split_tx(spark, sf_dir)
     cats, nums = _kept_features(spark, sf_dir, sp)
     train = sp.where(F.col("part") == "train")
+    summary = P.numeric_summary(train, nums)
     fills = {r["feature"]: (r["fill_cat"] if r["role"] == "cat" else r["fill_num"])
-             for r in P.fill_table(train, cats, nums).collect()}
-    return sp, train, cats, nums, fills
+             for r in P.fill_table(train, cats, nums, summary=summary).collect()}
+    return sp, train, cats, nums, fills, summary
 
 
 def impute_apply_df(spark, sf_dir):
-    sp, _, cats, nums, fills = _fitted(spark, sf_dir)
+    sp, _, cats, nums, fills, _ = _fitted(spark, sf_dir)
     return sp.select("tx_id", "part",
                      *[F.coalesce(F.col(c), F.lit(fills[c])).alias(c) for c in cats],
                      *[r6(F.coalesce(F.col(c).cast("double"), F.lit(float(fills[c]))), 9).alias(c) for c in nums])
@@ -220,8 +223,8 @@ register("impute_apply", "AGG-1,AGG-2,JN-1", with_ctes(
 
 
 def robust_scale_fit_df(spark, sf_dir):
-    _, train, _, nums, fills = _fitted(spark, sf_dir)
-    rob = P.robust_table(train, nums, {c: fills[c] for c in nums})
+    _, train, _, nums, fills, summary = _fitted(spark, sf_dir)
+    rob = P.robust_table(train, nums, summary=summary)
     return rob.select("feature", *[r6(c).alias(c) for c in ("center", "q25", "q75", "scale")])
 
 
@@ -232,8 +235,8 @@ register("robust_scale_fit", "AGG-3", with_ctes(
 
 
 def robust_scale_df(spark, sf_dir):
-    sp, train, _, nums, fills = _fitted(spark, sf_dir)
-    rob = {r["feature"]: r for r in P.robust_table(train, nums, {c: fills[c] for c in nums}).collect()}
+    sp, train, _, nums, fills, summary = _fitted(spark, sf_dir)
+    rob = {r["feature"]: r for r in P.robust_table(train, nums, summary=summary).collect()}
     return sp.select("tx_id", "part", *[
         r6((F.coalesce(F.col(c).cast("double"), F.lit(float(fills[c]))) - F.lit(float(rob[c]["center"])))
            / F.lit(float(rob[c]["scale"]))).alias(f"num__{c}") for c in nums])
@@ -251,15 +254,15 @@ register("robust_scale", "AGG-3", with_ctes(
 
 
 def _imputed_train(spark, sf_dir):
-    sp, train, cats, nums, fills = _fitted(spark, sf_dir)
+    sp, train, cats, nums, fills, summary = _fitted(spark, sf_dir)
     imp = train.select("tx_id", "label",
                        *[F.coalesce(F.col(c), F.lit(fills[c])).alias(c) for c in cats],
                        *[F.coalesce(F.col(c).cast("double"), F.lit(float(fills[c]))).alias(c) for c in nums])
-    return sp, imp, cats, nums, fills
+    return sp, imp, cats, nums, fills, summary
 
 
 def onehot_survivors_df(spark, sf_dir):
-    _, imp, cats, _, _ = _imputed_train(spark, sf_dir)
+    _, imp, cats, _, _, _ = _imputed_train(spark, sf_dir)
     sh = P.category_shares(imp, cats)
     return sh.select("feature", "value", "n", r6("p").alias("p"), r6("variance").alias("variance"), "kept")
 
@@ -281,7 +284,7 @@ register("onehot_survivors", "AGG-4,AGG-5", with_ctes(
 
 
 def onehot_long_df(spark, sf_dir):
-    sp, imp, cats, _, fills = _imputed_train(spark, sf_dir)
+    sp, imp, cats, _, fills, _ = _imputed_train(spark, sf_dir)
     surv = P.category_shares(imp, cats).where("kept").select("feature", "value")
     long = P.to_long(sp.select("tx_id", *[F.coalesce(F.col(c), F.lit(fills[c])).alias(c) for c in cats]),
                      cats, ["tx_id"], "string")
@@ -300,8 +303,8 @@ register("onehot_long", "AGG-4,R3", with_ctes(
 
 
 def variance_filter_df(spark, sf_dir):
-    _, imp, cats, nums, fills = _imputed_train(spark, sf_dir)
-    rob = {r["feature"]: r for r in P.robust_table(imp, nums, {c: fills[c] for c in nums}).collect()}
+    _, imp, cats, nums, fills, summary = _imputed_train(spark, sf_dir)
+    rob = {r["feature"]: r for r in P.robust_table(imp, nums, summary=summary).collect()}
     scaled = imp.select(*[((F.col(c) - F.lit(float(rob[c]["center"]))) / F.lit(float(rob[c]["scale"]))).alias(c)
                           for c in nums])
     nv = P.numeric_variances(scaled, nums).select(F.concat(F.lit("num__"), "feature").alias("feature"),
