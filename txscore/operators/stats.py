@@ -97,13 +97,6 @@ def ttest_matrix(tests: DataFrame, by: Sequence[str] = ("metric",)) -> DataFrame
 
 # --- Shapiro-Wilk -------------------------------------------------------------
 
-def _poly(coefs: Sequence[float], x: Column) -> Column:
-    out = F.lit(float(coefs[-1]))
-    for c in reversed(coefs[:-1]):
-        out = out * x + F.lit(float(c))
-    return out
-
-
 def _poly_sql(coefs: Sequence[float], x: str) -> str:
     out = repr(float(coefs[-1]))
     for c in reversed(coefs[:-1]):

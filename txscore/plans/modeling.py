@@ -11,7 +11,7 @@ from txscore.functions.hashing import hash_sql, uniform_sql
 from txscore.operators import sampling as SM
 from txscore.operators.bayes import VAR_SMOOTHING, GaussianNBModel, gnb_fit_table
 from txscore.operators.neighbors import knn_classify, knn_join
-from txscore.operators.smote import SMOTE_K, smote, synthetic_count
+from txscore.operators.smote import SMOTE_K, smote
 from txscore.operators.vote import majority_vote
 from txscore.plans import preparation as PP
 from txscore.plans import sqlkit as S
