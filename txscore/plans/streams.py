@@ -142,3 +142,28 @@ FROM phi WHERE tx_id IN (SELECT tx_id FROM fl)""")
 
 
 register("stream_explain", "STR-3,EXP-4,EXP-3", _stream_explain_sql())(stream_explain_df)
+
+
+def stream_knn_scores_df(spark, sf_dir):
+    """kNN scoring of arriving vectors: each micro-batch is joined (exact band
+    kNN join) against the static training vectors inside ``foreachBatch``."""
+    from txscore.operators.neighbors import knn_classify, knn_join
+    from txscore.plans.modeling import KNN_K, embedding_split
+    sp = embedding_split(spark, sf_dir)
+    train = sp.where(F.col("part") == "train")
+    test_ids = sp.where(F.col("part") == "test").select("id")
+    schema = spark.read.parquet(f"{sf_dir}/embeddings.parquet").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir)
+              .select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec")))
+
+    def score(batch):
+        held = batch.join(test_ids, "id")            # vectors held out of training
+        nn = knn_join(held, train, KNN_K, metric="l1")
+        return knn_classify(nn, train, r_id="id").select(
+            F.col("q_id").alias("vec_id"), r6("score").alias("score"), "pred")
+
+    return ST.run_available_now(stream, spark, "knn", per_batch=score)
+
+
+register("stream_knn_scores", "STR-2,MDL-1,JN-6", CATALOG["knn_scores"].sql)(stream_knn_scores_df)
