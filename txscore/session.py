@@ -56,8 +56,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back: later
-    actions reuse it, the lineage is cut, and a lost executor costs no recompute
-    of the upstream plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a parquet table under the shared checkpoint folder and
+    read it back: later actions reuse it with column pruning and filter pushdown,
+    the lineage is cut, and a lost executor costs no recompute of the upstream
+    plan."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/txscore/materialized/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
