@@ -32,3 +32,4 @@ def test_surrogate_rules_cover_all_rows(spark):
     rows = Q["surrogate_rules"](spark, SMALL).collect()
     assert rows and all(r["rule"] for r in rows)
     assert all(r["purity"] is None or 0.0 <= r["purity"] <= 1.0 for r in rows)
+    assert len({r["fidelity"] for r in rows}) == 1 and 0.0 <= rows[0]["fidelity"] <= 1.0

@@ -3,7 +3,7 @@ cross-validated grid search, and the best-candidate selection (SQL oracle)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.functions.algebra import r6
@@ -94,8 +94,16 @@ def surrogate_rules_df(spark, sf_dir):
         F.count(F.lit(1)).alias("n"),
         F.avg((F.col("pred") == cls[F.col("leaf")]).cast("double")).alias("purity"))
     text = spark.createDataFrame([(no, cond, c) for no, cond, c in rules], "leaf int, rule string, class int")
-    return text.join(per_leaf, "leaf", "left").select(
-        "leaf", "rule", "class", F.coalesce("n", F.lit(0)).alias("n"), r6("purity").alias("purity"))
+    # rule text sink: one line per leaf, "<rule> => class <c>"
+    from txscore.sources import io as IO
+    IO.write_table(text.select(F.concat_ws(" => class ", "rule", F.col("class").cast("string")).alias("value")),
+                   IO.shared_path(spark, "surrogate_rules"), fmt="text")
+    out = text.join(per_leaf, "leaf", "left").select(
+        "leaf", "rule", "class", F.coalesce("n", F.lit(0)).alias("n"), "purity")
+    # fidelity: share of rows where the rule's class equals the explained model's prediction
+    fidelity = F.sum(F.col("n") * F.coalesce("purity", F.lit(0.0))).over(Window.partitionBy()) / \
+        F.sum("n").over(Window.partitionBy())     # one row per leaf (at most 8)
+    return out.select("leaf", "rule", "class", "n", r6("purity").alias("purity"), r6(fidelity).alias("fidelity"))
 
 
 register("surrogate_rules", "EXP-5,SNK-7")(surrogate_rules_df)
