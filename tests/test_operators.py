@@ -176,3 +176,21 @@ def test_sampled_shapley_efficiency_and_exact_limit(spark):
     terms = X._coalition_terms(3, perms)
     exact_terms = X._coalition_terms(3, None)
     assert {(i, m): round(w, 12) for i, m, w in terms} == {(i, m): round(w, 12) for i, m, w in exact_terms}
+
+
+def test_numeric_summary_imputed_quartiles_match_numpy(spark):
+    """Median of the raw values and quartiles of the median-imputed column,
+    from one cumulative table, equal numpy on the materialised imputed column."""
+    rnd = np.random.default_rng(12)
+    a = [float(v) for v in rnd.integers(0, 30, size=400)]          # many ties
+    b = [float(v) for v in rnd.normal(size=400)]
+    rows = [(i, a[i] if i % 5 else None, b[i] if i % 3 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    got = P.numeric_summary(df, ["a", "b"])
+    for c, vals in (("a", [r[1] for r in rows]), ("b", [r[2] for r in rows])):
+        raw = np.array([v for v in vals if v is not None])
+        med = float(np.percentile(raw, 50))
+        imp = np.array([med if v is None else v for v in vals])
+        assert abs(got[c]["median"] - med) < 1e-12
+        assert abs(got[c]["q25"] - np.percentile(imp, 25)) < 1e-12
+        assert abs(got[c]["q75"] - np.percentile(imp, 75)) < 1e-12
