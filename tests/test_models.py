@@ -9,7 +9,9 @@ METRICS = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "specif
 
 def test_grid_search_report(spark):
     rows = Q["grid_search_report"](spark, SMALL).collect()
-    assert sorted(r["set"] for r in rows) == ["Test", "Training", "Validation"]
+    assert sorted((r["selection"], r["set"]) for r in rows) == [
+        ("best_f1_candidate", "Test"), ("best_f1_candidate", "Training"), ("best_f1_candidate", "Validation"),
+        ("per_metric_max", "Training"), ("per_metric_max", "Validation")]
     for r in rows:
         for m in METRICS:
             assert r[m] is None or 0.0 <= r[m] <= 1.0
