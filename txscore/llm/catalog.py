@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import bk_simhash, harmonic, piece_tokens
+from txscore.llm import bk_simhash, harmonic, piece_tokens, repeats
 from txscore.llm.common import table
 
 
@@ -32,5 +32,14 @@ def op7_bk_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bk_simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash)}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op10_repeats)}
 ORACLES: dict[str, str] = {}
