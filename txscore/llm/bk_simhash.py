@@ -26,6 +26,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -240,6 +241,14 @@ def near_links(fps: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LI
     return rows.repartition("key").mapInArrow(run, "a long, b long").distinct()
 
 
+def _classes(fps: DataFrame, radius: int, shard_limit: int) -> DataFrame:
+    """fp, root (the smallest linked fingerprint) of every distinct fingerprint."""
+    nodes = components(near_links(fps, radius, shard_limit), "a", "b")
+    distinct = fps.select("fp").distinct()
+    return (distinct.join(nodes, distinct.fp == nodes.node, "left")
+            .select("fp", F.coalesce("component", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = SHINGLE_WORDS, radius: int = RADIUS,
                     shard_limit: int = SHARD_LIMIT) -> DataFrame:
@@ -249,12 +258,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows with a null doc_id take part in links, and their component is the smallest doc_id
     that is not null, if there is any. Repeated rows give repeated results."""
     fps = fingerprints(docs, id_col, text_col, words).checkpoint()
-    nodes = components(near_links(fps, radius, shard_limit), "a", "b")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    classes = (classes.join(nodes, classes.fp == nodes.node, "left")
-               .select("fp", "least", F.coalesce("component", "fp").alias("root")))
-    least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = classes.join(least, "root").select(F.col("fp").alias("class_fp"), "component_id")
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    classes = _classes(fps, radius, shard_limit).join(least, "fp")
+    roots = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = classes.join(roots, "root").select(F.col("fp").alias("class_fp"), "component_id")
     return (fps.join(found, F.col("fp") == F.col("class_fp"))
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     "component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             words: int = SHINGLE_WORDS, radius: int = RADIUS,
+             shard_limit: int = SHARD_LIMIT) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each group of near-duplicates: that of the
+    smallest doc_id (rows without one come last), and of several with this id, one with the
+    smallest fingerprint."""
+    require(docs, id_col, text_col)
+    own = "fp"
+    while own in docs.columns:
+        own += "_"
+
+    @F.pandas_udf("long")
+    def bits(text: pd.Series) -> pd.Series:
+        fp = np.array([fingerprint(t, words) for t in text], np.uint64)
+        return pd.Series(fp.view(np.int64))
+
+    fps = fingerprints(docs, id_col, text_col, words).checkpoint()
+    classes = _classes(fps, radius, shard_limit)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
+    chosen = (fps.join(classes, "fp").groupBy("root").agg(F.min(first).alias("first"))
+              .select(F.col("first.doc_id").alias("kept_id"), F.col("first.fp").alias("kept_fp")))
+    rows = docs.withColumn(own, bits(F.col(text_col).cast("string")))
+    found = rows.join(chosen, rows[id_col].cast("long").eqNullSafe(chosen.kept_id)
+                      & (rows[own] == chosen.kept_fp), "left_semi")
+    return found.dropDuplicates([id_col, own]).drop(own)

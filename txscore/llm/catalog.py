@@ -7,10 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import bk_simhash, harmonic, piece_tokens, repeats
+from txscore.llm import bk_simhash, harmonic, piece_tokens, repeats, toxicity
 from txscore.llm.common import table
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = piece_tokens.tokenize(table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("piece_bpe_32k.model"))
@@ -41,5 +45,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op10_repeats)}
+    op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op10_repeats)}
 ORACLES: dict[str, str] = {}

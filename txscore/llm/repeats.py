@@ -158,10 +158,12 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(lo, hi) for lo, hi in out]
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text as UTF-8 bytes, and a key (id0, th) that only copies of a row share."""
+def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text as UTF-8 bytes, and a key (id0, th) that only rows with the same id and
+    text share; ``carried``: further columns."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("data"),
+    more = [F.struct(*carry).alias("carried")] if carry else []
+    return docs.select(*more, F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("data"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id0"),
                        F.xxhash64(text).alias("th"))
 
@@ -281,11 +283,12 @@ def hot_ranges(contents: DataFrame, min_bytes: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_bytes: int = MIN_BYTES, gram: int = GRAM,
-                   hot_classes: int = HOT_CLASSES) -> DataFrame:
+                   hot_classes: int = HOT_CLASSES, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, spans (removed byte ranges, maximal and
-    in order) and kept (the remaining bytes)."""
-    require(docs, id_col, text_col)
-    keyed = _keyed(docs, id_col, text_col)
+    in order), kept (the remaining bytes) and text (kept as text, without characters that a
+    cut left incomplete); with ``carry``, also a struct ``carried`` of these columns of the row."""
+    require(docs, id_col, text_col, *carry)
+    keyed = _keyed(docs, id_col, text_col, carry)
     marks = materialize(classify(fragments(keyed, min_bytes, gram)))
     wanted = (marks.where("open").groupBy("id0", "th").agg(F.collect_set(F.struct(
         "h", "lo", "n", "a", "whole", "classes")).alias("f")))
@@ -299,7 +302,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if marks.where("open").where(F.col("classes") > hot_classes).limit(1).count():
         found = found.unionByName(hot_ranges(contents.where(F.col("classes") > hot_classes), min_bytes))
     spans = found.groupBy("id0", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    rows = keyed.join(spans, ["id0", "th"], "left").select("doc_id", "data", "ranges")
+    more = ["carried"] if carry else []
+    rows = keyed.join(spans, ["id0", "th"], "left").select("doc_id", "data", "ranges", *more)
+    schema = f"doc_id long, n_bytes long, spans {SPAN}, kept binary, text string"
+    if carry:
+        schema += f", carried {keyed.schema['carried'].dataType.simpleString()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "data"):
@@ -316,6 +323,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 pa.array(flat, pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([len(x) for x in data], pa.int64()), spans,
-                 pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+                 pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept]),
+                 *(part.column(c) for c in more)],
+                ["doc_id", "n_bytes", "spans", "kept", "text", *more])
 
-    return rows.mapInArrow(run, f"doc_id long, n_bytes long, spans {SPAN}, kept binary")
+    return rows.mapInArrow(run, schema)
