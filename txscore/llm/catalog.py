@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import bk_simhash, harmonic, piece_tokens, repeats, toxicity
+from txscore.llm import bk_simhash, harmonic, line_dedup, piece_tokens, repeats, toxicity
 from txscore.llm.common import table
 
 
@@ -36,6 +36,35 @@ def op7_bk_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bk_simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws("-", s.start, s.end))
+    return out.select("doc_id", F.col("n_units").alias("n_lines"),
+                      F.size("removed").cast("long").alias("n_removed"),
+                      F.array_join(spans, ",").alias("removed_spans"), "text")
+
+
+OP9_SQL = """
+WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM cut),
+placed AS (
+  SELECT doc_id, line, i, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+         trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+', ' ', 'g'), ' ') AS norm
+  FROM lines),
+ranked AS (
+  SELECT *, norm <> '' AND row_number() OVER (PARTITION BY md5(norm) ORDER BY doc_id, start) > 1
+            AS gone
+  FROM placed)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(start || '-' || (start + length(line)), ',' ORDER BY i)
+                FILTER (gone), '') AS removed_spans,
+       coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+FROM ranked GROUP BY doc_id
+"""
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
@@ -45,5 +74,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op10_repeats)}
-ORACLES: dict[str, str] = {}
+    op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op9_line_dedup,
+    op10_repeats)}
+ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
