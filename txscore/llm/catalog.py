@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import bk_simhash, harmonic, line_dedup, piece_tokens, repeats, toxicity
+from txscore.llm import bk_simhash, harmonic, line_dedup, piece_tokens, prefix_hash, repeats, toxicity
 from txscore.llm.common import table
 
 
@@ -36,6 +36,12 @@ def op7_bk_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bk_simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_prefix_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = prefix_hash.compare_with_next(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                      "edited_fingerprint", "near_edited", "near_next", "common_prefix")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     spans = F.transform("removed", lambda s: F.concat_ws("-", s.start, s.end))
@@ -74,6 +80,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op9_line_dedup,
-    op10_repeats)}
+    op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op8_prefix_hash,
+    op9_line_dedup, op10_repeats)}
 ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
