@@ -7,10 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import bk_simhash, harmonic, line_dedup, piece_tokens, prefix_hash, repeats, toxicity
+from txscore.llm import bk_simhash, harmonic, line_dedup, piece_tokens, prefix_hash, repeats, rp_forest, toxicity
 from txscore.llm.common import table
 
 
+def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -80,6 +84,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op8_prefix_hash,
+    op2_rp_forest, op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op8_prefix_hash,
     op9_line_dedup, op10_repeats)}
 ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
