@@ -7,10 +7,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import bk_simhash, harmonic, line_dedup, piece_tokens, prefix_hash, repeats, rp_forest, toxicity
+from txscore.llm import bk_simhash, harmonic, html_text, line_dedup, piece_tokens, prefix_hash, repeats, rp_forest, toxicity
 from txscore.llm.common import table
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -84,6 +89,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_rp_forest, op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op8_prefix_hash,
+    op1_html_text, op2_rp_forest, op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op8_prefix_hash,
     op9_line_dedup, op10_repeats)}
 ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
