@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import bk_simhash, harmonic, html_text, line_dedup, piece_tokens, prefix_hash, repeats, rp_forest, toxicity
+from txscore.llm import bk_simhash, harmonic, html_text, line_dedup, piece_tokens, prefix_hash, repeats, rp_forest, toxicity, url_filter
 from txscore.llm.common import table
 
 
@@ -20,6 +20,50 @@ def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+#: Host, path and verdict of the rules of ``op3_url_filter``.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"),
+             ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: canonical addresses that several URLs of the crawl claim, so that none can be
+    trusted to be the page itself."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = (url_filter.addresses(pages).where("address <> ''").groupBy("address").count()
+              .where("count > 1").select("address"))
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP3_SQL = """
+WITH cut AS (SELECT *, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END
+                    AS rest FROM pages),
+parts AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1) AS query FROM cut),
+addresses AS (
+  SELECT *, list_sort(list_filter(string_split(query, '&'), lambda x: x <> ''
+         AND NOT regexp_matches(x, '^(utm_[^=]*|gclid|fbclid|ref)(=|$)'))) AS params FROM parts),
+places AS (
+  SELECT *, CASE WHEN host = '' THEN '' ELSE regexp_replace(host, ':(80|443)?$', '') || rtrim(path, '/')
+         || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS address
+  FROM addresses),
+listed AS (SELECT address FROM places WHERE address <> '' GROUP BY address HAVING count(DISTINCT url) > 1),
+rules(rhost, rpath, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits AS (
+  SELECT url, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+         arg_max(verdict, length(rhost || rpath)) AS verdict
+  FROM (SELECT DISTINCT url, host, path FROM places) p, rules
+  WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY url)
+SELECT page_id, host, path, f.rule, coalesce(f.verdict, CASE WHEN l.address IS NULL THEN 'allow'
+       ELSE 'block' END) AS verdict
+FROM places LEFT JOIN fits f USING (url) LEFT JOIN listed l USING (address)
+"""
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -89,6 +133,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_text, op2_rp_forest, op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op8_prefix_hash,
+    op1_html_text, op2_rp_forest, op3_url_filter, op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op8_prefix_hash,
     op9_line_dedup, op10_repeats)}
-ORACLES: dict[str, str] = {"op9_line_dedup": OP9_SQL}
+ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL, "op9_line_dedup": OP9_SQL}
