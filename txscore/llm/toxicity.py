@@ -1,8 +1,8 @@
 """Toxicity scores from a counterfactual-regularised linear classifier.
 
 Features of a text: its different words (letters, lower case) and word beginnings of a few
-lengths, present or absent. Labelled sentences that name a group are rewritten with another
-group's term; the fit minimises
+lengths, present or absent. Labelled sentences that name a group are rewritten, once with
+another group's term and once with a word that names none; the fit minimises
 
     logistic loss + l1 * sum(w) + swap_penalty * mean((score(text) - score(rewritten text))**2)
 
@@ -55,6 +55,9 @@ CHANCE = 5.0
 #: Share of a class's rows that may lie beyond its edge when the middle is sought.
 EDGE = 0.005
 
+#: Stands for any term in a sentence that is to name no group.
+NEUTRAL = "people"
+
 #: Terms that stand for one another in a rewritten sentence, by kind of group.
 IDENTITY_TERMS = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist", "catholic", "sikh"),
@@ -80,15 +83,17 @@ def features(text: str | None) -> set[str]:
 
 
 def swapper(groups: tuple[tuple[str, ...], ...]):
-    """Function that replaces each identity term by the next one of its group (and says
-    nothing, None, if there is no term in the text)."""
+    """Function that gives the text with each identity term replaced by the next one of its
+    group, and with each replaced by a neutral word (nothing, if the text has no term)."""
     follow = {t: g[(i + 1) % len(g)] for g in groups for i, t in enumerate(g)}
     pattern = re.compile(r"(?<!\w)(" + "|".join(sorted(map(re.escape, follow), key=len, reverse=True))
                          + r")(?!\w)")
 
-    def swap(text: str | None) -> str | None:
-        out, n = pattern.subn(lambda m: follow[m[1]], (text or "").lower())
-        return out if n else None
+    def swap(text: str | None) -> list[str]:
+        text = (text or "").lower()
+        if not pattern.search(text):
+            return []
+        return [pattern.sub(lambda m: follow[m[1]], text), pattern.sub(NEUTRAL, text)]
 
     return swap
 
@@ -161,8 +166,8 @@ def fit_weights(labels: np.ndarray, rows: np.ndarray, cols: np.ndarray, size: in
 
 
 def _sets(rows: DataFrame, keep: dict[str, int] | None, groups) -> DataFrame:
-    """label, features, and those of the rewritten text (null if nothing was rewritten); with
-    ``keep`` the numbers of these features only."""
+    """label, features, and those of the rewritten texts; with ``keep`` the numbers of these
+    features only."""
     kind = "string" if keep is None else "int"
     item = pa.string() if keep is None else pa.int32()
 
@@ -177,13 +182,12 @@ def _sets(rows: DataFrame, keep: dict[str, int] | None, groups) -> DataFrame:
             own, other = [], []
             for text in part.column("text").to_pylist():
                 own.append(chosen(text))
-                swapped = swap(text)
-                other.append(None if swapped is None else chosen(swapped))
+                other.append([chosen(t) for t in swap(text)])
             yield pa.RecordBatch.from_arrays(
-                [part.column("label"), pa.array(own, pa.list_(item)), pa.array(other, pa.list_(item))],
+                [part.column("label"), pa.array(own, pa.list_(item)), pa.array(other, pa.list_(pa.list_(item)))],
                 ["label", "own", "other"])
 
-    return rows.mapInArrow(run, f"label int, own array<{kind}>, other array<{kind}>")
+    return rows.mapInArrow(run, f"label int, own array<{kind}>, other array<array<{kind}>>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -225,13 +229,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     at = np.repeat(np.arange(len(y)), lengths)
     cols = np.concatenate([np.asarray(x, np.int64) for x in table["own"]])
     swap_rows, swap_cols, change, swaps = [], [], [], 0
-    for own, other in zip(table["own"], table["other"], strict=True):
-        if other is not None:
-            own, other = set(own), set(other)
-            for f in own ^ other:
+    for own, others in zip(table["own"], table["other"], strict=True):
+        for other in others:
+            before, after = set(own), set(other)
+            for f in before ^ after:
                 swap_rows.append(swaps)
                 swap_cols.append(f)
-                change.append(1.0 if f in other else -1.0)
+                change.append(1.0 if f in after else -1.0)
             swaps += 1
     bias, w = fit_weights(y, at, cols, len(keep), np.array(swap_rows, np.int64),
                           np.array(swap_cols, np.int64), np.array(change), swaps, l1, swap_penalty, rounds)
