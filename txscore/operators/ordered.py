@@ -13,9 +13,8 @@ would then sit in a single task. ``ordered_prefix`` instead
 4. adds the totals of all earlier parts of the same group, taken from a tiny
    per-(part, group) table.
 
-The offset table has at most ``parts + groups`` rows. Within a checked bound it
-is collected and applied as a literal lookup map (no join); beyond it, it is
-joined on (part, group).
+The offset table has one row per (part, group) slice. It is joined on its typed
+keys (null-safe), broadcast only after a check of its size.
 """
 
 from __future__ import annotations
@@ -24,19 +23,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from txscore.session import ensure_checkpoint_dir, shuffle_partitions
 
-# Largest table (rows) that is broadcast to every task after a size check.
-BROADCAST_MAX_ROWS = 200_000
-# Largest offset table applied as a literal lookup map instead of a join.
-LITERAL_MAP_MAX = 4096
+# Largest table (bytes, as estimated from its counted rows) that is broadcast.
+BROADCAST_MAX_BYTES = 16 << 20
+# Bytes assumed for a text cell in that estimate.
+TEXT_BYTES = 64
+
+
+def row_bytes(schema: StructType) -> int:
+    """Estimated size of a row: fixed-size fields count 16 bytes, text more."""
+    return sum(TEXT_BYTES if isinstance(f.dataType, StringType) else 16 for f in schema)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join, broadcasting ``small`` only if its counted size is within bound."""
-    if small.count() <= max_rows:
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join, broadcasting ``small`` only if its counted rows are within bound.
+
+    ``small`` is cut from its lineage first, so that the count and the join read
+    it once computed."""
+    ensure_checkpoint_dir(big.sparkSession)
+    small = small.checkpoint(eager=True)
+    if small.count() * row_bytes(small.schema) <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
@@ -70,64 +80,24 @@ def ordered_prefix(df: DataFrame, group_cols: Sequence[str], order: Sequence[Col
     totals = ranged.groupBy(*slice_cols).agg(
         *[F.sum(c).alias(f"_tot_{c}") for c in sum_cols],
         F.count(F.lit(1)).alias("_tot_n"))
-    small = totals.limit(LITERAL_MAP_MAX + 1).collect()
-    if len(small) <= LITERAL_MAP_MAX:
-        # at most parts + groups rows: the offsets become a literal lookup map
-        return _with_literal_offsets(local, small, df.columns, group_cols, sum_cols, index_col)
     before = (Window.partitionBy(*group_cols).orderBy("_part")
               .rowsBetween(Window.unboundedPreceding, -1))
+    keys = [F.col(c).alias(f"_key{i}") for i, c in enumerate(slice_cols)]
     offsets = totals.select(
-        *slice_cols,
+        *keys,
         *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
           for c in sum_cols],
         F.coalesce(F.sum("_tot_n").over(before), F.lit(0)).alias("_off_n"))
-    joined = join_small(local, offsets, slice_cols)
+    match = F.lit(True)
+    for i, c in enumerate(slice_cols):
+        match = match & F.col(c).eqNullSafe(F.col(f"_key{i}"))
+    joined = join_small(local, offsets, match)
     return joined.select(
         *df.columns,
         *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
         (F.col("_loc_n") + F.col("_off_n")).cast("long").alias(index_col))
 
 
-def _text(v) -> str:
-    """Python value as Spark's cast to string writes it."""
-    if v is None:
-        return "\u0002"
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    return str(v)
-
-
-def _slice_key(part, groups) -> str:
-    return "\u0001".join([str(part)] + [_text(g) for g in groups])
-
-
-def _with_literal_offsets(local: DataFrame, totals: list, columns: list[str], group_cols: list[str],
-                          sum_cols: Sequence[str], index_col: str) -> DataFrame:
-    """Offsets of every (part, group) slice computed on the driver from the
-    collected totals (bounded) and applied through a literal map lookup."""
-    running: dict[tuple, list] = {}
-    offsets: dict[str, list] = {}
-    for r in sorted(totals, key=lambda r: r["_part"]):
-        g = tuple(r[c] for c in group_cols)
-        acc = running.setdefault(g, [0] * (len(sum_cols) + 1))
-        offsets[_slice_key(r["_part"], g)] = list(acc)
-        for i, c in enumerate(sum_cols):
-            acc[i] += r[f"_tot_{c}"] or 0
-        acc[-1] += r["_tot_n"]
-    key = F.concat_ws("\u0001", F.col("_part").cast("string"),
-                      *[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in group_cols])
-    items = list(offsets.items())
-
-    def lookup(i: int) -> Column:
-        m = F.create_map(*[x for kk, v in items for x in (F.lit(kk), F.lit(v[i]))])
-        return F.coalesce(m[key], F.lit(0))
-
-    return local.select(
-        *columns,
-        *[(F.col(f"_loc_{c}") + lookup(i)).alias(f"cum_{c}") for i, c in enumerate(sum_cols)],
-        (F.col("_loc_n") + lookup(len(sum_cols))).cast("long").alias(index_col))
-
-
 def ordered_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
                        index_col: str = "rn") -> DataFrame:
     """Distributed ``row_number() over (partition by group order by order)``."""

@@ -79,16 +79,48 @@ def blank_to_null(c: Column) -> Column:
 
 
 def soft_double(c: Column) -> Column:
-    """Number if the text parses, else NULL (ANSI-safe ``try_cast``)."""
-    return c.try_cast("double")
+    """Number if the text parses, else NULL (ANSI-safe ``try_cast``); NaN is NULL."""
+    num = c.try_cast("double")
+    return F.when(~F.isnan(num), num)
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in any floating-point column becomes NULL: missing has one form."""
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    return df.select(*[F.when(~F.isnan(F.col(c)), F.col(c)).alias(c) if c in floats else F.col(c)
+                       for c in df.columns])
 
 
 def canonical_code(c: Column) -> Column:
     """Category codes: integral numbers in any spelling (``13926``, ``13926.0``)
     map to one text form; other text is kept."""
     num = c.try_cast("double")
-    integral = num.isNotNull() & (num == F.floor(num)) & (F.abs(num) < F.lit(1e15))
-    return F.when(integral, F.floor(num).cast("long").cast("string")).otherwise(c)
+    small = num.isNotNull() & ~F.isnan(num) & (F.abs(num) < F.lit(1e15))
+    whole = F.floor(F.when(small, num))
+    return F.when(whole == num, whole.cast("long").cast("string")).otherwise(c)
+
+
+def category(c: Column) -> Column:
+    """Identity of a category value, however it was written or typed: blank text and NaN are
+    NULL, integral numbers have one spelling."""
+    text = c.cast("string")
+    return canonical_code(F.when(F.lower(F.trim(text)) != "nan", blank_to_null(text)))
+
+
+def clean(df: DataFrame, cat_cols: Sequence[str], num_cols: Sequence[str] = (),
+          string_cols: Sequence[str] = ()) -> DataFrame:
+    """Normalise missing values and categories, the same way for fit, batch and stream:
+    categories to their identity, numerics to double or NULL, blank text to NULL."""
+    out = {c: category(F.col(c)) for c in cat_cols if c in df.columns}
+    out |= {c: soft_double(F.col(c)) for c in num_cols if c in df.columns}
+    out |= {c: blank_to_null(F.col(c)) for c in string_cols if c in df.columns and c not in out}
+    return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])
+
+
+def live_columns(df: DataFrame, declared: Sequence[str]) -> list[str]:
+    """The declared columns that the table has, in declared order."""
+    have = set(df.columns)
+    return [c for c in declared if c in have]
 
 
 def clean_strings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -106,8 +138,11 @@ def to_long(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),
 
 
 def null_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(feature, null_rate) for all columns in one aggregate pass."""
-    row = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols])
+    """(feature, null_rate) for all columns in one aggregate pass; NaN counts as missing."""
+    kinds = dict(df.dtypes)
+    missing = {c: F.col(c).isNull() | F.isnan(c) if kinds[c] in ("double", "float")
+               else F.col(c).isNull() for c in cols}
+    row = df.agg(*[F.avg(missing[c].cast("double")).alias(c) for c in cols])
     return row.unpivot([], list(cols), "feature", "null_rate")
 
 
@@ -368,10 +403,10 @@ class PreparedModel:
         """Every prepared feature (before top-k) as a Column over cleaned input."""
         cols: dict[str, Column] = {}
         for f, v in self.dummies:
-            filled = F.coalesce(F.col(f).cast("string"), F.lit(self.fills[f]))
+            filled = F.coalesce(category(F.col(f)), F.lit(self.fills[f]))
             cols[self.dummy_name(f, v)] = F.when(filled == F.lit(v), 1.0).otherwise(0.0)
         for f in self.num_cols:
-            filled = F.coalesce(F.col(f).cast("double"), F.lit(float(self.fills[f])))
+            filled = F.coalesce(soft_double(F.col(f)), F.lit(float(self.fills[f])))
             cols[self.num_name(f)] = (filled - F.lit(self.center[f])) / F.lit(self.scale[f])
         return cols
 
@@ -392,8 +427,11 @@ def fit_preparation(all_rows: DataFrame, train: DataFrame, cat_cols: Sequence[st
     Returns the frozen model and the fitted tables (DataFrames) of each step.
     """
     string_cols = list(string_cols)
-    all_rows = clean_strings(with_temporal(all_rows), string_cols)
-    train = clean_strings(with_temporal(train), string_cols)
+    all_rows, train = with_temporal(all_rows), with_temporal(train)
+    # declared columns that the table lacks are left out
+    cat_cols, num_cols = live_columns(all_rows, cat_cols), live_columns(all_rows, num_cols)
+    all_rows = clean(all_rows, cat_cols, num_cols, string_cols)
+    train = clean(train, cat_cols, num_cols, string_cols)
     feats = list(cat_cols) + list(num_cols)
     rates = kept_by_null_rate(null_rates(all_rows, feats))
     kept = {r["feature"] for r in rates.where("kept").select("feature").collect()}

@@ -79,20 +79,21 @@ def kth_by_hash(df: DataFrame, h_col: str, id_col: str, label: str, ks: dict) ->
 def stratified_split(df: DataFrame, test_size: float = 0.25, id_col: str = "tx_id",
                      label: str = "label", seed: int = DEFAULT_SEED) -> DataFrame:
     """Add ``part`` in {'train', 'test'}: the first round(test_size * n_class)
-    rows of each class in (hash, id) order go to test.
+    rows of each class in (hash, id) order go to test. Rows without a label belong to
+    neither part (``part`` is NULL).
 
     The per-class cut-off row is found by prefix-histogram refinement
     (``kth_by_hash``), so the split is a filter on a literal cut-off: no sort,
     no shuffle or rewrite of the table."""
     h = df.withColumn("_h", row_hash(id_col, seed))
     # one row per class (a label column): the cut-offs become literals
-    ks = {r[label]: int(math.floor(test_size * r["n"] + 0.5)) for r in class_counts(df, label).collect()}
+    ks = {r[label]: int(math.floor(test_size * r["n"] + 0.5)) for r in class_counts(df, label).where(F.col(label).isNotNull()).collect()}
     cut = kth_by_hash(h, "_h", id_col, label, ks)
     is_test = F.lit(False)
     for lab, (ch, cid) in cut.items():
         inside = (F.col("_h") < F.lit(ch)) | ((F.col("_h") == F.lit(ch)) & (F.col(id_col) <= F.lit(cid)))
         is_test = is_test | ((F.col(label) == F.lit(lab)) & inside)
-    return h.withColumn("part", F.when(is_test, "test").otherwise("train")).drop("_h")
+    return h.withColumn("part", F.when(is_test, "test").when(F.col(label).isNotNull(), "train")).drop("_h")
 
 
 def stratified_folds(df: DataFrame, n_folds: int = 10, id_col: str = "tx_id",

@@ -50,12 +50,17 @@ def smote(df: DataFrame, id_col: str = "id", vec_col: str = "vec", label: str =
                             F.lit(None).cast("long").alias("base_id"),
                             F.lit(None).cast("long").alias("neighbor_id"),
                             F.lit(None).cast("double").alias("gap"))
-    active = {g: v for g, v in plan.items() if v[1] > 0 and v[0] >= 2}
+    active = {g: v for g, v in plan.items() if v[1] > 0}
     if not active:
         return originals
-    kk = min(k, min(v[0] for v in active.values()) - 1)
+    few = sorted(g for g, v in active.items() if v[0] < 2)
+    if few:
+        raise ValueError(f"groups {few} need synthetic rows but have fewer than two minority rows" if group
+                         else "fewer than two minority rows: nothing to interpolate")
+    # every group uses its own number of neighbours: k, or all others if it has fewer
+    slots = {g: min(k, v[0] - 1) for g, v in active.items()}
     minority = base.where(F.col("label") == minority_label)
-    nbrs = knn_join(minority, minority, kk, q_id="id", r_id="id", q_vec="vec", r_vec="vec",
+    nbrs = knn_join(minority, minority, max(slots.values()), q_id="id", r_id="id", q_vec="vec", r_vec="vec",
                     metric=metric, exclude_self=True, group=group)
     ranked = ordered_row_number(minority.withColumn("_h", row_hash("id", seed)), gk,
                                 [F.col("_h"), F.col("id")], "_i")
@@ -68,13 +73,14 @@ def smote(df: DataFrame, id_col: str = "id", vec_col: str = "vec", label: str =
 
     n_min_c = lookup({g: v[0] for g, v in active.items()})
     per_c = lookup({g: v[1] // v[0] for g, v in active.items()})
+    slots_c = F.greatest(lookup(slots), F.lit(1))
     extra_c = lookup({g: v[1] % v[0] for g, v in active.items()})
     copies = per_c + F.when(F.col("_i") <= extra_c, 1).otherwise(0)
     seeds = (ranked.where(copies > 0)
              .select(*gk, "id", "vec", "_i", F.explode(F.sequence(F.lit(0), copies - 1)).alias("_c"))
              .withColumn("s", F.col("_c") * n_min_c + F.col("_i") - 1))
     h = row_hash("id", seed, "s")
-    seeds = (seeds.withColumn("slot", (F.conv(F.substring(h, 9, 8), 16, 10).cast("long") % kk) + 1)
+    seeds = (seeds.withColumn("slot", (F.conv(F.substring(h, 9, 8), 16, 10).cast("long") % slots_c) + 1)
                   .withColumn("gap", uniform(h)))
     picked = seeds.join(nbrs.select(*gk, F.col("q_id").alias("id"), F.col("rank").alias("slot"),
                                     F.col("r_id").alias("neighbor_id")), gk + ["id", "slot"])

@@ -2,14 +2,12 @@
 
 The library never creates a machine-local scratch area on a cluster: lineage is
 cut with ``DataFrame.checkpoint()`` into the shared folder named by
-``spark.checkpoint.dir``. A local folder is only chosen when that setting is
-absent (tests, a laptop session).
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -38,7 +36,11 @@ def build_session(cores: int | None = None, shuffle_partitions: int | None = Non
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; pick a local one only if unset."""
+    """The shared folder that ``spark.checkpoint.dir`` names.
+
+    Only a session on a local master (tests, a laptop), where driver and tasks are one
+    process, gets a folder of its own if the setting is absent; on a cluster that
+    is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -46,7 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="txscore-ckpt-")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        scratch = sc._jvm.System.getProperty("java.io.tmpdir")
+        configured = f"file://{scratch.rstrip('/')}/txscore-{sc.applicationId}"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -59,10 +64,21 @@ def materialize(df):
     """Write ``df`` once as a parquet table under the shared checkpoint folder and
     read it back: later actions reuse it with column pruning and filter pushdown,
     the lineage is cut, and a lost executor costs no recompute of the upstream
-    plan."""
+    plan. ``clear_materialized`` deletes the tables of a session."""
     import uuid
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/txscore/materialized/{uuid.uuid4().hex}"
+    path = f"{_materialized(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _materialized(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/txscore/materialized/{spark.sparkContext.applicationId}"
+
+
+def clear_materialized(spark: SparkSession) -> None:
+    """Delete the tables that ``materialize`` has written in this session. Results that
+    still read them must have been consumed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_materialized(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

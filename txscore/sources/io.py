@@ -25,12 +25,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, corrupt_col: str | None = None) -> DataFrame:
-    """Header CSV with a declared schema; malformed rows kept with their text."""
+    """Header CSV with a declared schema; malformed rows kept with their text. NaN cells are
+    NULL."""
+    from txscore.operators.prep import nan_to_null
     r = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE") \
         .option("nanValue", "NaN")
     if corrupt_col:
         r = r.option("columnNameOfCorruptRecord", corrupt_col)
-    return r.csv(path)
+    return nan_to_null(r.csv(path))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
