@@ -1,8 +1,8 @@
 """SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
-A model file gives pieces and scores. Texts are cut into units at spaces and line
-breaks, which no piece of the model crosses; units are encoded once per task and kept
-in a bounded table. All units still missing are encoded together: their symbols lie in
+A model file gives pieces and scores. Texts are cut into units at spaces, line breaks and
+between letters and other characters, where no piece of the model crosses (checked when it
+is loaded); units are encoded once per task and kept in bounded tables. All units still missing are encoded together: their symbols lie in
 one flat array, each round looks up the rank of every adjacent pair, takes the smallest
 rank of each unit (a segmented minimum), merges the leftmost pairs of that rank at the
 same time, and compacts the arrays. Units with no pair left drop out.
@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 from txscore.llm.common import require, slices
 
 SPACE = "▁"
-UNITS = re.compile(r" ?[^ \n]+|\n| ")
-#: Units that a task keeps at most; beyond it the table starts anew.
-KEPT_UNITS = 200_000
+LETTER, DIGIT = r"[^\W\d_¹²³¼½¾]", r"[\d_¹²³¼½¾]"
+UNITS = re.compile(rf" ?{LETTER}+| ?(?:[^\w \n]|{DIGIT})+|\n| ")
+#: Units in a table of a task. Two tables are kept: when the newer is full, it becomes the older.
+KEPT_UNITS = 150_000
 #: Units that go through the merge rounds together.
 ROUND_UNITS = 8192
 NO_RANK = np.int64(1) << 40
@@ -66,6 +67,9 @@ class PieceModel:
             raise ValueError("the model has no byte fallback")
         if any("\n" in p or re.search(f"[^{SPACE}]{SPACE}", p) for p in piece_id if len(p) > 1):
             raise ValueError("the model has pieces that cross spaces or line breaks")
+        mixed = re.compile(rf"{LETTER}(?:{DIGIT}|[^\w{SPACE}])|(?:{DIGIT}|[^\w{SPACE}]){LETTER}")
+        if any(mixed.search(p) for p in piece_id):
+            raise ValueError("the model has pieces of letters and other characters")
         self.plain = set(piece_id.values())
         # symbols: piece ids, then characters that only occur inside pieces
         self.symbol = dict(piece_id)
@@ -212,66 +216,68 @@ def decode_bytes(held: bytearray) -> str:
 
 
 class Encoder:
-    """Encodes whole texts, unit by unit, with a bounded table of units."""
+    """Encodes whole texts, unit by unit, with bounded tables of units."""
 
     def __init__(self, model: PieceModel, kept: int = KEPT_UNITS):
         self.model, self.kept = model, kept
-        self.ids: dict[str, list[int]] = {}
-        self.text: dict[str, str] = {}
+        self.new: dict[str, bytes] = {}  # ids as native 32-bit integers
+        self.old: dict[str, bytes] = {}
+        self.odd: set[str] = set()  # units that their ids don't decode to
+        self.run_ids = {n: np.array(ids, np.int32).tobytes() for n, ids in enumerate(model.runs)}
 
     def learn(self, missing: list[str]) -> None:
-        if len(self.ids) + len(missing) > self.kept:
-            self.ids, self.text = {}, {}
         decode = self.model.decode
         for i in range(0, len(missing), ROUND_UNITS):
             part = missing[i:i + ROUND_UNITS]
             found = self.model.encode_units(part)
-            self.ids.update(zip(part, found, strict=True))
-            self.text.update(zip(part, [decode(x, False) for x in found], strict=True))
+            self.new.update(zip(part, [np.array(x, np.int32).tobytes() for x in found], strict=True))
+            self.odd.update([u for u, x in zip(part, found, strict=True) if decode(x, False) != u])
 
-    def __call__(self, texts: list[str]) -> tuple[list[list[int]], list[str]]:
-        """Ids of each text, and the text that these ids decode to."""
-        cut = [UNITS.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
+    def __call__(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
+        """Ids of each text (as 32-bit integers), and the text that these ids decode to."""
+        plain = [" " + t.replace(SPACE, " ") if t else "" for t in texts]
+        cut = [UNITS.findall(t) for t in plain]
         held = set().union(*cut)
-        known = self.ids.keys() & held
-        if len(known) < len(held):
-            if len(self.ids) + len(held) - len(known) > self.kept:
-                known = set()
-            self.learn(sorted(held - known))
-        ids_of, text_of, out = self.ids, self.text, []
-        decoded = []
-        for units in cut:
-            if " " not in units:
-                out.append([i for u in units for i in ids_of[u]])
-                decoded.append("".join([text_of[u] for u in units])[1:])
-                continue
-            ids = self.spaced(units)
+        missing = held - self.new.keys()
+        if missing and len(self.new) + len(missing) > self.kept:
+            self.old, self.new, missing = self.new, {}, held
+        known = missing & self.old.keys()
+        self.new.update([(u, self.old[u]) for u in known])
+        self.learn(sorted(missing - known))
+        ids_of, out, decoded = self.new.__getitem__, [], []
+        usual = self.odd.isdisjoint(held)
+        for text, units in zip(plain, cut, strict=True):
+            spaced = "  " in text or " \n" in text or text.endswith(" ")
+            ids = self.spaced(units) if spaced else b"".join(map(ids_of, units))
             out.append(ids)
-            decoded.append(self.model.decode(ids))
+            if spaced or not usual:
+                decoded.append(self.model.decode(np.frombuffer(ids, np.int32).tolist()))
+            else:  # every unit's ids were decoded when it was learnt, and gave the unit
+                decoded.append(text[1:])
         return out, decoded
 
-    def spaced(self, units: list[str]) -> list[int]:
+    def spaced(self, units: list[str]) -> bytes:
         """Ids where single-space units stand for runs of spaces."""
-        ids: list[int] = []
-        run, one, top = 0, self.model.space, self.model.longest_run
+        out: list[bytes] = []
+        run, one, top = 0, np.int32(self.model.space).tobytes(), self.model.longest_run
 
         def close() -> None:
             nonlocal run
             whole, rest = divmod(run, top)
-            ids.extend(self.model.runs[top] * whole + self.model.runs[rest])
+            out.append(self.run_ids[top] * whole + self.run_ids[rest])
             run = 0
 
         for u in units:
             if u == " ":
                 run += 1
                 continue
-            own = self.ids[u]
-            if run and u[0] == " " and own[0] == one:  # its space joins the run
-                run, own = run + 1, own[1:]
+            own = self.new[u]
+            if run and u[0] == " " and own[:4] == one:  # its space joins the run
+                run, own = run + 1, own[4:]
             close()
-            ids += own
+            out.append(own)
         close()
-        return ids
+        return b"".join(out)
 
 
 def tokenize(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
@@ -285,8 +291,8 @@ def tokenize(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
         encoder = Encoder(PieceModel(model), kept_units)
         for part in slices(batches, "text", 2 << 20):
             ids, decoded = encoder([t or "" for t in part.column("text").to_pylist()])
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1]))
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32) // 4
+            flat = np.frombuffer(b"".join(ids), np.int32)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                  pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
