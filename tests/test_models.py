@@ -1,33 +1,155 @@
 """Rows-and-invariants checks of the model queries that have no SQL oracle."""
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
-from conftest import SMALL
+from conftest import MEDIUM, SMALL
+from txscore.operators import ensembles as N
+from txscore.operators.bayes import GaussianNBModel
+from txscore.plans import learning as L
 
 Q = E.queries()
 METRICS = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "specificity", "roc_auc", "pr_auc"]
 
 
+def auc(score, label):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(score))
+    values, at, n = np.unique(score[order], return_inverse=True, return_counts=True)
+    rank[order] = (np.cumsum(n) - (n - 1) / 2)[at]
+    pos = (label == 1).sum()
+    return (rank[label == 1].sum() - pos * (pos + 1) / 2) / pos / (len(label) - pos)
+
+
+def learnable(n=1500, seed=0):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 5))
+    y = ((x[:, 0] * x[:, 1] + x[:, 2]) > 1.5).astype(int)
+    x[rng.random(x.shape) < 0.02] = np.nan
+    return x, y
+
+
 def test_grid_search_report(spark):
     rows = Q["grid_search_report"](spark, SMALL).collect()
-    assert sorted((r["selection"], r["set"]) for r in rows) == [
-        ("best_f1_candidate", "Test"), ("best_f1_candidate", "Training"), ("best_f1_candidate", "Validation"),
-        ("per_metric_max", "Training"), ("per_metric_max", "Validation")]
+    assert sorted((r["model"], r["selection"], r["set"]) for r in rows) == sorted(
+        (m, s, t) for m in L.MODELS for s, sets in (
+            ("best_candidate", ("Test", "Training", "Validation")), ("per_metric_max", ("Training", "Validation")))
+        for t in sets)
     for r in rows:
         for m in METRICS:
             assert r[m] is None or 0.0 <= r[m] <= 1.0
 
 
+def test_grid_report_against_numpy(spark):
+    rng = np.random.default_rng(3)
+    rows = [("M", c, cv, s, i, int(i % 3 == 0), float(rng.random()), int(rng.random() < 0.4))
+            for c in ("a", "b", "c") for cv in range(4) for s in ("Training", "Validation") for i in range(30)]
+    df = spark.createDataFrame(rows, "model string, candidate string, cv int, set string, tx_id int, label int, "
+                                     "score double, pred int")
+    L.register_scorer("cost", lambda: -(F.col("fp") + 10 * F.col("fn")).cast("double"))
+    try:
+        means, best = L.grid_report(df, refit="cost")
+        got = {(r.candidate, r.set): r for r in means.collect()}
+    finally:
+        del L.SCORERS["cost"]
+    cost = {}
+    for c in "abc":
+        for s in ("Training", "Validation"):
+            own = [r for r in rows if r[1] == c and r[3] == s]
+            per = [[r for r in own if r[2] == cv] for cv in range(4)]
+            cost[c, s] = -np.mean([sum(r[7] > r[5] for r in f) + 10 * sum(r[7] < r[5] for r in f) for f in per])
+            assert got[c, s].cost == pytest.approx(cost[c, s])
+            assert got[c, s].roc_auc == pytest.approx(np.mean(
+                [auc(np.array([r[6] for r in f]), np.array([r[5] for r in f])) for f in per]))
+    assert best.first().candidate == max("abc", key=lambda c: (cost[c, "Validation"], -ord(c)))
+
+
 def test_cv_model_scores(spark):
     rows = Q["cv_model_scores"](spark, SMALL).collect()
-    assert len(rows) == 2 * 2 * 10          # metrics x models x folds
-    assert {r["model"] for r in rows} == {"GaussianNB", "KNN"}
+    assert len(rows) == len(L.SCORERS) * len(L.MODELS) * 10
+    assert {r["model"] for r in rows} == set(L.MODELS)
     assert all(r["score"] is None or 0.0 <= r["score"] <= 1.0 for r in rows)
 
 
-def test_tree_scores_are_probabilities(spark):
-    for name in ("dt_scores", "samme_scores"):
-        rows = Q[name](spark, SMALL).collect()
-        assert rows and all(0.0 <= r["score"] <= 1.0 and r["pred"] in (0, 1) for r in rows)
+@pytest.mark.parametrize("name", ["dt_scores", "rf_scores", "gbt_scores", "samme_scores"])
+def test_family_scores_vary_and_are_probabilities(spark, name):
+    rows = Q[name](spark, SMALL).collect()
+    assert rows and all(0.0 <= r["score"] <= 1.0 and r["pred"] in (0, 1) for r in rows)
+    assert len({r["score"] for r in rows}) > 1
+
+
+def test_six_models_end_to_end(spark):
+    rows = Q["model_scores"](spark, MEDIUM).toPandas()
+    assert set(rows.model) == set(L.MODELS) and rows.groupby("model").size().nunique() == 1
+    for model, part in rows.groupby("model"):
+        assert part.score.nunique() > 1 and part.score.between(0, 1).all()
+        assert auc(part.score.to_numpy(), part.label.to_numpy()) > 0.5, model
+
+
+def test_report_log_keeps_both_runs(spark):
+    rows = Q["report_log"](spark, SMALL).collect()
+    assert {(r.run_id, r.set) for r in rows} == {("grid", "Training"), ("grid", "Validation"), ("grid", "Test"),
+                                                 ("models", "Test")}
+    assert all(sum(r.model == m for r in rows) == 4 for m in L.MODELS)
+
+
+@pytest.mark.parametrize("family", N.FAMILIES)
+def test_family_learns_and_survives_storage(spark, family, tmp_path):
+    x, y = learnable()
+    cols = [f"c{i}" for i in range(5)]
+    sample = spark.createDataFrame([(i, int(b), *map(float, a)) for i, (a, b) in enumerate(zip(x, y, strict=True))],
+                                   "tx_id long, label int, " + ", ".join(f"{c} double" for c in cols))
+    params = {"RandomForest": {"n_estimators": 150}, "AdaBoost": {"n_estimators": 200}}
+    table = N.fit_table(sample, cols, [family], params)
+    table.write.parquet(f"{tmp_path}/m")
+    loaded = N.load_models(spark.read.parquet(f"{tmp_path}/m"))
+    xt, yt = learnable(600, 9)
+    score, pred = N.probability(family, loaded[family,], xt)
+    assert auc(score, yt) > 0.75 and len(np.unique(score)) > 1
+    direct = N.fit(family, x, y, **params.get(family, {}))
+    assert np.allclose(N.probability(family, direct, xt)[0], score)
+    rows = spark.createDataFrame([(i, *map(float, a)) for i, a in enumerate(xt)], "tx_id long, " + ", ".join(
+        f"{c} double" for c in cols))
+    scored = N.score_table(rows, loaded, cols, keep=["tx_id"]).orderBy("tx_id").toPandas()
+    assert np.array_equal(scored.score, score) and (scored.model == family).all()
+    share = direct.importances(5)
+    assert share.sum() == pytest.approx(1) and share[:3].sum() > share[3:].sum()
+
+
+def test_tuned_rounds_are_run():
+    x, y = learnable(300)
+    assert len(N.fit("AdaBoost", x, y).roots) > 100
+    assert len(N.fit("XGBoost", x, y).roots) == 1000
+    assert len(N.fit("RandomForest", x, y).roots) == 1000
+
+
+def test_samme_step_on_a_fixed_stump():
+    w, alpha = N.reweight(np.full(4, 0.25), np.array([True, False, False, False]), 1.0)
+    assert alpha == pytest.approx(np.log(3)) and np.allclose(w, [0.5, 1 / 6, 1 / 6, 1 / 6])
+    assert N.reweight(np.full(4, 0.25), np.array([True, True, False, False]))[1] == 0.0
+
+
+def test_positive_weight_moves_the_first_leaf():
+    """One round without splits: the leaf is the weighted Newton step."""
+    x, y = np.zeros((10, 1)), np.array([1] * 2 + [0] * 8)
+    t = N.fit_boosted(x, y, 1, 15, 1.0, 1.0, 1, 4, 1.1)
+    g, h = 4 * 2 * 0.5 - 8 * 0.5, (4 * 2 + 8) * 0.25
+    assert t.decision(x)[0] == pytest.approx(g / (h + 1))
+
+
+def test_gamma_stops_splits_below_its_loss_reduction():
+    x, y = learnable(400)
+    sizes = [len(N.fit_boosted(x, y, 20, 15, 0.05, g, 1, 4, 0.8).feature) for g in (0.0, 1.0, 1e9)]
+    assert sizes[0] >= sizes[1] > sizes[2] == 20
+
+
+def test_bayes_with_one_class(spark):
+    df = spark.createDataFrame([(float(i), 1) for i in range(5)], "x double, label int")
+    assert {r.score for r in GaussianNBModel.fit(df, ["x"]).transform(df).collect()} == {1.0}
+    none = df.withColumn("label", F.lit(0))
+    assert {r.score for r in GaussianNBModel.fit(none, ["x"]).transform(df).collect()} == {0.0}
 
 
 def test_surrogate_rules_cover_all_rows(spark):

@@ -57,71 +57,25 @@ class GaussianNBModel:
             p["var"][r["feature"]] = r["var"]
         return GaussianNBModel(list(features), params)
 
-    def joint_log_likelihood(self, c: int) -> Column:
+    def joint_log_likelihood(self, c: int, cols: dict[str, Column] | None = None) -> Column:
+        """Log of P(class) P(x | class); minus infinity for a class without training rows."""
+        if c not in self.params:
+            return F.lit(-math.inf)
         p = self.params[c]
         const = math.log(p["prior"]) - 0.5 * sum(math.log(2.0 * math.pi * p["var"][f]) for f in self.features)
         quad = None
         for f in self.features:
-            t = (F.col(f) - F.lit(p["mean"][f])) ** 2 / F.lit(p["var"][f])
+            x = cols[f] if cols else F.col(f)
+            t = (x - F.lit(p["mean"][f])) ** 2 / F.lit(p["var"][f])
             quad = t if quad is None else quad + t
         return F.lit(const) - F.lit(0.5) * quad
 
-    def score_expr(self, cols: dict[str, Column]) -> Column:
-        """P(class 1 | x) as a Column over the given feature Columns (a scoring
+    def score_expr(self, cols: dict[str, Column] | None = None) -> Column:
+        """P(class 1 | x) as a Column, over the given feature Columns if any (a scoring
         function for the explainers)."""
-        def jll(c: int) -> Column:
-            p = self.params[c]
-            const = math.log(p["prior"]) - 0.5 * sum(math.log(2.0 * math.pi * p["var"][f]) for f in self.features)
-            quad = None
-            for f in self.features:
-                t = (cols[f] - F.lit(p["mean"][f])) ** 2 / F.lit(p["var"][f])
-                quad = t if quad is None else quad + t
-            return F.lit(const) - F.lit(0.5) * quad
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(jll(0) - jll(1)))
+        gap = self.joint_log_likelihood(0, cols) - self.joint_log_likelihood(1, cols)
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(gap))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``score`` = P(class 1 | x) and ``pred`` (1 iff P(1) > 0.5)."""
-        j0, j1 = self.joint_log_likelihood(0), self.joint_log_likelihood(1)
-        score = F.lit(1.0) / (F.lit(1.0) + F.exp(j0 - j1))
-        return df.withColumn("score", score).withColumn("pred", (F.col("score") > 0.5).cast("int"))
-
-
-def gnb_fit_grouped(train: DataFrame, features: Sequence[str], group: str, label: str = "label",
-                    var_smoothing: float = VAR_SMOOTHING, smoothing_col: str | None = None) -> DataFrame:
-    """One row per group (e.g. per cross-validation fold, or per grid candidate
-    and fold) with both classes' prior, means and smoothed variances as columns
-    ``{c}_prior``, ``{c}_m__f``, ``{c}_v__f``: all groups are fitted by two
-    grouped aggregates. ``smoothing_col`` carries a per-group var_smoothing."""
-    feats = list(features)
-    smooth = F.first(smoothing_col) if smoothing_col else F.lit(var_smoothing)
-    eps = train.groupBy(group).agg(
-        (F.greatest(*[F.var_pop(c) for c in feats]) if len(feats) > 1 else F.var_pop(feats[0]))
-        .alias("_maxvar"), smooth.alias("_vs")).select(group, (F.col("_maxvar") * F.col("_vs")).alias("_eps"))
-    per = train.groupBy(group, label).agg(F.count(F.lit(1)).alias("n_c"),
-                                          *[F.avg(c).alias(f"m__{c}") for c in feats],
-                                          *[F.var_pop(c).alias(f"v__{c}") for c in feats])
-    per = per.join(eps, group)   # groups x classes rows on both sides
-    per = per.withColumn("prior", F.col("n_c") / F.sum("n_c").over(Window.partitionBy(group)))
-    return per.groupBy(group).pivot(label, [0, 1]).agg(
-        F.first("prior").alias("prior"),
-        *[F.first(f"m__{c}").alias(f"m__{c}") for c in feats],
-        *[F.first(F.col(f"v__{c}") + F.col("_eps")).alias(f"v__{c}") for c in feats])
-
-
-def gnb_transform_grouped(df: DataFrame, params: DataFrame, features: Sequence[str], group: str) -> DataFrame:
-    """Score rows with the parameters of their group (a join on the group key
-    with the small parameter table); adds ``score`` and ``pred``."""
-    from txscore.operators.ordered import join_small
-    j = join_small(df, params, [group])
-
-    def jll(c: int) -> Column:
-        out = F.log(F.col(f"{c}_prior"))
-        for f in features:
-            v = F.col(f"{c}_v__{f}")
-            out = out - F.lit(0.5) * F.log(F.lit(2.0 * math.pi) * v) \
-                - F.lit(0.5) * (F.col(f) - F.col(f"{c}_m__{f}")) ** 2 / v
-        return out
-
-    score = F.lit(1.0) / (F.lit(1.0) + F.exp(jll(0) - jll(1)))
-    keep = [c for c in df.columns]
-    return j.select(*keep, score.alias("score")).withColumn("pred", (F.col("score") > 0.5).cast("int"))
+        return df.withColumn("score", self.score_expr()).withColumn("pred", (F.col("score") > 0.5).cast("int"))

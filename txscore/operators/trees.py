@@ -1,40 +1,16 @@
-"""Tree families on Spark ML: decision tree, random forest, gradient-boosted
-trees, and SAMME boosting over weighted stumps; probability extraction,
-impurity importances and depth-limited surrogate rules.
-
-Gaps to the single-machine estimators (documented, not hidden): Spark trees are
-depth-capped at 30 and always choose the best split (no random splitter),
-``min_samples_split`` maps to ``minInstancesPerNode`` (a child-size bound), and
-XGBoost's gamma maps to ``minInfoGain``.
-"""
+"""A distributed decision tree (Spark ML) for surrogate rules: fitted on all rows, and so
+shallow that its rules can be read. The tuned families are in ``ensembles``."""
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from txscore.session import ensure_checkpoint_dir
-
-# Tuned hyper-parameters of the source pipeline per family.
-TUNED = {
-    "DecisionTree": {"criterion": "entropy", "max_depth": None, "min_samples_leaf": 1,
-                     "min_samples_split": 2, "splitter": "random"},
-    "RandomForest": {"bootstrap": False, "criterion": "gini", "max_depth": None,
-                     "min_samples_split": 5, "n_estimators": 1000},
-    "AdaBoost": {"learning_rate": 1.0, "n_estimators": 5000},
-    "XGBoost": {"gamma": 1.0, "learning_rate": 0.05, "max_depth": 15, "min_child_weight": 1,
-                "n_estimators": 1000, "scale_pos_weight": 4, "subsample": 0.8},
-}
+
 SPARK_MAX_DEPTH = 30
 
 
@@ -42,11 +18,6 @@ def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
-def positive_weight(label: str = "label", weight: float = 4.0) -> F.Column:
-    """Per-row weight: ``weight`` for the positive class, 1 otherwise."""
-    return F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
-
-
 def decision_tree(max_depth: int = SPARK_MAX_DEPTH, impurity: str = "entropy", seed: int = 42,
                   min_instances: int = 1, label: str = "label") -> DecisionTreeClassifier:
     return DecisionTreeClassifier(labelCol=label, featuresCol="features", impurity=impurity,
@@ -54,113 +25,10 @@ def decision_tree(max_depth: int = SPARK_MAX_DEPTH, impurity: str = "entropy", s
                                   seed=seed, maxBins=64)
 
 
-def random_forest(num_trees: int = 1000, max_depth: int = SPARK_MAX_DEPTH, min_instances: int = 5,
-                  seed: int = 42, label: str = "label") -> RandomForestClassifier:
-    # bootstrap=False with all features per tree would grow identical trees; the
-    # per-node feature subset keeps them diverse as in the source estimator
-    return RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
-                                  maxDepth=min(max_depth, SPARK_MAX_DEPTH), impurity="gini",
-                                  bootstrap=False, featureSubsetStrategy="sqrt",
-                                  minInstancesPerNode=min_instances, seed=seed, maxBins=64)
-
-
-def gradient_boosted(max_iter: int = 1000, max_depth: int = 15, step: float = 0.05,
-                     subsample: float = 0.8, min_info_gain: float = 1.0, seed: int = 42,
-                     label: str = "label", weight_col: str | None = "w") -> GBTClassifier:
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter,
-                        maxDepth=min(max_depth, SPARK_MAX_DEPTH), stepSize=step, subsamplingRate=subsample,
-                        minInfoGain=min_info_gain, seed=seed, maxBins=64)
-    if weight_col:
-        gbt.setWeightCol(weight_col)
-    return gbt
-
-
 def fit_pipeline(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
     return Pipeline(stages=[assembler(features), estimator]).fit(train)
 
 
-def positive_probability(scored: DataFrame) -> DataFrame:
-    """Adds ``score`` = P(class 1) and ``pred`` (int) from a Spark ML output."""
-    return (scored.withColumn("score", vector_to_array("probability")[1])
-                  .withColumn("pred", F.col("prediction").cast("int")))
-
-
-def importances(model, features: Sequence[str]) -> list[tuple[str, float]]:
-    """Impurity importances of a fitted tree model (or a pipeline ending in one)."""
-    m = model.stages[-1] if isinstance(model, PipelineModel) else model
-    if not hasattr(m, "featureImportances"):
-        return []
-    vec = m.featureImportances.toArray()
-    return [(f, float(vec[i])) for i, f in enumerate(features)]
-
-
-# --- SAMME boosting ------------------------------------------------------------
-
-@dataclass
-class SammeModel:
-    features: list[str]
-    stumps: list = field(default_factory=list)   # fitted DecisionTreeClassificationModel
-    alphas: list[float] = field(default_factory=list)
-
-    def decision(self, df: DataFrame) -> DataFrame:
-        """``margin`` = sum_m alpha_m * (+1 if stump says 1 else -1) / sum alpha."""
-        out = assembler(self.features).transform(df)
-        total = sum(self.alphas) or 1.0
-        margin = F.lit(0.0)
-        for i, (stump, a) in enumerate(zip(self.stumps, self.alphas)):
-            col = f"_h{i}"
-            out = stump.setPredictionCol(col).setRawPredictionCol(f"_raw{i}") \
-                       .setProbabilityCol(f"_prob{i}").transform(out)
-            out = out.drop(f"_raw{i}", f"_prob{i}")
-            margin = margin + F.lit(a) * (F.lit(2.0) * F.col(col) - F.lit(1.0))
-        out = out.withColumn("margin", margin / F.lit(total))
-        return out.drop(*[f"_h{i}" for i in range(len(self.stumps))], "features")
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        d = self.decision(df)
-        return (d.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))))
-                 .withColumn("pred", (F.col("margin") > 0).cast("int")))
-
-
-def fit_samme(train: DataFrame, features: Sequence[str], n_rounds: int = 20, learning_rate: float = 1.0,
-              label: str = "label", checkpoint_every: int = 5, seed: int = 42) -> SammeModel:
-    """Discrete SAMME (two classes) with depth-1 trees fit on the weight column.
-
-    Each round is a distributed fit plus one aggregate for the weighted error;
-    the reweighting is a projection. The weighted table is cut from its lineage
-    with a reliable checkpoint every ``checkpoint_every`` rounds.
-    """
-    ensure_checkpoint_dir(train.sparkSession)
-    model = SammeModel(list(features))
-    data = assembler(features).transform(train.select(*features, label)) \
-        .withColumn("w", F.lit(1.0))
-    n = data.count()
-    data = data.withColumn("w", F.lit(1.0 / n))
-    for m in range(n_rounds):
-        stump = DecisionTreeClassifier(labelCol=label, featuresCol="features", weightCol="w",
-                                       maxDepth=1, seed=seed + m, maxBins=64).fit(data)
-        pred = stump.setPredictionCol("_h").setRawPredictionCol("_raw").setProbabilityCol("_prob") \
-                    .transform(data)
-        miss = (F.col("_h") != F.col(label).cast("double")).cast("double")
-        err_row = pred.agg((F.sum(F.col("w") * miss) / F.sum("w")).alias("err")).first()
-        err = float(err_row["err"])
-        if err <= 0.0:
-            model.stumps.append(stump)
-            model.alphas.append(1.0)
-            break
-        if err >= 0.5:
-            break
-        alpha = learning_rate * math.log((1.0 - err) / err)
-        model.stumps.append(stump)
-        model.alphas.append(alpha)
-        data = pred.withColumn("w", F.col("w") * F.exp(F.lit(alpha) * miss)).drop("_h", "_raw", "_prob")
-        total = data.agg(F.sum("w")).first()[0]
-        data = data.withColumn("w", F.col("w") / F.lit(total))
-        if (m + 1) % checkpoint_every == 0:
-            data = data.checkpoint(eager=True)
-    return model
-
-
 # --- surrogate rules -------------------------------------------------------------
 
 _NODE = re.compile(r"^(\s*)(If|Else) \(feature (\d+) (<=|>|in|not in) ([^)]*)\)")

@@ -1,28 +1,53 @@
-"""Spark ML model queries (rows-only checks: tree fits are not SQL), the
+"""Model queries: the six families (rows-only checks: fits are not SQL), the
 cross-validated grid search, and the best-candidate selection (SQL oracle)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.functions.algebra import r6
+from txscore.operators import ensembles as E
 from txscore.operators import metrics as M
+from txscore.operators import prep as P
 from txscore.operators import sampling as SM
 from txscore.operators import trees as T
 from txscore.operators.bayes import GaussianNBModel
+from txscore.operators.neighbors import knn_classify, knn_join
+from txscore.operators.smote import smote
+from txscore.operators.vote import majority_vote
+from txscore.plans import preparation as PP
 from txscore.plans import sqlkit as S
-from txscore.plans.modeling import GNB_FEATURES, scaled_split
+from txscore.plans.modeling import GNB_FEATURES, KNN_K, SMOTE_RATIO, scaled_split
 from txscore.plans.registry import register
 from txscore.plans.statistics import FOLD_SCORES_SQL, cv_fold_scores
+from txscore.session import materialize
+from txscore.sources import io as IO
 from txscore.sources.tables import SCORES_SQL, TX_SQL, with_ctes
 
-# Catalogue run budgets (the tuned values in ``trees.TUNED`` are the library
-# defaults; these keep one catalogue run within minutes on one machine).
-RF_TREES, RF_DEPTH = 100, 12
-GBT_ROUNDS, GBT_DEPTH = 50, 6
-SAMME_ROUNDS = 20
 GNB_GRID = [1e-9, 1e-5, 1e-2]
+# Candidates of the grid search, by family: the tuned parameters and variations of them.
+GRID: list[tuple[str, str, dict]] = [
+    *[("NaiveBayes", f"smoothing {v!r}", {"var_smoothing": v}) for v in GNB_GRID],
+    *[("KNN", f"k {k}", {"n_neighbors": k}) for k in (KNN_K, 7)],
+    *[("DecisionTree", f"{c} {s}", {"criterion": c, "splitter": s})
+      for c, s in (("entropy", "random"), ("gini", "best"))],
+    *[("RandomForest", f"split {m}", {"min_samples_split": m}) for m in (5, 20)],
+    *[("AdaBoost", f"rate {r}", {"learning_rate": r}) for r in (1.0, 0.5)],
+    *[("XGBoost", f"gamma {g}", {"gamma": g}) for g in (1.0, 0.0)],
+]
+MODELS = ("AdaBoost", "DecisionTree", "KNN", "NaiveBayes", "RandomForest", "XGBoost")
+
+# Scorers by name: a Column over a table of fold metrics (confusion counts and ranking metrics).
+SCORERS: dict[str, Callable[[], Column]] = {
+    name: (lambda n=name: F.col(n)) for name in [*M.RATE_METRICS, "roc_auc", "pr_auc"]}
+
+
+def register_scorer(name: str, score: Callable[[], Column]) -> None:
+    """Add a scorer, e.g. ``lambda: F.col("tp") - 10 * F.col("fn")``."""
+    SCORERS[name] = score
 
 
 def _train_test(spark, sf_dir):
@@ -34,49 +59,125 @@ def _scores_out(df: DataFrame) -> DataFrame:
     return df.select("tx_id", "label", r6("score").alias("score"), F.col("pred").cast("int").alias("pred"))
 
 
-def dt_scores_df(spark, sf_dir):
+def family_scores(spark, sf_dir, family: str) -> DataFrame:
+    """The family with its tuned parameters, fitted on the bounded sample; all test rows."""
     train, test = _train_test(spark, sf_dir)
-    model = T.fit_pipeline(train, GNB_FEATURES, T.decision_tree())
-    return _scores_out(T.positive_probability(model.transform(test)))
+    models = E.load_models(E.fit_table(E.fit_sample(train), GNB_FEATURES, [family]))
+    return _scores_out(E.score_table(test, models, GNB_FEATURES))
 
 
+@register("dt_scores", "MDL-3,MDL-9")
+def dt_scores_df(spark, sf_dir):
+    return family_scores(spark, sf_dir, "DecisionTree")
+
+
+@register("rf_scores", "MDL-4,MDL-9")
 def rf_scores_df(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
-    model = T.fit_pipeline(train, GNB_FEATURES, T.random_forest(RF_TREES, RF_DEPTH))
-    return _scores_out(T.positive_probability(model.transform(test)))
+    return family_scores(spark, sf_dir, "RandomForest")
 
 
+@register("gbt_scores", "MDL-6,MDL-7,MDL-9")
 def gbt_scores_df(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
-    train = train.withColumn("w", T.positive_weight(weight=4.0))
-    model = T.fit_pipeline(train, GNB_FEATURES, T.gradient_boosted(GBT_ROUNDS, GBT_DEPTH))
-    return _scores_out(T.positive_probability(model.transform(test)))
+    return family_scores(spark, sf_dir, "XGBoost")
 
 
+@register("samme_scores", "MDL-5,MDL-9")
 def samme_scores_df(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
-    model = T.fit_samme(train, GNB_FEATURES, n_rounds=SAMME_ROUNDS)
-    return _scores_out(model.transform(test))
-
-
-register("dt_scores", "MDL-3,MDL-9")(dt_scores_df)
-register("rf_scores", "MDL-4,MDL-9")(rf_scores_df)
-register("gbt_scores", "MDL-6,MDL-7,MDL-9")(gbt_scores_df)
-register("samme_scores", "MDL-5,MDL-9")(samme_scores_df)
+    return family_scores(spark, sf_dir, "AdaBoost")
 
 
 def feature_importances_df(spark, sf_dir):
-    """Impurity importances of the forest, top 20 (rows per feature)."""
+    """Importances of the forest, top 20 (rows per feature)."""
+    from txscore.operators.explain import top_importances
     train, _ = _train_test(spark, sf_dir)
-    model = T.fit_pipeline(train, GNB_FEATURES, T.random_forest(RF_TREES, RF_DEPTH))
-    rows = T.importances(model, GNB_FEATURES)
-    imp = spark.createDataFrame(rows, "feature string, importance double")
-    return imp.orderBy(F.col("importance").desc(), "feature").limit(20)
+    models = E.load_models(E.fit_table(E.fit_sample(train), GNB_FEATURES, ["RandomForest"]))
+    share = next(iter(models.values())).importances(len(GNB_FEATURES))
+    imp = spark.createDataFrame(list(zip(GNB_FEATURES, map(float, share), strict=True)),
+                                "feature string, importance double")
+    return top_importances(imp, "importance", 20)
 
 
 register("feature_importances", "EXP-1,SRT-3")(feature_importances_df)
 
 
+# ---- end to end: preparation, oversampling, six models, one score table --------------
+
+def prepared_split(spark, sf_dir) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(train, test, features): the fitted preparation (imputation, dummies, scaling, the best
+    60 features by mutual information) applied to both parts, features named f0, f1, ..."""
+    sp = PP.split_tx(spark, sf_dir)
+    train = sp.where(F.col("part") == "train")
+    prepared, _ = P.fit_preparation(sp, train, PP.CATS, PP.NUMS, string_cols=PP.CATS)
+    names = {n: f"f{i}" for i, n in enumerate(prepared.selected)}
+    out = materialize(prepared.transform(sp, keep=("tx_id", "label", "part"))
+                      .withColumnsRenamed(names))
+    return out.where(F.col("part") == "train"), out.where(F.col("part") == "test"), list(names.values())
+
+
+def fitted_models(spark, sf_dir):
+    """(model table, reference rows of KNN, fitted naive Bayes, test rows, features)."""
+    train, test, feats = prepared_split(spark, sf_dir)
+    balanced = smote(train.withColumn("vec", F.array(*feats)), id_col="tx_id", ratio=SMOTE_RATIO)
+    balanced = materialize(balanced.select("id", "label", "vec", *[F.col("vec")[i].alias(c)
+                                                                   for i, c in enumerate(feats)]))
+    sample = materialize(E.fit_sample(balanced, id_col="id"))
+    path = IO.shared_path(spark, "models", "trees")
+    IO.write_table(E.fit_table(sample, feats, id_col="id"), path)
+    return spark.read.parquet(path), sample, GaussianNBModel.fit(balanced, feats), test, feats
+
+
+def model_scores(spark, sf_dir) -> DataFrame:
+    """(tx_id, label, model, score, pred) of every test row by all six models, fitted on the
+    prepared and oversampled train part. The tree families are written to a table and
+    loaded from it; they and the reference rows of KNN are the bounded fit sample."""
+    table, sample, bayes, test, feats = fitted_models(spark, sf_dir)
+    cols = ["tx_id", "label", "model", "score", "pred"]
+    trees = E.score_table(test, E.load_models(table), feats).select(*cols)
+    nb = bayes.transform(test).withColumn("model", F.lit("NaiveBayes")).select(*cols)
+    near = knn_join(test.select(F.col("tx_id").alias("id"), F.array(*feats).alias("vec")), sample, KNN_K,
+                    metric="l1")
+    knn = (knn_classify(near, sample).join(test.select(F.col("tx_id").alias("q_id"), "label"), "q_id")
+           .select(F.col("q_id").alias("tx_id"), "label", F.lit("KNN").alias("model"), "score", "pred"))
+    return trees.unionByName(nb).unionByName(knn)
+
+
+@register("model_scores", "MDL-9,SMP-6,SNK-6,PRJ-11")
+def model_scores_df(spark, sf_dir):
+    return model_scores(spark, sf_dir).select("tx_id", "label", "model", r6("score").alias("score"), "pred")
+
+
+@register("model_report", "MDL-9,EVL-8,EVL-9")
+def model_report_df(spark, sf_dir):
+    rep = M.metrics_report(model_scores(spark, sf_dir))
+    return rep.select("model", "tn", "fp", "fn", "tp", *[r6(c).alias(c) for c in
+                                                         [*M.RATE_METRICS, "roc_auc", "pr_auc"]])
+
+
+@register("model_vote", "AGG-11,PRJ-12,STR-2")
+def model_vote_df(spark, sf_dir):
+    """Majority of the six fitted models for every test row."""
+    return majority_vote(model_scores(spark, sf_dir))
+
+
+def append_report(report: DataFrame, path: str, run_id: str) -> None:
+    """One run's rows (set, model, metrics) appended to the report table, by model."""
+    report.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("model").parquet(path)
+
+
+@register("report_log", "SNK-2,SNK-3,SET-3")
+def report_log_df(spark, sf_dir):
+    """Two runs of the set x model report appended to one log and read back: the
+    cross-validated report, then the hold-out rows of the six models."""
+    path = IO.shared_path(spark, "report_log")
+    cols = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
+    cv = grid_search(spark, sf_dir).where("selection = 'best_candidate'")
+    append_report(cv.select("set", "model", *cols), path, "grid")
+    test = M.metrics_report(model_scores(spark, sf_dir)).withColumn("set", F.lit("Test"))
+    append_report(test.select("set", "model", *cols), path, "models")
+    back = spark.read.parquet(path)
+    return back.select("run_id", "set", "model", *[r6(c).alias(c) for c in cols])
+
+
 def surrogate_rules_df(spark, sf_dir):
     """Depth-3 tree fit on the GNB model's predictions; per-leaf coverage,
     purity against those predictions, and overall fidelity."""
@@ -95,7 +196,6 @@ def surrogate_rules_df(spark, sf_dir):
         F.avg((F.col("pred") == cls[F.col("leaf")]).cast("double")).alias("purity"))
     text = spark.createDataFrame([(no, cond, c) for no, cond, c in rules], "leaf int, rule string, class int")
     # rule text sink: one line per leaf, "<rule> => class <c>"
-    from txscore.sources import io as IO
     IO.write_table(text.select(F.concat_ws(" => class ", "rule", F.col("class").cast("string")).alias("value")),
                    IO.shared_path(spark, "surrogate_rules"), fmt="text")
     out = text.join(per_leaf, "leaf", "left").select(
@@ -111,58 +211,68 @@ register("surrogate_rules", "EXP-5,SNK-7")(surrogate_rules_df)
 
 # ---- grid search ------------------------------------------------------------------
 
-def _fold_metrics(pred: DataFrame, by: list[str]) -> DataFrame:
-    return M.fold_metrics(pred, by)
-
-
-def grid_search_gnb(train: DataFrame, test: DataFrame, grid=GNB_GRID, n_folds: int = 10) -> DataFrame:
-    """Candidates x folds in one set of jobs: each training row is copied once
-    per (candidate, fold) it trains, GNB is fitted per group, held-out and
-    training rows are scored with their group's parameters, and all metrics
-    come from one grouped summary. Then per-metric maxima over candidates
-    (train and validation), refit of the best-F1 candidate, test metrics; rows
-    (set, model, metrics...)."""
-    from txscore.operators.bayes import gnb_fit_grouped, gnb_transform_grouped
-    from txscore.session import materialize
-    folds = materialize(SM.stratified_folds(train, n_folds))
-    n_c = len(grid)
-    vs = F.create_map(*[x for i, v in enumerate(grid) for x in (F.lit(i), F.lit(float(v)))])
-    cand = F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("candidate")
-    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_folds - 1)), lambda t: t != F.col("fold")))
-    fit_rows = (folds.select("*", cand).select("*", others.alias("cv"))
-                .withColumn("g", F.col("candidate") * n_folds + F.col("cv"))
-                .withColumn("_vs", vs[F.col("candidate")]))
-    params = materialize(gnb_fit_grouped(fit_rows, GNB_FEATURES, "g", smoothing_col="_vs"))
-    held = folds.select("*", cand).withColumn("g", F.col("candidate") * n_folds + F.col("fold")) \
-        .withColumn("set", F.lit("Validation")).withColumn("cv", F.col("fold"))
-    trn = fit_rows.drop("_vs").withColumn("set", F.lit("Training"))
-    cols = ["candidate", "cv", "set", "tx_id", "label", "score", "pred"]
-    preds = (gnb_transform_grouped(held, params, GNB_FEATURES, "g").select(*cols)
-             .unionByName(gnb_transform_grouped(trn, params, GNB_FEATURES, "g").select(*cols)))
-    per_fold = M.fold_metrics(preds, ["candidate", "cv", "set"])
-    metric_cols = M.RATE_METRICS + ["roc_auc", "pr_auc"]
-    means = per_fold.groupBy("candidate", "set").agg(*[F.avg(c).alias(c) for c in metric_cols])
-    best_per_metric = means.groupBy("set").agg(*[F.max(c).alias(c) for c in metric_cols])
-    best = means.where(F.col("set") == "Validation").orderBy(F.col("f1").desc(), "candidate").first()
-    model = GaussianNBModel.fit(train, GNB_FEATURES, var_smoothing=grid[best["candidate"]])
-    test_rep = M.metrics_report(model.transform(test).withColumn("set", F.lit("Test")), ["set"])
-    out_cols = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
-    spec = M.specificity_from_balanced(F.col("balanced_accuracy"), F.col("recall")).alias("specificity")
-    # two readings of the fold means: each metric maximised on its own over the
-    # candidates (the source report), or all metrics of the best-F1 candidate
-    cv_rows = best_per_metric.select("set", *out_cols, spec).withColumn("selection", F.lit("per_metric_max"))
-    best_rows = (means.where(F.col("candidate") == F.lit(int(best["candidate"])))
-                 .select("set", *out_cols, spec).withColumn("selection", F.lit("best_f1_candidate")))
-    test_rows = test_rep.select("set", *out_cols, "specificity").withColumn("selection", F.lit("best_f1_candidate"))
-    return cv_rows.unionByName(best_rows).unionByName(test_rows).withColumn("model", F.lit("NaiveBayes"))
+def grid_report(preds: DataFrame, refit: str = "f1") -> tuple[DataFrame, DataFrame]:
+    """From predictions (model, candidate, cv, set, label, score, pred): the mean of every
+    scorer over the folds by (model, candidate, set), and the candidate of each model with
+    the best mean validation score of ``refit`` (ties: the smallest name)."""
+    per_fold = M.fold_metrics(preds, ["model", "candidate", "cv", "set"])
+    means = per_fold.groupBy("model", "candidate", "set").agg(
+        *[F.avg(f()).alias(n) for n, f in SCORERS.items()])
+    order = F.struct((-F.col(refit)).alias("s"), F.col("candidate").alias("c"))
+    best = (means.where(F.col("set") == "Validation").groupBy("model")
+            .agg(F.min_by("candidate", order).alias("candidate")))
+    return means, best
+
+
+def tuned_scores(sample: DataFrame, test: DataFrame, params: dict[str, dict],
+                 feats: list[str] = GNB_FEATURES) -> DataFrame:
+    """(tx_id, label, model, score, pred) of the test rows by models fitted on the sample."""
+    cols = ["tx_id", "label", "model", "score", "pred"]
+    trees = {m: p for m, p in params.items() if m in E.FAMILIES}
+    table = E.fit_table(sample, feats, list(trees), trees)
+    out = E.score_table(test, E.load_models(table), feats).select(*cols)
+    nb = GaussianNBModel.fit(sample, feats, **params["NaiveBayes"]).transform(test)
+    ref = sample.select(F.col("tx_id").alias("id"), "label", F.array(*feats).alias("vec"))
+    near = knn_join(test.select(F.col("tx_id").alias("id"), F.array(*feats).alias("vec")), ref,
+                    params["KNN"].get("n_neighbors", KNN_K), metric="l1")
+    knn = (knn_classify(near, ref).join(test.select(F.col("tx_id").alias("q_id"), "label"), "q_id")
+           .select(F.col("q_id").alias("tx_id"), "label", F.lit("KNN").alias("model"), "score", "pred"))
+    return out.unionByName(nb.withColumn("model", F.lit("NaiveBayes")).select(*cols)).unionByName(knn)
+
+
+def grid_search(spark, sf_dir, refit: str = "f1", n_folds: int = 10) -> DataFrame:
+    """All families' candidates on all folds of the bounded sample of the train part: for each
+    model and set, every scorer's best mean over candidates (``per_metric_max``) and the
+    means of the candidate chosen by ``refit`` (``best_candidate``)."""
+    train, _ = _train_test(spark, sf_dir)
+    folds = materialize(SM.stratified_folds(E.fit_sample(train), n_folds))
+    preds = materialize(E.cross_validated(folds, GNB_FEATURES, GRID, n_folds))
+    means, best = grid_report(preds, refit)
+    means = materialize(means)
+    names = list(SCORERS)
+    chosen = means.join(best, ["model", "candidate"]).withColumn("selection", F.lit("best_candidate"))
+    maxima = means.groupBy("model", "set").agg(*[F.max(n).alias(n) for n in names]) \
+        .withColumns({"selection": F.lit("per_metric_max"), "candidate": F.lit(None).cast("string")})
+    # the chosen candidates, fitted on the whole sample, on the test part
+    params = {(f, n): p for f, n, p in GRID}
+    _, test = _train_test(spark, sf_dir)
+    final = {r.model: (r.candidate, params[r.model, r.candidate]) for r in best.collect()}  # one row a model
+    tested = M.metrics_report(tuned_scores(folds.drop("fold"), test, {m: p for m, (_, p) in final.items()}))
+    name = F.create_map(*[x for m, (c, _) in final.items() for x in (F.lit(m), F.lit(c))])
+    tested = tested.select("*", F.lit("Test").alias("set"), F.lit("best_candidate").alias("selection"),
+                           name[F.col("model")].alias("candidate"))
+    tested = tested.select("model", "set", "selection", "candidate", *[f().alias(n) for n, f in SCORERS.items()])
+    cols = ["model", "set", "selection", "candidate", *names]
+    maxima = maxima.unionByName(tested)
+    return chosen.select(*cols).unionByName(maxima.select(*cols))
 
 
 def grid_search_report_df(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
-    rep = grid_search_gnb(train, test)
-    return rep.select("set", "selection", "model", *[r6(c).alias(c) for c in
-                                        ["accuracy", "balanced_accuracy", "precision", "recall", "f1",
-                                         "specificity", "roc_auc", "pr_auc"]])
+    rep = grid_search(spark, sf_dir)
+    spec = M.specificity_from_balanced(F.col("balanced_accuracy"), F.col("recall"))
+    return rep.select("set", "selection", "model", "candidate", *[r6(c).alias(c) for c in [
+        "accuracy", "balanced_accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]],
+        r6(spec).alias("specificity"))
 
 
 register("grid_search_report", "MDL-8,AGG-8,AGG-9,SET-3,PRJ-13,UDF-2")(grid_search_report_df)
@@ -190,44 +300,22 @@ best AS (SELECT metric, model, m, ROW_NUMBER() OVER (PARTITION BY metric ORDER B
 # ---- cross-validated comparison with oversampling inside the folds --------------
 
 def cv_model_scores(spark, sf_dir, n_folds: int = 10) -> DataFrame:
-    """(metric, model, fold, score) for GNB and 3-NN with SMOTE (ratio 0.20)
-    applied to each fold's training part only.
-
-    All folds run in the same jobs: every training row is copied once per fold
-    it trains (key ``cv``), SMOTE, the GNB fit and the kNN join are grouped by
-    that key, and one metric aggregate covers all (model, fold) pairs."""
-    from txscore.operators.bayes import gnb_fit_grouped, gnb_transform_grouped
-    from txscore.operators.neighbors import knn_classify, knn_join
-    from txscore.operators.smote import smote
-    from txscore.session import materialize
+    """(metric, model, fold, score) of the six tuned models for every scorer. Each fold's
+    training rows alone are oversampled (ratio 0.20); all fits run side by side."""
     train, _ = _train_test(spark, sf_dir)
-    folds = materialize(SM.stratified_folds(train, n_folds)
-                        .withColumn("vec", F.array(*[F.col(c) for c in GNB_FEATURES])))
-    others = F.filter(F.sequence(F.lit(0), F.lit(n_folds - 1)), lambda t: t != F.col("fold"))
-    copies = folds.select("tx_id", "label", "vec", F.explode(others).alias("cv"))
-    bal = smote(copies, id_col="tx_id", ratio=0.20, metric="l2", group="cv")
-    bal = materialize(bal.select("cv", "id", "label", "vec",
-                                 *[F.col("vec")[i].alias(c) for i, c in enumerate(GNB_FEATURES)]))
-    held = folds.withColumn("cv", F.col("fold"))
-    params = gnb_fit_grouped(bal, GNB_FEATURES, "cv")
-    gnb = gnb_transform_grouped(held, params, GNB_FEATURES, "cv").select(
-        F.lit("GaussianNB").alias("model"), "fold", "tx_id", "label", "score", "pred")
-    nn = knn_join(held.select("cv", F.col("tx_id").alias("id"), "vec"), bal, 3, metric="l1", group="cv")
-    knn = (knn_classify(nn, bal, r_id="id", group="cv")
-           .join(held.select("cv", F.col("tx_id").alias("q_id"), "label"), ["cv", "q_id"])
-           .select(F.lit("KNN").alias("model"), F.col("cv").alias("fold"), F.col("q_id").alias("tx_id"),
-                   "label", "score", "pred"))
-    m = _fold_metrics(gnb.unionByName(knn), ["model", "fold"])
-    return (m.select(F.lit("f1").alias("metric"), "model", "fold", F.col("f1").alias("score"))
-             .unionByName(m.select(F.lit("roc_auc").alias("metric"), "model", "fold",
-                                   F.col("roc_auc").alias("score"))))
+    folds = materialize(SM.stratified_folds(E.fit_sample(train), n_folds))
+    preds = E.cross_validated(folds, GNB_FEATURES, [(m, "tuned", {}) for m in MODELS], n_folds,
+                              ratio=SMOTE_RATIO, training=False)
+    m = M.fold_metrics(preds, ["model", "cv"])
+    long = m.select("model", F.col("cv").alias("fold"), *[f().cast("double").alias(n) for n, f in SCORERS.items()])
+    return long.unpivot(["model", "fold"], list(SCORERS), "metric", "score")
 
 
 def cv_model_scores_df(spark, sf_dir):
     return cv_model_scores(spark, sf_dir).select("metric", "model", "fold", r6("score").alias("score"))
 
 
-register("cv_model_scores", "MDL-10,SMP-3,SMP-6,JN-6")(cv_model_scores_df)
+register("cv_model_scores", "MDL-10,SMP-3,SMP-6")(cv_model_scores_df)
 
 
 def shapley_sampled_df(spark, sf_dir):
