@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from txscore.operators import neighbors as NB
@@ -161,21 +162,60 @@ def test_sampled_shapley_efficiency_and_exact_limit(spark):
     rows = [(i, rnd.uniform(0, 5), rnd.uniform(0, 5), rnd.uniform(0, 5)) for i in range(40)]
     df = spark.createDataFrame(rows, "tx_id long, a double, b double, c double")
     bg = df.where("tx_id < 6")
-    f = lambda c: c["a"] * c["b"] + F.sin(c["c"]) * c["a"]
+    f = lambda x: x[:, 0] * x[:, 1] + np.sin(x[:, 2]) * x[:, 0]
     feats = ["a", "b", "c"]
     exact = {(r["tx_id"], r["feature"]): r["phi"] for r in X.shapley_exact(df, bg, feats, f).collect()}
+    orders = X.sampled_coalitions(3, X.sampled_permutations(3, 4))
     sampled = {(r["tx_id"], r["feature"]): r["phi"]
-               for r in X.shapley_values(df, bg, feats, f, n_permutations=4).collect()}
+               for r in X.shapley_values(df, bg, feats, f, orders).collect()}
     fx = {r[0]: r[1] * r[2] + math.sin(r[3]) * r[1] for r in rows}
     ef = sum(fx[i] for i in range(6)) / 6
     for i in fx:
         assert abs(sum(sampled[(i, g)] for g in feats) - (fx[i] - ef)) < 1e-9
         assert abs(sum(exact[(i, g)] for g in feats) - (fx[i] - ef)) < 1e-9
-    # 6 seeded orders need not be the 6 distinct orders; check the identity on the true set
-    perms = [list(p) for p in permutations(range(3))]
-    terms = X._coalition_terms(3, perms)
-    exact_terms = X._coalition_terms(3, None)
-    assert {(i, m): round(w, 12) for i, m, w in terms} == {(i, m): round(w, 12) for i, m, w in exact_terms}
+    # over all d! orders the sampled weights are the exact ones
+    masks, w = X.sampled_coalitions(3, [list(p) for p in permutations(range(3))])
+    all_masks, exact_w = X.exact_coalitions(3)
+    at = {m.tobytes(): i for i, m in enumerate(all_masks)}
+    assert np.allclose(w, exact_w[:, [at[m.tobytes()] for m in masks]])
+
+
+def test_sixty_features_within_the_budget(spark):
+    """200 evaluations explain a record of 60 features: at most 200 coalitions, and exact for a
+    linear model."""
+    from txscore.operators import explain as X
+    d, rng = 60, np.random.default_rng(1)
+    masks, w = X.budgeted_coalitions(d, 200)
+    assert len(masks) <= 200 and w.shape == (d, len(masks))
+    coef, x, bg = rng.normal(size=d), rng.normal(size=(5, d)), rng.normal(size=(50, d))
+    cols = [f"c{i}" for i in range(d)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)],
+                               "tx_id long, " + ", ".join(f"{c} double" for c in cols))
+    got = X.shapley_values(df, bg, cols, lambda z: z @ coef, (masks, w)).collect()
+    want = coef * (x - bg.mean(0))
+    assert all(abs(r.phi - want[r.tx_id, int(r.feature[1:])]) < 1e-9 for r in got) and len(got) == 5 * d
+
+
+def test_shapley_takes_a_fitted_model_and_checks_the_background(spark):
+    from txscore.operators import explain as X
+    from txscore.operators.bayes import GaussianNBModel
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 5), int(i % 7 > 4)) for i in range(60)],
+                               "tx_id long, a double, b double, label int")
+    model = GaussianNBModel.fit(df, ["a", "b"])
+    scores = {r.tx_id: r.score for r in model.transform(df).collect()}
+    x = np.array([[r.a, r.b] for r in df.orderBy("tx_id").collect()])
+    assert np.allclose(model.predictor()(x), [scores[i] for i in range(60)])
+    phi = {}
+    for r in X.shapley_exact(df, df.limit(9), ["a", "b"], model.predictor()).collect():
+        phi[r.tx_id] = phi.get(r.tx_id, 0) + r.phi
+    mean = model.predictor()(X.background_matrix(df.limit(9), ["a", "b"])).mean()
+    assert all(abs(phi[i] - (scores[i] - mean)) < 1e-9 for i in phi)
+    old, X.BACKGROUND_BYTES = X.BACKGROUND_BYTES, 100
+    try:
+        with pytest.raises(ValueError, match="take a sample"):
+            X.background_matrix(df, ["a", "b"])
+    finally:
+        X.BACKGROUND_BYTES = old
 
 
 def test_numeric_summary_imputed_quartiles_match_numpy(spark):

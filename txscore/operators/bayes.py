@@ -12,6 +12,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +77,21 @@ class GaussianNBModel:
         gap = self.joint_log_likelihood(0, cols) - self.joint_log_likelihood(1, cols)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(gap))
 
+    def predictor(self):
+        """P(class 1) as a function of a feature matrix."""
+        params = [(math.log(p["prior"]), np.array([p["mean"][f] for f in self.features]),
+                   np.array([p["var"][f] for f in self.features])) if (p := self.params.get(c)) else None
+                  for c in (0, 1)]
+
+        def predict(x: np.ndarray) -> np.ndarray:
+            log_joint = [np.full(len(x), -np.inf) if p is None else
+                         p[0] - 0.5 * np.log(2 * np.pi * p[2]).sum() - 0.5 * ((x - p[1]) ** 2 / p[2]).sum(1)
+                         for p in params]
+            with np.errstate(over="ignore"):
+                return 1 / (1 + np.exp(log_joint[0] - log_joint[1]))
+
+        return predict
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``score`` = P(class 1 | x) and ``pred`` (1 iff P(1) > 0.5)."""
         return df.withColumn("score", self.score_expr()).withColumn("pred", (F.col("score") > 0.5).cast("int"))

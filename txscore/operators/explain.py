@@ -4,36 +4,38 @@
   their position in a seeded hash order (all repeats in one distributed
   ranking, ``ordered_row_number``); every single-column variant is scored in
   one projection and the accuracy drop is one grouped aggregate,
-* exact Shapley values (interventional, against a background sample): the
-  size-checked background is an explainer parameter held as literals, every
-  row expands over it and over the coalition masks by ``explode``, v(S) is a
-  grouped mean, and
-  phi_i sums the weighted marginal gains from an equi-join of v(S) with
-  v(S + i),
+* Shapley values (interventional, against a background sample): a row-wise map without a
+  shuffle. A batch of rows, all coalitions of the chosen method and the background
+  form the inputs of one vectorised call of the model; v(S) is the mean over the
+  background, and the values are a fixed matrix times v,
 * global summary: mean |phi| per feature.
 
-The model is any *scoring function* ``f(columns) -> Column`` (a Column
-expression such as a fitted GNB, a rule, a linear model), so the work stays in
-the JVM.
+Permutation importance takes a *scoring function* ``f(columns) -> Column`` (a fitted GNB, a
+rule), Shapley values a *predictor* ``f(matrix) -> scores`` (any fitted model: one row of
+the matrix is one input), which runs in Arrow batches.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txscore.functions.hashing import DEFAULT_SEED, row_hash
-from txscore.operators.ordered import join_small, ordered_row_number
+from txscore.operators.ordered import ordered_row_number
 
 ScoreFn = Callable[[dict[str, Column]], Column]
+Predictor = Callable[[np.ndarray], np.ndarray]
 
 N_REPEATS = 10          # fixed value: permutation repeats
 TOP_N = 20              # fixed value: features shown in importance reports
-MAX_BACKGROUND = 1000   # size bound of a broadcast background sample
-MAX_EXACT_FEATURES = 12
+BACKGROUND_BYTES = 64 << 20   # size bound of the background matrix sent to the tasks
+INPUT_CELLS = 1 << 22         # cells of one call of the predictor
 
 
 def permutation_importance(df: DataFrame, features: Sequence[str], predict: ScoreFn,
@@ -69,33 +71,8 @@ def permutation_importance(df: DataFrame, features: Sequence[str], predict: Scor
                                        F.stddev_pop("drop").alias("importance_std"))
 
 
-def _coalition_terms(d: int, permutations: list[list[int]] | None) -> list[tuple[int, int, float]]:
-    """(feature i, coalition S without i, weight) terms of phi_i = sum w (v(S+i) - v(S)).
-
-    Exact: every S with the Shapley weight |S|!(d-|S|-1)!/d!. Sampled: for each
-    permutation the features before i, weight 1/#permutations (the estimator of
-    Strumbelj & Kononenko; the efficiency property holds exactly)."""
-    terms: dict[tuple[int, int], float] = {}
-    if permutations is None:
-        for i in range(d):
-            for mask in range(2 ** d):
-                if mask & (1 << i):
-                    continue
-                s = bin(mask).count("1")
-                terms[(i, mask)] = math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d)
-    else:
-        w = 1.0 / len(permutations)
-        for perm in permutations:
-            mask = 0
-            for i in perm:
-                terms[(i, mask)] = terms.get((i, mask), 0.0) + w
-                mask |= 1 << i
-    return [(i, m, w) for (i, m), w in sorted(terms.items())]
-
-
 def sampled_permutations(d: int, n: int, seed: int = DEFAULT_SEED) -> list[list[int]]:
     """``n`` seeded feature orders (md5 ranks), reproducible in any engine."""
-    import hashlib
     perms = []
     for m in range(n):
         keys = [(hashlib.md5(f"{m}:{i}:{seed}".encode()).hexdigest(), i) for i in range(d)]
@@ -103,56 +80,103 @@ def sampled_permutations(d: int, n: int, seed: int = DEFAULT_SEED) -> list[list[
     return perms
 
 
-def shapley_values(rows: DataFrame, background: DataFrame, features: Sequence[str], score: ScoreFn,
-                   id_col: str = "tx_id", n_permutations: int | None = None,
-                   seed: int = DEFAULT_SEED) -> DataFrame:
-    """(id, feature, phi): interventional Shapley values of ``score`` for every row.
-
-    v(S) = mean over background b of score(x on S, b elsewhere). The background
-    is a bounded sample (checked against ``MAX_BACKGROUND``) held as literals,
-    so each row expands to |background| x |coalitions| evaluations by
-    ``explode``. Exact (all 2^d coalitions) up to ``MAX_EXACT_FEATURES``;
-    otherwise, or when ``n_permutations`` is given, permutation sampling.
-    """
+def exact_coalitions(d: int) -> tuple[np.ndarray, np.ndarray]:
+    """All 2^d coalitions (masks by row) and the matrix W with phi = W v: every S without i
+    has the weight |S|!(d-|S|-1)!/d! in v(S+i) - v(S)."""
+    masks = (np.arange(2 ** d)[:, None] >> np.arange(d)) & 1 == 1
+    weight = np.array([math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)])
+    size, w = masks.sum(1), np.zeros((d, 2 ** d))
+    for i in range(d):
+        without = np.flatnonzero(~masks[:, i])
+        w[i, without] -= weight[size[without]]
+        w[i, without + (1 << i)] += weight[size[without]]
+    return masks, w
+
+
+def sampled_coalitions(d: int, permutations: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The coalitions before and after each feature in the given orders, each once, and W: the
+    estimator of Strumbelj & Kononenko (the efficiency property holds exactly)."""
+    place: dict[bytes, int] = {}
+    masks, gains = [], []
+
+    def number(mask: np.ndarray) -> int:
+        key = mask.tobytes()
+        if key not in place:
+            place[key] = len(masks)
+            masks.append(mask.copy())
+        return place[key]
+
+    for perm in permutations:
+        mask = np.zeros(d, bool)
+        before = number(mask)
+        for i in perm:
+            mask[i] = True
+            after = number(mask)
+            gains.append((i, before, after))
+            before = after
+    w = np.zeros((d, len(masks)))
+    for i, before, after in gains:
+        w[i, before] -= 1 / len(permutations)
+        w[i, after] += 1 / len(permutations)
+    return np.array(masks), w
+
+
+def budgeted_coalitions(d: int, max_evals: int, seed: int = DEFAULT_SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled coalitions of as many whole orders as ``max_evals`` evaluations allow: an order
+    needs d - 1 coalitions besides the empty and the full one. One order is the least."""
+    orders = max(1, (max_evals - 2) // max(1, d - 1))
+    return sampled_coalitions(d, sampled_permutations(d, orders, seed))
+
+
+def background_matrix(background: DataFrame, features: Sequence[str]) -> np.ndarray:
+    """The background rows as a matrix (missing values NaN); its size is checked first."""
+    n = background.count()
+    if n * len(features) * 8 > BACKGROUND_BYTES:
+        raise ValueError(f"a background of {n} rows is over {BACKGROUND_BYTES} bytes; take a sample of it")
+    rows = background.select(*[F.col(f).cast("double").alias(f) for f in features]).toPandas()
+    return rows.to_numpy(float)
+
+
+def coalition_values(x: np.ndarray, background: np.ndarray, masks: np.ndarray,
+                     predict: Predictor) -> np.ndarray:
+    """v(S) of every row (rows x coalitions): the mean of ``predict`` with the row's values on S
+    and the background's elsewhere."""
+    out = np.empty((len(x), len(masks)))
+    rows = max(1, INPUT_CELLS // max(1, background.size))
+    pairs = np.indices(out.shape).reshape(2, -1)
+    for i in range(0, pairs.shape[1], rows):
+        r, m = pairs[:, i:i + rows]
+        z = np.where(masks[m][:, None, :], x[r][:, None, :], background[None])
+        out[r, m] = predict(z.reshape(-1, x.shape[1])).reshape(len(r), -1).mean(1)
+    return out
+
+
+def shapley_values(rows: DataFrame, background: DataFrame | np.ndarray, features: Sequence[str],
+                   predict: Predictor, coalitions: tuple[np.ndarray, np.ndarray],
+                   id_col: str = "tx_id") -> DataFrame:
+    """(id, feature, phi): interventional Shapley values of ``predict`` for every row.
+
+    ``coalitions`` is the method, chosen by the caller: ``exact_coalitions(d)``,
+    ``sampled_coalitions(d, orders)`` or ``budgeted_coalitions(d, evaluations)``."""
     feats = list(features)
-    d = len(feats)
-    perms = None
-    if n_permutations is not None or d > MAX_EXACT_FEATURES:
-        perms = sampled_permutations(d, n_permutations or 64, seed)
-    terms = _coalition_terms(d, perms)
-    masks = sorted({m for _, m, _ in terms} | {m | (1 << i) for i, m, _ in terms})
-    # the background is an explainer parameter: a bounded sample held as literals
-    bg_rows = background.select(*[F.col(f).cast("double").alias(f) for f in feats]) \
-        .limit(MAX_BACKGROUND + 1).collect()
-    if len(bg_rows) > MAX_BACKGROUND:
-        raise ValueError(f"background has more than {MAX_BACKGROUND} rows")
-    lit = lambda v: F.lit(None).cast("double") if v is None else F.lit(float(v))
-    bg_array = F.array(*[F.struct(*[lit(r[f]).alias(f) for f in feats]) for r in bg_rows])
-    x = rows.select(id_col, *[F.col(f).cast("double").alias(f) for f in feats])
-    xs = x.select("*", F.explode(bg_array).alias("_b"))
-    xm = xs.select("*", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
-    cols = {f: F.when((F.col("mask").bitwiseAND(F.lit(1 << i))) != 0, F.col(f)).otherwise(F.col("_b")[f])
-            for i, f in enumerate(feats)}
-    v = xm.select(id_col, "mask", score(cols).alias("_f")).groupBy(id_col, "mask") \
-        .agg(F.avg("_f").alias("v"))
-    # phi_i = sum over terms of w * (v(S + i) - v(S)); the term table has at most
-    # d * 2^(d-1) (exact) or d * #permutations (sampled) rows and is joined on S
-    term_df = rows.sparkSession.createDataFrame(terms, "i int, mask int, w double")
-    base = join_small(v, term_df, ["mask"]).select(
-        id_col, "i", "w", "v", F.col("mask").bitwiseOR(F.expr("shiftleft(1, i)")).alias("with_i"))
-    plus = v.select(id_col, F.col("mask").alias("with_i"), F.col("v").alias("v_plus"))
-    gains = base.join(plus, [id_col, "with_i"]).withColumn("g", F.col("w") * (F.col("v_plus") - F.col("v")))
-    fmap = F.create_map(*[x for i, f in enumerate(feats) for x in (F.lit(i), F.lit(f))])
-    return gains.groupBy(id_col, "i").agg(F.sum("g").alias("phi")) \
-        .select(id_col, fmap[F.col("i")].alias("feature"), "phi")
-
-
-def shapley_exact(rows: DataFrame, background: DataFrame, features: Sequence[str], score: ScoreFn,
-                  id_col: str = "tx_id") -> DataFrame:
-    """Exact Shapley values (all 2^d coalitions); see ``shapley_values``."""
-    if len(features) > MAX_EXACT_FEATURES:
-        raise ValueError(f"exact Shapley enumerates 2^d coalitions; d={len(features)} > {MAX_EXACT_FEATURES}")
-    return shapley_values(rows, background, features, score, id_col)
+    bg = background if isinstance(background, np.ndarray) else background_matrix(background, feats)
+    masks, weights = coalitions
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            phi = coalition_values(part[feats].to_numpy(float), bg, masks, predict) @ weights.T
+            yield pd.DataFrame({id_col: np.repeat(part[id_col].to_numpy(), len(feats)),
+                                "feature": feats * len(part), "phi": phi.ravel()})
+
+    kind = dict(rows.dtypes)[id_col]
+    return rows.select(id_col, *[F.col(f).cast("double").alias(f) for f in feats]).mapInPandas(
+        run, f"{id_col} {kind}, feature string, phi double")
+
+
+def shapley_exact(rows: DataFrame, background: DataFrame | np.ndarray, features: Sequence[str],
+                  predict: Predictor, id_col: str = "tx_id") -> DataFrame:
+    """Shapley values over all 2^d coalitions."""
+    return shapley_values(rows, background, features, predict, exact_coalitions(len(features)), id_col)
 
 
 def shapley_summary(phi: DataFrame) -> DataFrame:
