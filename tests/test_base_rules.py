@@ -74,3 +74,24 @@ def test_rows_without_label_are_in_no_part(spark):
     parts = sampling.stratified_split(df)
     assert parts.where("label is null and part is not null").count() == 0
     assert parts.where("part is null").count() == 20
+
+
+def test_knn_bands_prune_clustered_vectors_and_slices_bound_hot_bands(spark, monkeypatch):
+    import numpy as np
+    from txscore.operators import neighbors as N
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(40, 3)) * 100
+    x = np.concatenate([c + rng.normal(size=(60, 3)) * .1 for c in centers])
+    flat = rng.normal(size=(2400, 64))
+    frame = lambda a, n0=0: spark.createDataFrame(
+        [(n0 + i, list(map(float, v))) for i, v in enumerate(a)], "id long, vec array<double>")
+    assert N.candidate_share(frame(x[::10]), frame(x), 3) < 0.2
+    assert N.candidate_share(frame(flat[:50]), frame(flat), 3) > 0.9  # nothing to prune here
+    # a third of the references and queries are one vector: slices of a few rows give the same
+    hot = np.concatenate([x[:300], np.repeat(x[:1], 150, 0)])
+    whole = N.knn_join(frame(hot), frame(hot), 3, exclude_self=True)
+    want = sorted(map(tuple, whole.collect()))
+    monkeypatch.setattr(N, "SLICE_ROWS", 40)
+    monkeypatch.setattr(N, "SLICE_QUERIES", 50)
+    got = sorted(map(tuple, N.knn_join(frame(hot), frame(hot), 3, exclude_self=True).collect()))
+    assert got == want and len(got) == 3 * len(hot)

@@ -1,4 +1,4 @@
-"""Exact k-nearest-neighbour join without a cross join.
+"""Exact k-nearest-neighbour join in blocks.
 
 For L1 the projection s(v) = sum(v) is 1-Lipschitz: |s(a) - s(b)| <= |a - b|_1
 (for L2 use s(v) / sqrt(d)). Rows are cut into equal-depth bands of s (band
@@ -9,14 +9,19 @@ by binary search, JVM side). Then
    bands (equi-join on band id); its k-th smallest distance there is an upper
    bound r(q) of its true k-th neighbour distance (no bound: the whole range),
 2. *exact*: every query meets all bands that overlap [s(q) - r(q), s(q) + r(q)],
-   candidates outside that interval are filtered by the projection bound, and
-   the k best by (distance, id) are kept.
+   and the k best by (distance, id) are kept.
 
 Every true neighbour x has |s(x) - s(q)| <= d(q, x) <= r(q), so the result is
-exact. Work is proportional to the band populations, not to |Q| x |R|. The
-distance blocks of one band key are computed with numpy inside a cogrouped
-``applyInPandas`` (Arrow batches; coordinates summed left to right, the same
-order as the SQL form ``distance``), and only the best k per query leave it.
+exact. How much the bands prune depends on the data: with few dimensions or
+clustered vectors a query meets few of them, with many independent dimensions
+neighbours are about as far away as the whole range of s, and the join does the
+work of comparing the query set with all references, in blocks
+(``candidate_share`` measures it). Either way no task holds more than
+``SLICE_ROWS`` references and ``SLICE_QUERIES`` queries: both sides of a band are cut
+into slices, whatever their sizes. The distance blocks are computed with numpy
+inside a cogrouped ``applyInPandas`` (Arrow batches; coordinates summed left to
+right, the same order as the SQL form ``distance``), and only the best k per
+query leave it.
 """
 
 from __future__ import annotations
@@ -27,9 +32,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TARGET_BAND_ROWS = 256   # reference rows per band (candidate budget scales with it)
-HOT_BAND_FACTOR = 4      # a band with more than 4x the target rows is split into slices
-MAX_BANDS = 100_000
+from txscore.operators.ordered import join_small
+
+TARGET_BAND_ROWS = 256   # reference rows per band, while there are fewer than BANDS bands
+BANDS = 4096             # bands of the projection; larger tables have more rows in each
+SLICE_ROWS = 1024        # references of a band in one task
+SLICE_QUERIES = 8192     # queries of a band in one task
 
 
 def distance(a: Column, b: Column, metric: str = "l1") -> Column:
@@ -49,7 +57,7 @@ def _projection(vec: Column, dim: int, metric: str) -> Column:
 
 
 def _band_edges(refs: DataFrame, n_refs: int) -> list[float]:
-    n_bands = max(1, min(MAX_BANDS, n_refs // TARGET_BAND_ROWS))
+    n_bands = max(1, min(BANDS, n_refs // TARGET_BAND_ROWS))
     if n_bands == 1:
         return [-math.inf, math.inf]
     probs = [i / n_bands for i in range(1, n_bands)]
@@ -60,7 +68,7 @@ def _band_edges(refs: DataFrame, n_refs: int) -> list[float]:
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id: str = "id",
              q_vec: str = "vec", r_vec: str = "vec", metric: str = "l1",
-             exclude_self: bool = False, group: str | None = None) -> DataFrame:
+             exclude_self: bool = False, group: str | None = None, share_only: bool = False):
     """(q_id, r_id, dist, rank) for the k nearest references of every query.
 
     Ties on distance are broken by reference id. ``exclude_self`` drops the pair
@@ -90,27 +98,23 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
         .withColumnRenamed("_s", "q_s")
 
     def block_topk(qk: DataFrame, rk: DataFrame) -> DataFrame:
-        """Per band key: the distance block of its queries x references in
-        numpy (Arrow batches), best k per query; candidates of one query from
-        several keys are merged afterwards.
+        """Per band: the distances of its queries x references in numpy (Arrow batches),
+        best k per query; candidates of one query from several tasks are merged afterwards.
 
-        A hot band (many references, e.g. repeated vectors) is split into
-        ``ceil(n / TARGET_BAND_ROWS)`` reference slices by id; its queries are
-        replicated to every slice, so no task holds more than a slice."""
+        Both sides of a band are cut into slices by a hash of the id, and every pair of
+        slices is a task. The slice counts are one row for each (group, band)."""
         fn = _block_topk_fn(k, metric, exclude_self)
-        hot = (rk.groupBy("_g", "band").agg(F.count(F.lit(1)).alias("n"))
-                 .where(F.col("n") > HOT_BAND_FACTOR * TARGET_BAND_ROWS).collect())
-        if hot:
-            slices = F.create_map(*[x for r in hot for x in
-                                    (F.lit(f"{r['_g']}:{r['band']}"), F.lit(-(-r["n"] // TARGET_BAND_ROWS)))])
-            n_slices = F.coalesce(slices[F.concat_ws(":", F.col("_g").cast("string"), F.col("band").cast("string"))],
-                                  F.lit(1))
-            rk = rk.withColumn("_slice", F.pmod(F.col("r_id"), n_slices).cast("int"))
-            qk = qk.withColumn("_slice", F.explode(F.sequence(F.lit(0), n_slices - 1)))
-        else:
-            rk = rk.withColumn("_slice", F.lit(0))
-            qk = qk.withColumn("_slice", F.lit(0))
-        return (qk.groupBy("_g", "band", "_slice").cogroup(rk.groupBy("_g", "band", "_slice"))
+        keys = ["_g", "band"]
+        refs_n = rk.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("int").alias("_rn"))
+        asks_n = qk.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE_QUERIES).cast("int").alias("_qn"))
+        slices = refs_n.join(asks_n, keys)
+        rk, qk = join_small(rk, slices, keys), join_small(qk, slices, keys)
+        rk = (rk.withColumn("_rs", F.pmod(F.xxhash64("r_id"), F.col("_rn")).cast("int"))
+                .withColumn("_qs", F.explode(F.sequence(F.lit(0), F.col("_qn") - 1))).drop("_rn", "_qn"))
+        qk = (qk.withColumn("_qs", F.pmod(F.xxhash64("q_id"), F.col("_qn")).cast("int"))
+                .withColumn("_rs", F.explode(F.sequence(F.lit(0), F.col("_rn") - 1))).drop("_rn", "_qn"))
+        task = [*keys, "_rs", "_qs"]
+        return (qk.groupBy(*task).cogroup(rk.groupBy(*task))
                   .applyInPandas(fn, "_g long, q_id long, r_id long, dist double"))
 
     def merge(cands: DataFrame) -> DataFrame:
@@ -135,13 +139,25 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     Qr = band(band(Qr, "_lo", "_blo"), "_hi", "_bhi")
     Qr = Qr.withColumn("band", F.explode(F.sequence(F.col("_blo").cast("int"),
                                                     F.least(F.col("_bhi").cast("int"), F.lit(n_bands - 1)))))
+    if share_only:
+        sizes = Rb.groupBy("_g", "band").agg(F.count(F.lit(1)).alias("n"))
+        pairs = Qr.select("_g", "band").join(sizes, ["_g", "band"]).agg(F.sum("n")).first()[0]
+        total = Q.groupBy("_g").count().join(R.groupBy("_g").agg(F.count(F.lit(1)).alias("n")), "_g") \
+            .agg(F.sum(F.col("count") * F.col("n"))).first()[0]
+        return (pairs or 0) / (total or 1)
     cand2 = block_topk(Qr.select("_g", "band", "q_id", "q_vec"), Rb.select("_g", "band", "r_id", "r_vec"))
     out = merge(cand2)
     keep = [F.col("_g").alias(group)] if group else []
     return out.select(*keep, "q_id", "r_id", "dist", "rank")
 
 
-QUERY_CHUNK = 2048   # queries per distance block inside one band group
+def candidate_share(queries: DataFrame, refs: DataFrame, k: int, **options) -> float:
+    """Share of all (query, reference) pairs that the exact join compares: 1 means that the
+    bands prune nothing."""
+    return knn_join(queries, refs, k, share_only=True, **options)
+
+
+QUERY_CHUNK = 512    # queries per distance block inside one task
 
 
 def _block_topk_fn(k: int, metric: str, exclude_self: bool):
