@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -40,5 +41,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
         yield batch.slice(start)
 
 
+def span_lists(rows: Sequence[Sequence[tuple[int, int]]]) -> pa.ListArray:
+    """Lists of (start, end) as an array of lists of structs."""
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.array([x for spans in rows for span in spans for x in span], np.int64).reshape(-1, 2)
+    pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(ends), pairs)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

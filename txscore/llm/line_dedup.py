@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txscore.llm.common import require, slices
+from txscore.llm.common import require, slices, span_lists
+from txscore.session import materialize
 
 SPACES = re.compile("[\x09-\x0d\x20]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -91,7 +92,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if unit not in SEPARATORS:
         raise ValueError(f"unit must be one of {sorted(SEPARATORS)}")
     keyed = _keyed(docs, id_col, text_col)
-    found = unit_digests(keyed, unit)
+    found = materialize(unit_digests(keyed, unit))
     rank = F.struct("none", "id0", "th", "start")
     first = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
              .where("first <> last").select("digest", "first"))
@@ -101,7 +102,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joint = SEPARATORS[unit][1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for part in slices(batches, "text"):
             n, kept, removed, texts = [], [], [], []
             for text, gone in zip(part.column("text").to_pylist(), part.column("gone").to_pylist(),
@@ -110,12 +110,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 spans = cut(text, unit) if text is not None else []
                 stay = [s for s in spans if s not in out]
                 n.append(len(spans))
-                kept.append([{"start": a, "end": b} for a, b in stay])
-                removed.append([{"start": a, "end": b} for a, b in sorted(out)])
+                kept.append(stay)
+                removed.append(sorted(out))
                 texts.append(None if text is None else joint.join(text[a:b] for a, b in stay))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.array(n, np.int64)), pa.array(kept, kind),
-                 pa.array(removed, kind), pa.array(texts, pa.string())],
+                [part.column("doc_id"), pa.array(np.array(n, np.int64)), span_lists(kept),
+                 span_lists(removed), pa.array(texts, pa.string())],
                 ["doc_id", "n_units", "kept", "removed", "text"])
 
     return rows.mapInArrow(
