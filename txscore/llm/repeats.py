@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txscore.llm.common import require, slices
+from txscore.llm.common import require, slices, span_lists
 from txscore.session import materialize
 
 MIN_BYTES = 200
@@ -213,7 +213,8 @@ def classify(found: DataFrame) -> DataFrame:
     to the suffix array); ``classes``: contents of the anchor hash."""
     by_h, by_c = Window.partitionBy("h"), Window.partitionBy("h", "c")
     row = by_c.orderBy("direct", "id0", "th", "lo")
-    return (found.withColumn("rn", F.row_number().over(row))
+    # one exchange by anchor hash serves all windows, those by content too
+    return (found.repartition("h").withColumn("rn", F.row_number().over(row))
             .withColumn("n_hc", F.count("*").over(by_c))
             .withColumn("whole", F.col("multi") | (F.col("n_hc") > 1))
             .withColumn("n_h", F.count("*").over(by_h))
@@ -317,12 +318,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for text, gone in zip(data, cut, strict=True):
                 ends = [0, *(x for r in gone for x in r), len(text)]
                 kept.append(b"".join(text[i:j] for i, j in zip(ends[::2], ends[1::2], strict=True)))
-            flat = [{"start": i, "end": j} for gone in cut for i, j in gone]
-            spans = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, cut)]).astype(np.int32)),
-                pa.array(flat, pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(x) for x in data], pa.int64()), spans,
+                [part.column("doc_id"), pa.array([len(x) for x in data], pa.int64()), span_lists(cut),
                  pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept]),
                  *(part.column(c) for c in more)],
                 ["doc_id", "n_bytes", "spans", "kept", "text", *more])
