@@ -95,3 +95,16 @@ def test_knn_bands_prune_clustered_vectors_and_slices_bound_hot_bands(spark, mon
     monkeypatch.setattr(N, "SLICE_QUERIES", 50)
     got = sorted(map(tuple, N.knn_join(frame(hot), frame(hot), 3, exclude_self=True).collect()))
     assert got == want and len(got) == 3 * len(hot)
+
+
+def test_rank_values_are_exact_for_any_spread(spark):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    cols = {"even": rng.random(5000), "ties": rng.integers(0, 4, 5000).astype(float),
+            "wide": np.concatenate([np.exp(rng.normal(size=4000) * 60), -np.exp(rng.normal(size=1000) * 60)]),
+            "huge": np.concatenate([[-1.7e308, 1.7e308], rng.normal(size=4998)]), "one": np.full(5000, 3.25)}
+    df = spark.createDataFrame([(n, float(v)) for n, a in cols.items() for v in a], "feature string, value double")
+    stats = {n: {"n": len(a), "lo": a.min(), "hi": a.max()} for n, a in cols.items()}
+    wanted = {n: {0, 1, 1250, 2499, 2500, 3749, 4999} for n in cols}
+    got = P.rank_values(df, wanted, stats)
+    assert got == {(n, r): np.sort(cols[n])[r] for n in cols for r in wanted[n]}

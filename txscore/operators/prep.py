@@ -185,10 +185,66 @@ def exact_quantiles(long_df: DataFrame, probs: Sequence[float], group_cols: Sequ
     return ends.select(*group_cols, "p", q.alias("q"))
 
 
+#: Bins of an interval in one counting pass of ``rank_values``.
+RANK_BINS = 1024
+
+
+def rank_values(long: DataFrame, wanted: dict[str, set[int]], stats: dict[str, dict]) -> dict:
+    """{(feature, rank): value}: exact order statistics (0-based ranks) of the non-missing values
+    of (feature, value), without a sort or a rewrite of the table.
+
+    Every pass counts the values of the intervals that still hold a wanted rank in at
+    most ``RANK_BINS`` bins (a grouped count with map-side combine) and keeps, for each
+    rank, the bin it lies in with the smallest and largest value there; a bin of one value is
+    an answer. Bins are equally wide, or, where that put most values into one bin, cut at
+    approximate quantiles. ``stats``: n, lo and hi by feature. What reaches the driver and the
+    tasks is bins and intervals of the wanted ranks, whatever the number of rows."""
+    spark, found = long.sparkSession, {}
+    open_: list[tuple] = []  # (feature, lo, hi, values below lo, edges or None, ranks)
+    for f, ranks in wanted.items():
+        if ranks:
+            open_.append((f, stats[f]["lo"], stats[f]["hi"], 0, None, sorted(ranks)))
+    while open_:
+        still = []
+        for item in open_:
+            f, lo, hi, _, _, ranks = item
+            if lo == hi:
+                found.update({(f, r): lo for r in ranks})
+            else:
+                still.append(item)
+        if not still:
+            break
+        rows = [(f, i, float(lo), float(hi), [float(e) for e in edges] if edges else None)
+                for i, (f, lo, hi, _, edges, _) in enumerate(still)]
+        intervals = spark.createDataFrame(rows, "feature string, i int, lo double, hi double, edges array<double>")
+        x = long.join(F.broadcast(intervals), "feature").where("value >= lo and value <= hi")
+        # halves keep the width finite for any two doubles
+        even = F.floor((F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * RANK_BINS)
+        cut = F.size(F.filter("edges", lambda e: e < F.col("value")))
+        bins = F.when(F.col("edges").isNull(), F.least(even, F.lit(RANK_BINS - 1))).otherwise(cut)
+        counts: dict[int, list] = {}
+        for r in x.groupBy("i", bins.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
+                                                     F.max("value").alias("hi")).collect():
+            counts.setdefault(r["i"], []).append((r["b"], r["n"], r["lo"], r["hi"]))
+        open_ = []
+        for i, (f, lo, hi, below, _, ranks) in enumerate(still):
+            total = sum(n for _, n, _, _ in counts[i])
+            for _, n, first, last in sorted(counts[i]):
+                own = [r for r in ranks if below <= r < below + n]
+                if own:
+                    edges = None
+                    if 2 * n > total and first < last:
+                        part = long.where((F.col("feature") == F.lit(f)) & F.col("value").between(
+                            F.lit(float(first)), F.lit(float(last))))
+                        edges = sorted(set(part.approxQuantile("value", [j / 16 for j in range(1, 16)], 0.01)))
+                    open_.append((f, first, last, below, edges, own))
+                below += n
+    return found
+
+
 def numeric_summary(train: DataFrame, num_cols: Sequence[str]) -> dict[str, dict]:
     """Per numeric feature: n, n_null, exact median, and the exact quartiles of
-    the median-imputed column -- all from ONE cumulative table of distinct
-    values (``ordered_prefix``) plus three broadcast rank lookups.
+    the median-imputed column, from counting passes (``rank_values``).
 
     The imputed column is the raw one with n_null copies of the median m inserted
     after the L values below m and the E values equal to m, so its rank r maps to
@@ -196,52 +252,43 @@ def numeric_summary(train: DataFrame, num_cols: Sequence[str]) -> dict[str, dict
     """
     if not num_cols:
         return {}
-    spark = train.sparkSession
-    long = to_long(train, num_cols)
-    ok = F.col("value").isNotNull() & ~F.isnan(F.col("value"))
-    base = {r["feature"]: {"n": int(r["n"]), "n_null": int(r["n_all"] - r["n"])} for r in
-            long.groupBy("feature").agg(F.sum(ok.cast("long")).alias("n"),
-                                        F.count(F.lit(1)).alias("n_all")).collect()}
-    per = long.where(ok).groupBy("feature", F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-    cum = ordered_prefix(per, ["feature"], [F.col("_v").asc()], ["_w"], index_col="_i")
-
-    def lookup(wanted: set) -> dict:
-        if not wanted:
-            return {}
-        tdf = spark.createDataFrame(sorted(wanted), "feature string, _r long")
-        hit = join_small(cum, tdf, ["feature"]).where(
-            (F.col("cum__w") - F.col("_w") <= F.col("_r")) & (F.col("_r") < F.col("cum__w")))
-        return {(r["feature"], r["_r"]): r["_v"] for r in hit.select("feature", "_r", "_v").collect()}
+    num_cols = list(num_cols)
+    values = train.select(*[soft_double(F.col(c)).alias(c) for c in num_cols])
+    row = values.agg(F.count(F.lit(1)).alias("_all"), *[
+        g(c).alias(f"{k}{i}") for i, c in enumerate(num_cols)
+        for k, g in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    stats = {c: {"n": row[f"n{i}"], "lo": row[f"lo{i}"], "hi": row[f"hi{i}"]} for i, c in enumerate(num_cols)}
+    base = {c: {"n": s["n"], "n_null": row["_all"] - s["n"]} for c, s in stats.items()}
+    long = values.unpivot([], num_cols, "feature", "value").where("value is not null")
 
     def lerp(lo_v, hi_v, pos):
         return lo_v if lo_v == hi_v else lo_v + (hi_v - lo_v) * (pos - math.floor(pos))
 
     med_pos = {f: (b["n"] - 1) * 0.5 for f, b in base.items() if b["n"] > 0}
-    vals = lookup({(f, r) for f, p in med_pos.items() for r in (math.floor(p), math.ceil(p))})
+    vals = rank_values(long, {f: {math.floor(p), math.ceil(p)} for f, p in med_pos.items()}, stats)
     for f, p in med_pos.items():
         base[f]["median"] = lerp(vals[(f, math.floor(p))], vals[(f, math.ceil(p))], p)
-    meds = {f: b["median"] for f, b in base.items() if "median" in b}
-    if meds:
-        mm = F.create_map(*[x for f, m in meds.items() for x in (F.lit(f), F.lit(float(m)))])
-        le = cum.where(F.col("_v") <= mm[F.col("feature")]).groupBy("feature").agg(
-            F.max(F.when(F.col("_v") < mm[F.col("feature")], F.col("cum__w"))).alias("L"),
-            F.sum(F.when(F.col("_v") == mm[F.col("feature")], F.col("_w"))).alias("E")).collect()
-        for r in le:
-            base[r["feature"]]["L"] = int(r["L"] or 0)
-            base[r["feature"]]["E"] = int(r["E"] or 0)
+    live = list(med_pos)
+    if live:
+        around = values.agg(*[
+            F.count(F.when(cond, 1)).alias(f"{k}{i}") for i, f in enumerate(live)
+            for k, cond in (("L", F.col(f) < F.lit(base[f]["median"])),
+                            ("E", F.col(f) == F.lit(base[f]["median"])))]).first()
+        for i, f in enumerate(live):
+            base[f] |= {"L": around[f"L{i}"], "E": around[f"E{i}"]}
     plans = {}
-    for f, b in base.items():
-        if "median" not in b:
-            continue
+    for f in live:
+        b = base[f]
         n_imp = b["n"] + b["n_null"]
-        lo_block, hi_block = b.get("L", 0), b.get("L", 0) + b.get("E", 0) + b["n_null"]
+        lo_block, hi_block = b["L"], b["L"] + b["E"] + b["n_null"]
         for p in (0.25, 0.75):
             pos = (n_imp - 1) * p
-            plans[(f, p)] = (pos, [(r, None if lo_block <= r < hi_block else (r if r < lo_block else r - b["n_null"]))
+            plans[(f, p)] = (pos, [None if lo_block <= r < hi_block else (r if r < lo_block else r - b["n_null"])
                                    for r in (math.floor(pos), math.ceil(pos))])
-    qv = lookup({(f, raw) for (f, _), (_, rs) in plans.items() for _, raw in rs if raw is not None})
+    raw = {f: {r for (g, _), (_, rs) in plans.items() if g == f for r in rs if r is not None} for f in live}
+    qv = rank_values(long, raw, stats)
     for (f, p), (pos, rs) in plans.items():
-        v = [base[f]["median"] if raw is None else qv[(f, raw)] for _, raw in rs]
+        v = [base[f]["median"] if r is None else qv[(f, r)] for r in rs]
         base[f]["q25" if p == 0.25 else "q75"] = lerp(v[0], v[1], pos)
     return base
 
