@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txscore.operators.ordered import join_small, ordered_prefix
+from txscore.session import materialize
 
 # Fixed values of the source pipeline's preparation (thresholds and sizes).
 MISSING_VALUES_THRESHOLD = 0.90   # keep a column if its null share is below this
@@ -467,8 +468,11 @@ class PreparedModel:
 
 def fit_preparation(all_rows: DataFrame, train: DataFrame, cat_cols: Sequence[str],
                     num_cols: Sequence[str], k: int = BEST_K_FEATURES, label: str = "label",
-                    string_cols: Sequence[str] = ()) -> tuple[PreparedModel, dict[str, DataFrame]]:
-    """Fit every preparation step. ``all_rows`` feeds the null-rate pruning (all
+                    string_cols: Sequence[str] = (), score_function=None,
+                    id_col: str = "tx_id") -> tuple[PreparedModel, dict[str, DataFrame]]:
+    """Fit every preparation step. ``score_function`` ranks the features: called with (prepared
+    rows, features, discrete flags, label, id column) it returns (feature, mi), as those of
+    ``operators.information`` do; plug-in mutual information if not given. ``all_rows`` feeds the null-rate pruning (all
     rows, as in the source pipeline); every other statistic uses ``train``.
 
     Returns the frozen model and the fitted tables (DataFrames) of each step.
@@ -505,8 +509,15 @@ def fit_preparation(all_rows: DataFrame, train: DataFrame, cat_cols: Sequence[st
     nums_kept = [c for c in nums if c in nkept]
 
     model = PreparedModel(cats, nums_kept, fills, center, scale, surv, [], string_cols)
-    mi = mutual_information(imputed, model, label)
     order = [PreparedModel.dummy_name(f, v) for f, v in surv] + [PreparedModel.num_name(c) for c in nums_kept]
+    if score_function is None:
+        mi = mutual_information(imputed, model, label)
+    else:
+        from txscore.operators.information import discrete_flags
+        ordinal = F.create_map(*[x for i, n in enumerate(order) for x in (F.lit(n), F.lit(i))])
+        mi = score_function(model.transform(train, keep=(id_col, label)), order, discrete_flags(order),
+                            label, id_col).select(
+            "feature", ordinal[F.col("feature")].cast("long").alias("ordinal"), "mi")
     sel = top_k(mi.withColumn("mi_key", F.round("mi", 10)), k, score="mi_key").drop("mi_key")
     chosen = {r["feature"] for r in sel.where("selected").collect()}
     model.selected = [n for n in order if n in chosen]
@@ -529,7 +540,7 @@ def mutual_information(imputed: DataFrame, model: PreparedModel, label: str = "l
     wide = imputed.select(F.col(label).cast("long").alias("y"), *[e.alias(n) for n, e in xs.items()])
     long = wide.unpivot(["y"], list(xs), "feature", "x")
     counts = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("n"))
-    mi = mi_from_counts(counts)
+    mi = mi_from_counts(materialize(counts))  # small, and read four times
     ordinals = {n: i for i, n in enumerate(xs)}
     ord_map = F.create_map(*[x for n, i in ordinals.items() for x in (F.lit(n), F.lit(i))])
     return mi.select("feature", ord_map[F.col("feature")].cast("long").alias("ordinal"), "mi")

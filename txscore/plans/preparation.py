@@ -314,7 +314,7 @@ def variance_filter_df(spark, sf_dir):
     return cv.unionByName(nv).select("feature", r6("variance").alias("variance"), "kept")
 
 
-register("variance_filter", "AGG-5,PRJ-16", with_ctes(
+register("variance_filter", "AGG-5", with_ctes(
     *BASE, NULLRATE_SQL, FILL_SQL, ROBUST_SQL, SHARES_SQL,
     body="SELECT 'cat__' || feature || '_' || value AS feature, " + S.r6("variance") + " AS variance, kept FROM shares "
     "UNION ALL SELECT 'num__' || feature, " + S.r6("v") + ", v > 0.05 FROM (UNPIVOT (SELECT "
@@ -383,7 +383,21 @@ _IMPC_L = """impc_l AS (
   UNION ALL SELECT label, 'card', coalesce(card, (SELECT fill_cat FROM fills WHERE feature = 'card')) FROM train
   UNION ALL SELECT label, 'email', coalesce(email, (SELECT fill_cat FROM fills WHERE feature = 'email')) FROM train)"""
 
-register("mutual_information", "AGG-6,SRT-2,UDF-1,PRJ-14", with_ctes(
+@register("mutual_information_nearest", "AGG-6,PRJ-16,UDF-1,SRT-2")
+def mutual_information_nearest_df(spark, sf_dir):
+    """The preparation with features ranked by nearest-neighbour mutual information: dummies are
+    discrete, numerics continuous."""
+    from txscore.operators import information as I
+    sp = split_tx(spark, sf_dir)
+    train = sp.where(F.col("part") == "train").drop("part")
+    _, tables = P.fit_preparation(sp.drop("part"), train, CATS, NUMS, k=TOP_K, string_cols=CATS,
+                                  score_function=I.nearest)
+    flag = I.discrete_flags([r.feature for r in tables["mi"].select("feature").collect()])  # one row a feature
+    discrete = F.create_map(*[x for f, d in flag.items() for x in (F.lit(f), F.lit(d))])[F.col("feature")]
+    return tables["mi"].select("feature", "ordinal", r6("mi").alias("mi"), discrete.alias("is_discrete"), "selected")
+
+
+register("mutual_information", "AGG-6,SRT-2,PRJ-14", with_ctes(
     *BASE, NULLRATE_SQL, FILL_SQL, ROBUST_SQL, SHARES_SQL, _IMPC_L, _MI_SQL,
     body=f"SELECT feature, ordinal, {S.r6('mi')} AS mi, mi_rank FROM ranked"))(mutual_information_df)
 register("select_top_k", "SRT-1,PRJ-14", with_ctes(
