@@ -61,3 +61,74 @@ HOLDOUT = [
      0.5516840882694541, 0.59375, 0.9718924331281018, 0.9735834998475971, 0.9726102155619233,
      0.770282940048926),
 ]
+
+# ROC AUC of the ten folds, by model in the order of FOLD_MODELS.
+CV_ROC_AUC = [
+    [0.7709619531295403, 0.7322942087034358, 0.9154645422428114, 0.8107291555815184, 0.9062762656692108, 0.8399678559002424],
+    [0.7698559213748829, 0.7302915761929883, 0.9197752479110863, 0.8034452754060277, 0.9035029596874194, 0.8382727697436397],
+    [0.7656945397295488, 0.7328155484157766, 0.9070063571202691, 0.8072196749966603, 0.9017079317207698, 0.8299858562942133],
+    [0.7547489265802798, 0.7343174680804335, 0.906113522484643, 0.7973452626510316, 0.886139070213612, 0.823601927891252],
+    [0.7602530772371622, 0.7364897948709821, 0.9127028893462574, 0.8122657326084873, 0.901128968105717, 0.8344658562338345],
+    [0.7788093564418193, 0.7462775434101259, 0.9189795112993787, 0.8181491974518431, 0.9091665053137558, 0.8445004349995934],
+    [0.7658457281293851, 0.7468578625781916, 0.9153273544319955, 0.8117174431023114, 0.9050974363896076, 0.8349174314900375],
+    [0.7663516882634875, 0.728684238266766, 0.9104218785393892, 0.7990294174941657, 0.8962219916382261, 0.8405837696205781],
+    [0.7696119145017888, 0.7336070161667699, 0.9125182347879904, 0.804801651395535, 0.8982399731308588, 0.8395507494679003],
+    [0.7692076094011804, 0.7266335305749695, 0.910629553036364, 0.8028765981855783, 0.8944586094464655, 0.8441121107370899],
+]
+
+# Corrected paired t-tests of the ROC AUC (model, model, t, p).
+CORRECTED_ROC_AUC = [
+    ("KNN", "GaussianNB", 13.931695752241081, 2.139336483519827e-07),
+    ("KNN", "DecisionTree", 31.984154324595604, 1.4024692518432857e-10),
+    ("KNN", "RandomForest", -56.82192212123798, 8.15347789284715e-13),
+    ("KNN", "AdaBoost", -8.89781565751139, 9.373139335355773e-06),
+    ("KNN", "XGBoost", -43.57899448711028, 8.810063789610467e-12),
+    ("GaussianNB", "DecisionTree", 8.385880327049186, 1.5163108944671322e-05),
+    ("GaussianNB", "RandomForest", -59.32457676845821, 5.535572000781031e-13),
+    ("GaussianNB", "AdaBoost", -42.288008333951744, 1.1534551092040601e-11),
+    ("GaussianNB", "XGBoost", -69.0901415488454, 1.4077627952246985e-13),
+    ("DecisionTree", "RandomForest", -53.95790181374999, 1.2967404927621828e-12),
+    ("DecisionTree", "AdaBoost", -23.14634516177333, 2.4941797516220277e-09),
+    ("DecisionTree", "XGBoost", -59.29989950334017, 5.557776461273534e-13),
+    ("RandomForest", "AdaBoost", 20.829382331395113, 6.343082059601102e-09),
+    ("RandomForest", "XGBoost", -6.449834810238273, 0.00011816444158041506),
+    ("AdaBoost", "XGBoost", -32.14144368630133, 1.342363997736129e-10),
+]
+
+# Plain paired t-tests of F1 (model, model, t, p).
+PLAIN_F1 = [
+    ("DecisionTree", "GaussianNB", 106.81858894063782, 2.8031637942549726e-15),
+    ("DecisionTree", "KNN", -7.858739982728837, 2.551331082445249e-05),
+    ("DecisionTree", "RandomForest", -7.156045433560091, 5.331235541388461e-05),
+    ("DecisionTree", "AdaBoost", 21.77792580334868, 4.278774913637619e-09),
+    ("DecisionTree", "XGBoost", -35.89210060764431, 5.006235706719212e-11),
+    ("GaussianNB", "KNN", -128.52804122947214, 5.307892827516026e-16),
+    ("GaussianNB", "RandomForest", -73.58795725803078, 7.992078245907591e-14),
+    ("GaussianNB", "AdaBoost", -30.61027849182755, 2.0752975634319653e-10),
+    ("GaussianNB", "XGBoost", -128.6429787504929, 5.265384426114501e-16),
+    ("KNN", "RandomForest", -1.1524140375912015, 0.27884097497675003),
+    ("KNN", "AdaBoost", 21.63285537019985, 4.539396703999124e-09),
+    ("KNN", "XGBoost", -29.84543576370754, 2.6008017446846666e-10),
+    ("RandomForest", "AdaBoost", 31.005325873546454, 1.8509184893783906e-10),
+    ("RandomForest", "XGBoost", -22.237117884702837, 3.5572533055042402e-09),
+    ("AdaBoost", "XGBoost", -44.99371458892873, 6.616418698356877e-12),
+]
+
+# Plain paired t-tests of the ROC AUC (model, model, t, p).
+PLAIN_ROC_AUC = [
+    ("DecisionTree", "GaussianNB", -12.184401632744404, 6.7611800444439e-07),
+    ("DecisionTree", "KNN", -46.47189883184054, 4.951858761956717e-12),
+    ("DecisionTree", "RandomForest", -78.39901373720875, 4.52351259943696e-14),
+    ("DecisionTree", "AdaBoost", -33.63085982416052, 8.956675209240411e-11),
+    ("DecisionTree", "XGBoost", -86.16075643239252, 1.9361218186513682e-14),
+    ("GaussianNB", "KNN", -20.242284632057913, 8.16446959815439e-09),
+    ("GaussianNB", "RandomForest", -86.19661166734336, 1.9288934913881877e-14),
+    ("GaussianNB", "AdaBoost", -61.44305161710048, 4.0400369970037373e-13),
+    ("GaussianNB", "XGBoost", -100.38564833544592, 4.900497188563006e-15),
+    ("KNN", "RandomForest", -82.56033876807155, 2.8417331359062863e-14),
+    ("KNN", "AdaBoost", -12.928226423115355, 4.071967392824148e-07),
+    ("KNN", "XGBoost", -63.318811010143286, 3.083842854926749e-13),
+    ("RandomForest", "AdaBoost", 30.264390879640974, 2.2967297041471547e-10),
+    ("RandomForest", "XGBoost", -9.371392713453154, 6.126056131802609e-06),
+    ("AdaBoost", "XGBoost", -46.7004349760303, 4.738770473540817e-12),
+]

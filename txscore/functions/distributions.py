@@ -24,10 +24,9 @@ ACKLAM_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
             3.754408661907416e+00]
 ACKLAM_P_LOW = 0.02425
 
-# Chebyshev-fitted complementary error function (fractional error
-# below 1.2e-7), coefficients in ascending powers of t = 1 / (1 + |x| / 2).
-ERFC_COEF = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-             0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+# Levels of the two expansions of the normal tail, enough for double precision on
+# either side of ``TAIL_FROM``.
+SERIES_LEVELS, FRACTION_LEVELS, TAIL_FROM = 60, 60, 3.0
 
 
 def _horner(coefs: list[float], x: str) -> str:
@@ -58,17 +57,24 @@ def norm_ppf_sql(p: str) -> str:
             f"WHEN {p} > {1 - ACKLAM_P_LOW!r} THEN {high} ELSE {central} END)")
 
 
-def erfc_sql(x: str) -> str:
-    z = f"abs({_d(x)})"
-    t = f"(1.0 / (1.0 + 0.5 * {z}))"
-    poly = _horner(list(reversed(ERFC_COEF)), t)
-    ans = f"({t} * exp(-{z} * {z} + {poly}))"
-    return f"(CASE WHEN {_d(x)} >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
-
-
 def norm_sf_sql(z: str) -> str:
-    """Upper tail 1 - Phi(z)."""
-    return f"(0.5 * {erfc_sql(f'({_d(z)}) / sqrt(2.0)')})"
+    """Upper tail 1 - Phi(z), to double precision.
+
+    Up to ``TAIL_FROM`` the series Phi(z) - 1/2 = phi(z) (z + z^3/3 + z^5/15 + ...), nested;
+    beyond it the continued fraction phi(z) / (z + 1/(z + 2/(z + ...))). Both are the
+    classical expansions (Abramowitz & Stegun 26.2.11 and 26.2.14)."""
+    z = _d(z)
+    a = f"abs({z})"
+    density = f"(exp(-0.5 * {z} * {z}) / sqrt(2.0 * pi()))"
+    series = "1.0"
+    for k in range(SERIES_LEVELS, 0, -1):
+        series = f"(1.0 + {z} * {z} / {2 * k + 1}.0 * {series})"
+    fraction = f"({a} + 0.0)"
+    for k in range(FRACTION_LEVELS, 0, -1):
+        fraction = f"({a} + {k}.0 / {fraction})"
+    tail = f"({density} / {fraction})"
+    return (f"(CASE WHEN {a} <= {TAIL_FROM!r} THEN 0.5 - {density} * {z} * {series} "
+            f"WHEN {z} > 0.0 THEN {tail} ELSE 1.0 - {tail} END)")
 
 
 def t_two_sided_p_sql(t: str, nu: int) -> str:

@@ -102,3 +102,22 @@ def ordered_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence
                        index_col: str = "rn") -> DataFrame:
     """Distributed ``row_number() over (partition by group order by order)``."""
     return ordered_prefix(df, group_cols, order, (), index_col=index_col)
+
+
+# Ranks of equal values that one row stands for before they are dealt out to tasks.
+TIE_CHUNK = 1 << 16
+
+
+def value_ranks(df: DataFrame, group_cols: Sequence[str], value: str, index_col: str = "rn") -> DataFrame:
+    """(group…, value, rank): the ranks of all rows in value order, one row each.
+
+    Only distinct values with their counts are ordered, so that a value which most rows
+    share is one row of the range partitioning; its ranks are dealt out in chunks."""
+    g = list(group_cols)
+    per = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
+    cum = ordered_prefix(per, g, [F.col(value).asc()], ["_c"], index_col="_i")
+    chunks = cum.select(*g, value, F.col("cum__c").alias("_last"), F.explode(F.sequence(
+        F.col("cum__c") - F.col("_c") + 1, F.col("cum__c"), F.lit(TIE_CHUNK).cast("long"))).alias("_first"))
+    ends = F.least(F.col("_first") + F.lit(TIE_CHUNK - 1), F.col("_last"))
+    return (chunks.repartition(shuffle_partitions(df.sparkSession))
+            .select(*g, value, F.explode(F.sequence("_first", ends)).alias(index_col)))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txscore.functions import distributions as D
-from txscore.operators.ordered import join_small, ordered_row_number
+from txscore.operators.ordered import join_small, value_ranks
 
 # Royston (1995) / AS R94 polynomial coefficients (ascending powers).
 SW_C1 = [0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056]
@@ -160,7 +160,7 @@ def shapiro_wilk(df: DataFrame, group_cols: Sequence[str], value: str) -> DataFr
     base = df.select(*g, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     sizes = base.groupBy(*g).agg(F.count(F.lit(1)).alias("n"),
                                  (F.var_pop("_x") * F.count(F.lit(1))).alias("ss"))
-    ranked = ordered_row_number(base, g, [F.col("_x").asc()], "_i")
+    ranked = value_ranks(base, g, "_x", "_i")
     if not g:
         raise ValueError("shapiro_wilk needs at least one group column")
     ranked = join_small(ranked, sizes.select(*g, "n"), g)
@@ -184,7 +184,7 @@ def qq_points(df: DataFrame, group_cols: Sequence[str], value: str) -> DataFrame
     g = list(group_cols)
     base = df.select(*g, F.col(value).cast("double").alias("sample")).where(F.col("sample").isNotNull())
     sizes = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = join_small(ordered_row_number(base, g, [F.col("sample").asc()], "rank"), sizes, g)
+    ranked = join_small(value_ranks(base, g, "sample", "rank"), sizes, g)
     n = F.col("_n").cast("double")
     last = F.pow(F.lit(0.5), F.lit(1.0) / n)
     med = (F.when(F.col("rank") == F.col("_n"), last)
