@@ -157,3 +157,28 @@ def test_surrogate_rules_cover_all_rows(spark):
     assert rows and all(r["rule"] for r in rows)
     assert all(r["purity"] is None or 0.0 <= r["purity"] <= 1.0 for r in rows)
     assert len({r["fidelity"] for r in rows}) == 1 and 0.0 <= rows[0]["fidelity"] <= 1.0
+
+
+def test_stream_votes_equal_batch_votes(spark):
+    batch = {r.tx_id: tuple(r) for r in Q["model_vote"](spark, SMALL).collect()}
+    stream = {r.tx_id: tuple(r) for r in Q["stream_model_vote"](spark, SMALL).collect()}
+    assert len(stream) == 1000 and all(stream[i] == v for i, v in batch.items())
+
+
+def test_several_micro_batches_and_a_replayed_epoch(spark, tmp_path):
+    from txscore.streaming import scoring as ST
+    spark.range(40).repartition(4).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    epochs = []
+
+    def double(batch):
+        epochs.append(batch.count())
+        return batch.select((F.col("id") * 2).alias("id"))
+
+    out = ST.run_available_now(stream, spark, "test", per_batch=double)
+    assert len(epochs) == 4 and sorted(r.id for r in out.collect()) == list(range(0, 80, 2))
+    path = f"{tmp_path}/out"
+    for _ in range(2):  # the same epoch twice, as after a failure
+        for epoch in (0, 1):
+            ST.write_epoch(spark.range(epoch * 10, epoch * 10 + 10), path, epoch)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(20))

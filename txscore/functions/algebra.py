@@ -11,11 +11,6 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
-def nan_to_zero(c: Column) -> Column:
-    """NaN and NULL become 0.0 (score arrays before ranking)."""
-    return F.coalesce(F.nanvl(c.cast("double"), F.lit(0.0)), F.lit(0.0))
-
-
 def r6(c: Column | str, digits: int = 6) -> Column:
     """Round for cross-engine comparison and fold -0.0 into 0.0."""
     c = F.col(c) if isinstance(c, str) else c

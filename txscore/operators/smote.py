@@ -19,8 +19,7 @@ from txscore.functions.hashing import DEFAULT_SEED, row_hash, uniform
 from txscore.operators.neighbors import knn_join
 from txscore.operators.ordered import ordered_row_number
 
-# Fixed values of the source pipeline: minority / majority ratios offered (0.20 used).
-TARGET_MINORITY_RATIOS = (0.20, 0.25, 0.33, 0.50)
+# Fixed value of the source pipeline: neighbours of a minority row.
 SMOTE_K = 5
 
 

@@ -86,6 +86,56 @@ def samme_scores_df(spark, sf_dir):
     return family_scores(spark, sf_dir, "AdaBoost")
 
 
+# Rules of a depth-3 surrogate over the transaction view, as a rule table: leaf, condition, class.
+RULES = ((0, "amt <= 50.0 AND k <= 40", 0), (1, "amt <= 50.0 AND k > 40", 0),
+         (2, "amt > 50.0 AND amt <= 150.0", 0), (3, "amt > 150.0 AND product = 'error'", 1),
+         (4, "amt > 150.0 AND product = 'purchase'", 1), (5, "amt > 150.0", 0))
+
+
+def apply_rules(df: DataFrame, rules=RULES, label: str = "label") -> DataFrame:
+    """(leaf, class, n, purity): each row goes to the first rule that holds; purity is the share
+    of its rows whose label is the rule's class. A rule without rows has n 0."""
+    leaf = cls = None
+    for no, cond, c in rules:
+        hit = F.expr(cond)
+        leaf = F.when(hit, F.lit(no)) if leaf is None else leaf.when(hit, F.lit(no))
+        cls = F.when(hit, F.lit(c)) if cls is None else cls.when(hit, F.lit(c))
+    per = df.select(leaf.alias("leaf"), cls.alias("class"), label).where("leaf is not null") \
+        .groupBy("leaf").agg(F.count(F.lit(1)).alias("n"),
+                             F.avg((F.col(label) == F.col("class")).cast("double")).alias("purity"))
+    table = df.sparkSession.createDataFrame([(n, c) for n, _, c in rules], "leaf int, class int")
+    return table.join(per, "leaf", "left").select("leaf", "class", F.coalesce("n", F.lit(0)).alias("n"), "purity")
+
+
+@register("rule_apply", "EXP-5", with_ctes(TX_SQL, body=f"""
+SELECT r.leaf, r.class, CAST(COUNT(t.leaf) AS BIGINT) AS n,
+       {S.r6('avg(CASE WHEN t.label = r.class THEN 1.0 ELSE 0.0 END) FILTER (t.leaf IS NOT NULL)')} AS purity
+FROM (VALUES {', '.join(f'({n}, {c})' for n, _, c in RULES)}) r(leaf, class)
+LEFT JOIN (SELECT label, CASE {' '.join(f'WHEN {c} THEN {n}' for n, c, _ in RULES)} END AS leaf FROM tx) t
+  ON t.leaf = r.leaf
+GROUP BY r.leaf, r.class"""))
+def rule_apply_df(spark, sf_dir):
+    from txscore.sources.tables import tx_view
+    return apply_rules(tx_view(spark, sf_dir)).select("leaf", "class", "n", r6("purity").alias("purity"))
+
+
+@register("variance_importances", "SRT-3", with_ctes(TX_SQL, body=f"""
+SELECT feature, {S.r6('v / SUM(v) OVER ()')} AS importance FROM (
+  SELECT unnest(['amt', 'k', 'd1', 'v_sparse']) AS feature,
+         unnest([var_pop(amt), var_pop(k), var_pop(d1), var_pop(v_sparse)]) AS v FROM tx)
+ORDER BY importance DESC, feature LIMIT 3"""))
+def variance_importances_df(spark, sf_dir):
+    """A table of importances (share of the summed variances) cut to its top three."""
+    from txscore.operators.explain import top_importances
+    from txscore.sources.tables import tx_view
+    cols = ["amt", "k", "d1", "v_sparse"]
+    row = tx_view(spark, sf_dir).agg(*[F.var_pop(c).alias(c) for c in cols])
+    long = row.unpivot([], cols, "feature", "v")
+    total = row.select(sum((F.col(c) for c in cols), F.lit(0.0)).alias("total"))
+    imp = long.join(F.broadcast(total)).select("feature", r6(F.col("v") / F.col("total")).alias("importance"))
+    return top_importances(imp, "importance", 3)
+
+
 def feature_importances_df(spark, sf_dir):
     """Importances of the forest, top 20 (rows per feature)."""
     from txscore.operators.explain import top_importances
@@ -97,7 +147,7 @@ def feature_importances_df(spark, sf_dir):
     return top_importances(imp, "importance", 20)
 
 
-register("feature_importances", "EXP-1,SRT-3")(feature_importances_df)
+register("feature_importances", "EXP-1")(feature_importances_df)
 
 
 # ---- end to end: preparation, oversampling, six models, one score table --------------
@@ -114,33 +164,60 @@ def prepared_split(spark, sf_dir) -> tuple[DataFrame, DataFrame, list[str]]:
     return out.where(F.col("part") == "train"), out.where(F.col("part") == "test"), list(names.values())
 
 
-def fitted_models(spark, sf_dir):
-    """(model table, reference rows of KNN, fitted naive Bayes, test rows, features)."""
-    train, test, feats = prepared_split(spark, sf_dir)
+def fitted_models(spark, train: DataFrame, feats: list[str]):
+    """(model table, reference rows of KNN, fitted naive Bayes) from prepared train rows."""
     balanced = smote(train.withColumn("vec", F.array(*feats)), id_col="tx_id", ratio=SMOTE_RATIO)
     balanced = materialize(balanced.select("id", "label", "vec", *[F.col("vec")[i].alias(c)
                                                                    for i, c in enumerate(feats)]))
     sample = materialize(E.fit_sample(balanced, id_col="id"))
     path = IO.shared_path(spark, "models", "trees")
     IO.write_table(E.fit_table(sample, feats, id_col="id"), path)
-    return spark.read.parquet(path), sample, GaussianNBModel.fit(balanced, feats), test, feats
+    return spark.read.parquet(path), sample, GaussianNBModel.fit(balanced, feats)
 
 
-def model_scores(spark, sf_dir) -> DataFrame:
-    """(tx_id, label, model, score, pred) of every test row by all six models, fitted on the
-    prepared and oversampled train part. The tree families are written to a table and
-    loaded from it; they and the reference rows of KNN are the bounded fit sample."""
-    table, sample, bayes, test, feats = fitted_models(spark, sf_dir)
+def score_all(rows: DataFrame, table: DataFrame, sample: DataFrame, bayes: GaussianNBModel,
+              feats: list[str]) -> DataFrame:
+    """(tx_id, label, model, score, pred) of prepared rows by all six models."""
     cols = ["tx_id", "label", "model", "score", "pred"]
-    trees = E.score_table(test, E.load_models(table), feats).select(*cols)
-    nb = bayes.transform(test).withColumn("model", F.lit("NaiveBayes")).select(*cols)
-    near = knn_join(test.select(F.col("tx_id").alias("id"), F.array(*feats).alias("vec")), sample, KNN_K,
+    trees = E.score_table(rows, E.load_models(table), feats).select(*cols)
+    nb = bayes.transform(rows).withColumn("model", F.lit("NaiveBayes")).select(*cols)
+    near = knn_join(rows.select(F.col("tx_id").alias("id"), F.array(*feats).alias("vec")), sample, KNN_K,
                     metric="l1")
-    knn = (knn_classify(near, sample).join(test.select(F.col("tx_id").alias("q_id"), "label"), "q_id")
+    knn = (knn_classify(near, sample).join(rows.select(F.col("tx_id").alias("q_id"), "label"), "q_id")
            .select(F.col("q_id").alias("tx_id"), "label", F.lit("KNN").alias("model"), "score", "pred"))
     return trees.unionByName(nb).unionByName(knn)
 
 
+def model_scores(spark, sf_dir) -> DataFrame:
+    """Every test row scored by all six models, fitted on the prepared and oversampled train
+    part. The tree families are written to a table and loaded from it; they and the
+    reference rows of KNN are the bounded fit sample."""
+    train, test, feats = prepared_split(spark, sf_dir)
+    return score_all(test, *fitted_models(spark, train, feats), feats)
+
+
+def batch_scorer(spark, sf_dir) -> Callable[[DataFrame], DataFrame]:
+    """Function that scores raw transactions by all six models: the frozen preparation and the
+    fitted models, saved and loaded."""
+    sp = PP.split_tx(spark, sf_dir)
+    train = sp.where(F.col("part") == "train")
+    fitted, _ = P.fit_preparation(sp, train, PP.CATS, PP.NUMS, string_cols=PP.CATS)
+    path = IO.shared_path(spark, "models", "preparation")
+    fitted.save(spark, path)
+    frozen = P.PreparedModel.load(spark, path)
+    names = {n: f"f{i}" for i, n in enumerate(frozen.selected)}
+    feats = list(names.values())
+    ready = materialize(frozen.transform(train).withColumnsRenamed(names))
+    models = fitted_models(spark, ready, feats)
+
+    def score(rows: DataFrame) -> DataFrame:
+        if "label" not in rows.columns:  # arriving records have none
+            rows = rows.withColumn("label", F.lit(None).cast("int"))
+        return score_all(materialize(frozen.transform(rows).withColumnsRenamed(names)), *models, feats)
+
+    return score
+
+
 @register("model_scores", "MDL-9,SMP-6,SNK-6,PRJ-11")
 def model_scores_df(spark, sf_dir):
     return model_scores(spark, sf_dir).select("tx_id", "label", "model", r6("score").alias("score"), "pred")

@@ -23,8 +23,7 @@ RATIO = 1.0 / (N_FOLDS - 1)   # n_test / n_train of one fold split
 def cv_fold_scores(spark, sf_dir) -> DataFrame:
     """(metric, model, fold, score): F1 and ROC AUC of each scorer on each of
     10 stratified folds of the transaction view."""
-    tx = SM.stratified_folds(tx_view(spark, sf_dir), N_FOLDS).select("tx_id", "fold")
-    scored = score_table(tx_view(spark, sf_dir)).join(tx, "tx_id")
+    scored = score_table(SM.stratified_folds(tx_view(spark, sf_dir), N_FOLDS), keep=["fold"])
     m = M.fold_metrics(scored, ["model", "fold"])
     f1 = m.select(F.lit("f1").alias("metric"), "model", "fold", F.col("f1").alias("score"))
     auc = m.select(F.lit("roc_auc").alias("metric"), "model", "fold", F.col("roc_auc").alias("score"))
@@ -91,7 +90,7 @@ def cv_fold_scores_df(spark, sf_dir):
     return cv_fold_scores(spark, sf_dir).select("metric", "model", "fold", r6("score").alias("score"))
 
 
-register("cv_fold_scores", "MDL-10,SRC-2,SMP-2,EVL-3", with_ctes(
+register("cv_fold_scores", "SRC-2,SMP-2,EVL-3", with_ctes(
     TX_SQL, SCORES_SQL, FOLD_SCORES_SQL,
     body=f"SELECT metric, model, fold, {S.r6('score')} AS score FROM fs"))(cv_fold_scores_df)
 

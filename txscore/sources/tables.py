@@ -9,6 +9,8 @@ every catalogue query can be checked against an independent SQL run.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,13 +90,13 @@ def _score_exprs() -> dict[str, Column]:
 SCORE_MODELS = ["amount", "k", "blend", "d1"]
 
 
-def score_table(tx: DataFrame) -> DataFrame:
-    """Long score table (tx_id, model, label, score, pred) in one pass over tx."""
+def score_table(tx: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Long score table (tx_id, model, label, score, pred, keep…) in one pass over tx."""
     structs = [F.struct(F.lit(m).alias("model"), e.cast("double").alias("score"))
                for m, e in _score_exprs().items()]
-    return (tx.select("tx_id", "label", F.explode(F.array(*structs)).alias("s"))
+    return (tx.select("tx_id", "label", *keep, F.explode(F.array(*structs)).alias("s"))
               .select("tx_id", F.col("s.model").alias("model"), "label",
-                      F.col("s.score").alias("score"))
+                      F.col("s.score").alias("score"), *keep)
               .withColumn("pred", (F.col("score") >= 0.5).cast("int")))
 
 
