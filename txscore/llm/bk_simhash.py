@@ -26,9 +26,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txscore.llm.common import require, slices
@@ -45,7 +44,7 @@ SHARD_LIMIT = 50_000
 #: Hashes turned into bits at once.
 HASHES = 1 << 15
 #: Query and node pairs looked at together.
-FRONTIER = 1 << 20
+FRONTIER = 1 << 18
 #: Queries searched before trees are marked anew: few at first, when most marking pays.
 FIRST_QUERIES, QUERIES = 1 << 8, 1 << 14
 
@@ -71,18 +70,24 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, th (a hash of the text that tells apart rows of one id), fp (the 64 bits as a
+    signed long)."""
     require(docs, id_col, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text"))
+                       F.col(text_col).cast("string").alias("text"), _text_hash(text_col).alias("th"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             fp = np.array([fingerprint(t, words) for t in part.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))],
-                                             ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("th"), pa.array(fp.view(np.int64))],
+                ["doc_id", "th", "fp"])
 
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, th long, fp long")
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
 
 
 def find(parent: np.ndarray, nodes: np.ndarray) -> np.ndarray:
@@ -274,21 +279,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     smallest doc_id (rows without one come last), and of several with this id, one with the
     smallest fingerprint."""
     require(docs, id_col, text_col)
-    own = "fp"
+    own = "th"
     while own in docs.columns:
         own += "_"
-
-    @F.pandas_udf("long")
-    def bits(text: pd.Series) -> pd.Series:
-        fp = np.array([fingerprint(t, words) for t in text], np.uint64)
-        return pd.Series(fp.view(np.int64))
-
     fps = fingerprints(docs, id_col, text_col, words).checkpoint()
     classes = _classes(fps, radius, shard_limit)
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "th")
     chosen = (fps.join(classes, "fp").groupBy("root").agg(F.min(first).alias("first"))
-              .select(F.col("first.doc_id").alias("kept_id"), F.col("first.fp").alias("kept_fp")))
-    rows = docs.withColumn(own, bits(F.col(text_col).cast("string")))
+              .select(F.col("first.doc_id").alias("kept_id"), F.col("first.th").alias("kept_th")))
+    rows = docs.withColumn(own, _text_hash(text_col))
     found = rows.join(chosen, rows[id_col].cast("long").eqNullSafe(chosen.kept_id)
-                      & (rows[own] == chosen.kept_fp), "left_semi")
+                      & (rows[own] == chosen.kept_th), "left_semi")
     return found.dropDuplicates([id_col, own]).drop(own)
