@@ -32,7 +32,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -267,11 +266,12 @@ def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text_col:
     """The rows of ``docs``, all columns, whose score is below ``threshold``."""
     model = fit(docs, labels, usable=fold() != 0, text_col=text_col, **options)
 
-    @F.pandas_udf("double")
-    def toxic(text: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t) for t in text], dtype=float)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            scores = np.array([model.score(t) for t in part.column(text_col).to_pylist()])
+            yield part.filter(pa.array(scores < threshold))
 
-    return docs.where(toxic(F.col(text_col).cast("string")) < threshold)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def fold(id_col: str = "doc_id") -> Column:
