@@ -108,3 +108,26 @@ def test_rank_values_are_exact_for_any_spread(spark):
     wanted = {n: {0, 1, 1250, 2499, 2500, 3749, 4999} for n in cols}
     got = P.rank_values(df, wanted, stats)
     assert got == {(n, r): np.sort(cols[n])[r] for n in cols for r in wanted[n]}
+
+
+def test_time_features_need_their_column_and_features_keep_their_order(spark):
+    df = spark.createDataFrame([(i, float(i % 9), "ab"[i % 2], i % 2) for i in range(90)],
+                               "tx_id long, x double, c string, label int")
+    assert P.with_temporal(df).columns == df.columns
+    model, _ = P.fit_preparation(df, df, ["c"], ["x", "days"], k=10)
+    one = model.transform(df)
+    other = model.transform(df.select("label", "c", "x", "tx_id"))  # the input's order doesn't matter
+    assert one.columns == ["tx_id", "label", *model.selected] == other.columns
+    again = P.PreparedModel.from_json(model.to_json())
+    assert sorted(map(tuple, again.transform(df).collect())) == sorted(map(tuple, one.collect()))
+
+
+def test_materialized_tables_can_be_cleared(spark):
+    from txscore.session import clear_materialized, materialize
+    table = materialize(spark.range(10))
+    path = table.inputFiles()[0].rsplit("/", 1)[0]
+    assert spark.read.parquet(path).count() == 10
+    other = spark.newSession()
+    clear_materialized(other)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()
