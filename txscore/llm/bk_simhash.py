@@ -279,15 +279,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     smallest doc_id (rows without one come last), and of several with this id, one with the
     smallest fingerprint."""
     require(docs, id_col, text_col)
-    own = "th"
-    while own in docs.columns:
-        own += "_"
+    own, key = "th", "id0"
+    while {own, key} & set(docs.columns):
+        own, key = own + "_", key + "_"
+    none = F.lit(-(1 << 63))
     fps = fingerprints(docs, id_col, text_col, words).checkpoint()
     classes = _classes(fps, radius, shard_limit)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "th")
     chosen = (fps.join(classes, "fp").groupBy("root").agg(F.min(first).alias("first"))
-              .select(F.col("first.doc_id").alias("kept_id"), F.col("first.th").alias("kept_th")))
-    rows = docs.withColumn(own, _text_hash(text_col))
-    found = rows.join(chosen, rows[id_col].cast("long").eqNullSafe(chosen.kept_id)
-                      & (rows[own] == chosen.kept_th), "left_semi")
-    return found.dropDuplicates([id_col, own]).drop(own)
+              .select(F.coalesce("first.doc_id", none).alias(key), F.col("first.th").alias(own)))
+    rows = docs.withColumns({key: F.coalesce(F.col(id_col).cast("long"), none), own: _text_hash(text_col)})
+    # repeated rows meet in the join's partitions, so texts move once
+    return rows.join(chosen, [key, own], "left_semi").dropDuplicates([key, own]).drop(key, own)
