@@ -94,8 +94,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = _keyed(docs, id_col, text_col)
     found = materialize(unit_digests(keyed, unit))
     rank = F.struct("none", "id0", "th", "start")
-    first = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
-             .where("first <> last").select("digest", "first"))
+    # written out, so that both sides of the join below are plain exchanges, which adaptive
+    # execution can split where a digest is hot
+    first = materialize(found.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
+                        .where("first <> last").select("digest", "first"))
     gone = (found.join(first, "digest").where(rank != F.col("first"))
             .groupBy("none", "id0", "th").agg(F.collect_set(F.struct("start", "end")).alias("gone")))
     rows = keyed.join(gone, ["none", "id0", "th"], "left").select("doc_id", "text", "gone")
