@@ -286,7 +286,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fps = fingerprints(docs, id_col, text_col, words).checkpoint()
     classes = _classes(fps, radius, shard_limit)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "th")
-    chosen = (fps.join(classes, "fp").groupBy("root").agg(F.min(first).alias("first"))
+    # the first row of each fingerprint, then of each group: copies are combined before a join
+    firsts = fps.groupBy("fp").agg(F.min(first).alias("first"))
+    chosen = (firsts.join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
               .select(F.coalesce("first.doc_id", none).alias(key), F.col("first.th").alias(own)))
     rows = docs.withColumns({key: F.coalesce(F.col(id_col).cast("long"), none), own: _text_hash(text_col)})
     # repeated rows meet in the join's partitions, so texts move once
