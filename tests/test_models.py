@@ -73,6 +73,54 @@ def test_cv_model_scores(spark):
     assert all(r["score"] is None or 0.0 <= r["score"] <= 1.0 for r in rows)
 
 
+def small_folds(spark, n=600, n_folds=3):
+    """(table, ids, matrix, labels, folds) of rows with repeated vectors and a rare class."""
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(n, 2)), 1)
+    y = ((x.sum(1) + rng.normal(size=n)) > 2.2).astype(int)
+    fold = np.arange(n) % n_folds
+    rows = [(i, int(y[i]), int(fold[i]), float(x[i, 0]), float(x[i, 1])) for i in range(n)]
+    return spark.createDataFrame(rows, "tx_id long, label int, fold int, a double, b double"), x, y, fold
+
+
+def test_cross_validation_fits_and_scores_whole_folds(spark):
+    """Naive Bayes and nearest neighbours against numpy over all rows; the bound of the tree fits
+    takes no row out of any set."""
+    folds, x, y, fold = small_folds(spark)
+    grid = [("NaiveBayes", "nb", {"var_smoothing": 1e-2}), ("KNN", "k3", {"n_neighbors": 3}),
+            ("KNN", "k7", {"n_neighbors": 7}), ("DecisionTree", "dt", {}),
+            ("RandomForest", "rf", {"n_estimators": 130})]
+    got = N.cross_validated(folds, ["a", "b"], grid, 3, fit_rows=60).toPandas()
+    assert len(got) == len(grid) * 3 * len(x)
+    assert (got.groupby(["model", "candidate", "tx_id", "cv"]).size() == 1).all()
+    assert ((got["set"] == "Validation") == (got.cv == fold[got.tx_id])).all()
+    for cv in range(3):
+        own = np.flatnonzero(fold != cv)
+        part = {c: p.sort_values("tx_id").score.to_numpy() for c, p in got[got.cv == cv].groupby("candidate")}
+        lj = [np.log((y[own] == c).mean()) - 0.5 * (np.log(2 * np.pi * v) + (x - x[own][y[own] == c].mean(0)) ** 2 / v)
+              .sum(1) for c in (0, 1) for v in [x[own][y[own] == c].var(0) + 1e-2 * x[own].var(0).max()]]
+        assert np.allclose(part["nb"], 1 / (1 + np.exp(lj[0] - lj[1])))
+        d = np.abs(x[:, None] - x[None, own]).sum(2)
+        for k in (3, 7):
+            near = np.argsort(d, axis=1, kind="stable")[:, :k]
+            dk = np.take_along_axis(d, near, 1)
+            zero = dk == 0
+            w = np.where(zero.any(1, keepdims=True), zero, 1 / np.where(zero, 1, dk))
+            assert np.allclose(part[f"k{k}"], (w * (y[own][near] == 1)).sum(1) / w.sum(1))
+
+
+def test_cv_model_scores_measures_every_train_row(spark, monkeypatch):
+    """With a fit sample far smaller than the train part."""
+    seen = []
+    bounded, measured = N.fit_sample, L.M.fold_metrics
+    monkeypatch.setattr(N, "fit_sample", lambda *a, **o: bounded(*a, **o | {"n": 100}))
+    monkeypatch.setattr(L.M, "fold_metrics", lambda df, by: seen.append(measured(df, by)) or seen[-1])
+    L.cv_model_scores(spark, SMALL)
+    train = L._train_test(spark, SMALL)[0].count()
+    sizes = {r.model: r.n for r in seen[0].groupBy("model").agg(F.sum(F.expr("tn + fp + fn + tp")).alias("n")).collect()}
+    assert sizes == dict.fromkeys(L.MODELS, train) and train > 700
+
+
 @pytest.mark.parametrize("name", ["dt_scores", "rf_scores", "gbt_scores", "samme_scores"])
 def test_family_scores_vary_and_are_probabilities(spark, name):
     rows = Q[name](spark, SMALL).collect()

@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txscore.operators.ordered import join_small
+
 VAR_SMOOTHING = 1e-05   # fixed value of the tuned model
 
 
@@ -95,3 +97,47 @@ class GaussianNBModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``score`` = P(class 1 | x) and ``pred`` (1 iff P(1) > 0.5)."""
         return df.withColumn("score", self.score_expr()).withColumn("pred", (F.col("score") > 0.5).cast("int"))
+
+
+def gnb_fit_grouped(train: DataFrame, features: Sequence[str], group: str, smoothing: dict[str, float],
+                    label: str = "label") -> DataFrame:
+    """One row for each group (e.g. the training part of a fold) and candidate (name: var_smoothing)
+    with both classes' prior, means and smoothed variances as columns ``{c}_prior``, ``{c}_m__f``,
+    ``{c}_v__f``, null for a class without rows: all groups are fitted by two grouped aggregates."""
+    feats = list(features)
+    widest = F.array_max(F.array(*[F.var_pop(c) for c in feats]))
+    top = train.groupBy(group).agg(widest.alias("_top"), F.count(F.lit(1)).alias("_n"))
+
+    def of(c: int, value: Column) -> Column:
+        return F.when(F.col(label) == c, value)
+
+    per = train.groupBy(group).agg(
+        *[F.count(of(c, F.lit(1))).alias(f"_n{c}") for c in (0, 1)],
+        *[F.avg(of(c, F.col(f))).alias(f"{c}_m__{f}") for c in (0, 1) for f in feats],
+        *[F.var_pop(of(c, F.col(f))).alias(f"_v{c}__{f}") for c in (0, 1) for f in feats])
+    names = F.explode(F.array(*[F.struct(F.lit(n).alias("candidate"), F.lit(float(v)).alias("_vs"))
+                                for n, v in smoothing.items()]))
+    per = per.join(top, group).select("*", names.alias("_s"))   # groups x candidates rows
+    return per.select(
+        group, F.col("_s.candidate").alias("candidate"),
+        *[F.when(F.col(f"_n{c}") > 0, F.col(f"_n{c}") / F.col("_n")).alias(f"{c}_prior") for c in (0, 1)],
+        *[F.col(f"{c}_m__{f}") for c in (0, 1) for f in feats],
+        *[(F.col(f"_v{c}__{f}") + F.col("_s._vs") * F.col("_top")).alias(f"{c}_v__{f}") for c in (0, 1) for f in feats])
+
+
+def gnb_transform_grouped(df: DataFrame, params: DataFrame, features: Sequence[str], group: str) -> DataFrame:
+    """Every row scored with the parameters of its group by each candidate (a join with the small
+    parameter table); adds ``candidate``, ``score`` and ``pred``."""
+    j = join_small(df, params, [group])
+
+    def jll(c: int) -> Column:
+        out = F.log(F.col(f"{c}_prior"))
+        for f in features:
+            v = F.col(f"{c}_v__{f}")
+            out = out - F.lit(0.5) * F.log(F.lit(2.0 * math.pi) * v) \
+                - F.lit(0.5) * (F.col(f) - F.col(f"{c}_m__{f}")) ** 2 / v
+        return F.when(F.col(f"{c}_prior").isNull(), F.lit(-math.inf)).otherwise(out)
+
+    score = F.lit(1.0) / (F.lit(1.0) + F.exp(jll(0) - jll(1)))
+    return j.select(*df.columns, "candidate", score.alias("score")) \
+        .withColumn("pred", (F.col("score") > 0.5).cast("int"))

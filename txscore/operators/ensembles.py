@@ -1,7 +1,8 @@
 """Tree families fitted on bounded samples, many fits at a time.
 
-A classifier is fitted on at most ``FIT_ROWS`` labelled rows (a hash picks them; the only
-bound, rounds and depth are the tuned ones). Each fit is one group of a grouped map: the
+A classifier is fitted on at most ``FIT_ROWS`` labelled rows (a hash picks them within each class;
+the only bound, rounds and depth are the tuned ones; a cross-validation bounds the tree fits of each
+fold alone and scores all rows). Each fit is one group of a grouped map: the
 sample with a key (candidate, fold, family) goes to the task that fits this key, so grid
 search and cross-validation run as wide as they have fits, and a forest is cut into
 chunks of trees that are fitted side by side. A fitted model is one row of a table
@@ -19,18 +20,28 @@ half the gain does not exceed ``gamma``: a summed loss reduction, as in the tune
 
 from __future__ import annotations
 
+import functools
 import io
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txscore.functions.hashing import DEFAULT_SEED, row_hash
+from txscore.functions.hashing import DEFAULT_SEED, row_hash, uniform
+from txscore.operators.bayes import VAR_SMOOTHING, gnb_fit_grouped, gnb_transform_grouped
+from txscore.operators.neighbors import knn_classify, knn_join
+from txscore.operators.smote import smote
+from txscore.session import materialize
 
 FIT_ROWS = 20_000
+#: Rows that one task of a cross-validation scores with one model, and its most tasks.
+SCORE_ROWS, MAX_TASKS = 1 << 15, 4096
+#: Fixed value of the tuned nearest-neighbour classifier.
+NEIGHBOURS = 3
 BINS = 32
 
 # Tuned hyper-parameters of the source pipeline per family.
@@ -309,10 +320,31 @@ def probability(family: str, model: Trees, x: np.ndarray) -> tuple[np.ndarray, n
 # --- on Spark ------------------------------------------------------------------------
 
 def fit_sample(train: DataFrame, id_col: str = "tx_id", label: str = "label", n: int = FIT_ROWS,
-               seed: int = DEFAULT_SEED) -> DataFrame:
-    """At most ``n`` labelled rows, picked by the hash of their id."""
-    return (train.where(F.col(label).isNotNull()).withColumn("_h", row_hash(id_col, seed))
-            .orderBy("_h", id_col).limit(n).drop("_h"))
+               seed: int = DEFAULT_SEED, by: Sequence[str] = ()) -> DataFrame:
+    """At most ``n`` labelled rows (of each group ``by``), picked by the hash of their id; every
+    class keeps its share, and at least one row."""
+    keys = [*by, label]
+    known = train.where(F.col(label).isNotNull())
+    groups: dict[tuple, dict] = {}
+    for *group, cls, count in known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect():  # groups x classes
+        groups.setdefault(tuple(group), {})[cls] = count
+    quotas = []
+    for group, counts in groups.items():
+        total = sum(counts.values())
+        take = {c: k if total <= n else max(1, k * n // total) for c, k in counts.items()}
+        largest = max(take, key=lambda c: (take[c], str(c)))
+        take[largest] -= max(0, sum(take.values()) - n)
+        # only rows below this share of the hashes are ranked, so that a rank's group is bounded too
+        quotas += [(*group, c, k, min(1.0, (k + 6 * math.sqrt(k) + 20) / counts[c])) for c, k in take.items()]
+    if all(sum(c.values()) <= n for c in groups.values()):
+        return known
+    kinds = dict(train.dtypes)
+    table = train.sparkSession.createDataFrame(quotas, ", ".join(
+        [*(f"{c} {kinds[c]}" for c in keys), "_k long, _p double"]))
+    order = Window.partitionBy(*keys).orderBy("_h", id_col)
+    near = known.withColumn("_h", row_hash(id_col, seed)).join(F.broadcast(table), keys) \
+        .where(uniform(F.col("_h")) <= F.col("_p"))
+    return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= F.col("_k")).select(*train.columns)
 
 
 def fit_table(sample: DataFrame, features: Sequence[str], families: Sequence[str] = FAMILIES,
@@ -384,103 +416,114 @@ def score_table(rows: DataFrame, models: dict[tuple, Trees], features: Sequence[
         .mapInPandas(run, schema)
 
 
-# --- small families for fits inside a group --------------------------------------------
-
-def neighbour_scores(x: np.ndarray, y: np.ndarray, xt: np.ndarray, n_neighbors: int = 3,
-                     block: int = 512) -> np.ndarray:
-    """Distance-weighted vote of the nearest rows (L1); rows at distance zero share all weight."""
-    out, k = np.zeros(len(xt)), min(n_neighbors, len(x))
-    for i in range(0, len(xt), block):
-        d = np.zeros((min(block, len(xt) - i), len(x)))
-        for f in range(x.shape[1]):
-            d += np.abs(xt[i:i + block, f, None] - x[None, :, f])
-        near = np.argsort(d, axis=1, kind="stable")[:, :k]
-        d = np.take_along_axis(d, near, 1)
-        zero = d == 0
-        w = np.where(zero.any(1, keepdims=True), zero, 1 / np.where(zero, 1, d))
-        out[i:i + block] = (w * (y[near] == 1)).sum(1) / w.sum(1)
-    return out
-
+# --- cross-validation: trees in tasks of their own, the other families as jobs over all rows --
 
-def bayes_scores(x: np.ndarray, y: np.ndarray, xt: np.ndarray, var_smoothing: float = 1e-9) -> np.ndarray:
-    """P(class 1) of Gaussian naive Bayes; a class without rows has no chance."""
-    eps, log_joint = var_smoothing * x.var(0).max(), []
-    for c in (0, 1):
-        own = x[y == c]
-        if not len(own):
-            log_joint.append(np.full(len(xt), -np.inf))
-            continue
-        var = own.var(0) + eps
-        log_joint.append(np.log(len(own) / len(x)) - 0.5 * np.log(2 * np.pi * var).sum()
-                         - 0.5 * ((xt - own.mean(0))**2 / var).sum(1))
-    with np.errstate(over="ignore", invalid="ignore"):
-        return 1 / (1 + np.exp(np.clip(log_joint[0] - log_joint[1], -700, 700)))
-
-
-def oversample(x: np.ndarray, y: np.ndarray, ratio: float, k: int = 5,
-               seed: int = DEFAULT_SEED) -> tuple[np.ndarray, np.ndarray]:
-    """Synthetic minority rows between near minority rows, up to ``ratio`` of the majority."""
-    minority = x[y == 1]
-    need = int(ratio * (y == 0).sum() - len(minority))
-    if need <= 0 or len(minority) < 2:
-        return x, y
-    rng, k = np.random.default_rng(seed), min(k, len(minority) - 1)
-    base = np.arange(need) % len(minority)
-    new = np.empty((need, x.shape[1]))
-    for i in range(0, len(minority), 512):
-        d = ((minority[i:i + 512, None, :] - minority[None])**2).sum(2)
-        d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
-        near = np.argsort(d, axis=1, kind="stable")[:, :k]
-        for j in np.flatnonzero((base >= i) & (base < i + 512)).tolist():
-            other = minority[near[base[j] - i, rng.integers(k)]]
-            new[j] = minority[base[j]] + rng.random() * (other - minority[base[j]])
-    return np.concatenate([x, new]), np.concatenate([y, np.ones(need, y.dtype)])
-
-
-def predict(family: str, x: np.ndarray, y: np.ndarray, xt: np.ndarray,
-            params: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(score, class) of rows ``xt`` by a family fitted on (x, y)."""
-    if family == "KNN":
-        s = neighbour_scores(x, y, xt, **params)
-    elif family == "NaiveBayes":
-        s = bayes_scores(x, y, xt, **params)
-    else:
-        return probability(family, fit(family, x, y, **params), xt)
-    return s, (s > 0.5).astype(np.int32)
-
-
-def cross_validated(sample: DataFrame, features: Sequence[str], candidates: Sequence[tuple[str, str, dict]],
-                    n_folds: int, ratio: float | None = None, label: str = "label", id_col: str = "tx_id",
-                    training: bool = True) -> DataFrame:
-    """(model, candidate, cv, set, id, label, score, pred): every candidate (family, name,
-    parameters) fitted on every fold's other rows, which are oversampled first if ``ratio`` is
-    given, and its predictions for the held-out rows (set Validation) and, with
-    ``training``, for the rows it was fitted on (set Training).
+def score_folds(rows: DataFrame, models: DataFrame, features: Sequence[str], names: Sequence[tuple[str, str]],
+                per_fold: int, n_folds: int, id_col: str = "tx_id", label: str = "label") -> DataFrame:
+    """(model, candidate, cv, set, id, label, score, pred): every row of ``rows`` (cv, set, id,
+    label, features) scored by the trees of its ``cv``.
 
-    ``sample`` is a bounded table with a column ``fold``; each fit is a task of its own."""
-    features, fits = list(features), {(f, n): dict(p) for f, n, p in candidates}
-    kinds = dict(sample.dtypes)
+    ``models`` has the fitted chunks by (family, candidate, cv). A task scores at most about
+    ``SCORE_ROWS`` rows, a hash slice of one cv, by one model, which it alone decodes."""
+    features, n = list(features), max(1, math.ceil(per_fold / SCORE_ROWS))
+    keys = ["model", "candidate", "cv", "slice"]
+    kinds = dict(rows.dtypes)
+    schema = (f"model string, candidate string, cv int, set string, {id_col} {kinds[id_col]}, "
+              f"{label} {kinds[label]}, score double, pred int")
     out_cols = ["model", "candidate", "cv", "set", id_col, label, "score", "pred"]
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        family, name, cv = key
-        rows = rows.sort_values(id_col, kind="stable")
-        x, y = rows[features].to_numpy(float), rows[label].to_numpy()
-        held = rows["fold"].to_numpy() == cv
-        fx, fy = oversample(x[~held], y[~held], ratio) if ratio else (x[~held], y[~held])
-        seen = np.ones(len(rows), bool) if training else held
-        score, pred = predict(family, fx, fy, x[seen], fits[family, name])
-        out = rows.loc[rows.index[seen], [id_col, label]].copy()
-        out["model"], out["candidate"], out["cv"] = family, name, int(cv)
-        out["set"] = np.where(held[seen], "Validation", "Training")
-        out["score"], out["pred"] = score, pred
+    def run(key: tuple, parts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if parts.empty or own.empty:
+            return pd.DataFrame(columns=out_cols)
+        trees = join_trees([Trees.from_bytes(b) for b in parts.sort_values("chunk")["trees"]])
+        out = own[["set", id_col, label]].copy()
+        out["model"], out["candidate"], out["cv"] = key[0], key[1], int(key[2])
+        out["score"], out["pred"] = probability(key[0], trees, own[features].to_numpy(float))
         return out[out_cols]
 
-    todo = F.explode(F.array(*[F.struct(F.lit(f).alias("model"), F.lit(n).alias("candidate"),
-                                        F.lit(c).alias("cv")) for f, n in fits for c in range(n_folds)]))
-    copies = sample.select(id_col, label, "fold", *[F.col(c).cast("double").alias(c) for c in features],
-                           todo.alias("job")).select("*", "job.*").drop("job")
-    schema = (f"model string, candidate string, cv int, set string, {id_col} {kinds[id_col]}, "
-              f"{label} {kinds[label]}, score double, pred int")
-    return (copies.repartition(len(fits) * n_folds, "model", "candidate", "cv")
-            .groupBy("model", "candidate", "cv").applyInPandas(run, schema))
+    todo = F.explode(F.array(*[F.struct(F.lit(f).alias("model"), F.lit(c).alias("candidate")) for f, c in names]))
+    tasks = max(1, min(len(names) * n_folds * n, MAX_TASKS))
+    asked = rows.select("cv", "set", id_col, label, *features, todo.alias("job"),
+                        F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias("slice")) \
+        .select("*", "job.*").drop("job").repartition(tasks, *keys)
+    fitted = models.select(F.col("family").alias("model"), "candidate", "cv", "chunk", F.col("model").alias("trees"),
+                           F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("slice")).repartition(tasks, *keys)
+    return fitted.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(run, schema)
+
+
+def neighbour_votes(train: DataFrame, rows: DataFrame, ks: dict[str, int], id_col: str = "tx_id",
+                    label: str = "label") -> DataFrame:
+    """Predictions by the k nearest rows (L1) of ``train`` (cv, id, label, vec), for the candidates
+    ``ks`` (name: k); ``rows``: cv, set, id, label, vec.
+
+    Held-out rows go through the exact join, once for the largest k. A row that is itself a
+    reference has neighbours at distance zero, which share all weight: the first k references,
+    in id order, of equal vectors, so these rows only need the counts of their vector."""
+    most = max(ks.values())
+    held, known = (rows.where(F.col("set") == s) for s in ("Validation", "Training"))
+    near = materialize(knn_join(held.select("cv", F.col(id_col).alias("id"), "vec"), train, most, metric="l1",
+                                group="cv").withColumn("cv", F.col("cv").cast("int")))
+    refs = train.select("cv", "id", "label")
+    first = Window.partitionBy("cv", "vec").orderBy("id")
+    # a filter on the rank lets every task drop all but the first rows of a vector before the exchange
+    same = train.select("cv", "vec", "id", "label").withColumn("rank", F.row_number().over(first)) \
+        .where(F.col("rank") <= most)
+    same = materialize(same.groupBy("cv", "vec").agg(*[F.avg(F.when(
+        F.col("rank") <= k, (F.col("label") == 1).cast("double"))).alias(f"k{k}") for k in sorted(set(ks.values()))]))
+    cols = ["cv", "set", F.col(id_col), F.col(label), "score"]
+    out = None
+    for name, k in ks.items():
+        votes = knn_classify(near.where(F.col("rank") <= k), refs, group="cv").drop("pred") \
+            .withColumnRenamed("q_id", id_col).join(held, ["cv", id_col]).select(*cols)
+        votes = votes.unionByName(known.join(same, ["cv", "vec"]).withColumn("score", F.col(f"k{k}")).select(*cols))
+        votes = votes.withColumns({"model": F.lit("KNN"), "candidate": F.lit(name)})
+        out = votes if out is None else out.unionByName(votes)
+    return out.withColumn("pred", (F.col("score") > 0.5).cast("int"))
+
+
+def cross_validated(folds: DataFrame, features: Sequence[str], candidates: Sequence[tuple[str, str, dict]],
+                    n_folds: int, ratio: float | None = None, label: str = "label", id_col: str = "tx_id",
+                    training: bool = True, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """(model, candidate, cv, set, id, label, score, pred): every candidate (family, name,
+    parameters) fitted on every fold's other rows, which are oversampled first if ``ratio`` is
+    given, and its predictions for all held-out rows (set Validation) and, with
+    ``training``, for all rows it was fitted on (set Training).
+
+    ``folds`` is a table of any size with a column ``fold`` and an integer id. Oversampling, naive Bayes
+    and nearest neighbours run as jobs over whole folds, grouped by the key ``cv``. Only the
+    tree families are fitted on at most ``fit_rows`` rows of each fold's training part."""
+    features = list(features)
+    by_family: dict[str, dict[str, dict]] = {}
+    for family, name, p in candidates:
+        by_family.setdefault(family, {})[name] = dict(p)
+    base = folds.where(F.col(label).isNotNull()).select(
+        id_col, F.col(label).cast("int").alias(label), F.col("fold").cast("int").alias("fold"),
+        *[F.col(c).cast("double").alias(c) for c in features]).withColumn("vec", F.array(*features))
+    every = F.sequence(F.lit(0), F.lit(n_folds - 1))
+    others = F.explode(F.filter(every, lambda t: t != F.col("fold")))
+    train = base.select(F.col(id_col).alias("id"), F.col(label).alias("label"), "vec", others.alias("cv"))
+    if ratio:
+        train = smote(train, ratio=ratio, group="cv")
+    train = materialize(train.select("cv", "id", "label", "vec", *[F.col("vec")[i].alias(c)
+                                                                   for i, c in enumerate(features)]))
+    rows = base.select("*", F.explode(every).alias("cv")) if training else base.withColumn("cv", F.col("fold"))
+    rows = rows.withColumn("set", F.when(F.col("cv") == F.col("fold"), "Validation").otherwise("Training"))
+    out_cols = ["model", "candidate", "cv", "set", id_col, label, "score", "pred"]
+    parts = []
+    trees = [(f, n, p) for f, own in by_family.items() if f in FAMILIES for n, p in own.items()]
+    if trees:
+        sample = materialize(fit_sample(train, id_col="id", n=fit_rows, by=["cv"]))
+        fitted = [fit_table(sample, features, [f], {f: p}, id_col="id", by=["cv"]).withColumn("candidate", F.lit(n))
+                  for f, n, p in trees]
+        fitted = materialize(functools.reduce(DataFrame.unionByName, fitted))
+        count = base.count()
+        parts.append(score_folds(rows, fitted, features, [(f, n) for f, n, _ in trees],
+                                 count if training else math.ceil(count / n_folds), n_folds, id_col, label))
+    if bayes := by_family.get("NaiveBayes"):
+        smoothing = {n: p.get("var_smoothing", VAR_SMOOTHING) for n, p in bayes.items()}
+        params = gnb_fit_grouped(train, features, "cv", smoothing)
+        parts.append(gnb_transform_grouped(rows, params, features, "cv").withColumn("model", F.lit("NaiveBayes")))
+    if near := by_family.get("KNN"):
+        parts.append(neighbour_votes(train, rows, {n: p.get("n_neighbors", NEIGHBOURS) for n, p in near.items()},
+                                     id_col, label))
+    return functools.reduce(DataFrame.unionByName, [p.select(*out_cols) for p in parts])

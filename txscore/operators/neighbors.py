@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.operators.ordered import join_small
+from txscore.session import materialize
 
 TARGET_BAND_ROWS = 256   # reference rows per band, while there are fewer than BANDS bands
 BANDS = 4096             # bands of the projection; larger tables have more rows in each
@@ -83,7 +84,8 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     R = refs.select(gr.alias("_g"), F.col(r_id).alias("r_id"), F.col(r_vec).cast("array<double>").alias("r_vec"))
     Q = Q.withColumn("_s", _projection(F.col("q_vec"), dim, metric))
     R = R.withColumn("_s", _projection(F.col("r_vec"), dim, metric))
-    n_refs = R.count()
+    # a band of a group is what a task compares, so the largest group sets the number of bands
+    n_refs = R.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
     edges = _band_edges(R, n_refs)
     n_bands = len(edges) - 1
 
@@ -125,7 +127,8 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     r_near = Rb.select("_g", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
                        "r_id", "r_vec")
     cand1 = merge(block_topk(Qb.select("_g", F.col("q_band").alias("band"), "q_id", "q_vec"), r_near))
-    radius = cand1.groupBy("_g", "q_id").agg(F.max("dist").alias("_r"), F.count(F.lit(1)).alias("_c"))
+    # written once: pass 2 reads it for its slice counts and for its queries
+    radius = materialize(cand1.groupBy("_g", "q_id").agg(F.max("dist").alias("_r"), F.count(F.lit(1)).alias("_c")))
     full_range = F.lit(math.inf)
     # the slack covers rounding in the projected sums and distances
     Qr = (Qb.join(radius, ["_g", "q_id"], "left")

@@ -379,10 +379,11 @@ best AS (SELECT metric, model, m, ROW_NUMBER() OVER (PARTITION BY metric ORDER B
 # ---- cross-validated comparison with oversampling inside the folds --------------
 
 def cv_model_scores(spark, sf_dir, n_folds: int = 10) -> DataFrame:
-    """(metric, model, fold, score) of the six tuned models for every scorer. Each fold's
-    training rows alone are oversampled (ratio 0.20); all fits run side by side."""
+    """(metric, model, fold, score) of the six tuned models for every scorer, measured on all rows
+    of the train part. Each fold's training rows alone are oversampled (ratio 0.20); only the tree
+    families are fitted on a bounded sample of them."""
     train, _ = _train_test(spark, sf_dir)
-    folds = materialize(SM.stratified_folds(E.fit_sample(train), n_folds))
+    folds = materialize(SM.stratified_folds(train, n_folds))
     preds = E.cross_validated(folds, GNB_FEATURES, [(m, "tuned", {}) for m in MODELS], n_folds,
                               ratio=SMOTE_RATIO, training=False)
     m = M.fold_metrics(preds, ["model", "cv"])
