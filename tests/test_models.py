@@ -121,6 +121,24 @@ def test_cv_model_scores_measures_every_train_row(spark, monkeypatch):
     assert sizes == dict.fromkeys(L.MODELS, train) and train > 700
 
 
+def test_grid_search_measures_and_refits_on_every_train_row(spark, monkeypatch):
+    """With a fit sample far smaller than the train part."""
+    seen, fitted, refs = [], [], []
+    bounded, measured, bayes, near = N.fit_sample, L.M.fold_metrics, GaussianNBModel.fit, L.knn_join
+    monkeypatch.setattr(N, "fit_sample", lambda *a, **o: bounded(*a, **o | {"n": 100}))
+    monkeypatch.setattr(L.M, "fold_metrics", lambda df, by: seen.append(measured(df, by)) or seen[-1])
+    monkeypatch.setattr(GaussianNBModel, "fit", staticmethod(
+        lambda df, *a, **o: fitted.append(df.count()) or bayes(df, *a, **o)))
+    monkeypatch.setattr(L, "knn_join", lambda q, r, *a, **o: refs.append(r.count()) or near(q, r, *a, **o))
+    grid = [("NaiveBayes", "nb", {"var_smoothing": 1e-5}), ("KNN", "k", {"n_neighbors": 3}), ("DecisionTree", "dt", {})]
+    L.grid_search(spark, SMALL, n_folds=3, grid=grid)
+    train = L._train_test(spark, SMALL)[0].count()
+    sizes = seen[0].groupBy("model", "set").agg(F.sum(F.expr("tn + fp + fn + tp")).alias("n")).collect()
+    assert {(r.model, r.set): r.n for r in sizes} == {
+        (f, s): k * train for f, _, _ in grid for s, k in (("Validation", 1), ("Training", 2))}
+    assert fitted == refs == [train] and train > 700
+
+
 @pytest.mark.parametrize("name", ["dt_scores", "rf_scores", "gbt_scores", "samme_scores"])
 def test_family_scores_vary_and_are_probabilities(spark, name):
     rows = Q[name](spark, SMALL).collect()

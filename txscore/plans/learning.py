@@ -302,15 +302,16 @@ def grid_report(preds: DataFrame, refit: str = "f1") -> tuple[DataFrame, DataFra
     return means, best
 
 
-def tuned_scores(sample: DataFrame, test: DataFrame, params: dict[str, dict],
+def tuned_scores(train: DataFrame, test: DataFrame, params: dict[str, dict],
                  feats: list[str] = GNB_FEATURES) -> DataFrame:
-    """(tx_id, label, model, score, pred) of the test rows by models fitted on the sample."""
+    """(tx_id, label, model, score, pred) of the test rows by naive Bayes and nearest neighbours of
+    all train rows, and tree families fitted on the bounded sample of them."""
     cols = ["tx_id", "label", "model", "score", "pred"]
     trees = {m: p for m, p in params.items() if m in E.FAMILIES}
-    table = E.fit_table(sample, feats, list(trees), trees)
+    table = E.fit_table(E.fit_sample(train), feats, list(trees), trees)
     out = E.score_table(test, E.load_models(table), feats).select(*cols)
-    nb = GaussianNBModel.fit(sample, feats, **params["NaiveBayes"]).transform(test)
-    ref = sample.select(F.col("tx_id").alias("id"), "label", F.array(*feats).alias("vec"))
+    nb = GaussianNBModel.fit(train, feats, **params["NaiveBayes"]).transform(test)
+    ref = train.select(F.col("tx_id").alias("id"), "label", F.array(*feats).alias("vec"))
     near = knn_join(test.select(F.col("tx_id").alias("id"), F.array(*feats).alias("vec")), ref,
                     params["KNN"].get("n_neighbors", KNN_K), metric="l1")
     knn = (knn_classify(near, ref).join(test.select(F.col("tx_id").alias("q_id"), "label"), "q_id")
@@ -319,11 +320,12 @@ def tuned_scores(sample: DataFrame, test: DataFrame, params: dict[str, dict],
 
 
 def grid_search(spark, sf_dir, refit: str = "f1", n_folds: int = 10, grid=None) -> DataFrame:
-    """All families' candidates (``GRID`` if not given) on all folds of the bounded sample of the train part: for each
+    """All families' candidates (``GRID`` if not given) on all folds of the train part, whose rows
+    all are scored (only the tree fits are bounded): for each
     model and set, every scorer's best mean over candidates (``per_metric_max``) and the
     means of the candidate chosen by ``refit`` (``best_candidate``)."""
     train, _ = _train_test(spark, sf_dir)
-    folds = materialize(SM.stratified_folds(E.fit_sample(train), n_folds))
+    folds = materialize(SM.stratified_folds(train, n_folds))
     grid = GRID if grid is None else grid
     preds = materialize(E.cross_validated(folds, GNB_FEATURES, grid, n_folds))
     means, best = grid_report(preds, refit)
@@ -332,7 +334,7 @@ def grid_search(spark, sf_dir, refit: str = "f1", n_folds: int = 10, grid=None)
     chosen = means.join(best, ["model", "candidate"]).withColumn("selection", F.lit("best_candidate"))
     maxima = means.groupBy("model", "set").agg(*[F.max(n).alias(n) for n in names]) \
         .withColumns({"selection": F.lit("per_metric_max"), "candidate": F.lit(None).cast("string")})
-    # the chosen candidates, fitted on the whole sample, on the test part
+    # the chosen candidates, fitted on the whole train part, on the test part
     params = {(f, n): p for f, n, p in grid}
     _, test = _train_test(spark, sf_dir)
     final = {r.model: (r.candidate, params[r.model, r.candidate]) for r in best.collect()}  # one row a model
