@@ -27,6 +27,21 @@ PAGES = {
     "table": (f"<table><tr><td><a href=x>menu</a></td><td><p>{P}</p><p>{Q}</p></td></tr></table>", [P, Q]),
     "hidden": (f"<article><p>{P}</p><p hidden>{Q}</p><aside>x</aside><section class='reader-comments'>{Q}</section>"
                f"<p style='display:none'>no</p><!-- <p>no</p> --><p title=\"a>b\">{Q}</p></article>", [P, Q]),
+    "wrappers": (f"<body><div class='site has-sidebar'><div class='content no-sidebar'><h1>T</h1><p>{P}</p><p>{Q}</p>"
+                 f"</div><div class='sidebar'><p>{P}</p></div></div><div id=comments><div class=comment><p>{Q}</p></div>"
+                 f"</div></body>", ["T", P, Q]),
+    "named article": (f"<main><article class='post comments-open'><h1>T</h1><p>{P}</p><section class=comments><p>{Q}"
+                      f"</p></section><p>{Q}</p></article></main><div><p>{P[:80]}</div>", ["T", P, Q]),
+    "named page": (f"<div id='social-policy'><p>{P}<p>{Q}</div><div class='cookie-notice'>We use cookies.</div>", [P, Q]),
+    "named article below more text": (
+        f"<div class=page-with-header><article class=has-related><p>{P}<p>{Q}</article></div>"
+        f"<div class=ad><p>{P}</div>", [P, Q]),
+    "text in a named element only": (f"<body class=x><div class='modal-open'>{P}</div></body>", [P]),
+    "advert longer than the article": (f"<div class='ad'>{P}</div><article><h1>T</h1><p>Short.</article>", ["T", "Short."]),
+    "links of an article": (f"<div><a href=1>Home</a> <a href=2>News</a></div><article><p>{P}</p><p>{Q}</p><ul><li>"
+                            f"<a href=1>Source one</a><li><a href=2>Source two</a></ul></article>",
+                            [P, Q, "Source one", "Source two"]),
+    "deep names": ("<div class='has-sidebar'>" * 3000 + P, [P]),
     "references": ("<p>a &lt;b&gt;&#x41;&nbsp;&nbsp; x<br>y</p>", ["a <b>A x y"]),
     "text": ("just  text", ["just text"]),
     "broken quote": (f'<p a="x>{P}</p>', [P]),

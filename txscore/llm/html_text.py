@@ -1,8 +1,12 @@
 """Main text of web pages by composite text density.
 
-A page is parsed into nodes. Elements that hold no article text by their tag, role or class
-(menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader
-comments, hidden parts) are left out. For every other node
+A page is parsed into nodes. Elements that hold no article text by their tag or role (menus, page
+headers, footers, forms, scripts, styles, hidden parts) are left out. A class or id that names
+a sidebar, notice, advert, reader comments and the like is evidence only, as page wrappers carry
+such words too (``has-sidebar``, ``comments-open``): the element is left out unless it holds the
+node with the largest density sum of the page, the article or main element with most of the text,
+or more text than all that stays without it (in a page whose articles hold text, only elements in
+them are measured by this share). For every other node
 
     density = C / T * log(C / LC * T / LT)  to the base  ln(C / (C - LC) * LC + LCb / Cb * C + e)
 
@@ -12,7 +16,7 @@ counting inline elements, which only mark words up. The node with the largest de
 the main subtree; the smallest density on its path from the body is the threshold, and in every
 other subtree with at least this density the node with the largest density sum is content
 as well. A content node in an article element stands for the whole of it, title included.
-Blocks of several links that hold hardly any other text are menus, and go.
+Blocks of several links that hold hardly any other text are menus, and go, outside of articles.
 
 Text of content nodes is returned whole: character references decoded, white space in a
 block as one space, blocks in page order joined by one line break. Null or empty pages, and
@@ -22,6 +26,7 @@ of any depth. Each row is a page of its own, repeated or not.
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -75,23 +80,25 @@ MENU_SHARE = 0.8
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def boilerplate(tag: str, attributes: str, inside: bool) -> bool:
-    """The element holds no article text. ``inside``: it lies in an article or main element."""
+def boilerplate(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """(the element holds no article text, its class or id names boilerplate). ``inside``: it lies
+    in an article or main element."""
     if tag in DROPPED or tag == "header" and not inside:
-        return True
+        return True, False
+    named = False
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return False, False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
             parts = {p.lower() for p in NAME_PARTS.findall(value)}
             if parts & MARKS or "header" in parts and not inside and tag != "article":
-                return True
+                named = True
         elif name == "role" and value.lower() in ROLES or name == "hidden" or (
                 name == "aria-hidden" and value.lower() == "true") or (
                 name == "style" and HIDDEN.search(value)):
-            return True
-    return False
+            return True, False
+    return False, named
 
 
 class Page:
@@ -99,6 +106,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tags, self.parents = ["html"], [-1]
+        self.gone = [False]  # by node: named as boilerplate; after _settle: left out
         self.texts: list[tuple[int, str]] = []  # (node, text); node -1: the end of a block
         self.body = 0
         stack = [(0, "html", False)]  # (node or -1 where text is dropped, tag, inside an article)
@@ -137,10 +145,12 @@ class Page:
                 del stack[1:]
             top, _, inside = stack[-1]
             node = -1
-            if top >= 0 and not boilerplate(tag, attributes, inside):
+            drop, named = boilerplate(tag, attributes, inside) if top >= 0 else (True, False)
+            if not drop:
                 node = len(self.tags)
                 self.tags.append(tag)
                 self.parents.append(top)
+                self.gone.append(named)
                 if tag == "body" and not self.body:
                     self.body = node
             if tag in RAW:
@@ -150,6 +160,65 @@ class Page:
                     break
             if tag not in VOID and not (attributes.endswith("/") and tag in ("path", "svg")):
                 stack.append((node, tag, inside or tag in ("article", "main")))
+        if any(self.gone):
+            self._settle()
+
+    def _settle(self) -> None:
+        """Decides which named elements are left out, with all they hold."""
+        n, named = len(self.tags), self.gone
+        self.gone = [False] * n
+        _, total = self.densities()
+        plain, linked, held = [0] * n, [False] * n, [False] * n  # held: in an article or main element
+        for i in range(1, n):
+            linked[i] = self.tags[i] == "a" or linked[self.parents[i]]
+            held[i] = self.tags[i] in ("article", "main") or held[self.parents[i]]
+        for node, text in self.texts:
+            if node >= 0 and not linked[node]:
+                plain[node] += len(" ".join(text.split()))
+
+        def keep(node: int) -> None:
+            while node >= 0:
+                named[node] = False
+                node = self.parents[node]
+
+        def sums() -> tuple[list[int], list[int]]:
+            """Text of every node, and that outside of named elements below it."""
+            full, own = plain[:], plain[:]
+            for i in range(n - 1, 0, -1):
+                full[self.parents[i]] += full[i]
+                own[self.parents[i]] += 0 if named[i] else own[i]
+            return full, own
+
+        keep(max(range(self.body, n), key=lambda i: (total[i], -i)))
+        full, own = sums()
+        inside = [False] * n  # in a named element
+        for i in range(n):
+            inside[i] = named[i] or i > 0 and inside[self.parents[i]]
+        free = sum(p for p, h, x in zip(plain, held, inside, strict=True) if h and not x)
+        most = max((i for i in range(n) if self.tags[i] in ("article", "main") and inside[i]),
+                   key=lambda i: (own[i], -i), default=0)
+        if most and own[most] > free:
+            keep(most)
+            full, own = sums()
+            free = own[most]
+        below: dict[int, list[int]] = {}  # named elements by the next named one around them, or -1
+        around = [-1] * n
+        for i in range(n):
+            up = around[self.parents[i]] if i else -1
+            if named[i]:
+                below.setdefault(up, []).append(i)
+            around[i] = i if named[i] else up
+        # beside an article with text of its own, however short, the share of the page says nothing
+        stays, heap = own[0], [(-full[i], i) for i in below.get(-1, []) if held[i] or not free]
+        heapq.heapify(heap)
+        while heap and -heap[0][0] > stays:
+            _, node = heapq.heappop(heap)
+            named[node] = False
+            stays += own[node]
+            for i in below.get(node, []):
+                heapq.heappush(heap, (-full[i], i))
+        for i in range(1, n):
+            self.gone[i] = named[i] or self.gone[self.parents[i]]
 
     @staticmethod
     def _close(stack: list[tuple[int, str, bool]], tag: str) -> None:
@@ -168,12 +237,14 @@ class Page:
         for i in range(1, n):
             linked[i] = self.tags[i] == "a" or linked[self.parents[i]]
         for node, text in self.texts:
-            if node >= 0:
+            if node >= 0 and not self.gone[node]:
                 size = len(" ".join(text.split()))
                 chars[node] += size
                 if linked[node]:
                     link_chars[node] += size
         for i in range(n - 1, 0, -1):
+            if self.gone[i]:
+                continue
             p = self.parents[i]
             chars[p] += chars[i]
             tags[p] += tags[i] + 1
@@ -226,8 +297,8 @@ class Page:
         for i in range(1, n):
             p = self.parents[i]
             marked[i] = marked[i] or marked[p]
-            self.menu[i] = self.menu[p] or self.menu[i] and i != main
-        return [m and not menu for m, menu in zip(marked, self.menu, strict=True)]
+            self.menu[i] = self.menu[p] or self.menu[i] and i != main and article[i] < 0
+        return [m and not menu and not gone for m, menu, gone in zip(marked, self.menu, self.gone, strict=True)]
 
     def text(self) -> str:
         content = self.content()
