@@ -109,6 +109,23 @@ def test_cross_validation_fits_and_scores_whole_folds(spark):
             assert np.allclose(part[f"k{k}"], (w * (y[own][near] == 1)).sum(1) / w.sum(1))
 
 
+def test_fit_sample_keeps_the_share_of_every_class(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("tx_id"), (F.col("id") % 2).cast("int").alias("cv"),
+                                      (F.col("id") < 20).cast("int").alias("label"))
+    for n in (100, 1000):
+        got = N.fit_sample(rows, n=n, by=["cv"]).toPandas()
+        assert (got.groupby("cv").size() == n).all() and got.tx_id.is_unique
+        assert (got.groupby("cv").label.sum() == 1).all()
+    assert N.fit_sample(rows, n=10_000, by=["cv"]).count() == 20_000
+
+
+def test_a_fold_without_two_minority_rows_is_an_error(spark):
+    folds, *_ = small_folds(spark)
+    rare = folds.withColumn("label", (F.col("tx_id") == 0).cast("int"))
+    with pytest.raises(ValueError, match="fewer than two minority rows"):
+        N.cross_validated(rare, ["a", "b"], [("NaiveBayes", "nb", {})], 3, ratio=0.2)
+
+
 def test_cv_model_scores_measures_every_train_row(spark, monkeypatch):
     """With a fit sample far smaller than the train part."""
     seen = []
