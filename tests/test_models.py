@@ -171,6 +171,17 @@ def test_six_models_end_to_end(spark):
         assert auc(part.score.to_numpy(), part.label.to_numpy()) > 0.5, model
 
 
+def test_neighbours_refer_to_all_balanced_rows(spark, monkeypatch):
+    """With a fit sample far smaller than the train part."""
+    folds, x, y, _ = small_folds(spark)
+    bounded, sizes = N.fit_sample, []
+    monkeypatch.setattr(N, "fit_sample", lambda *a, **o: bounded(*a, **o | {"n": 100}))
+    monkeypatch.setattr(N, "fit_table", lambda sample, *a, **o: sizes.append(sample.count()) or sample.select("id"))
+    _, refs, _ = L.fitted_models(spark, folds, ["a", "b"])
+    need = max(0, int(L.SMOTE_RATIO * (y == 0).sum() - y.sum()))
+    assert refs.count() == len(x) + need and sizes[0] <= 100
+
+
 def test_report_log_keeps_both_runs(spark):
     rows = Q["report_log"](spark, SMALL).collect()
     assert {(r.run_id, r.set) for r in rows} == {("grid", "Training"), ("grid", "Validation"), ("grid", "Test"),

@@ -165,33 +165,34 @@ def prepared_split(spark, sf_dir) -> tuple[DataFrame, DataFrame, list[str]]:
 
 
 def fitted_models(spark, train: DataFrame, feats: list[str]):
-    """(model table, reference rows of KNN, fitted naive Bayes) from prepared train rows."""
+    """(model table, reference rows of KNN, fitted naive Bayes) from prepared train rows; the
+    references are the whole balanced table."""
     balanced = smote(train.withColumn("vec", F.array(*feats)), id_col="tx_id", ratio=SMOTE_RATIO)
     balanced = materialize(balanced.select("id", "label", "vec", *[F.col("vec")[i].alias(c)
                                                                    for i, c in enumerate(feats)]))
     sample = materialize(E.fit_sample(balanced, id_col="id"))
     path = IO.shared_path(spark, "models", "trees")
     IO.write_table(E.fit_table(sample, feats, id_col="id"), path)
-    return spark.read.parquet(path), sample, GaussianNBModel.fit(balanced, feats)
+    return spark.read.parquet(path), balanced, GaussianNBModel.fit(balanced, feats)
 
 
-def score_all(rows: DataFrame, table: DataFrame, sample: DataFrame, bayes: GaussianNBModel,
+def score_all(rows: DataFrame, table: DataFrame, refs: DataFrame, bayes: GaussianNBModel,
               feats: list[str]) -> DataFrame:
     """(tx_id, label, model, score, pred) of prepared rows by all six models."""
     cols = ["tx_id", "label", "model", "score", "pred"]
     trees = E.score_table(rows, E.load_models(table), feats).select(*cols)
     nb = bayes.transform(rows).withColumn("model", F.lit("NaiveBayes")).select(*cols)
-    near = knn_join(rows.select(F.col("tx_id").alias("id"), F.array(*feats).alias("vec")), sample, KNN_K,
+    near = knn_join(rows.select(F.col("tx_id").alias("id"), F.array(*feats).alias("vec")), refs, KNN_K,
                     metric="l1")
-    knn = (knn_classify(near, sample).join(rows.select(F.col("tx_id").alias("q_id"), "label"), "q_id")
+    knn = (knn_classify(near, refs).join(rows.select(F.col("tx_id").alias("q_id"), "label"), "q_id")
            .select(F.col("q_id").alias("tx_id"), "label", F.lit("KNN").alias("model"), "score", "pred"))
     return trees.unionByName(nb).unionByName(knn)
 
 
 def model_scores(spark, sf_dir) -> DataFrame:
     """Every test row scored by all six models, fitted on the prepared and oversampled train
-    part. The tree families are written to a table and loaded from it; they and the
-    reference rows of KNN are the bounded fit sample."""
+    part. The tree families, fitted on a bounded sample, are written to a table and loaded from
+    it; KNN refers to all rows."""
     train, test, feats = prepared_split(spark, sf_dir)
     return score_all(test, *fitted_models(spark, train, feats), feats)
 
