@@ -252,3 +252,13 @@ def test_toxicity_edge_rows(spark):
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
 
 
+
+
+def test_a_repeated_id_fits_one_row(spark, monkeypatch):
+    rows = [(i % 40 if i < 80 else 0, f"plain words {i}" if i % 2 else f"awful words {i}", i) for i in range(400)]
+    docs = spark.createDataFrame([*rows, (0, None, 0)], "doc_id long, text string, n int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    sets, seen = toxicity._sets, []
+    monkeypatch.setattr(toxicity, "_sets", lambda r, *a: seen.append(r.collect()) or sets(r, *a))
+    toxicity.fit(docs, labels, max_fit=30, rounds=2)
+    assert {len(r) for r in seen} == {30} and all(x.text for x in seen[0])

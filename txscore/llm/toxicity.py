@@ -203,7 +203,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .orderBy(F.xxhash64("fit_id"), "fit_id").limit(max_fit))  # at most max_fit rows
     texts = docs.select(F.col(id_col).cast("long").alias("fit_id"),
                         F.col(text_col).cast("string").alias("text"))
-    rows = materialize(texts.join(F.broadcast(chosen), "fit_id").select("label", "text"))
+    # one text of each id, so that an id which many rows share fits no more than its one row
+    order = F.when(F.col("text").isNotNull(), F.struct(F.xxhash64("text"), "text"))
+    rows = materialize(texts.join(F.broadcast(chosen), "fit_id").groupBy("fit_id", "label")
+                       .agg(F.min_by("text", order).alias("text")).select("label", "text"))
     n, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     share = (positive + 1) / (n + 2)
     if not n or positive in (0, n):
