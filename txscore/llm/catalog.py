@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import bk_simhash, harmonic, html_text, line_dedup, piece_tokens, prefix_hash, repeats, rp_forest, toxicity, url_filter
+from txscore.llm import (bk_simhash, divergence, harmonic, html_text, line_dedup, piece_tokens, prefix_hash,
+                         repeats, rp_forest, spelling, token_counts, toxicity, url_filter)
 from txscore.llm.common import table
 
 
@@ -132,7 +133,61 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+         coalesce(source, '') AS source FROM documents),
+words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM words JOIN kept USING (lang, term)
+           GROUP BY ALL),
+v AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(v.v, 0) AS v, coalesce(c.size, 0) AS size
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS size FROM counts GROUP BY ALL) c USING (lang, source)),
+langs AS (SELECT lang, any_value(v) AS v, sum(size) AS size FROM groups GROUP BY lang),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.size + g.v) AS p
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+whole AS (
+  SELECT c.lang, c.term, 1 + (1000000000::HUGEINT * (sum(c.n) + 1)) // any_value(l.size + l.v) AS q
+  FROM counts c JOIN langs l USING (lang) GROUP BY c.lang, c.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+leads AS (
+  SELECT s.lang, s.source, 'term' AS part, s.term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM shares s JOIN whole w ON s.lang = w.lang AND s.term = w.term WHERE s.n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                               ORDER BY value DESC, encode(item))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM leads))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_rp_forest, op3_url_filter, op4_toxicity, op5_piece_tokens, op6_harmonic_pack, op7_bk_simhash, op8_prefix_hash,
-    op9_line_dedup, op10_repeats)}
-ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL, "op9_line_dedup": OP9_SQL}
+    op9_line_dedup, op10_repeats, op11_spelling, op12_divergence, op13_token_counts)}
+ORACLES: dict[str, str] = {"op3_url_filter": OP3_SQL, "op9_line_dedup": OP9_SQL, "op12_divergence": OP12_SQL}
