@@ -42,7 +42,7 @@ MIN_DOCS, SCALE, TOP = 3, 1_000_000_000, 200
 #: Terms of one transducer, and bytes of transducers that may go to every task.
 SHARD_TERMS, MAX_BROADCAST = 1 << 17, 64 << 20
 #: Terms that a task counts before it hands them on, and cells of the vectors it holds.
-HELD_TERMS, HELD_CELLS = 200_000, 1 << 20
+HELD_TERMS, HELD_CELLS = 400_000, 1 << 20
 #: Bytes of terms as they are counted (A-Z in lower case), all others as a space.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0x80 else 32 for c in range(256))
 
@@ -161,7 +161,7 @@ def _kept(rows: DataFrame, min_docs: int) -> DataFrame:
     def out(held: dict) -> Iterator[pa.RecordBatch]:
         for lang, counts in held.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()),
+                [pa.repeat(lang, len(counts)), pa.array(list(counts), pa.binary()),
                  pa.array(list(counts.values()), pa.int64())], ["lang", "term", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,25 +214,24 @@ _SHARD = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("low", pa.bin
 _COUNTS = "lang string, source string, ordinal long, n long"
 
 
-def _counts_batch(lang: list, source: list, ordinal: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(source, pa.string()),
-                                       pa.array(ordinal, pa.int64()), pa.array(n, pa.int64())],
-                                      ["lang", "source", "ordinal", "n"])
+_FIELDS = ["lang", "source", "ordinal", "n"]
 
 
-def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, list[bytes], np.ndarray]]:
-    """(lang, source, terms, counts) of the texts of a task, as often as enough terms are held."""
-    held: dict[tuple, Counter] = defaultdict(Counter)
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[str, Counter]]]:
+    """(lang, counts of terms by source) of the texts of a task, as often as enough terms are held."""
+    held: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+
+    def size() -> int:
+        return sum(len(c) for by in held.values() for c in by.values())
+
     for part in slices(batches, "text"):
         for lang, source, text in zip(*(part.column(c).to_pylist() for c in ("lang", "source", "text")),
                                       strict=True):
-            held[lang, source].update(terms(text))
-        if sum(map(len, held.values())) > HELD_TERMS:
-            for (lang, source), c in held.items():
-                yield lang, source, list(c), np.array(list(c.values()), np.int64)
+            held[lang][source].update(terms(text))
+        if size() > HELD_TERMS:
+            yield from held.items()
             held.clear()
-    for (lang, source), c in held.items():
-        yield lang, source, list(c), np.array(list(c.values()), np.int64)
+    yield from held.items()
 
 
 def _place(lows: list[tuple[str, bytes]], lang: str, words: list[bytes]) -> np.ndarray:
@@ -259,14 +258,20 @@ def recount(rows: DataFrame, shards: DataFrame, max_broadcast: int = MAX_BROADCA
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lows = [(lang, low) for lang, low, _, _ in sent.value]
             loaded = [(base, Transducer.loads(data)) for _, _, base, data in sent.value]
-            for lang, source, words, n in _streamed(batches):
-                place = _place(lows, lang, words)
+            for lang, by in _streamed(batches):
+                words = list(set().union(*by.values()))  # a term of several sources walks once
+                place, found = _place(lows, lang, words), np.full(len(words), -1, np.int64)
                 for i in np.unique(place[place >= 0]).tolist():
                     base, transducer = loaded[i]
                     at = np.flatnonzero(place == i)
                     ordinal = transducer.ordinals([words[k] for k in at.tolist()])
-                    at, ordinal = at[ordinal >= 0], ordinal[ordinal >= 0]
-                    yield _counts_batch([lang] * len(at), [source] * len(at), ordinal + base, n[at])
+                    found[at] = np.where(ordinal >= 0, ordinal + base, -1)
+                known = dict(zip(words, found.tolist(), strict=True))
+                for source, counts in by.items():
+                    ordinal = np.array([known[w] for w in counts], np.int64)
+                    n = np.array(list(counts.values()), np.int64)[ordinal >= 0]
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(n)), pa.repeat(source, len(n)),
+                                                      pa.array(ordinal[ordinal >= 0]), pa.array(n)], _FIELDS)
 
         found = rows.mapInArrow(run, _COUNTS)
     else:
@@ -276,12 +281,13 @@ def recount(rows: DataFrame, shards: DataFrame, max_broadcast: int = MAX_BROADCA
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lows = [x[:2] for x in sent_lows.value]
             shard = np.array([x[2] for x in sent_lows.value] + [-1], np.int64)
-            for lang, source, words, n in _streamed(batches):
-                own = shard[_place(lows, lang, words)]
-                k = len(words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()),
-                     pa.array(words, pa.binary()), pa.array(n)], ["shard", "lang", "source", "term", "n"])
+            for lang, by in _streamed(batches):
+                for source, counts in by.items():
+                    words, k = list(counts), len(counts)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(shard[_place(lows, lang, words)]), pa.repeat(lang, k), pa.repeat(source, k),
+                         pa.array(words, pa.binary()), pa.array(list(counts.values()), pa.int64())],
+                        ["shard", "lang", "source", "term", "n"])
 
         counted = (rows.mapInArrow(place, "shard long, lang string, source string, term binary, n long")
                    .where("shard >= 0").groupBy("shard", "lang", "source", "term").agg(F.sum("n").alias("n"))
@@ -307,8 +313,8 @@ def recount(rows: DataFrame, shards: DataFrame, max_broadcast: int = MAX_BROADCA
                     ordinal = transducer.ordinals(part.column("term").to_pylist())
                     ok = np.flatnonzero(ordinal >= 0)
                     kept = part.take(pa.array(ok))
-                    yield _counts_batch(kept.column("lang"), kept.column("source"), ordinal[ok] + base,
-                                        kept.column("n"))
+                    yield pa.RecordBatch.from_arrays([kept.column("lang"), kept.column("source"),
+                                                      pa.array(ordinal[ok] + base), kept.column("n")], _FIELDS)
 
         found = both.mapInArrow(walk, _COUNTS)
     return found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
