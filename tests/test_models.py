@@ -202,8 +202,6 @@ def test_family_learns_and_survives_storage(spark, family, tmp_path):
     xt, yt = learnable(600, 9)
     score, pred = N.probability(family, loaded[family,], xt)
     assert auc(score, yt) > 0.75 and len(np.unique(score)) > 1
-    direct = N.fit(family, x, y, **params.get(family, {}))
-    assert np.allclose(N.probability(family, direct, xt)[0], score)
     rows = spark.createDataFrame([(i, *map(float, a)) for i, a in enumerate(xt)], "tx_id long, " + ", ".join(
         f"{c} double" for c in cols))
     scored = N.score_table(rows, loaded, cols, keep=["tx_id"]).orderBy("tx_id").toPandas()
@@ -212,17 +210,21 @@ def test_family_learns_and_survives_storage(spark, family, tmp_path):
     assert share.sum() == pytest.approx(1) and share[:3].sum() > share[3:].sum()
 
 
-def test_tuned_rounds_are_run():
+def test_tuned_rounds_are_run(spark):
     x, y = learnable(300)
-    assert len(N.fit("AdaBoost", x, y).roots) > 100
-    assert len(N.fit("XGBoost", x, y).roots) == 1000
-    assert len(N.fit("RandomForest", x, y).roots) == 1000
-
-
-def test_samme_step_on_a_fixed_stump():
-    w, alpha = N.reweight(np.full(4, 0.25), np.array([True, False, False, False]), 1.0)
-    assert alpha == pytest.approx(np.log(3)) and np.allclose(w, [0.5, 1 / 6, 1 / 6, 1 / 6])
-    assert N.reweight(np.full(4, 0.25), np.array([True, True, False, False]))[1] == 0.0
+    cols = [f"c{i}" for i in range(5)]
+    rows = spark.createDataFrame([(i, int(b), *map(float, a)) for i, (a, b) in enumerate(zip(x, y, strict=True))],
+                                 "tx_id long, label int, " + ", ".join(f"{c} double" for c in cols))
+    models = N.load_models(N.fit_table(rows, cols))
+    assert len(models["AdaBoost",].roots) > 100
+    assert len(models["XGBoost",].roots) == len(models["RandomForest",].roots) == 1000
+
+
+def test_models_over_the_bound_are_not_collected(spark, monkeypatch):
+    models = spark.createDataFrame([("XGBoost", 0, bytearray(100))], "family string, chunk int, model binary")
+    monkeypatch.setattr(N, "MODEL_BYTES", 99)
+    with pytest.raises(ValueError, match="over 99"):
+        N.load_models(models)
 
 
 def test_positive_weight_moves_the_first_leaf():

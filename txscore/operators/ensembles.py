@@ -1,16 +1,19 @@
-"""Tree families fitted on bounded samples, many fits at a time.
+"""The tree families: fitted many fits at a time, stored as tables, scored in a map.
+
+* Decision trees (all folds at once) and forests grow level by level as Spark aggregates
+  (``growth``). The many small forests of a cross-validation are fitted in tasks, a chunk of trees
+  in each.
+* AdaBoost runs over the weighted cells of equal binned rows (``samme``), one task for each fit.
+* Boosted trees follow one another and are fitted in one task for each fit.
 
 A classifier is fitted on at most ``FIT_ROWS`` labelled rows (a hash picks them within each class;
 the only bound, rounds and depth are the tuned ones; a cross-validation bounds the tree fits of each
-fold alone and scores all rows). Each fit is one group of a grouped map: the
-sample with a key (candidate, fold, family) goes to the task that fits this key, so grid
-search and cross-validation run as wide as they have fits, and a forest is cut into
-chunks of trees that are fitted side by side. A fitted model is one row of a table
-(key columns, ``model``), which is saved and loaded like any table. Scoring sends the
-model, whose size its rounds and depth bound, to the tasks and maps over all rows.
+fold alone and scores all rows). A fitted model is one row of a table for each chunk of trees (key
+columns, ``model``), which is saved and loaded like any table. Scoring broadcasts the models, after
+a check of their size, and maps over all rows.
 
-Trees grow level by level over binned features. With gradients g and curvatures h of the
-loss a split gains
+Boosting and the forests in tasks share ``Grower``. With gradients g and curvatures h of the loss a
+split gains
 
     GL**2 / (HL + lam) + GR**2 / (HR + lam) - G**2 / (H + lam)
 
@@ -32,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.functions.hashing import DEFAULT_SEED, row_hash, uniform
+from txscore.operators import growth, samme
 from txscore.operators.bayes import VAR_SMOOTHING, gnb_fit_grouped, gnb_transform_grouped
 from txscore.operators.neighbors import knn_classify, knn_join
 from txscore.operators.smote import smote
@@ -42,7 +46,9 @@ FIT_ROWS = 20_000
 SCORE_ROWS, MAX_TASKS = 1 << 15, 4096
 #: Fixed value of the tuned nearest-neighbour classifier.
 NEIGHBOURS = 3
-BINS = 32
+BINS = growth.BINS
+#: Bytes of all models that scoring sends to the tasks.
+MODEL_BYTES = 512 << 20
 
 # Tuned hyper-parameters of the source pipeline per family.
 TUNED = {
@@ -140,8 +146,7 @@ class Grower:
 
     def tree(self, g: np.ndarray, h: np.ndarray, rows: np.ndarray, max_depth: int | None = None,
              lam: float = 0.0, gamma: float = 0.0, least_h: float = 0.0, min_split: int = 2,
-             features: int | None = None, rng: np.random.Generator | None = None,
-             entropy: bool = False, random_cut: bool = False) -> dict[str, np.ndarray]:
+             features: int | None = None, rng: np.random.Generator | None = None) -> dict[str, np.ndarray]:
         nodes: dict[str, list] = {k: [] for k in ("feature", "cut", "left", "right", "value", "gain")}
 
         def add(value: np.ndarray) -> int:
@@ -164,17 +169,11 @@ class Grower:
             gt, ht = gs[:, :, -1:], hs[:, :, -1:]
             gr, hr = gt - gs, ht - hs
             with np.errstate(divide="ignore", invalid="ignore"):
-                if entropy:
-                    gain = self._information(gt, ht) - self._information(gs, hs) - self._information(gr, hr)
-                else:
-                    gain = gs**2 / (hs + lam) + gr**2 / (hr + lam) - gt**2 / (ht + lam)
+                gain = gs**2 / (hs + lam) + gr**2 / (hr + lam) - gt**2 / (ht + lam)
             least = max(least_h, 1e-12)
             ok = (hs >= least) & (hr >= least) & self.open[:, None, :]
             if features is not None and features < self.f:
                 ok &= (rng.random((self.f, k)).argsort(0).argsort(0) < features)[:, :, None]
-            if random_cut:  # one random cut for each feature and node among those that split it
-                dice = np.where(ok, rng.random(shape), -1.0)
-                ok &= dice == dice.max(2, keepdims=True)
             gain = np.where(ok, gain, -np.inf).transpose(1, 0, 2).reshape(k, -1)
             best = gain.argmax(1)
             top = gain[np.arange(k), best]
@@ -203,14 +202,6 @@ class Grower:
         return {k: np.array(v, np.int64 if k in ("feature", "left", "right") else float)
                 for k, v in nodes.items()}
 
-    @staticmethod
-    def _information(g: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """Entropy of a node times its weight (bits); g: weight of class 1."""
-        p = np.where(h > 0, g / np.where(h > 0, h, 1), 0)
-        q = 1 - p
-        return -h * (np.where(p > 0, p * np.log2(np.where(p > 0, p, 1)), 0)
-                     + np.where(q > 0, q * np.log2(np.where(q > 0, q, 1)), 0))
-
 
 def assemble(trees: list[dict[str, np.ndarray]], weight: Sequence[float], bias: float = 0.0) -> Trees:
     sizes = np.cumsum([0, *(len(t["value"]) for t in trees)])
@@ -254,58 +245,12 @@ def fit_forest(x: np.ndarray, y: np.ndarray, n_estimators: int, max_depth: int |
     return assemble(trees, [1.0] * len(trees))
 
 
-def fit_tree(x: np.ndarray, y: np.ndarray, max_depth: int | None = None, min_samples_split: int = 2,
-             min_samples_leaf: int = 1, criterion: str = "entropy", splitter: str = "best",
-             seed: int = DEFAULT_SEED) -> Trees:
-    t = Grower(x).tree(y.astype(float), np.ones(len(y)), np.arange(len(y)), max_depth,
-                       least_h=min_samples_leaf, min_split=min_samples_split, entropy=criterion == "entropy",
-                       random_cut=splitter == "random", rng=np.random.default_rng(seed))
-    return assemble([t], [1.0])
-
-
-def reweight(w: np.ndarray, miss: np.ndarray, learning_rate: float = 1.0) -> tuple[np.ndarray, float]:
-    """One SAMME step for two classes: new weights (summing to one) and the round's weight; the
-    weight is 0 where the stump is no better than chance."""
-    error = float((w * miss).sum() / w.sum())
-    if error <= 0:
-        return w, 1.0
-    if error >= 0.5:
-        return w, 0.0
-    alpha = learning_rate * float(np.log((1 - error) / error))
-    w = w * np.exp(alpha * miss)
-    return w / w.sum(), alpha
-
-
-def fit_samme(x: np.ndarray, y: np.ndarray, n_estimators: int, learning_rate: float) -> Trees:
-    """Discrete SAMME over weighted stumps, which vote +1 or -1."""
-    grower, w = Grower(x), np.full(len(y), 1 / max(1, len(y)))
-    trees, alphas, rows = [], [], np.arange(len(y))
-    for _ in range(n_estimators):
-        t = grower.tree(w * y, w, rows, 1)
-        t["value"] = np.where(t["value"] > 0.5, 1.0, -1.0)
-        miss = (assemble([t], [1.0]).decision(x) > 0) != (y == 1)
-        new, alpha = reweight(w, miss, learning_rate)
-        if alpha == 0:
-            break
-        trees.append(t)
-        alphas.append(alpha)
-        if new is w:  # no errors left
-            break
-        w = new
-    total = sum(alphas) or 1.0
-    return assemble(trees, [a / total for a in alphas])
-
-
 def fit(family: str, x: np.ndarray, y: np.ndarray, **params) -> Trees:
+    """Boosted trees or a forest (chunk) on rows in memory."""
     p = TUNED[family] | params
     if family == "XGBoost":
         return fit_boosted(x, y, **p)
-    if family == "AdaBoost":
-        return fit_samme(x, y, **p)
-    if family == "RandomForest":
-        return fit_forest(x, y, p["n_estimators"], p["max_depth"], p["min_samples_split"], p.get("first", 0))
-    return fit_tree(x, y, p["max_depth"], p["min_samples_split"], p["min_samples_leaf"], p["criterion"],
-                    p["splitter"])
+    return fit_forest(x, y, p["n_estimators"], p["max_depth"], p["min_samples_split"], p.get("first", 0))
 
 
 def probability(family: str, model: Trees, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -349,27 +294,95 @@ def fit_sample(train: DataFrame, id_col: str = "tx_id", label: str = "label", n:
 
 def fit_table(sample: DataFrame, features: Sequence[str], families: Sequence[str] = FAMILIES,
               params: dict[str, dict] | None = None, label: str = "label", id_col: str = "tx_id",
-              by: Sequence[str] = ()) -> DataFrame:
+              by: Sequence[str] = (), cells: tuple | None = None) -> DataFrame:
     """(by..., family, chunk, model): every family fitted on every group of the sample.
 
-    A forest is fitted in chunks of trees. The sample is copied once for each fit (a
-    bounded table times the number of fits)."""
+    ``by``: nothing, or one integer column. ``cells``: the sample's ``growth.cell_table``, if
+    there is one already."""
     params, features, by = params or {}, list(features), list(by)
+    own = {f: TUNED[f] | params.get(f, {}) for f in families}
+    # many small forests go to tasks, everything else of these families to the level-wise growth
+    grown = [f for f in own if f == "DecisionTree" or f == "RandomForest" and not by]
+    parts = []
+    if grown or "AdaBoost" in own:
+        cells = cells or growth.cell_table(sample, features, by[0] if by else None, label)
+        parts += [_grown(*cells, f, own[f], len(features), by) for f in grown]
+    if "AdaBoost" in own:
+        parts.append(_boosted_cells(*cells, own["AdaBoost"], by))
+    if in_tasks := {f: p for f, p in own.items() if f not in grown and f != "AdaBoost"}:
+        parts.append(_fitted_in_tasks(sample, features, in_tasks, label, id_col, by))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _model_rows(spark, rows: list[tuple], by: Sequence[str]) -> DataFrame:
+    """A model table from rows (group or (), family, chunk, model)."""
+    schema = ", ".join([*(f"{c} int" for c in by), "family string, chunk int, model binary"])
+    return spark.createDataFrame([(*g, f, c, bytearray(m)) for g, f, c, m in rows], schema)
+
+
+def _grown(cells: DataFrame, cuts: dict, family: str, p: dict, d: int, by: Sequence[str]) -> DataFrame:
+    if family == "RandomForest":
+        plan = growth.Plan(p["n_estimators"], "gini", max(1, int(np.sqrt(d))), max_depth=p["max_depth"],
+                           min_split=p["min_samples_split"])
+    else:
+        plan = growth.Plan(1, p["criterion"], random_cut=p["splitter"] == "random", max_depth=p["max_depth"],
+                           min_split=p["min_samples_split"], min_leaf=p["min_samples_leaf"])
+    rows = []
+    for fit, nodes in growth.grow(cells, plan).items():
+        for first in range(0, plan.trees, CHUNK_TREES):
+            trees = from_nodes(nodes, cuts[fit], first, min(first + CHUNK_TREES, plan.trees))
+            rows.append(((fit,) if by else (), family, first, trees.to_bytes()))
+    return _model_rows(cells.sparkSession, rows, by)
+
+
+def from_nodes(nodes: dict[str, np.ndarray], cuts: list[np.ndarray], first: int, stop: int) -> Trees:
+    """Trees ``first`` to ``stop`` of a fit's grown nodes."""
+    a, b = np.searchsorted(nodes["tree"], [first, stop])
+    own = {k: v[a:b] for k, v in nodes.items()}
+    inner = own["feature"] >= 0
+    cut = np.zeros(b - a)
+    cut[inner] = [cuts[f][i] for f, i in zip(own["feature"][inner], own["bin"][inner], strict=True)]
+    roots = np.searchsorted(own["tree"], np.arange(first, stop))
+    return Trees(own["feature"], cut, *(np.where(inner, own[k] - a, -1) for k in ("left", "right")),
+                 own["pos"] / own["n"], own["gain"], roots, np.ones(stop - first))
+
+
+def _boosted_cells(cells: DataFrame, cuts: dict, p: dict, by: Sequence[str]) -> DataFrame:
+    """SAMME of every fit, a task each, over the cells of its bounded sample."""
+    cols = [*by, "family", "chunk", "model"]
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, g = rows.sort_values("bins", kind="stable"), int(rows["fit"].iloc[0])
+        bins = np.frombuffer(b"".join(rows["bins"]), np.uint8).reshape(len(rows), -1).astype(np.int64)
+        n, pos = rows["n"].to_numpy(), rows["pos"].to_numpy()
+        w, y = np.concatenate([pos, n - pos]), np.repeat([1, 0], len(rows))
+        held = w > 0
+        found = samme.fit_cells(np.concatenate([bins, bins])[held], y[held], w[held], p["n_estimators"],
+                                p["learning_rate"])
+        alphas = np.array([x[-1] for x in found])
+        model = assemble(samme.stumps(found, cuts[g]), alphas / (alphas.sum() or 1.0))
+        return pd.DataFrame([[*([g] if by else []), "AdaBoost", 0, model.to_bytes()]], columns=cols)
+
+    schema = ", ".join([*(f"{c} int" for c in by), "family string, chunk int, model binary"])
+    return cells.groupBy("fit").applyInPandas(run, schema)
+
+
+def _fitted_in_tasks(sample: DataFrame, features: list[str], params: dict[str, dict], label: str, id_col: str,
+                     by: list[str]) -> DataFrame:
+    """Boosted trees, and the chunks of forests, one group of a grouped map each. The sample is
+    copied once for each (a bounded table times the number of fits)."""
     jobs = []
-    for family in families:
-        p = params.get(family, {})
-        total = (TUNED[family] | p).get("n_estimators", 1)
-        step = CHUNK_TREES if family == "RandomForest" else total
-        jobs += [(family, first) for first in range(0, total, step)]
+    for family, p in params.items():
+        step = CHUNK_TREES if family == "RandomForest" else p["n_estimators"]
+        jobs += [(family, first) for first in range(0, p["n_estimators"], step)]
     cols = [*by, "family", "chunk"]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(id_col, kind="stable")
         family, first = key[-2], int(key[-1])
-        p = dict(params.get(family, {}))
+        p = dict(params[family])
         if family == "RandomForest":
-            total = (TUNED[family] | p)["n_estimators"]
-            p |= {"n_estimators": min(CHUNK_TREES, total - first), "first": first}
+            p |= {"n_estimators": min(CHUNK_TREES, p["n_estimators"] - first), "first": first}
         model = fit(family, rows[features].to_numpy(float), rows[label].to_numpy(), **p)
         return pd.DataFrame([[*key, model.to_bytes()]], columns=[*cols, "model"])
 
@@ -384,10 +397,16 @@ def fit_table(sample: DataFrame, features: Sequence[str], families: Sequence[str
 
 
 def load_models(models: DataFrame, by: Sequence[str] = ()) -> dict[tuple, Trees]:
-    """Fitted models by (by..., family); the table has one row for each fit or chunk."""
+    """Fitted models by (by..., family); the table has one row for each fit or chunk. They are
+    collected only within ``MODEL_BYTES``."""
+    models = models.select(*by, "family", "chunk", "model").persist()
+    size = models.agg(F.sum(F.octet_length("model"))).first()[0] or 0
+    if size > MODEL_BYTES:
+        raise ValueError(f"the models take {size} bytes, over {MODEL_BYTES}; load fewer at a time")
     parts: dict[tuple, list] = {}
-    for r in models.select(*by, "family", "chunk", "model").collect():
+    for r in models.collect():
         parts.setdefault(tuple(r[:-2]), []).append((r.chunk, bytes(r.model)))
+    models.unpersist()
     return {k: join_trees([Trees.from_bytes(b) for _, b in sorted(v)]) for k, v in parts.items()}
 
 
@@ -396,8 +415,10 @@ def score_table(rows: DataFrame, models: dict[tuple, Trees], features: Sequence[
     """(keep..., model, score, pred): every row scored by every family (of its group)."""
     features, keep, by = list(features), list(keep), list(by)
     kinds = dict(rows.dtypes)
+    sent = rows.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models = sent.value
         for part in batches:
             groups = part.groupby(by, sort=True) if by else [((), part)]
             for key, rows in groups:
@@ -418,35 +439,36 @@ def score_table(rows: DataFrame, models: dict[tuple, Trees], features: Sequence[
 
 # --- cross-validation: trees in tasks of their own, the other families as jobs over all rows --
 
-def score_folds(rows: DataFrame, models: DataFrame, features: Sequence[str], names: Sequence[tuple[str, str]],
-                per_fold: int, n_folds: int, id_col: str = "tx_id", label: str = "label") -> DataFrame:
+def score_folds(rows: DataFrame, models: DataFrame, features: Sequence[str], per_fold: int,
+                n_folds: int, id_col: str = "tx_id", label: str = "label") -> DataFrame:
     """(model, candidate, cv, set, id, label, score, pred): every row of ``rows`` (cv, set, id,
-    label, features) scored by the trees of its ``cv``.
+    label, features) scored by all trees of its ``cv``.
 
-    ``models`` has the fitted chunks by (family, candidate, cv). A task scores at most about
-    ``SCORE_ROWS`` rows, a hash slice of one cv, by one model, which it alone decodes."""
+    ``models`` has the fitted chunks by (family, candidate, cv). A row moves once for its cv, whatever
+    the number of candidates; a task scores a hash slice of at most about ``SCORE_ROWS`` rows of one cv, and
+    decodes the models one after the other."""
     features, n = list(features), max(1, math.ceil(per_fold / SCORE_ROWS))
-    keys = ["model", "candidate", "cv", "slice"]
+    keys = ["cv", "slice"]
     kinds = dict(rows.dtypes)
     schema = (f"model string, candidate string, cv int, set string, {id_col} {kinds[id_col]}, "
               f"{label} {kinds[label]}, score double, pred int")
     out_cols = ["model", "candidate", "cv", "set", id_col, label, "score", "pred"]
 
     def run(key: tuple, parts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if parts.empty or own.empty:
-            return pd.DataFrame(columns=out_cols)
-        trees = join_trees([Trees.from_bytes(b) for b in parts.sort_values("chunk")["trees"]])
-        out = own[["set", id_col, label]].copy()
-        out["model"], out["candidate"], out["cv"] = key[0], key[1], int(key[2])
-        out["score"], out["pred"] = probability(key[0], trees, own[features].to_numpy(float))
-        return out[out_cols]
-
-    todo = F.explode(F.array(*[F.struct(F.lit(f).alias("model"), F.lit(c).alias("candidate")) for f, c in names]))
-    tasks = max(1, min(len(names) * n_folds * n, MAX_TASKS))
-    asked = rows.select("cv", "set", id_col, label, *features, todo.alias("job"),
-                        F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias("slice")) \
-        .select("*", "job.*").drop("job").repartition(tasks, *keys)
-    fitted = models.select(F.col("family").alias("model"), "candidate", "cv", "chunk", F.col("model").alias("trees"),
+        out = [pd.DataFrame(columns=out_cols)]
+        x = own[features].to_numpy(float)
+        for (family, candidate), chunks in parts.groupby(["family", "candidate"]) if len(own) else ():
+            trees = join_trees([Trees.from_bytes(b) for b in chunks.sort_values("chunk")["model"]])
+            scored = own[["set", id_col, label]].copy()
+            scored["model"], scored["candidate"], scored["cv"] = family, candidate, int(key[0])
+            scored["score"], scored["pred"] = probability(family, trees, x)
+            out.append(scored[out_cols])
+        return pd.concat(out[1:] or out)
+
+    tasks = max(1, min(n_folds * n, MAX_TASKS))
+    asked = rows.select("cv", "set", id_col, label, *features,
+                        F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias("slice")).repartition(tasks, *keys)
+    fitted = models.select("family", "candidate", "cv", "chunk", "model",
                            F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("slice")).repartition(tasks, *keys)
     return fitted.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(run, schema)
 
@@ -513,12 +535,13 @@ def cross_validated(folds: DataFrame, features: Sequence[str], candidates: Seque
     trees = [(f, n, p) for f, own in by_family.items() if f in FAMILIES for n, p in own.items()]
     if trees:
         sample = materialize(fit_sample(train, id_col="id", n=fit_rows, by=["cv"]))
-        fitted = [fit_table(sample, features, [f], {f: p}, id_col="id", by=["cv"]).withColumn("candidate", F.lit(n))
-                  for f, n, p in trees]
+        cells = growth.cell_table(sample, features, "cv")
+        fitted = [fit_table(sample, features, [f], {f: p}, id_col="id", by=["cv"], cells=cells)
+                  .withColumn("candidate", F.lit(n)) for f, n, p in trees]
         fitted = materialize(functools.reduce(DataFrame.unionByName, fitted))
         count = base.count()
-        parts.append(score_folds(rows, fitted, features, [(f, n) for f, n, _ in trees],
-                                 count if training else math.ceil(count / n_folds), n_folds, id_col, label))
+        parts.append(score_folds(rows, fitted, features, count if training else math.ceil(count / n_folds),
+                                 n_folds, id_col, label))
     if bayes := by_family.get("NaiveBayes"):
         smoothing = {n: p.get("var_smoothing", VAR_SMOOTHING) for n, p in bayes.items()}
         params = gnb_fit_grouped(train, features, "cv", smoothing)

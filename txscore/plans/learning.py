@@ -12,6 +12,7 @@ from txscore.functions.algebra import r6
 from txscore.operators import ensembles as E
 from txscore.operators import metrics as M
 from txscore.operators import prep as P
+from txscore.operators import samme
 from txscore.operators import sampling as SM
 from txscore.operators import trees as T
 from txscore.operators.bayes import GaussianNBModel
@@ -86,6 +87,92 @@ def samme_scores_df(spark, sf_dir):
     return family_scores(spark, sf_dir, "AdaBoost")
 
 
+# Bins of the transaction view that need no fit: the cells of the checked boosting rounds.
+CELL_SQL = ("CAST(k AS INT)", "CAST(least(floor(amt / 10), 40) AS INT)", "CAST(floor(dt / 3600) % 24 AS INT)")
+SAMME_ROUNDS = 4
+POSITIVE_WEIGHTS = (1.0, 4.0, 20.0, 100.0)
+
+
+def tx_cells(spark, sf_dir) -> DataFrame:
+    """(bins, n, pos): the different bin vectors of all transactions."""
+    from txscore.sources.tables import tx_view
+    bins = F.array(*[F.expr(c) for c in CELL_SQL])
+    return materialize(tx_view(spark, sf_dir).where("k is not null and dt is not null and amt is not null")
+                       .groupBy(bins.alias("bins")).agg(F.count(F.lit(1)).cast("double").alias("n"),
+                                                        F.sum(F.col("label").cast("double")).alias("pos")))
+
+
+_CELLS_SQL = f"""cells AS (
+  SELECT {', '.join(f'{c} AS b{i}' for i, c in enumerate(CELL_SQL))}, CAST(COUNT(*) AS DOUBLE) AS n,
+         CAST(SUM(label) AS DOUBLE) AS pos
+  FROM tx WHERE k IS NOT NULL AND dt IS NOT NULL AND amt IS NOT NULL GROUP BY ALL)"""
+
+
+def _flat_sql(source: str, cols: str) -> str:
+    return " UNION ALL ".join(f"SELECT {i} AS feature, b{i} AS bin, {cols} FROM {source}" for i in range(len(CELL_SQL)))
+
+
+def _samme_sql() -> str:
+    """Each round as the CTEs of its sums, its stump and the weights after it."""
+    b = ", ".join(f"b{i}" for i in range(len(CELL_SQL)))
+    ctes = [TX_SQL, _CELLS_SQL, f"""w0 AS (
+  SELECT {b}, y, w / SUM(w) OVER () AS w FROM (SELECT {b}, 1 AS y, pos AS w FROM cells
+         UNION ALL SELECT {b}, 0, n - pos FROM cells) WHERE w > 0)"""]
+    for i in range(SAMME_ROUNDS):
+        vote = f"CASE WHEN [{b}][s.feature + 1] <= s.bin THEN s.vl ELSE s.vr END"
+        ctes += [f"""s{i} AS (
+  SELECT feature, bin, SUM(w) AS n, SUM(CASE WHEN y = 1 THEN w ELSE 0 END) AS pos FROM ({_flat_sql(f'w{i}', 'y, w')})
+  GROUP BY ALL)""", f"""c{i} AS (
+  SELECT *, tn - ln AS rn, tp - lp AS rp FROM (
+    SELECT feature, bin, MAX(bin) OVER f AS last, SUM(n) OVER f AS tn, SUM(pos) OVER f AS tp,
+           SUM(n) OVER l AS ln, SUM(pos) OVER l AS lp FROM s{i}
+    WINDOW f AS (PARTITION BY feature),
+           l AS (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)))""",
+                 f"""b{i}x AS (
+  SELECT feature, bin, CAST(lp > ln - lp AS INT) AS vl, CAST(rp > rn - rp AS INT) AS vr,
+         ((CASE WHEN lp > ln - lp THEN ln - lp ELSE lp END) + (CASE WHEN rp > rn - rp THEN rn - rp ELSE rp END)) / tn
+           AS error, round(lp * lp / ln + rp * rp / rn - tp * tp / tn, 12) AS gain
+  FROM c{i} WHERE bin < last ORDER BY gain DESC, feature, bin LIMIT 1)""",
+                 f"r{i} AS (SELECT *, ln((1 - error) / error) AS alpha FROM b{i}x)", f"""w{i + 1} AS (
+  SELECT {b}, y, w * (CASE WHEN {vote} <> y THEN exp(s.alpha) ELSE 1 END)
+         / (1 - s.error + s.error * exp(s.alpha)) AS w FROM w{i}, r{i} s)"""]
+    body = " UNION ALL ".join(f"SELECT {i + 1} AS round, feature, bin, vl AS \"left\", vr AS \"right\", "
+                              f"{S.r6('error', 9)} AS error, {S.r6('alpha', 9)} AS alpha FROM r{i}"
+                              for i in range(SAMME_ROUNDS))
+    return with_ctes(*ctes, body=body)
+
+
+@register("samme_rounds", "MDL-5", _samme_sql())
+def samme_rounds_df(spark, sf_dir):
+    """The first boosting rounds over the cells of all transactions: each an aggregate over the
+    cells and a projection of their new weights."""
+    found = samme.rounds(tx_cells(spark, sf_dir), SAMME_ROUNDS)
+    rows = [(i, s["feature"], s["bin"], s["left"], s["right"], s["error"], s["alpha"]) for i, s in enumerate(found, 1)]
+    out = spark.createDataFrame(rows, "round int, feature int, bin int, left int, right int, error double, alpha double")
+    return out.select("round", "feature", "bin", "left", "right", r6("error", 9).alias("error"),
+                      r6("alpha", 9).alias("alpha"))
+
+
+@register("positive_weight_sweep", "MDL-6,MDL-7", with_ctes(TX_SQL, _CELLS_SQL, f"""rows AS (
+  SELECT c.*, weight, (weight * pos - (n - pos)) * 0.5 AS g, (weight * pos + (n - pos)) * 0.25 AS h
+  FROM cells c, (SELECT unnest([{', '.join(f'{w!r}::DOUBLE' for w in POSITIVE_WEIGHTS)}]) AS weight))""", f"""sums AS (
+  SELECT weight, feature, bin, SUM(g) AS g, SUM(h) AS h FROM ({_flat_sql('rows', 'weight, g, h')}) GROUP BY ALL)""",
+    """cuts AS (
+  SELECT *, lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1) - tg * tg / (th + 1) AS gain FROM (
+    SELECT weight, feature, bin, MAX(bin) OVER f AS last, SUM(g) OVER f AS tg, SUM(h) OVER f AS th,
+           SUM(g) OVER l AS lg, SUM(h) OVER l AS lh FROM sums
+    WINDOW f AS (PARTITION BY weight, feature), l AS (PARTITION BY weight, feature ORDER BY bin
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) WHERE bin < last)""", body=f"""
+SELECT weight, {S.r6('tg')} AS g, {S.r6('th')} AS h, {S.r6('tg / (th + 1)')} AS leaf, feature, bin, {S.r6('gain')} AS gain
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY weight ORDER BY round(gain, 9) DESC, feature, bin) AS rn FROM cuts)
+WHERE rn = 1"""))
+def positive_weight_sweep_df(spark, sf_dir):
+    """First boosting round of the logistic loss at several weights of the positive class: the
+    gradient sums, the leaf without a split and the best split."""
+    out = samme.newton_splits(tx_cells(spark, sf_dir), POSITIVE_WEIGHTS)
+    return out.select("weight", *[r6(c).alias(c) for c in ("g", "h", "leaf", "gain")], "feature", "bin")
+
+
 # Rules of a depth-3 surrogate over the transaction view, as a rule table: leaf, condition, class.
 RULES = ((0, "amt <= 50.0 AND k <= 40", 0), (1, "amt <= 50.0 AND k > 40", 0),
          (2, "amt > 50.0 AND amt <= 150.0", 0), (3, "amt > 150.0 AND product = 'error'", 1),
@@ -416,22 +503,19 @@ def shapley_sampled_df(spark, sf_dir):
 register("shapley_sampled", "EXP-3,EXP-6,UDF-3")(shapley_sampled_df)
 
 
-def family_predictor(family: str, model: E.Trees):
-    """Score of a fitted tree family as a function of a feature matrix."""
-    return lambda x: E.probability(family, model, x)[0]
-
-
 @register("shapley_boosted", "EXP-4,UDF-3")
 def shapley_boosted_df(spark, sf_dir):
-    """Every test record explained for the boosted trees over all prepared features within 200
-    evaluations a record; the 14 largest values of each."""
-    from txscore.operators import explain as X
-    from txscore.plans.streams import MAX_EVALS, TOP_SHOWN
+    """Every test record explained for the boosted trees over all prepared features: the exact
+    values of the decision against a background of 50 train rows; the 14 largest of each."""
+    from txscore.operators.tree_shapley import tree_shapley
     train, test, feats = prepared_split(spark, sf_dir)
-    table = E.fit_table(E.fit_sample(train), feats, ["XGBoost"])
-    predict = family_predictor("XGBoost", E.load_models(table)["XGBoost",])
-    phi = X.shapley_values(test, SM.background_sample(train), feats, predict,
-                           X.budgeted_coalitions(len(feats), MAX_EVALS))
+    model = E.load_models(E.fit_table(E.fit_sample(train), feats, ["XGBoost"]))["XGBoost",]
+    phi = tree_shapley(test, SM.background_sample(train), feats, model)
+    return top_of_record(phi).select("tx_id", "feature", r6("phi").alias("phi"), "rank")
+
+
+def top_of_record(phi: DataFrame, n: int | None = None) -> DataFrame:
+    """The largest values of each record with their ranks."""
+    from txscore.plans.streams import TOP_SHOWN
     w = Window.partitionBy("tx_id").orderBy(F.abs("phi").desc(), "feature")  # one record's features
-    top = phi.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOP_SHOWN)
-    return top.select("tx_id", "feature", r6("phi").alias("phi"), F.col("rank").cast("long").alias("rank"))
+    return phi.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= (n or TOP_SHOWN))
