@@ -1,18 +1,16 @@
 """Model explanation as DataFrame jobs.
 
-* permutation importance: repeat r pairs the rows' position in id order with
-  their position in a seeded hash order (all repeats in one distributed
-  ranking, ``ordered_row_number``); every single-column variant is scored in
-  one projection and the accuracy drop is one grouped aggregate,
+* permutation importance: repeat r gives each row a donor by a keyed permutation of the row
+  numbers that is computed, not sorted (``keyed_permutation``). One equi-join by number brings the
+  donors' values; a map scores every single-column variant and adds up the hits in the task,
 * Shapley values (interventional, against a background sample): a row-wise map without a
   shuffle. A batch of rows, all coalitions of the chosen method and the background
   form the inputs of one vectorised call of the model; v(S) is the mean over the
   background, and the values are a fixed matrix times v,
 * global summary: mean |phi| per feature.
 
-Permutation importance takes a *scoring function* ``f(columns) -> Column`` (a fitted GNB, a
-rule), Shapley values a *predictor* ``f(matrix) -> scores`` (any fitted model: one row of
-the matrix is one input), which runs in Arrow batches.
+Both take a *predictor* ``f(matrix)`` (any fitted model: one row of the matrix is one input), which
+runs in Arrow batches: classes for permutation importance, scores for Shapley values.
 """
 
 from __future__ import annotations
@@ -23,52 +21,126 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txscore.functions.hashing import DEFAULT_SEED, row_hash
-from txscore.operators.ordered import ordered_row_number
+from txscore.functions.hashing import DEFAULT_SEED
+from txscore.session import materialize
 
-ScoreFn = Callable[[dict[str, Column]], Column]
 Predictor = Callable[[np.ndarray], np.ndarray]
 
 N_REPEATS = 10          # fixed value: permutation repeats
 TOP_N = 20              # fixed value: features shown in importance reports
 BACKGROUND_BYTES = 64 << 20   # size bound of the background matrix sent to the tasks
 INPUT_CELLS = 1 << 22         # cells of one call of the predictor
+PERMUTATION_ROUNDS = 4        # of the Feistel network
+PRIME = 2147483647
+
+
+def _mixed(x: np.ndarray, key: int, size: int) -> np.ndarray:
+    """A number below ``size`` for each x: a congruential step, a square and another step."""
+    u = (x * 48271 + key) % PRIME
+    return u * u % PRIME * 69621 % PRIME % size
+
+
+def keyed_permutation(at: np.ndarray, n: int, repeat: int, seed: int = DEFAULT_SEED) -> np.ndarray:
+    """Images of the numbers ``at`` (0 to n - 1) under a permutation of all of them: a Feistel network on
+    the cells of a grid of at least n cells, walked on while it is outside the n."""
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    b = max(1, -(-n // a))
+    out = np.array(at, np.int64)
+    todo = np.arange(len(out))
+    while len(todo):
+        left, right = np.divmod(out[todo], b)
+        for i in range(PERMUTATION_ROUNDS):
+            key = (seed * 1000003 + repeat * 7919 + i * 104729) % PRIME
+            left = (left + _mixed(right, key, a)) % a
+            right = (right + _mixed(left, key + 1, b)) % b
+        out[todo] = left * b + right
+        todo = todo[out[todo] >= n]
+    return out
 
 
-def permutation_importance(df: DataFrame, features: Sequence[str], predict: ScoreFn,
+def numbered_rows(df: DataFrame, id_col: str) -> tuple[DataFrame, int]:
+    """(rows with ``_pos`` 0 to n - 1, n) without a sort: ids that are these numbers stand for
+    themselves, other rows are numbered by part of the written table and place in it."""
+    df = materialize(df)
+    kind = dict(df.dtypes)[id_col]
+    if kind in ("bigint", "int", "smallint", "tinyint"):
+        n, low, high, each = df.agg(F.count(F.lit(1)), F.min(id_col), F.max(id_col), F.count_distinct(id_col)).first()
+        if n == 0 or (low, high, each) == (0, n - 1, n):
+            return df.withColumn("_pos", F.col(id_col).cast("long")), n
+    df = materialize(df.withColumn("_mark", F.monotonically_increasing_id()))
+    part = F.shiftright("_mark", 33)
+    sizes = df.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()  # a row a task
+    starts = dict(zip([r.part for r in sizes], np.cumsum([0, *(r.n for r in sizes)]).tolist(), strict=False))
+    offset = F.create_map(*[F.lit(x) for p, s in starts.items() for x in (p, s)]) if starts else F.lit(None)
+    place = F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))
+    return df.withColumn("_pos", (offset[part] + place).cast("long")).drop("_mark"), sum(r.n for r in sizes)
+
+
+def permutation_importance(df: DataFrame, features: Sequence[str], predict: Predictor,
                            id_col: str = "tx_id", label: str = "label",
                            n_repeats: int = N_REPEATS, seed: int = DEFAULT_SEED) -> DataFrame:
-    """(feature, importance_mean, importance_std): accuracy drop when one column
-    is permuted, over ``n_repeats`` seeded permutations.
+    """(feature, importance_mean, importance_std): the accuracy that ``predict`` (classes of a feature
+    matrix) loses when one column is permuted, over ``n_repeats`` seeded permutations.
 
-    Repeat r pairs the row at position i in id order with the donor at position
-    i in the hash(id, seed, r) order; that one permutation per repeat is applied
-    to each feature in turn (each variant permutes a single column).
-    """
+    In repeat r every row takes its donor's value of one feature at a time. Missing values are NaN."""
     feats = list(features)
-    base = df.select(id_col, label, *[F.col(f).cast("double").alias(f) for f in feats])
-    baseline = base.select(predict({f: F.col(f) for f in feats}).alias("_p"), label) \
-        .agg(F.avg((F.col("_p") == F.col(label)).cast("double")).alias("acc")).first()["acc"]
-
-    recv = ordered_row_number(base, [], [F.col(id_col)], "_pos")
-    donors = base.select(F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat"),
-                         id_col, *[F.col(f).alias(f"_d_{f}") for f in feats])
-    donors = donors.withColumn("_h", row_hash(id_col, seed, "repeat"))
-    donors = ordered_row_number(donors, ["repeat"], [F.col("_h"), F.col(id_col)], "_pos") \
-        .drop(id_col, "_h")
-    pairs = recv.join(donors, "_pos")                          # one donor per (row, repeat)
-    variants = pairs.select("repeat", label, *feats, *[f"_d_{f}" for f in feats],
-                            F.explode(F.array(*[F.lit(f) for f in feats])).alias("feature"))
-    cols = {f: F.when(F.col("feature") == F.lit(f), F.col(f"_d_{f}")).otherwise(F.col(f)) for f in feats}
-    scored = variants.select("feature", "repeat", label, predict(cols).alias("_p"))
-    acc = scored.groupBy("feature", "repeat").agg(
-        F.avg((F.col("_p") == F.col(label)).cast("double")).alias("acc"))
-    drop = acc.withColumn("drop", F.lit(float(baseline)) - F.col("acc"))
-    return drop.groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
-                                       F.stddev_pop("drop").alias("importance_std"))
+    rows = df.select(id_col, F.col(label).cast("long").alias("_y"),
+                     *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(feats)])
+    base, n = numbered_rows(rows, id_col)
+    xs = [f"_x{i}" for i in range(len(feats))]
+    base = base.select("_pos", "_y", *xs)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            at = part.column("_pos").to_numpy()
+            for r in range(n_repeats):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keyed_permutation(at, n, r, seed)), pa.repeat(pa.scalar(r, pa.int32()), len(at)),
+                     *[part.column(c) for c in ("_y", *xs)]], ["_donor", "repeat", "_y", *xs])
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], list[int]] = {}
+
+        def add(key, ok):
+            t = total.setdefault(key, [0, 0])
+            t[0] += int(ok.sum())
+            t[1] += len(ok)
+
+        for part in batches:
+            if not part.num_rows:
+                continue
+            x, d = (np.stack([part.column(f"{p}{i}").to_numpy(zero_copy_only=False).astype(float)
+                              for i in range(len(feats))], axis=1) for p in ("_x", "_d"))
+            y, repeat = part.column("_y").to_numpy(), part.column("repeat").to_numpy()
+            first = repeat == 0
+            if first.any():
+                add((-1, 0), predict(x[first]) == y[first])
+            for i in range(len(feats)):
+                z = x.copy()
+                z[:, i] = d[:, i]
+                ok = predict(z) == y
+                for r in np.unique(repeat).tolist():
+                    add((i, r), ok[repeat == r])
+        keys = np.array(list(total), np.int64).reshape(-1, 2)
+        sums = np.array(list(total.values()), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*keys.T, *sums.T)], ["f", "repeat", "hit", "n"])
+
+    kind = ", ".join(f"{c} double" for c in xs)
+    asked = base.where("_y is not null").mapInArrow(ask, f"_donor long, repeat int, _y long, {kind}")
+    donors = base.select(F.col("_pos").alias("_donor"), *[F.col(c).alias(f"_d{i}") for i, c in enumerate(xs)])
+    # one row for each task, feature and repeat comes out
+    scored = asked.join(donors, "_donor").mapInArrow(hits, "f long, repeat long, hit long, n long")
+    acc = scored.groupBy("f", "repeat").agg((F.sum("hit") / F.sum("n")).alias("acc"))
+    acc = materialize(acc)
+    baseline = acc.where("f < 0").select(F.col("acc").alias("base"))
+    drop = acc.where("f >= 0").join(F.broadcast(baseline)).withColumn("drop", F.col("base") - F.col("acc"))
+    names = F.get(F.array(*[F.lit(f) for f in feats]), F.col("f").cast("int"))
+    return drop.groupBy("f").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")) \
+        .select(names.alias("feature"), "importance_mean", "importance_std")
 
 
 def sampled_permutations(d: int, n: int, seed: int = DEFAULT_SEED) -> list[list[int]]:

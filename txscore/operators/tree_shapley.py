@@ -22,7 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.operators.explain import background_matrix
@@ -135,3 +135,9 @@ def tree_shapley(rows: DataFrame, background: DataFrame | np.ndarray, features:
     kind = dict(rows.dtypes)[id_col]
     cells = rows.select(id_col, *[F.col(f).cast("double").alias(f) for f in feats if f != id_col])
     return cells.mapInArrow(run, f"{id_col} {kind}, feature string, phi double")
+
+
+def top_of_record(phi: DataFrame, n: int, id_col: str = "tx_id") -> DataFrame:
+    """The ``n`` largest values of each record with their ranks."""
+    w = Window.partitionBy(id_col).orderBy(F.abs("phi").desc(), "feature")  # one record's features
+    return phi.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= n)

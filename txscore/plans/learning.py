@@ -15,7 +15,7 @@ from txscore.operators import prep as P
 from txscore.operators import samme
 from txscore.operators import sampling as SM
 from txscore.operators import trees as T
-from txscore.operators.bayes import GaussianNBModel
+from txscore.operators.bayes import GaussianNBModel, gnb_fit_table
 from txscore.operators.neighbors import knn_classify, knn_join
 from txscore.operators.smote import smote
 from txscore.operators.vote import majority_vote
@@ -26,6 +26,7 @@ from txscore.plans.registry import register
 from txscore.plans.statistics import FOLD_SCORES_SQL, cv_fold_scores
 from txscore.session import materialize
 from txscore.sources import io as IO
+from txscore.sources import store as ST
 from txscore.sources.tables import SCORES_SQL, TX_SQL, with_ctes
 
 GNB_GRID = [1e-9, 1e-5, 1e-2]
@@ -206,6 +207,48 @@ def rule_apply_df(spark, sf_dir):
     return apply_rules(tx_view(spark, sf_dir)).select("leaf", "class", "n", r6("purity").alias("purity"))
 
 
+# The same idea as indented text, as rule files hold it.
+RULE_TEXT = """|--- amt <= 50.00
+|   |--- k <= 40.00
+|   |   |--- class: 0
+|   |--- k >  40.00
+|   |   |--- class: 0
+|--- amt >  50.00
+|   |--- amt <= 150.00
+|   |   |--- class: 0
+|   |--- amt >  150.00
+|   |   |--- k <= 70.50
+|   |   |   |--- class: 1
+|   |   |--- k >  70.50
+|   |   |   |--- class: 0"""
+RULE_LEAVES = (("amt <= 50.00 AND k <= 40.00", 0), ("amt <= 50.00 AND k > 40.00", 0),
+               ("amt > 50.00 AND amt <= 150.00", 0), ("amt > 50.00 AND amt > 150.00 AND k <= 70.50", 1),
+               ("amt > 50.00 AND amt > 150.00 AND k > 70.50", 0))
+
+
+@register("rule_text_apply", "SNK-7,EXP-5", with_ctes(TX_SQL, body=f"""
+SELECT r.leaf, r.rule, r.class, CAST(COUNT(t.leaf) AS BIGINT) AS n,
+       {S.r6('avg(CASE WHEN t.label = r.class THEN 1.0 ELSE 0.0 END) FILTER (t.leaf IS NOT NULL)')} AS purity
+FROM (VALUES {', '.join(f"({i}, '{c}', {v})" for i, (c, v) in enumerate(RULE_LEAVES))}) r(leaf, rule, class)
+LEFT JOIN (SELECT label, CASE {' '.join(f'WHEN {c} THEN {i}' for i, (c, _) in enumerate(RULE_LEAVES))} END AS leaf
+           FROM tx) t ON t.leaf = r.leaf
+GROUP BY r.leaf, r.rule, r.class"""))
+def rule_text_apply_df(spark, sf_dir):
+    """A rule file parsed into its rule table, written as text again, read back, and applied to
+    every transaction."""
+    from txscore.sources import rules as R
+    from txscore.sources.tables import tx_view
+    first, again = (IO.shared_path(spark, "rules") for _ in "ab")
+    lines = spark.createDataFrame([(RULE_TEXT,)], "value string")  # line breaks make it a file of lines
+    lines.coalesce(1).write.text(first)
+    R.write_rules(R.read_rules(spark, first), again)
+    table = R.read_rules(spark, again).orderBy("leaf")
+    rules = [(r.leaf, r.rule, r["class"]) for r in table.collect()]  # the leaves of one shallow tree
+    found = apply_rules(tx_view(spark, sf_dir), rules)
+    return table.select("leaf", "rule").join(found, "leaf").select("leaf", "rule", "class", "n",
+                                                                   r6("purity").alias("purity"))
+
+
 @register("variance_importances", "SRT-3", with_ctes(TX_SQL, body=f"""
 SELECT feature, {S.r6('v / SUM(v) OVER ()')} AS importance FROM (
   SELECT unnest(['amt', 'k', 'd1', 'v_sparse']) AS feature,
@@ -245,30 +288,38 @@ def prepared_split(spark, sf_dir) -> tuple[DataFrame, DataFrame, list[str]]:
     sp = PP.split_tx(spark, sf_dir)
     train = sp.where(F.col("part") == "train")
     prepared, _ = P.fit_preparation(sp, train, PP.CATS, PP.NUMS, string_cols=PP.CATS)
-    names = {n: f"f{i}" for i, n in enumerate(prepared.selected)}
-    out = materialize(prepared.transform(sp, keep=("tx_id", "label", "part"))
-                      .withColumnsRenamed(names))
-    return out.where(F.col("part") == "train"), out.where(F.col("part") == "test"), list(names.values())
+    out = materialize(numbered(prepared.transform(sp, keep=("tx_id", "label", "part")), prepared.selected,
+                               ("tx_id", "label", "part")))
+    return out.where(F.col("part") == "train"), out.where(F.col("part") == "test"), numbers(prepared.selected)
+
+
+def numbers(features: list[str]) -> list[str]:
+    return [f"f{i}" for i in range(len(features))]
+
 
+def numbered(df: DataFrame, features: list[str], keep: tuple[str, ...]) -> DataFrame:
+    """The columns ``features``, found by name, as f0, f1, ..."""
+    return df.select(*[c for c in keep if c in df.columns],
+                     *[c.alias(f"f{i}") for i, c in enumerate(ST.aligned(df, features))])
 
-def fitted_models(spark, train: DataFrame, feats: list[str]):
-    """(model table, reference rows of KNN, fitted naive Bayes) from prepared train rows; the
+
+def fitted_models(spark, train: DataFrame, feats: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(model table, reference rows of KNN, parameters of naive Bayes) from prepared train rows; the
     references are the whole balanced table."""
     balanced = smote(train.withColumn("vec", F.array(*feats)), id_col="tx_id", ratio=SMOTE_RATIO)
     balanced = materialize(balanced.select("id", "label", "vec", *[F.col("vec")[i].alias(c)
                                                                    for i, c in enumerate(feats)]))
     sample = materialize(E.fit_sample(balanced, id_col="id"))
-    path = IO.shared_path(spark, "models", "trees")
-    IO.write_table(E.fit_table(sample, feats, id_col="id"), path)
-    return spark.read.parquet(path), balanced, GaussianNBModel.fit(balanced, feats)
+    return materialize(E.fit_table(sample, feats, id_col="id")), balanced, gnb_fit_table(balanced, feats)
 
 
-def score_all(rows: DataFrame, table: DataFrame, refs: DataFrame, bayes: GaussianNBModel,
-              feats: list[str]) -> DataFrame:
-    """(tx_id, label, model, score, pred) of prepared rows by all six models."""
+def score_all(rows: DataFrame, table: DataFrame, refs: DataFrame, bayes: DataFrame, feats: list[str],
+              trees: dict | None = None) -> DataFrame:
+    """(tx_id, label, model, score, pred) of prepared rows by all six models; ``trees``: the table's
+    models if they are loaded."""
     cols = ["tx_id", "label", "model", "score", "pred"]
-    trees = E.score_table(rows, E.load_models(table), feats).select(*cols)
-    nb = bayes.transform(rows).withColumn("model", F.lit("NaiveBayes")).select(*cols)
+    trees = E.score_table(rows, trees or E.load_models(table), feats).select(*cols)
+    nb = GaussianNBModel.from_table(bayes, feats).transform(rows).withColumn("model", F.lit("NaiveBayes")).select(*cols)
     near = knn_join(rows.select(F.col("tx_id").alias("id"), F.array(*feats).alias("vec")), refs, KNN_K,
                     metric="l1")
     knn = (knn_classify(near, refs).join(rows.select(F.col("tx_id").alias("q_id"), "label"), "q_id")
@@ -276,32 +327,64 @@ def score_all(rows: DataFrame, table: DataFrame, refs: DataFrame, bayes: Gaussia
     return trees.unionByName(nb).unionByName(knn)
 
 
-def model_scores(spark, sf_dir) -> DataFrame:
-    """Every test row scored by all six models, fitted on the prepared and oversampled train
-    part. The tree families, fitted on a bounded sample, are written to a table and loaded from
-    it; KNN refers to all rows."""
-    train, test, feats = prepared_split(spark, sf_dir)
-    return score_all(test, *fitted_models(spark, train, feats), feats)
+def models_key(spark, sf_dir) -> str:
+    """What the six models depend on: the transactions and the parameters."""
+    from txscore.sources.tables import read_table
+    return ST.fingerprint(read_table(spark, sf_dir, "events"), form=1, tuned=E.TUNED, rows=E.FIT_ROWS, k=KNN_K,
+                          ratio=SMOTE_RATIO)
 
 
-def batch_scorer(spark, sf_dir) -> Callable[[DataFrame], DataFrame]:
-    """Function that scores raw transactions by all six models: the frozen preparation and the
-    fitted models, saved and loaded."""
+def stored_models(spark, sf_dir, store: ST.ModelStore | None = None) -> ST.Stored:
+    """The stored version of the six models and their preparation for these transactions; fitted
+    and published if there is none."""
+    store, key = store or ST.ModelStore(spark), models_key(spark, sf_dir)
+    if found := store.latest(key):
+        return found
     sp = PP.split_tx(spark, sf_dir)
     train = sp.where(F.col("part") == "train")
     fitted, _ = P.fit_preparation(sp, train, PP.CATS, PP.NUMS, string_cols=PP.CATS)
-    path = IO.shared_path(spark, "models", "preparation")
-    fitted.save(spark, path)
-    frozen = P.PreparedModel.load(spark, path)
-    names = {n: f"f{i}" for i, n in enumerate(frozen.selected)}
-    feats = list(names.values())
-    ready = materialize(frozen.transform(train).withColumnsRenamed(names))
-    models = fitted_models(spark, ready, feats)
+    feats = numbers(fitted.selected)
+    ready = materialize(numbered(fitted.transform(train), fitted.selected, ("tx_id", "label")))
+    trees, refs, bayes = fitted_models(spark, ready, feats)
+    frozen = spark.createDataFrame([(fitted.to_json(),)], "value string")
+    return store.publish({"trees": trees, "references": refs, "bayes": bayes, "preparation": frozen},
+                         fitted.selected, key)
+
+
+def score_raw(rows: DataFrame, stored: ST.Stored) -> DataFrame:
+    """Raw transactions scored by all six models of a stored version; its preparation and loaded
+    trees are kept with it."""
+    held = stored.held
+    if not held:
+        held["preparation"] = P.PreparedModel.from_json(stored.table("preparation").first()["value"])
+        held["trees"] = E.load_models(stored.table("trees"))
+    if "label" not in rows.columns:  # arriving records have none
+        rows = rows.withColumn("label", F.lit(None).cast("int"))
+    ready = materialize(numbered(held["preparation"].transform(rows), stored.features, ("tx_id", "label")))
+    return score_all(ready, stored.table("trees"), stored.table("references"), stored.table("bayes"),
+                     numbers(stored.features), held["trees"])
+
+
+def model_scores(spark, sf_dir) -> DataFrame:
+    """Every test row scored by all six models, fitted on the prepared and oversampled train
+    part and taken from the store. The tree families are fitted on a bounded sample; KNN refers
+    to all rows."""
+    test = PP.split_tx(spark, sf_dir).where(F.col("part") == "test")
+    return score_raw(test, stored_models(spark, sf_dir))
+
+
+def batch_scorer(spark, sf_dir, store: ST.ModelStore | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Function that scores raw transactions by the last whole version of the store, so that a
+    stream takes up a new version with its next micro-batch."""
+    store = store or ST.ModelStore(spark)
+    now, key = stored_models(spark, sf_dir, store), models_key(spark, sf_dir)
 
     def score(rows: DataFrame) -> DataFrame:
-        if "label" not in rows.columns:  # arriving records have none
-            rows = rows.withColumn("label", F.lit(None).cast("int"))
-        return score_all(materialize(frozen.transform(rows).withColumnsRenamed(names)), *models, feats)
+        nonlocal now
+        last = store.latest(key)
+        if last.version != now.version:
+            now = last
+        return score_raw(rows, now)
 
     return score
 
@@ -324,9 +407,86 @@ def model_vote_df(spark, sf_dir):
     return majority_vote(model_scores(spark, sf_dir))
 
 
+@register("aligned_features", "PRJ-11,SNK-6", with_ctes(TX_SQL, body="""
+SELECT tx_id, CAST(f.position AS INT) AS position, CASE f.position WHEN 0 THEN amt WHEN 1 THEN CAST(k AS DOUBLE)
+       WHEN 2 THEN d1 ELSE CAST(dt AS DOUBLE) END AS value
+FROM tx, (SELECT unnest([0, 1, 2, 3]) AS position) f"""))
+def aligned_features_df(spark, sf_dir):
+    """The stored feature order brought to a table with other columns in another order, and to a
+    vector column that carries its names: one positional result of both."""
+    from txscore.sources.tables import tx_view
+    stored = ST.ModelStore(spark, IO.shared_path(spark, "store")).publish({}, ["amt", "k", "d1", "dt"])
+    features = ST.ModelStore(spark, stored.path.rsplit("/", 1)[0]).latest().features
+    tx = tx_view(spark, sf_dir)
+    mixed = tx.select("tx_id", "dt", "v_sparse", "k", F.lit(0.0).alias("extra"), "d1", "amt")
+    by_name = mixed.select("tx_id", F.array(*ST.aligned(mixed, features)[:2]).alias("v"))
+    vectors = tx.select("tx_id", ST.vector(["dt", "label", "d1", "amt", "k"]))
+    by_place = vectors.select("tx_id", F.array(*ST.aligned(vectors, features, "vec")[2:]).alias("w"))
+    both = by_name.join(by_place, "tx_id")
+    return both.select("tx_id", F.posexplode(F.concat("v", "w")).alias("position", "value"))
+
+
+REPORT_SETS = ("Training", "Validation", "Test")
+_REPORT_SQL = ", ".join(f"{S.r6(S.rates()[c])} AS {c}" for c in ("accuracy", "precision", "recall", "f1"))
+
+
+@register("report_batches", "SNK-2,SNK-3,SET-3", with_ctes(TX_SQL, SCORES_SQL, f"""conf AS (
+  SELECT batch, set_no, model, SUM((label = 0 AND pred = 0)::INT) AS tn, SUM((label = 0 AND pred = 1)::INT) AS fp,
+         SUM((label = 1 AND pred = 0)::INT) AS fn, SUM((label = 1 AND pred = 1)::INT) AS tp
+  FROM (SELECT *, tx_id % 2 + 1 AS batch, (tx_id // 2) % 3 AS set_no FROM scores) GROUP BY ALL)""", body=f"""
+SELECT CAST(batch AS BIGINT) AS batch, ['Training', 'Validation', 'Test'][set_no + 1] AS "set", model, {_REPORT_SQL}
+FROM conf"""))
+def report_batches_df(spark, sf_dir):
+    """Set x model reports of two runs as a log table and as a text log of batches; the first run is
+    written twice, as after a failure. The text log is read back and must hold what the table holds."""
+    from txscore.sources import logs as LG
+    from txscore.sources.tables import score_table, tx_view
+    rows = score_table(tx_view(spark, sf_dir)).withColumns({
+        "batch": F.col("tx_id") % 2 + 1,
+        "set": F.get(F.array(*[F.lit(x) for x in REPORT_SETS]), (F.expr("tx_id div 2") % 3).cast("int"))})
+    counts = materialize(M.confusion(rows, ["batch", "set", "model"]))
+    cols = ["accuracy", "precision", "recall", "f1"]
+    rates = M.rate_columns(*[F.col(c) for c in ("tn", "fp", "fn", "tp")])
+    report = counts.select("batch", "set", "model", *[r6(rates[c]).alias(c) for c in cols])
+    table, text = (IO.shared_path(spark, "reports") for _ in "ab")
+    for run in (1, 1, 2):
+        own = report.where(F.col("batch") == run).drop("batch")
+        LG.write_run(own, table, f"run-{run}")
+        LG.write_text_batch(own, text, f"run-{run}", ["set", "model"])
+    read = LG.read_text_log(spark, text, "set string, model string, " + ", ".join(f"{c} double" for c in cols), header=False)
+    run = F.regexp_extract("file", "run_id=run-([0-9]+)", 1).cast("long")
+    lines = read.select(run.alias("batch"), "set", "model", *cols)
+    logged = spark.read.parquet(table).select(F.regexp_extract("run_id", "([0-9]+)$", 1).cast("long").alias("batch"),
+                                              "set", "model", *cols)
+    return lines.intersectAll(logged)
+
+
+@register("parameter_cells", "SRC-3,SNK-4", with_ctes(TX_SQL, body=f"""
+SELECT product, 'rule' AS criterion, NULL AS max_depth, CAST(COUNT(*) AS BIGINT) AS n_estimators,
+       MAX(k) > 50 AS bootstrap, {S.r6('max(amt) / 1000')} AS learning_rate, CAST(5 AS BIGINT) AS n_params
+FROM tx GROUP BY product"""))
+def parameter_cells_df(spark, sf_dir):
+    """Parameters of mixed types as one JSON cell of a log, written and read as a map."""
+    from txscore.sources import logs as LG
+    from txscore.sources.tables import tx_view
+    path = IO.shared_path(spark, "parameters")
+    per = tx_view(spark, sf_dir).groupBy("product").agg(
+        F.count(F.lit(1)).alias("n_estimators"), (F.max("k") > 50).alias("bootstrap"),
+        (F.max("amt") / 1000).alias("learning_rate"))
+    cell = LG.params_cell("n_estimators", "bootstrap", "learning_rate", F.lit(None).cast("int").alias("max_depth"),
+                          criterion="rule")
+    LG.write_run(per.select("product", cell.alias("best_parameters")), path, "run-1")
+    back = spark.read.parquet(path)
+    return back.select("product", *[LG.param("best_parameters", n, t).alias(n) for n, t in (
+        ("criterion", "string"), ("max_depth", "int"), ("n_estimators", "bigint"), ("bootstrap", "boolean"))],
+        r6(LG.param("best_parameters", "learning_rate", "double")).alias("learning_rate"),
+        F.size(LG.decode_params("best_parameters")).cast("long").alias("n_params"))
+
+
 def append_report(report: DataFrame, path: str, run_id: str) -> None:
-    """One run's rows (set, model, metrics) appended to the report table, by model."""
-    report.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("model").parquet(path)
+    """One run's rows (set, model, metrics) in the report table; a repeated run replaces its rows."""
+    from txscore.sources import logs as LG
+    LG.write_run(report, path, run_id)
 
 
 @register("report_log", "SNK-2,SNK-3,SET-3")
@@ -507,15 +667,21 @@ register("shapley_sampled", "EXP-3,EXP-6,UDF-3")(shapley_sampled_df)
 def shapley_boosted_df(spark, sf_dir):
     """Every test record explained for the boosted trees over all prepared features: the exact
     values of the decision against a background of 50 train rows; the 14 largest of each."""
-    from txscore.operators.tree_shapley import tree_shapley
+    from txscore.operators.tree_shapley import top_of_record, tree_shapley
+    from txscore.plans.streams import TOP_SHOWN
     train, test, feats = prepared_split(spark, sf_dir)
     model = E.load_models(E.fit_table(E.fit_sample(train), feats, ["XGBoost"]))["XGBoost",]
     phi = tree_shapley(test, SM.background_sample(train), feats, model)
-    return top_of_record(phi).select("tx_id", "feature", r6("phi").alias("phi"), "rank")
+    return top_of_record(phi, TOP_SHOWN).select("tx_id", "feature", r6("phi").alias("phi"), "rank")
 
 
-def top_of_record(phi: DataFrame, n: int | None = None) -> DataFrame:
-    """The largest values of each record with their ranks."""
-    from txscore.plans.streams import TOP_SHOWN
-    w = Window.partitionBy("tx_id").orderBy(F.abs("phi").desc(), "feature")  # one record's features
-    return phi.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= (n or TOP_SHOWN))
+@register("permutation_importance_boosted", "EXP-2")
+def permutation_importance_boosted_df(spark, sf_dir):
+    """Accuracy that the fitted boosted trees lose on the test part without each feature, the 20
+    largest."""
+    from txscore.operators import explain as X
+    train, test, feats = prepared_split(spark, sf_dir)
+    model = E.load_models(E.fit_table(E.fit_sample(train), feats, ["XGBoost"]))["XGBoost",]
+    imp = X.permutation_importance(test, feats, lambda x: E.probability("XGBoost", model, x)[1])
+    return X.top_importances(imp, "importance_mean").select("feature", *[r6(c).alias(c) for c in (
+        "importance_mean", "importance_std")])

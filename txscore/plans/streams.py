@@ -192,6 +192,30 @@ FROM phi WHERE tx_id IN (SELECT tx_id FROM fl)""")
 register("stream_explain", "STR-3,EXP-4,EXP-3", _stream_explain_sql())(stream_explain_df)
 
 
+@register("stream_explain_boosted", "STR-3,EXP-4,STR-2")
+def stream_explain_boosted_df(spark, sf_dir):
+    """Arriving events through the frozen preparation and the fitted boosted trees; what these flag
+    is explained in its micro-batch, each record once."""
+    from txscore.operators import ensembles as E
+    from txscore.operators import prep as P
+    from txscore.operators import sampling as SM
+    from txscore.operators.explain import background_matrix
+    from txscore.plans import learning as L
+    from txscore.plans import preparation as PP
+    from txscore.session import materialize
+    sp = PP.split_tx(spark, sf_dir)
+    train = sp.where(F.col("part") == "train")
+    frozen, _ = P.fit_preparation(sp, train, PP.CATS, PP.NUMS, string_cols=PP.CATS)
+    feats = L.numbers(frozen.selected)
+    ready = materialize(L.numbered(frozen.transform(train), frozen.selected, ("tx_id", "label")))
+    model = E.load_models(E.fit_table(E.fit_sample(ready), feats, ["XGBoost"]))["XGBoost",]
+    background = background_matrix(SM.background_sample(ready), feats)
+    arriving = frozen.transform(tx_from_events(ST.events_stream(spark, sf_dir)), keep=("tx_id",))
+    out = ST.explain_flagged(L.numbered(arriving, frozen.selected, ("tx_id",)), spark, "XGBoost", model, feats,
+                             background, "explain_boosted", TOP_SHOWN)
+    return out.select("tx_id", "feature", r6("phi").alias("phi"), "rank")
+
+
 def stream_knn_scores_df(spark, sf_dir):
     """kNN scoring of arriving vectors: each micro-batch is joined (exact band
     kNN join) against the static training vectors inside ``foreachBatch``."""

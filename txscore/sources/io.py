@@ -46,9 +46,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 
 
 def append_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
-    """Create-or-append log: one batch per run, told apart by ``run_id``."""
-    df.withColumn("run_id", F.lit(run_id)).write.mode("append").format(fmt) \
-      .partitionBy("run_id").save(path)
+    """Create-or-append log: one batch per run, told apart by ``run_id``; a run that is written
+    again replaces its batch."""
+    from txscore.sources.logs import write_run
+    write_run(df, path, run_id, fmt)
 
 
 def params_json(params: dict) -> str:
