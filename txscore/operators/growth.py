@@ -29,12 +29,16 @@ from txscore.functions.hashing import DEFAULT_SEED
 from txscore.session import materialize, shuffle_partitions
 
 BINS = 32
+#: Bins that a key has room for.
+WIDTH = 64
 #: Pairs of a cell and a tree that a task leads down together, and cells that it takes up at once.
 PAIRS, HELD_CELLS = 1 << 20, 1 << 16
+#: Pairs, and counts of cells, that make a task of their own; small levels get few tasks.
+TASK_PAIRS, TASK_COUNTS = 1 << 17, 1 << 16
 #: Bytes of the trees that go to the tasks.
 MODEL_BYTES = 256 << 20
 NODE = {"feature": np.int64, "bin": np.int64, "left": np.int64, "right": np.int64, "n": float, "pos": float,
-        "gain": float, "tree": np.int64}
+        "gain": float, "tree": np.int64, "parent": np.int64}
 
 
 @dataclass(frozen=True)
@@ -54,6 +58,8 @@ def cell_table(rows: DataFrame, features: Sequence[str], fit: str | None = None,
                bins: int = BINS) -> tuple[DataFrame, dict[int, list[np.ndarray]]]:
     """(fit, bins, n, pos): one row for each different binned vector of a fit, and the cuts by fit
     and feature. A missing value falls into the last bin."""
+    if bins > WIDTH - 1:
+        raise ValueError(f"at most {WIDTH - 1} bins")
     own = F.col(fit).cast("int") if fit else F.lit(0)
     base = rows.where(F.col(label).isNotNull()).select(
         own.alias("fit"), (F.col(label) == 1).cast("double").alias("y"),
@@ -125,7 +131,15 @@ def _count_cells(cells: DataFrame, nodes: dict[str, np.ndarray], roots: dict[int
     """(node, slot, bin, n, pos) of the open nodes ``at``; node: its place among these."""
     place = np.full(len(nodes["n"]), -1, np.int32)
     place[at] = np.arange(len(at))
-    model = {"feature": nodes["feature"].astype(np.int16), "bin": nodes["bin"].astype(np.int16),
+    live = np.zeros(len(place), bool)  # an open node, or above one
+    up = at
+    while len(up):
+        live[up] = True
+        up = nodes["parent"][up]
+        up = np.unique(up[up >= 0])
+        up = up[~live[up]]
+    roots = {g: own[live[own]] for g, own in roots.items()}
+    model = {"live": live, "feature": nodes["feature"].astype(np.int16), "bin": nodes["bin"].astype(np.int16),
              "left": nodes["left"].astype(np.int32), "right": nodes["right"].astype(np.int32),
              "place": place, "subset": subset.astype(np.int16), "roots": roots}
     data = pickle.dumps(model)
@@ -146,6 +160,8 @@ def _count_cells(cells: DataFrame, nodes: dict[str, np.ndarray], roots: dict[int
             places.append(opened[opened >= 0])
             row, node, f = row[~done], node[~done], f[~done]
             node = np.where(bins[row, f] <= m["bin"][node], m["left"][node], m["right"][node])
+            alive = m["live"][node]
+            row, node = row[alive], node[alive]
         return np.concatenate(rows), np.concatenate(places)
 
     def counted(m: dict, fits, bins, n, pos) -> Iterator[pa.RecordBatch]:
@@ -157,12 +173,20 @@ def _count_cells(cells: DataFrame, nodes: dict[str, np.ndarray], roots: dict[int
             for i in range(0, len(all_roots), step):
                 row, node = led(m, bins[own], all_roots[i:i + step])
                 row = own[row]
-                key = np.concatenate([(node.astype(np.int64) * slots + j) * 256 + bins[row, m["subset"][node, j]]
+                key = np.concatenate([(node.astype(np.int64) * slots + j) * WIDTH + bins[row, m["subset"][node, j]]
                                       for j in range(slots)])
-                key, of = np.unique(key, return_inverse=True)
-                keys.append(key)
-                ns.append(np.bincount(of, np.tile(n[row], slots), len(key)))
-                ps.append(np.bincount(of, np.tile(pos[row], slots), len(key)))
+                if not len(key):
+                    continue
+                low, span = key.min(), int(np.ptp(key)) + 1
+                if span <= 8 * len(key):
+                    of, key = key - low, np.arange(low, low + span)
+                else:
+                    key, of = np.unique(key, return_inverse=True)
+                sums = [np.bincount(of, np.tile(x[row], slots), len(key)) for x in (n, pos)]
+                held = sums[0] > 0
+                keys.append(key[held])
+                ns.append(sums[0][held])
+                ps.append(sums[1][held])
         if keys:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ns, ps)], ["key", "n", "pos"])
 
@@ -186,11 +210,12 @@ def _count_cells(cells: DataFrame, nodes: dict[str, np.ndarray], roots: dict[int
         if held:
             yield from flush()
 
+    parts = shuffle_partitions(cells.sparkSession)
+    few = max(1, min(parts, -(-len(at) * slots * 8 // TASK_COUNTS)))
     counts = cells.mapInArrow(run, "key long, n double, pos double")
-    whole = F.col("key")
-    counts = counts.select(F.expr(f"key div {256 * slots}").alias("node"), F.expr(f"key div 256 % {slots}").alias("slot"),
-                           (whole % 256).alias("bin"), "n", "pos")
-    return (counts.repartition(shuffle_partitions(cells.sparkSession), "node")
+    counts = counts.select(F.expr(f"key div {WIDTH * slots}").alias("node"),
+                           F.expr(f"key div {WIDTH} % {slots}").alias("slot"), (F.col("key") % WIDTH).alias("bin"), "n", "pos")
+    return (counts.repartition(few, "node")
             .groupBy("node", "slot", "bin").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")))
 
 
@@ -201,10 +226,13 @@ def grow(cells: DataFrame, plan: Plan, tree_ids: range | None = None) -> dict[in
     if not totals:
         return {}
     trees, d = plan.trees, len(totals[0].bins)
+    pairs = cells.count() * trees
+    cells = cells.coalesce(max(1, -(-pairs // TASK_PAIRS)))
     nodes = {k: np.zeros(0, t) for k, t in NODE.items()}
 
-    def add(n, pos, tree) -> np.ndarray:
-        new = {"feature": -1, "bin": -1, "left": -1, "right": -1, "n": n, "pos": pos, "gain": 0.0, "tree": tree}
+    def add(n, pos, tree, parent=-1) -> np.ndarray:
+        new = {"feature": -1, "bin": -1, "left": -1, "right": -1, "n": n, "pos": pos, "gain": 0.0, "tree": tree,
+               "parent": parent}
         first = len(nodes["n"])
         for k, t in NODE.items():
             nodes[k] = np.concatenate([nodes[k], np.broadcast_to(np.asarray(new[k], t), np.shape(n))])
@@ -229,8 +257,8 @@ def grow(cells: DataFrame, plan: Plan, tree_ids: range | None = None) -> dict[in
         nodes["bin"][split], nodes["gain"][split] = found["bin"].to_numpy(), found["gain"].to_numpy()
         ln, lpos, tree = found["n"].to_numpy(), found["pos"].to_numpy(), nodes["tree"][split]
         rn, rpos = nodes["n"][split] - ln, nodes["pos"][split] - lpos
-        nodes["left"][split] = left = add(ln, lpos, tree)
-        nodes["right"][split] = right = add(rn, rpos, tree)
+        nodes["left"][split] = left = add(ln, lpos, tree, split)
+        nodes["right"][split] = right = add(rn, rpos, tree, split)
         at, depth = np.concatenate([left, right]), depth + 1
     out = {}
     for i, t in enumerate(totals):  # each fit's nodes, tree after tree
@@ -239,7 +267,8 @@ def grow(cells: DataFrame, plan: Plan, tree_ids: range | None = None) -> dict[in
         new = np.full(len(nodes["n"]) + 1, -1)
         new[own] = np.arange(len(own))
         part = {k: nodes[k][own] for k in NODE}
-        part["left"], part["right"] = new[part["left"]], new[part["right"]]
+        for k in ("left", "right", "parent"):
+            part[k] = new[part[k]]
         part["tree"] -= i * trees
         out[t.fit] = part
     return out
