@@ -41,6 +41,23 @@ PAGES = {
     "links of an article": (f"<div><a href=1>Home</a> <a href=2>News</a></div><article><p>{P}</p><p>{Q}</p><ul><li>"
                             f"<a href=1>Source one</a><li><a href=2>Source two</a></ul></article>",
                             [P, Q, "Source one", "Source two"]),
+    "long comments beside the article": (f"<article><h1>T</h1><p>{P}<p>{Q}</article><section class='comments'>"
+                                         + f"<p>{Q}</p>" * 30 + "</section>", ["T", P, Q]),
+    "long comments beside divisions": (f"<div class=content><p>{P}<p>{Q}</div><div id=comments>" + f"<p>{P}</p>" * 30
+                                       + "</div>", [P, Q]),
+    "long comments in main": (f"<main><p>{P}<p>{Q}<div id=comments>" + f"<p>{P}</p>" * 30 + "</div></main>", [P, Q]),
+    "long comments in the article": (f"<article><p>{P}<section class='reader-comments'>" + f"<p>{P}</p>" * 30
+                                     + f"</section><p>{Q}</article>", [P, Q]),
+    "articles as comments": (f"<article><p>{P}<p>{Q}</article><ol class=commentlist>"
+                             + f"<li><article class='comment-body'><p>{P}{P}</article>" * 20 + "</ol>", [P, Q]),
+    "long sidebar": (f"<article><p>{P}<p>{Q}</article><div class='sidebar'>" + f"<p>{P}{P}</p>" * 10 + "</div>", [P, Q]),
+    "long notice in the article": (f"<article><div class='cookie-notice'>{P * 5}</div><p>{P}<p>{Q}</article>", [P, Q]),
+    "page in a form": (f"<form id='aspnetForm'><input><article><p>{P}<p>{Q}</article><div class=sidebar><p>{P}</div>"
+                       "<button>Send</button></form>", [P, Q]),
+    "divisions in a form": (f"<p>Site</p><form><div><p>{P}<p>{Q}</div><div id=comments><p>{P}{Q}</div></form>", [P, Q]),
+    "comments only": (f"<div id=comments><div class=comment><p>{P}</div></div>", [P]),
+    "banner around main": (f"<p>Site</p><div class=banner><main><p>{P}<p>{Q}</main></div>", [P, Q]),
+    "deep strong names": ("<div class='sidebar'>" * 3000 + P, [P]),
     "deep names": ("<div class='has-sidebar'>" * 3000 + P, [P]),
     "references": ("<p>a &lt;b&gt;&#x41;&nbsp;&nbsp; x<br>y</p>", ["a <b>A x y"]),
     "text": ("just  text", ["just text"]),

@@ -1,12 +1,16 @@
 """Main text of web pages by composite text density.
 
 A page is parsed into nodes. Elements that hold no article text by their tag or role (menus, page
-headers, footers, forms, scripts, styles, hidden parts) are left out. A class or id that names
-a sidebar, notice, advert, reader comments and the like is evidence only, as page wrappers carry
-such words too (``has-sidebar``, ``comments-open``): the element is left out unless it holds the
-node with the largest density sum of the page, the article or main element with most of the text,
-or more text than all that stays without it (in a page whose articles hold text, only elements in
-them are measured by this share). For every other node
+headers, footers, controls, scripts, styles, hidden parts) are left out. So are elements whose
+class or id names reader comments, a sidebar, notice, advert and the like, however long, inside an
+article too; a form goes unless it holds more text than all outside of it. If nothing else holds
+text, the named element with the most text stays, as does one (but for comments) around an article
+or main element with more text than all that is free. Names that also tell a state or a wrapper
+(``has-sidebar``, ``comments-open``, ``social-policy``), and names of article elements, are evidence
+only: such an element is left out unless it holds the node with the largest density sum of the
+rest, the article or main element with most of the text, or more text than all that stays without
+it (in a page whose articles hold text, only elements in them are measured by this share). For every
+other node
 
     density = C / T * log(C / LC * T / LT)  to the base  ln(C / (C - LC) * LC + LCb / Cb * C + e)
 
@@ -63,7 +67,7 @@ INLINE = frozenset(
 #: What a closing tag doesn't reach beyond.
 FENCES = frozenset("table td th".split())
 DROPPED = frozenset(
-    "head nav footer aside form button select input textarea label fieldset dialog menu script style "
+    "head nav footer aside button select input textarea label fieldset dialog menu script style "
     "noscript iframe template svg math object embed canvas audio video map datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert "
                   "menu menubar toolbar tablist".split())
@@ -74,30 +78,52 @@ MARKS = frozenset(
     "recommendations share sharing social comment comments commentlist disqus reply replies respond "
     "newsletter subscribe subscription signup login breadcrumb breadcrumbs menu menus nav navbar "
     "navigation footer masthead topbar toolbar pagination pager copyright paywall".split())
+#: Marks of reader comments, and parts of a name that tell a state of the page or a wrapper.
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+STATES = frozenset("has no not with without is open closed enabled disabled policy page site wrapper wrap "
+                   "container layout".split())
+#: What an element's name says: nothing, evidence only, a form, boilerplate, reader comments.
+FREE, WEAK, FORM, STRONG, COMMENT = range(5)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: Share of a block's characters in links that makes it a menu.
 MENU_SHARE = 0.8
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def boilerplate(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """(the element holds no article text, its class or id names boilerplate). ``inside``: it lies
-    in an article or main element."""
+def named_as(tag: str, names: str, inside: bool) -> int:
+    """What the words of a class or id say of an element."""
+    out = FREE
+    for word in names.split():
+        parts = {p.lower() for p in NAME_PARTS.findall(word)}
+        if parts & MARKS:
+            if parts & STATES:
+                kind = WEAK
+            elif parts & COMMENTS:
+                kind = COMMENT
+            else:
+                kind = WEAK if tag == "article" else STRONG
+        else:
+            kind = WEAK if "header" in parts and not inside and tag != "article" else FREE
+        out = max(out, kind)
+    return out
+
+
+def boilerplate(tag: str, attributes: str, inside: bool) -> tuple[bool, int]:
+    """(the element holds no article text, what its class or id says). ``inside``: it lies in an
+    article or main element."""
     if tag in DROPPED or tag == "header" and not inside:
-        return True, False
-    named = False
+        return True, FREE
+    named = FORM if tag == "form" else FREE
     if not attributes or tag in ("html", "body", "main"):
-        return False, False
+        return False, named
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id"):
-            parts = {p.lower() for p in NAME_PARTS.findall(value)}
-            if parts & MARKS or "header" in parts and not inside and tag != "article":
-                named = True
+        if name in ("class", "id") and tag != "form":
+            named = max(named, named_as(tag, value, inside))
         elif name == "role" and value.lower() in ROLES or name == "hidden" or (
                 name == "aria-hidden" and value.lower() == "true") or (
                 name == "style" and HIDDEN.search(value)):
-            return True, False
+            return True, FREE
     return False, named
 
 
@@ -106,7 +132,8 @@ class Page:
 
     def __init__(self, source: str):
         self.tags, self.parents = ["html"], [-1]
-        self.gone = [False]  # by node: named as boilerplate; after _settle: left out
+        self.gone = [False]  # by node: left out
+        self.named = [FREE]
         self.texts: list[tuple[int, str]] = []  # (node, text); node -1: the end of a block
         self.body = 0
         stack = [(0, "html", False)]  # (node or -1 where text is dropped, tag, inside an article)
@@ -145,12 +172,13 @@ class Page:
                 del stack[1:]
             top, _, inside = stack[-1]
             node = -1
-            drop, named = boilerplate(tag, attributes, inside) if top >= 0 else (True, False)
+            drop, named = boilerplate(tag, attributes, inside) if top >= 0 else (True, FREE)
             if not drop:
                 node = len(self.tags)
                 self.tags.append(tag)
                 self.parents.append(top)
-                self.gone.append(named)
+                self.gone.append(False)
+                self.named.append(named)
                 if tag == "body" and not self.body:
                     self.body = node
             if tag in RAW:
@@ -160,20 +188,62 @@ class Page:
                     break
             if tag not in VOID and not (attributes.endswith("/") and tag in ("path", "svg")):
                 stack.append((node, tag, inside or tag in ("article", "main")))
-        if any(self.gone):
+        if any(k > WEAK for k in self.named):
+            self._leave_out()
+        if WEAK in self.named:
             self._settle()
 
+    def _leave_out(self) -> None:
+        """Leaves out what is named as boilerplate, with all it holds, but for the exceptions."""
+        n, kind = len(self.tags), self.named
+        own, linked = [0] * n, [False] * n  # text of a node, then that outside of named elements below
+        for i in range(1, n):
+            linked[i] = self.tags[i] == "a" or linked[self.parents[i]]
+        for node, text in self.texts:
+            if node >= 0 and not linked[node]:
+                own[node] += len(" ".join(text.split()))
+        full, main = own[:], [0] * n  # main: of the largest article or main element
+        for i in range(n - 1, 0, -1):
+            up = self.parents[i]
+            full[up] += full[i]
+            own[up] += 0 if kind[i] > WEAK else own[i]
+            size = max(main[i], own[i] if self.tags[i] in ("article", "main") else 0)
+            main[up] = max(main[up], size)
+        free, heap = own[0], []
+        below: dict[int, list[int]] = {}  # named elements by the next named one around them, or -1
+        around = [-1] * n
+        for i in range(n):
+            up = around[self.parents[i]] if i else -1
+            around[i] = i if kind[i] > WEAK else up
+            if kind[i] > WEAK:
+                below.setdefault(up, []).append(i)
+
+        def offer(nodes: list[int]) -> None:
+            for i in nodes:
+                # reader comments come last, whatever their length
+                heapq.heappush(heap, (kind[i] == COMMENT, -own[i], -full[i], i))
+
+        offer(below.get(-1, []))
+        while heap:
+            _, _, _, i = heapq.heappop(heap)
+            if not free and full[i] or kind[i] == FORM and own[i] > free or kind[i] != COMMENT and main[i] > free:
+                kind[i] = WEAK if kind[i] != FORM else FREE
+                free += own[i]
+                offer(below.get(i, []))
+        for i in range(1, n):
+            self.gone[i] = kind[i] > WEAK or self.gone[self.parents[i]]
+
     def _settle(self) -> None:
-        """Decides which named elements are left out, with all they hold."""
-        n, named = len(self.tags), self.gone
-        self.gone = [False] * n
+        """Decides which elements named as evidence are left out, with all they hold."""
+        n, out = len(self.tags), self.gone
+        named = [k == WEAK and not g for k, g in zip(self.named, out, strict=True)]
         _, total = self.densities()
         plain, linked, held = [0] * n, [False] * n, [False] * n  # held: in an article or main element
         for i in range(1, n):
             linked[i] = self.tags[i] == "a" or linked[self.parents[i]]
             held[i] = self.tags[i] in ("article", "main") or held[self.parents[i]]
         for node, text in self.texts:
-            if node >= 0 and not linked[node]:
+            if node >= 0 and not linked[node] and not out[node]:
                 plain[node] += len(" ".join(text.split()))
 
         def keep(node: int) -> None:
@@ -189,7 +259,7 @@ class Page:
                 own[self.parents[i]] += 0 if named[i] else own[i]
             return full, own
 
-        keep(max(range(self.body, n), key=lambda i: (total[i], -i)))
+        keep(max((i for i in range(self.body, n) if not out[i]), key=lambda i: (total[i], -i), default=0))
         full, own = sums()
         inside = [False] * n  # in a named element
         for i in range(n):
@@ -218,7 +288,7 @@ class Page:
             for i in below.get(node, []):
                 heapq.heappush(heap, (-full[i], i))
         for i in range(1, n):
-            self.gone[i] = named[i] or self.gone[self.parents[i]]
+            self.gone[i] = out[i] or named[i] or self.gone[self.parents[i]]
 
     @staticmethod
     def _close(stack: list[tuple[int, str, bool]], tag: str) -> None:
