@@ -197,6 +197,12 @@ def test_line_removal_equals_brute_force(spark, unit):
         assert spans == line_dedup.cut(texts[r.doc_id], unit) and r.n_units == len(spans)
 
 
+def test_short_lines_stay(spark):
+    df = spark.createDataFrame([(1, "One two\nA  b c\nx"), (2, "a B c \none two\nx")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeats(df, min_words=3).collect()}
+    assert got == {1: "One two\nA  b c\nx", 2: "one two\nx"}
+
+
 def test_line_removal_nulls_repeated_rows_empty_table(spark):
     rows = [(1, "a\nb"), (1, "a\nb"), (None, "b\nc"), (2, None), (0, "x\nx\n")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -96,8 +96,12 @@ def op8_prefix_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "edited_fingerprint", "near_edited", "near_next", "common_prefix")
 
 
+#: Words of the shortest line that ``op9_line_dedup`` compares (also in its SQL).
+LINE_WORDS = 10
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    out = line_dedup.remove_repeats(table(spark, sf_dir, "documents"), min_words=LINE_WORDS)
     spans = F.transform("removed", lambda s: F.concat_ws("-", s.start, s.end))
     return out.select("doc_id", F.col("n_units").alias("n_lines"),
                       F.size("removed").cast("long").alias("n_removed"),
@@ -114,7 +118,7 @@ placed AS (
               'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+', ' ', 'g'), ' ') AS norm
   FROM lines),
 ranked AS (
-  SELECT *, norm <> '' AND row_number() OVER (PARTITION BY md5(norm) ORDER BY doc_id, start) > 1
+  SELECT *, norm <> '' AND len(string_split(norm, ' ')) >= 10 AND row_number() OVER (PARTITION BY md5(norm) ORDER BY doc_id, start) > 1
             AS gone
   FROM placed)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,

@@ -4,7 +4,8 @@ Units are the lines of a text, or its paragraphs (separated by blank lines). A u
 normalised (A-Z in lower case, runs of ASCII white space as one space, ends trimmed)
 and stands for its MD5 digest. Digests are grouped over all documents; the occurrence with
 the smallest (doc_id, start) stays, every other one is removed. Units that are empty after
-normalisation are never removed.
+normalisation, or have fewer than ``min_words`` words, are never removed: headings, list marks and
+short answers recur without being copies.
 
 The earliest rank of a digest is a grouped minimum with map-side combine, so a line that a
 third of all documents share costs one row for each task. Only digests that occur more than
@@ -59,8 +60,8 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.xxhash64(text), F.lit(0)).alias("th"))
 
 
-def unit_digests(keyed: DataFrame, unit: str) -> DataFrame:
-    """none, id0, th, start, end, digest of every unit that isn't empty."""
+def unit_digests(keyed: DataFrame, unit: str, min_words: int = 1) -> DataFrame:
+    """none, id0, th, start, end, digest of every unit of at least ``min_words`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -68,7 +69,7 @@ def unit_digests(keyed: DataFrame, unit: str) -> DataFrame:
             for i, text in enumerate(part.column("text").to_pylist()):
                 for start, end in cut(text, unit) if text else ():
                     norm = normalised(text[start:end])
-                    if norm:
+                    if norm and norm.count(" ") + 1 >= min_words:
                         at.append(i)
                         starts.append(start)
                         ends.append(end)
@@ -85,14 +86,14 @@ def unit_digests(keyed: DataFrame, unit: str) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   unit: str = "line") -> DataFrame:
+                   unit: str = "line", min_words: int = 1) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_units (of the text, empty ones too), kept and
     removed (spans of the units that stay or go, in order) and text (what stays, joined)."""
     require(docs, id_col, text_col)
     if unit not in SEPARATORS:
         raise ValueError(f"unit must be one of {sorted(SEPARATORS)}")
     keyed = _keyed(docs, id_col, text_col)
-    found = materialize(unit_digests(keyed, unit))
+    found = materialize(unit_digests(keyed, unit, min_words))
     rank = F.struct("none", "id0", "th", "start")
     # written out, so that both sides of the join below are plain exchanges, which adaptive
     # execution can split where a digest is hot
