@@ -67,6 +67,33 @@ def _band_edges(refs: DataFrame, n_refs: int) -> list[float]:
     return [-math.inf] + inner + [math.inf]
 
 
+def block_topk(qk: DataFrame, rk: DataFrame, k: int, metric: str, exclude_self: bool) -> DataFrame:
+    """Per band: the distances of its queries x references in numpy (Arrow batches),
+    best k per query; candidates of one query from several tasks are merged afterwards.
+
+    Both sides of a band are cut into slices by a hash of the id, and every pair of
+    slices is a task. The slice counts are one row for each (group, band)."""
+    fn = _block_topk_fn(k, metric, exclude_self)
+    keys = ["_g", "band"]
+    refs_n = rk.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("int").alias("_rn"))
+    asks_n = qk.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE_QUERIES).cast("int").alias("_qn"))
+    slices = refs_n.join(asks_n, keys)
+    rk, qk = join_small(rk, slices, keys), join_small(qk, slices, keys)
+    rk = (rk.withColumn("_rs", F.pmod(F.xxhash64("r_id"), F.col("_rn")).cast("int"))
+            .withColumn("_qs", F.explode(F.sequence(F.lit(0), F.col("_qn") - 1))).drop("_rn", "_qn"))
+    qk = (qk.withColumn("_qs", F.pmod(F.xxhash64("q_id"), F.col("_qn")).cast("int"))
+            .withColumn("_rs", F.explode(F.sequence(F.lit(0), F.col("_rn") - 1))).drop("_rn", "_qn"))
+    task = [*keys, "_rs", "_qs"]
+    return (qk.groupBy(*task).cogroup(rk.groupBy(*task))
+              .applyInPandas(fn, "_g long, q_id long, r_id long, dist double"))
+
+
+def merge(cands: DataFrame, k: int) -> DataFrame:
+    """The k best candidates of each query, from all tasks."""
+    w = Window.partitionBy("_g", "q_id").orderBy(F.col("dist"), F.col("r_id"))   # <= k per key and task
+    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id: str = "id",
              q_vec: str = "vec", r_vec: str = "vec", metric: str = "l1",
              exclude_self: bool = False, group: str | None = None, share_only: bool = False):
@@ -99,34 +126,10 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
     Qb = band(Q, "_s", "_b").withColumn("q_band", F.col("_b").cast("int")).drop("_b") \
         .withColumnRenamed("_s", "q_s")
 
-    def block_topk(qk: DataFrame, rk: DataFrame) -> DataFrame:
-        """Per band: the distances of its queries x references in numpy (Arrow batches),
-        best k per query; candidates of one query from several tasks are merged afterwards.
-
-        Both sides of a band are cut into slices by a hash of the id, and every pair of
-        slices is a task. The slice counts are one row for each (group, band)."""
-        fn = _block_topk_fn(k, metric, exclude_self)
-        keys = ["_g", "band"]
-        refs_n = rk.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("int").alias("_rn"))
-        asks_n = qk.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SLICE_QUERIES).cast("int").alias("_qn"))
-        slices = refs_n.join(asks_n, keys)
-        rk, qk = join_small(rk, slices, keys), join_small(qk, slices, keys)
-        rk = (rk.withColumn("_rs", F.pmod(F.xxhash64("r_id"), F.col("_rn")).cast("int"))
-                .withColumn("_qs", F.explode(F.sequence(F.lit(0), F.col("_qn") - 1))).drop("_rn", "_qn"))
-        qk = (qk.withColumn("_qs", F.pmod(F.xxhash64("q_id"), F.col("_qn")).cast("int"))
-                .withColumn("_rs", F.explode(F.sequence(F.lit(0), F.col("_rn") - 1))).drop("_rn", "_qn"))
-        task = [*keys, "_rs", "_qs"]
-        return (qk.groupBy(*task).cogroup(rk.groupBy(*task))
-                  .applyInPandas(fn, "_g long, q_id long, r_id long, dist double"))
-
-    def merge(cands: DataFrame) -> DataFrame:
-        w = Window.partitionBy("_g", "q_id").orderBy(F.col("dist"), F.col("r_id"))   # <= k per key
-        return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
     # 1. radius from the own and adjacent bands (references replicated to b-1, b, b+1)
     r_near = Rb.select("_g", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
                        "r_id", "r_vec")
-    cand1 = merge(block_topk(Qb.select("_g", F.col("q_band").alias("band"), "q_id", "q_vec"), r_near))
+    cand1 = merge(block_topk(Qb.select("_g", F.col("q_band").alias("band"), "q_id", "q_vec"), r_near, k, metric, exclude_self), k)
     # written once: pass 2 reads it for its slice counts and for its queries
     radius = materialize(cand1.groupBy("_g", "q_id").agg(F.max("dist").alias("_r"), F.count(F.lit(1)).alias("_c")))
     full_range = F.lit(math.inf)
@@ -148,8 +151,9 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, q_id: str = "id", r_id
         total = Q.groupBy("_g").count().join(R.groupBy("_g").agg(F.count(F.lit(1)).alias("n")), "_g") \
             .agg(F.sum(F.col("count") * F.col("n"))).first()[0]
         return (pairs or 0) / (total or 1)
-    cand2 = block_topk(Qr.select("_g", "band", "q_id", "q_vec"), Rb.select("_g", "band", "r_id", "r_vec"))
-    out = merge(cand2)
+    cand2 = block_topk(Qr.select("_g", "band", "q_id", "q_vec"), Rb.select("_g", "band", "r_id", "r_vec"),
+                       k, metric, exclude_self)
+    out = merge(cand2, k)
     keep = [F.col("_g").alias(group)] if group else []
     return out.select(*keep, "q_id", "r_id", "dist", "rank")
 

@@ -461,6 +461,17 @@ def report_batches_df(spark, sf_dir):
     return lines.intersectAll(logged)
 
 
+@register("specificity_recovered", "PRJ-13", with_ctes(TX_SQL, SCORES_SQL, """conf AS (
+  SELECT model, SUM((label = 0 AND pred = 0)::INT) AS tn, SUM((label = 0 AND pred = 1)::INT) AS fp FROM scores
+  GROUP BY model)""", body=f"SELECT model, {S.r6(S.ratio('tn', 'tn + fp'))} AS specificity FROM conf"))
+def specificity_recovered_df(spark, sf_dir):
+    """Specificity from a report that has balanced accuracy and recall only."""
+    from txscore.sources.tables import score_table, tx_view
+    rep = M.metrics_report(score_table(tx_view(spark, sf_dir))).select("model", "balanced_accuracy", "recall")
+    spec = M.specificity_from_balanced(F.col("balanced_accuracy"), F.col("recall"))
+    return rep.select("model", r6(spec).alias("specificity"))
+
+
 @register("parameter_cells", "SRC-3,SNK-4", with_ctes(TX_SQL, body=f"""
 SELECT product, 'rule' AS criterion, NULL AS max_depth, CAST(COUNT(*) AS BIGINT) AS n_estimators,
        MAX(k) > 50 AS bootstrap, {S.r6('max(amt) / 1000')} AS learning_rate, CAST(5 AS BIGINT) AS n_params

@@ -260,3 +260,12 @@ def gnb_persisted_scores_df(spark, sf_dir):
 
 
 register("gnb_persisted_scores", "SNK-6,SRC-4,MDL-9", CATALOG["gnb_scores"].sql)(gnb_persisted_scores_df)
+
+
+@register("knn_lsh_neighbors", "JN-5")
+def knn_lsh_neighbors_df(spark, sf_dir):
+    """Near neighbours of the held-out vectors by p-stable projections (approximate; exact distances)."""
+    from txscore.operators.lsh_neighbors import lsh_knn_join
+    sp = embedding_split(spark, sf_dir)
+    out = lsh_knn_join(sp.where(F.col("part") == "test"), sp.where(F.col("part") == "train"), KNN_K, metric="l1")
+    return out.select("q_id", "r_id", r6("dist").alias("dist"), F.col("rank").cast("long").alias("rank"))
