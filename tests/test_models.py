@@ -206,7 +206,7 @@ def test_family_learns_and_survives_storage(spark, family, tmp_path):
         f"{c} double" for c in cols))
     scored = N.score_table(rows, loaded, cols, keep=["tx_id"]).orderBy("tx_id").toPandas()
     assert np.array_equal(scored.score, score) and (scored.model == family).all()
-    share = direct.importances(5)
+    share = loaded[family,].importances(5)
     assert share.sum() == pytest.approx(1) and share[:3].sum() > share[3:].sum()
 
 
