@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.functions.hashing import DEFAULT_SEED
@@ -135,9 +135,9 @@ def permutation_importance(df: DataFrame, features: Sequence[str], predict: Pred
     # one row for each task, feature and repeat comes out
     scored = asked.join(donors, "_donor").mapInArrow(hits, "f long, repeat long, hit long, n long")
     acc = scored.groupBy("f", "repeat").agg((F.sum("hit") / F.sum("n")).alias("acc"))
-    acc = materialize(acc)
-    baseline = acc.where("f < 0").select(F.col("acc").alias("base"))
-    drop = acc.where("f >= 0").join(F.broadcast(baseline)).withColumn("drop", F.col("base") - F.col("acc"))
+    # one row for each feature and repeat, and one for the rows as they are
+    base_acc = F.max(F.when(F.col("f") < 0, F.col("acc"))).over(Window.partitionBy(F.lit(0)))
+    drop = acc.withColumn("drop", base_acc - F.col("acc")).where("f >= 0")
     names = F.get(F.array(*[F.lit(f) for f in feats]), F.col("f").cast("int"))
     return drop.groupBy("f").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")) \
         .select(names.alias("feature"), "importance_mean", "importance_std")
