@@ -1,6 +1,7 @@
 """Piece encoding against the library, and packing by exact round trips."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -40,6 +41,30 @@ def test_encoder_equals_library(model):
             assert decoded == sp.decode(want)
 
 
+def test_long_units_equal_library(model, monkeypatch):
+    rng = random.Random(5)
+    sp = SentencePieceProcessor(model_file=MODEL)
+    texts = ["a" * 30_000, "ab" * 20_000, "=" * 9000 + "\n" + "-" * 5001,
+             "".join(rng.choices("etaoinshrdlu", k=200_000)),
+             "one " + "".join(rng.choices("äßé漢字аб\U0001f600xyz", k=20_000)) + " two  three",
+             *("".join(rng.choices("the", k=piece_tokens.LONG + d)) for d in (-1, 0, 1))]
+    started = time.perf_counter()
+    ids, decoded = piece_tokens.Encoder(model)(texts)
+    assert time.perf_counter() - started < 20
+    monkeypatch.setattr(piece_tokens, "KEPT_CHARS", 50)
+    monkeypatch.setattr(piece_tokens, "ROUND_CHARS", 30)
+    monkeypatch.setattr(piece_tokens, "LONG", 3)
+    monkeypatch.setattr(piece_tokens, "BLOCK", 4)
+    words = ["".join(rng.choices("etaoinsh", k=rng.randint(1, 40))) for _ in range(300)]
+    small = [" ".join(rng.choices(words, k=20)) for _ in range(40)]
+    encoder = piece_tokens.Encoder(model)
+    more = [encoder(small[i:i + 4]) for i in range(0, 40, 4)]
+    ids, decoded = ids + [x for a, _ in more for x in a], decoded + [x for _, b in more for x in b]
+    for t, x, y in zip(texts + small, ids, decoded, strict=True):
+        want = sp.encode(t)
+        assert np.frombuffer(x, np.int32).tolist() == want and sp.decode(want) == y
+
+
 def test_decoder_equals_library(model):
     rng = random.Random(4)
     sp = SentencePieceProcessor(model_file=MODEL)

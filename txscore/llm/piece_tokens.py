@@ -12,6 +12,11 @@ part in better pairs nowhere; otherwise only the leftmost one does. That makes t
 equal to the sequential merge order. Runs of spaces are one unit: their pieces have the
 lowest score of all, so they merge after everything else, leftmost first.
 
+A unit of over ``LONG`` characters (text without spaces) goes through the same rounds with a
+two-level minimum: it lies in blocks that hold their smallest rank, a round reads and
+renews only the blocks with the smallest of all, and the array is compacted when half of
+it is merged away.
+
 Characters without a piece become byte pieces. Null text counts as empty; empty text has
 no ids. Repeated rows are encoded each; a null id is carried along.
 """
@@ -34,8 +39,14 @@ LETTER, DIGIT = r"[^\W\d_¹²³¼½¾]", r"[\d_¹²³¼½¾]"
 UNITS = re.compile(rf" ?{LETTER}+| ?(?:[^\w \n]|{DIGIT})+|\n| ")
 #: Units in a table of a task. Two tables are kept: when the newer is full, it becomes the older.
 KEPT_UNITS = 150_000
-#: Units that go through the merge rounds together.
+#: Characters of the units in a table of a task.
+KEPT_CHARS = 8 << 20
+#: Units, and characters, that go through the merge rounds together.
 ROUND_UNITS = 8192
+ROUND_CHARS = 1 << 19
+#: Characters from which on a unit has rounds of its own, and symbols in its blocks.
+LONG = 4096
+BLOCK = 256
 NO_RANK = np.int64(1) << 40
 
 
@@ -111,9 +122,36 @@ class PieceModel:
 
     def encode_units(self, units: list[str]) -> list[list[int]]:
         """Ids of each unit (no unit holds two adjacent spaces)."""
+        short = [u if len(u) <= LONG else "" for u in units]
+        parts, owners = self.merge_rounds(short)
+        for i, u in enumerate(units):
+            if len(u) > LONG:
+                parts.append(self.merge_long(u))
+                owners.append(np.full(len(parts[-1]), i))
+        if not parts:
+            return [[] for _ in units]
+        symbols, unit = np.concatenate(parts), np.concatenate(owners)
+        order = np.argsort(unit, kind="stable")
+        symbols, ends = symbols[order], np.searchsorted(unit[order], np.arange(len(units) + 1))
+        size, flat = len(self.surface), symbols.tolist()
+        odd = np.flatnonzero((symbols < 0) | (symbols >= size))
+        for i in odd.tolist():
+            c = self.inner[flat[i]] if flat[i] >= 0 else chr(-1 - flat[i])
+            flat[i] = self.bytes[list(c.encode())].tolist()
+        ends = ends.tolist()
+        out = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        unit = unit[order]
+        for u in set(unit[odd].tolist()):
+            out[u] = [y for x in out[u] for y in (x if isinstance(x, list) else (x,))]
+        return out
+
+    def characters(self, text: str) -> np.ndarray:
+        return self.of_char[np.frombuffer(text.replace(" ", SPACE).encode("utf-32-le"), np.uint32)]
+
+    def merge_rounds(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Final symbols of the units, and the unit of each, in parts."""
         lengths = np.array([len(u) for u in units], np.int64)
-        text = "".join(units).replace(" ", SPACE)
-        symbols = self.of_char[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        symbols = self.characters("".join(units))
         unit = np.repeat(np.arange(len(units)), lengths)
         done_symbols, done_units = [], []
         rank, at = self.look_up(symbols, unit, np.arange(len(symbols)))
@@ -145,32 +183,71 @@ class PieceModel:
             spots -= np.arange(len(spots))
             new = np.concatenate([spots, np.maximum(spots - 1, 0)])
             rank[new], at[new] = self.look_up(symbols, unit, new)
-        if not done_symbols:
-            return [[] for _ in units]
-        symbols, unit = np.concatenate(done_symbols), np.concatenate(done_units)
-        order = np.argsort(unit, kind="stable")
-        symbols, ends = symbols[order], np.searchsorted(unit[order], np.arange(len(units) + 1))
-        size, flat = len(self.surface), symbols.tolist()
-        odd = np.flatnonzero((symbols < 0) | (symbols >= size))
-        for i in odd.tolist():
-            c = self.inner[flat[i]] if flat[i] >= 0 else chr(-1 - flat[i])
-            flat[i] = self.bytes[list(c.encode())].tolist()
-        ends = ends.tolist()
-        out = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        unit = unit[order]
-        for u in set(unit[odd].tolist()):
-            out[u] = [y for x in out[u] for y in (x if isinstance(x, list) else (x,))]
-        return out
+        return done_symbols, done_units
+
+    def merge_long(self, word: str) -> np.ndarray:
+        """Final symbols of one long unit."""
+        symbols = self.characters(word)
+        while True:
+            # places 0 and n + 1 are ends; ``after`` and ``prior`` skip what is merged away
+            n = len(symbols)
+            rows = -(-(n + 2) // BLOCK)
+            flat = np.full(rows * BLOCK, -1, np.int64)
+            flat[1:n + 1] = symbols
+            after, prior = np.arange(1, len(flat) + 1), np.arange(-1, len(flat) - 1)
+            rank, at = np.full(len(flat), NO_RANK), np.zeros(len(flat), np.int64)
+            rank[:n + 1], at[:n + 1] = self.pair_ranks(flat[:n + 1], flat[1:n + 2])
+            by_block = rank.reshape(rows, BLOCK)
+            live = np.zeros(len(flat), bool)
+            live[1:n + 1] = True
+            least, alive = by_block.min(axis=1), n
+            while alive > n // 2:
+                best = least.min()
+                if best == NO_RANK:
+                    break
+                blocks = np.flatnonzero(least == best)
+                row, column = np.nonzero(by_block[blocks] == best)
+                spots = blocks[row] * BLOCK + column
+                # in a row of touching pairs every second one merges, from the left
+                fresh = np.append(True, spots[1:] != after[spots[:-1]])
+                first = np.maximum.accumulate(np.where(fresh, np.arange(len(spots)), 0))
+                take = (np.arange(len(spots)) - first) % 2 == 0
+                spots = spots[take]
+                gone, made = after[spots], self.merged[at[spots]]
+                if not self.safe[at[spots]].all():  # up to the first that makes as good a pair
+                    left = flat[prior[spots]]
+                    beside = np.flatnonzero(prior[spots[1:]] == gone[:-1])
+                    left[beside + 1] = made[beside]
+                    better = np.minimum(self.pair_ranks(left, made)[0],
+                                        self.pair_ranks(made, flat[after[gone]])[0]) <= best
+                    if better.any():
+                        upto = int(better.argmax()) + 1
+                        spots, gone, made = spots[:upto], gone[:upto], made[:upto]
+                flat[spots], live[gone] = made, False
+                after[spots] = after[gone]
+                prior[after[gone]] = spots
+                rank[gone] = NO_RANK
+                new = np.concatenate([spots, prior[spots]])
+                rank[new], at[new] = self.pair_ranks(flat[new], flat[after[new]])
+                touched = np.unique(np.concatenate([new, gone]) // BLOCK)
+                least[touched] = by_block[touched].min(axis=1)
+                alive -= len(spots)
+            symbols = flat[live]
+            if best == NO_RANK:
+                return symbols
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank, and place in the pair table, of pairs of symbols."""
+        keys = np.where((left >= 0) & (right >= 0), left << 32 | right, -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.ranks[at], NO_RANK), at
 
     def look_up(self, symbols: np.ndarray, unit: np.ndarray,
                 spots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank, and place in the pair table, of the pairs that begin at ``spots``."""
         after = np.minimum(spots + 1, len(symbols) - 1)
         left, right = symbols[spots], symbols[after]
-        keys = np.where((unit[spots] == unit[after]) & (spots < after) & (left >= 0) & (right >= 0),
-                        left << 32 | right, -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.ranks[at], NO_RANK), at
+        return self.pair_ranks(left, np.where((unit[spots] == unit[after]) & (spots < after), right, -1))
 
     def decode(self, ids: list[int], first: bool = True) -> str:
         """Text of ids; ``first``: they begin a text, so the dummy prefix goes."""
@@ -222,13 +299,20 @@ class Encoder:
         self.model, self.kept = model, kept
         self.new: dict[str, bytes] = {}  # ids as native 32-bit integers
         self.old: dict[str, bytes] = {}
+        self.chars = 0  # of the units in ``new``
         self.odd: set[str] = set()  # units that their ids don't decode to
         self.run_ids = {n: np.array(ids, np.int32).tobytes() for n, ids in enumerate(model.runs)}
 
     def learn(self, missing: list[str]) -> None:
         decode = self.model.decode
-        for i in range(0, len(missing), ROUND_UNITS):
-            part = missing[i:i + ROUND_UNITS]
+        sizes = np.cumsum([len(u) for u in missing])
+        cuts = [0]
+        while cuts[-1] < len(missing):  # at least one unit in each part
+            i = cuts[-1]
+            full = int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + ROUND_CHARS, "right"))
+            cuts.append(max(i + 1, min(full, i + ROUND_UNITS)))
+        for i, j in itertools.pairwise(cuts):
+            part = missing[i:j]
             found = self.model.encode_units(part)
             self.new.update(zip(part, [np.array(x, np.int32).tobytes() for x in found], strict=True))
             self.odd.update([u for u, x in zip(part, found, strict=True) if decode(x, False) != u])
@@ -239,8 +323,11 @@ class Encoder:
         cut = [UNITS.findall(t) for t in plain]
         held = set().union(*cut)
         missing = held - self.new.keys()
-        if missing and len(self.new) + len(missing) > self.kept:
+        self.chars += sum(map(len, missing))
+        if missing and (len(self.new) + len(missing) > self.kept or self.chars > KEPT_CHARS):
             self.old, self.new, missing = self.new, {}, held
+            self.odd &= self.old.keys()
+            self.chars = sum(map(len, held))
         known = missing & self.old.keys()
         self.new.update([(u, self.old[u]) for u in known])
         self.learn(sorted(missing - known))
