@@ -114,7 +114,7 @@ def test_bloom_filter_has_no_false_negatives_and_the_join_removes_false_positive
     listed = spark.createDataFrame([(f"h{i}.org/{i}",) for i in range(0, 400, 7)], "address string")
     rules = spark.createDataFrame([], "host string, path string, verdict string")
     want = {i for i, u in rows if int(u.split("/")[-1]) == (h := int(u[8:].split(".")[0])) and h % 7 == 0}
-    for blocks in (1, 1 << 12):  # a filter of one block lets nearly everything pass
+    for blocks in (1, 1 << 12, None):  # a filter of one block lets nearly everything pass
         got = url_filter.judge(pages, rules, listed, blocks=blocks).collect()
         assert {r.page_id for r in got if r.verdict == "block"} == want and len(got) == len(rows)
     none = spark.createDataFrame([], "address string")
@@ -122,6 +122,19 @@ def test_bloom_filter_has_no_false_negatives_and_the_join_removes_false_positive
     assert url_filter.judge(pages.limit(0), rules, listed).collect() == []
 
 
+def test_bloom_filter_is_sized_by_its_keys(spark, monkeypatch):
+    assert [url_filter.blocks_for(n) for n in (0, 1, 16, 17, 1000, 1 << 40)] == [
+        1, 1, 1, 2, 64, url_filter.MAX_BLOCKS]
+    keys = [f"page {i}.org/{i * i}" for i in range(5000)]
+    others = [f"page {i}.net/{i}" for i in range(20_000)]
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    bloom = url_filter.build(df, url_filter.blocks_for(len(keys)))
+    assert url_filter.passes(bloom, keys).all() and url_filter.passes(bloom, others).mean() < 0.005
+    monkeypatch.setattr(url_filter, "MAX_BLOCKS", 1 << 7)  # 6.5 bits a key
+    full = url_filter.build(df, url_filter.blocks_for(len(keys)))
+    assert url_filter.passes(full, keys).all() and url_filter.passes(full, others).mean() < 0.2
+
+
 def test_prefix_hashes_answer_spans_and_extensions():
     rng = random.Random(2)
     for _ in range(60):
