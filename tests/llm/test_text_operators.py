@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from txscore.llm import catalog, html_text, line_dedup, prefix_hash, toxicity, url_filter
 
@@ -180,6 +181,31 @@ def test_compare_with_next_ties_nulls_and_small_tables(spark):
     assert prefix_hash.compare_with_next(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("hot", [7, None, 1 << 52])
+def test_compare_with_next_splits_a_hot_id(spark, hot):
+    rng = random.Random(4)
+    texts = ["t%d " % i * rng.randint(1, 9) for i in range(400)]
+    rows = [(hot, t) for t in texts] + [(hot, "same text")] * 50 + [
+        (i, "o%d " % i * 5) for i in [*range(-40, 60), (1 << 52) + 1, (1 << 52) - 1] if i != hot]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    # signed xxhash64 is the order of equal ids
+    th = {r.text: r.th for r in df.select("text", F.xxhash64("text").alias("th")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -th[r[1]]))
+    want = []
+    for (i, t), (_, follow) in zip(order, order[1:] + order[:1], strict=True):
+        n = len(t) // 3
+        edited = t[:len(t) - n] + follow[:n]
+        mine, other, theirs = (prefix_hash.Fingerprinted(0, x).finger for x in (t, edited, follow))
+        want.append((str(i), edited, mine, other, prefix_hash.likeness(mine, other),
+                     prefix_hash.likeness(mine, theirs)))
+    got = prefix_hash.compare_with_next(df).collect()
+    assert sorted((str(r.doc_id), r.edited, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next)
+                  for r in got) == sorted(want)
+    dealt = prefix_hash._in_order(df).where("not guest").groupBy("bucket").count().collect()
+    different = max(r["count"] for r in dealt)
+    assert different < 150 and sum(r["count"] for r in dealt) == len(rows)
+
+
 def lines_brute(rows, unit):
     sep = "\n" if unit == "line" else None
     seen, out = set(), {}

@@ -14,14 +14,14 @@ Jaccard coefficient J of the span sets (less what eight bits agree on by chance)
 the likeness is 2J / (1 + J), the share of spans in common.
 
 Null text counts as empty; an empty text is like other empty texts only. Repeated rows have
-equal fingerprints.
+equal fingerprints; those of one id follow one another, and each is hashed once.
 """
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -153,6 +153,12 @@ class Fingerprinted:
         self.bins = smallest(self.hash.spans(*self._range(self.hash)))
         self.finger = self._finger(self.hash, self.bins)
 
+    def copy(self, doc_id) -> Fingerprinted:
+        """The same text under another id."""
+        other = copy.copy(self)
+        other.doc_id = doc_id
+        return other
+
     @staticmethod
     def _range(h: PrefixHash) -> tuple[int, int, int]:
         length = min(SPAN, h.n)
@@ -206,34 +212,58 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         run, "doc_id long, n_chars long, fingerprint string")
 
 
-def _in_order(docs: DataFrame) -> DataFrame:
+def _in_order(docs: DataFrame, per_partition: int = BUCKETS_PER_PARTITION) -> DataFrame:
     """Rows by descending (doc_id, hash of the text), nulls last, dealt to buckets of neighbouring
-    ids; each bucket ends with a ``guest``, the first row of the bucket after it. Only ids
-    are read to find the buckets, and texts move once."""
+    rows; each bucket ends with a ``guest``, the first row of the bucket after it. An id with
+    more rows than a bucket should hold (or the null id) has buckets of its own, cut by the
+    range of the text's hash; only ids beyond 2**53 may share a bucket that isn't cut. Texts move
+    once; before that, only ids and, for such hot ids, hashes are read to find the buckets."""
     spark = docs.sparkSession
-    n = partitions(spark) * BUCKETS_PER_PARTITION
+    n = partitions(spark) * per_partition
     edges = sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n)))
-    place = F.lit(0)
+    own = F.lit(0)
     if edges:
-        docs = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="place_of", outputCol="place",
+        splits = [-math.inf, *edges, math.inf]
+        docs = Bucketizer(splits=splits, inputCol="place_of", outputCol="place",
                           handleInvalid="keep").transform(
             docs.withColumn("place_of", F.col("doc_id").cast("double")))
         place = F.col("place").cast("int")
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(place)
-    heads = docs.groupBy(bucket.alias("b")).agg(F.max("doc_id").alias("top"))
-    filled = sorted((r.b, r.top) for r in heads.collect())  # at most one row for each edge
-    if not filled:
+        # every frequent id is an edge; the ids above it have a bucket apart
+        edge = F.element_at(F.array(*map(F.lit, splits)), place + 1)
+        own = place * 2 + (F.col("place_of") > edge).cast("int")
+    docs = docs.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(own).alias("b"))
+    heads = (docs.groupBy("b").agg(F.max("doc_id").alias("top"), F.min("doc_id").alias("low"),
+                                   F.count("*").alias("n")).collect())  # at most two for each edge
+    if not heads:
         return docs.select("doc_id", "text", F.lit(0).alias("bucket"), F.lit(False).alias("guest"),
                            F.lit(0).cast("long").alias("th"))
-    goes_to = spark.createDataFrame(
-        [(top, b2) for (_, top), (b2, _) in pairwise([*filled, filled[0]])], "top long, bucket int")
-    rows = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"),
-                       bucket.alias("own"))
-    first = (rows.join(F.broadcast(goes_to), F.col("doc_id").eqNullSafe(F.col("top")))
-             .groupBy("bucket", "doc_id").agg(F.max(F.struct("th", "text")).alias("head"))
-             .select("doc_id", "head.text", "bucket", F.lit(True).alias("guest"), "head.th"))
-    rows = rows.select("doc_id", "text", F.col("own").alias("bucket"), F.lit(False).alias("guest"), "th")
-    return (rows.unionByName(first).repartition(partitions(spark), "bucket")
+    share = max(1, sum(r.n for r in heads) // n)
+    cuts = {r.b: -(-r.n // share) for r in heads if r.top == r.low and r.n > 2 * share}
+    filled = [(r.b, 0, r.top, None) for r in heads if r.b not in cuts]
+    rows = docs.withColumn("th", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    if cuts:
+        pieces = F.broadcast(spark.createDataFrame(list(cuts.items()), "b int, pieces long"))
+        # the hash's upper 32 bits as a share of 2**32: hashes ascend with the cut
+        cut = F.shiftright((F.shiftright("th", 32) + F.lit(1 << 31)) * F.col("pieces"), 32)
+        rows = (rows.join(pieces, "b", "left")
+                .withColumn("cut", F.coalesce(cut, F.lit(0)).cast("int")).drop("pieces"))
+        tops = (rows.where(F.col("b").isin(*cuts)).groupBy("b", "cut", "doc_id")
+                .agg(F.max("th").alias("th")).collect())  # at most three for each bucket wanted
+        filled += [(r.b, r.cut, r.doc_id, r.th) for r in tops]
+    else:
+        rows = rows.withColumn("cut", F.lit(0))
+    filled.sort(key=lambda x: x[:2])
+    number = F.broadcast(spark.createDataFrame(
+        [(b, cut, i) for i, (b, cut, *_) in enumerate(filled)], "b int, cut int, bucket int"))
+    goes_to = F.broadcast(spark.createDataFrame(
+        [(top, th, (i + 1) % len(filled)) for i, (_, _, top, th) in enumerate(filled)],
+        "top long, top_th long, guest_of int"))
+    own_rows = rows.join(number, ["b", "cut"]).select("doc_id", "text", "bucket", F.lit(False).alias("guest"), "th")
+    first = (rows.join(goes_to, F.col("doc_id").eqNullSafe(F.col("top"))
+                       & (F.col("top_th").isNull() | (F.col("th") == F.col("top_th"))))
+             .groupBy("guest_of", "doc_id").agg(F.max(F.struct("th", "text")).alias("head"))
+             .select("doc_id", "head.text", F.col("guest_of").alias("bucket"), F.lit(True).alias("guest"), "head.th"))
+    return (own_rows.unionByName(first).repartition(partitions(spark), "bucket")
             .sortWithinPartitions("bucket", "guest", F.desc_nulls_last("doc_id"), F.desc("th")))
 
 
@@ -251,17 +281,21 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                  "near_next", "common_prefix"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(),
                  pa.float64(), pa.int64()]
-        last, now = None, None
+        last, now, done = None, None, None
         for part in slices(batches, "text"):
             out = []
             for doc_id, text, bucket in zip(*(part.column(c).to_pylist() for c in (
                     "doc_id", "text", "bucket")), strict=True):
-                doc = Fingerprinted(doc_id, text)
+                same = last is not None and last.text == (text or "")
+                doc = last.copy(doc_id) if same else Fingerprinted(doc_id, text)
                 if last is not None and bucket == now:
-                    edited, finger, prefix = last.edited(doc.text)
-                    out.append((last.doc_id, last.hash.n, last.finger, edited, finger,
-                                likeness(last.finger, finger), likeness(last.finger, doc.finger),
-                                prefix))
+                    if not same or done is None:
+                        edited, finger, prefix = last.edited(doc.text)
+                        done = (last.hash.n, last.finger, edited, finger,
+                                likeness(last.finger, finger), likeness(last.finger, doc.finger), prefix)
+                    out.append((last.doc_id, *done))
+                if not same or bucket != now:
+                    done = None
                 last, now = doc, bucket
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays(
