@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from txscore.llm import repeats
@@ -64,6 +65,48 @@ def test_equals_brute_force(spark, options):
     assert any(w[2] for w in want)
 
 
+@pytest.mark.parametrize("known", [1 << 17, 40])
+def test_a_passage_and_copies_in_most_rows(spark, monkeypatch, known):
+    monkeypatch.setattr(repeats, "KNOWN_CONTENTS", known)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    own = lambda n: " ".join(word() for _ in range(n))
+    passage, copy = own(70), own(120)
+    texts = [own(rng.randint(0, 40)) + passage + own(rng.randint(0, 40)) for _ in range(150)]
+    texts += [copy] * 150 + [copy + own(20)] * 20 + [own(60) for _ in range(40)]
+    rows = list(enumerate(texts))
+    want = sorted((i, *w) for i, w in enumerate(brute(texts, 200)))
+    for hot in (20, 20_000):
+        assert run(spark, rows, hot_classes=hot) == want
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = repeats.fragments(repeats._keyed(df, "doc_id", "text"), 200, 48).where("not direct")
+    rows_of = found.groupBy("h", "c").count().agg({"count": "max"}).collect()[0][0]
+    if known > 1000:
+        assert rows_of <= 2 * 3  # two for each task, however many copies
+
+
+def test_settled_ranges_cover_what_they_replace():
+    rng = np.random.default_rng(1)
+    known, seen, before = np.zeros(0, np.int64), [], set()
+    for _ in range(20):
+        m = 200
+        row = np.sort(rng.integers(0, 10, m))
+        lo = rng.integers(0, 3000, m).astype(np.int32)
+        c, n = rng.integers(0, 60, m), np.full(m, 200, np.int32)
+        flags = np.zeros(m, bool)
+        out, known = repeats.settle([c * 7, c, row, row * 31, lo, n, n * 0, flags, flags], row, known)
+        _, oc, oid, _, olo, on, _, omulti, odirect = out
+        for k in range(m):  # every fragment is there, or inside a range of its row
+            inside = (oid == row[k]) & (olo <= lo[k]) & (olo + on >= lo[k] + n[k])
+            assert (inside & (odirect | (oc == c[k]))).any()
+        assert omulti[odirect].all()
+        handed, times = np.unique(oc[~odirect], return_counts=True)
+        assert times.max(initial=0) <= 2 and before.isdisjoint(handed.tolist())
+        before |= set(handed[times == 2].tolist())
+        seen.append(len(oc))
+    assert seen[-1] < seen[0]
+
+
 def test_steps_do_not_matter():
     text = ("".join(random.Random(5).choices("abcd", k=3000)) * 2).encode()
     for step in (1 << 20, 500, 37):

@@ -6,9 +6,12 @@ document, the same one included) is removed. Matches never cross documents.
 1. Anchors. Each window of ``min_bytes`` bytes picks its smallest ``gram``-byte hash
    (leftmost of equals), so equal windows pick the same place in them. Windows of a
    document that pick the same anchor form a fragment: every window lies in exactly one.
-2. Classes. Fragments are grouped by anchor hash, and in it by content (grouped counts in
-   Spark; hot groups spill). Fragments with an equal one elsewhere are repeats as a
-   whole. One fragment for each content goes on, and only where an anchor has several.
+2. Classes. Fragments are grouped by anchor hash, and in it by content. Fragments with an
+   equal one elsewhere are repeats as a whole. One fragment for each content goes on, and only
+   where an anchor has several. Groups stay small: a content that a task meets more than once
+   in a batch is handed on twice there and no more after (further occurrences are known
+   repeats, merged to ranges of their document), and the rows of an anchor with more than
+   ``hot_classes`` rows, found by a counting pass, are dealt by content.
 3. Suffix array. The suffixes that start at the anchors of one anchor hash are sorted,
    with the lengths of their common prefixes. A stack scan yields the tree of common-
    prefix intervals. In every interval the texts before the anchors are sorted the same
@@ -16,7 +19,7 @@ document, the same one included) is removed. Matches never cross documents.
    before them (left diversity), and that come from more than one child interval (right
    diversity), is a maximal repeat through this anchor, with all its occurrences.
    Repeats of at least ``min_bytes`` bytes are kept.
-4. Hot anchors, with more than ``hot_classes`` contents, are not sorted in one task: their
+4. The contents of those hot anchors are not sorted in one task: their
    windows are hashed and counted across the cluster, which is exact as well.
 
 Fragments hold whole windows, so occurrences are cut to them; the removed runs of a
@@ -44,8 +47,12 @@ MIN_BYTES = 200
 GRAM = 48
 #: Windows processed at once; a text of more windows is processed in steps.
 STEP = 1 << 20
-#: Contents of one anchor hash that a task sorts.
+#: Fragments of one anchor hash that a task groups and sorts.
 HOT_CLASSES = 20_000
+#: Contents that a task remembers as handed on twice in a batch; a full table starts anew.
+KNOWN_CONTENTS = 1 << 17
+#: ``classes`` of a hot anchor.
+HOT = 1 << 40
 #: Bytes of fragments that a task gathers before it works on them.
 GROUP_BYTES = 4 << 20
 
@@ -168,14 +175,51 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] =
                        F.xxhash64(text).alias("th"))
 
 
+def settle(columns: list[np.ndarray], row: np.ndarray,
+           known: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Columns of a batch of fragments (``row``: their text) where occurrences of ``known`` contents,
+    and those after the second in the batch, are ranges that need no comparison any more;
+    and the contents known from now on, sorted."""
+    h, c, id0, th, lo, n, a, multi, direct = columns
+    open_ = np.flatnonzero(~direct)
+    order = open_[np.argsort(c[open_], kind="stable")]
+    new = np.append(True, c[order][1:] != c[order][:-1]) if len(order) else np.zeros(0, bool)
+    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    place = np.arange(len(order)) - first
+    at = np.minimum(np.searchsorted(known, c[order]), max(len(known) - 1, 0))
+    held = known[at] == c[order] if len(known) else np.zeros(len(order), bool)
+    sure = direct.copy()
+    sure[order[held | (place > 1)]] = True
+    met = c[order[(place == 1) & ~held]]
+    known = np.union1d(known, met) if len(known) + len(met) <= KNOWN_CONTENTS else np.unique(met)
+    ranges = np.flatnonzero(sure)
+    ranges = ranges[np.lexsort((lo[ranges], row[ranges]))]
+    out = [x[~sure] for x in columns]
+    if len(ranges):
+        base = row[ranges].astype(np.int64) << 32
+        start, end = base + lo[ranges], np.maximum.accumulate(base + lo[ranges] + n[ranges])
+        fresh = np.append(True, (start[1:] > end[:-1]) | (row[ranges][1:] != row[ranges][:-1]))
+        heads = np.flatnonzero(fresh)
+        keep, last = ranges[heads], np.append(heads[1:], len(ranges)) - 1
+        # a hash of its own for each, so that no group of them is large
+        spread = th[keep] ^ (lo[keep].astype(np.int64) * np.int64(0x5851F42D4C957F2D))
+        size, k = (end[last] - start[heads]).astype(np.int32), len(keep)
+        more = [spread, c[keep], id0[keep], th[keep], lo[keep], size, np.zeros(k, np.int32),
+                np.ones(k, bool), np.ones(k, bool)]
+        out = [np.concatenate(x) for x in zip(out, more, strict=True)]
+    return out, known
+
+
 def fragments(keyed: DataFrame, min_bytes: int, gram: int, step: int = STEP) -> DataFrame:
     """One row for each different fragment of a document (``multi``: it occurs there more than
-    once), and ``direct`` rows for the merged ranges of its further occurrences."""
+    once), and ``direct`` rows for merged ranges of known repeats: further occurrences in the
+    document, and those of contents that the task has handed on twice in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         digest, anchors = xxhash.xxh64_intdigest, Anchors(min_bytes, gram, step)
+        known = np.zeros(0, np.int64)
         for part in slices(batches, "data"):
             found: list[tuple[np.ndarray, ...]] = []
             for id0, th, data in zip(*(part.column(x).to_pylist() for x in ("id0", "th", "data")),
@@ -201,25 +245,36 @@ def fragments(keyed: DataFrame, min_bytes: int, gram: int, step: int = STEP) ->
                                   lo.astype(np.int32), n.astype(np.int32), a.astype(np.int32),
                                   multi, direct))
             if found:
+                row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+                columns, known = settle([np.concatenate(x) for x in zip(*found, strict=True)], row, known)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)],
+                    [pa.array(x) for x in columns],
                     ["h", "c", "id0", "th", "lo", "n", "a", "multi", "direct"])
 
     return keyed.select("id0", "th", "data").mapInArrow(run, FRAGMENT)
 
 
-def classify(found: DataFrame) -> DataFrame:
+def classify(found: DataFrame, hot_classes: int = HOT_CLASSES) -> DataFrame:
     """Rows with ``whole`` (the fragment is a repeat as a whole) and those with ``open`` (they go
-    to the suffix array); ``classes``: contents of the anchor hash."""
-    by_h, by_c = Window.partitionBy("h"), Window.partitionBy("h", "c")
+    to the suffix array); ``classes``: contents of the anchor hash, ``HOT`` for a hot one."""
+    hot = materialize(found.where("not direct").groupBy("h").count()
+                      .where(F.col("count") > hot_classes).select("h", F.lit(True).alias("hot")))
+    n = hot.count()
+    if n:  # at most one anchor for each ``hot_classes`` fragments; sent to all tasks up to 16 MB
+        found = found.join(F.broadcast(hot) if n <= 1_000_000 else hot, "h", "left")
+        is_hot = F.coalesce("hot", F.lit(False))
+    else:
+        is_hot = F.lit(False)
+    found = found.withColumn("part", F.when(is_hot, F.col("c")).otherwise(F.lit(0)))
+    by_h, by_c = Window.partitionBy("h", "part"), Window.partitionBy("h", "part", "c")
     row = by_c.orderBy("direct", "id0", "th", "lo")
     # one exchange by anchor hash serves all windows, those by content too
-    return (found.repartition("h").withColumn("rn", F.row_number().over(row))
+    return (found.repartition("h", "part").withColumn("rn", F.row_number().over(row))
             .withColumn("n_hc", F.count("*").over(by_c))
             .withColumn("whole", F.col("multi") | (F.col("n_hc") > 1))
-            .withColumn("n_h", F.count("*").over(by_h))
-            .withColumn("classes", F.sum((F.col("rn") == 1).cast("long")).over(by_h))
-            .withColumn("undecided", F.max(~F.col("whole")).over(by_h))
+            .withColumn("classes", F.when(is_hot, F.lit(HOT)).otherwise(
+                F.sum((F.col("rn") == 1).cast("long")).over(by_h)))
+            .withColumn("undecided", is_hot | F.max(~F.col("whole")).over(by_h))
             .withColumn("open", (F.col("rn") == 1) & ~F.col("direct") & (F.col("classes") > 1)
                         & F.col("undecided"))
             .where("whole or open")
@@ -290,7 +345,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cut left incomplete); with ``carry``, also a struct ``carried`` of these columns of the row."""
     require(docs, id_col, text_col, *carry)
     keyed = _keyed(docs, id_col, text_col, carry)
-    marks = materialize(classify(fragments(keyed, min_bytes, gram)))
+    marks = materialize(classify(fragments(keyed, min_bytes, gram), hot_classes))
     wanted = (marks.where("open").groupBy("id0", "th").agg(F.collect_set(F.struct(
         "h", "lo", "n", "a", "whole", "classes")).alias("f")))
     texts = keyed.select("id0", "th", "data").join(wanted, ["id0", "th"])
