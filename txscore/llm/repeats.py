@@ -260,16 +260,15 @@ def classify(found: DataFrame, hot_classes: int = HOT_CLASSES) -> DataFrame:
     hot = materialize(found.where("not direct").groupBy("h").count()
                       .where(F.col("count") > hot_classes).select("h", F.lit(True).alias("hot")))
     n = hot.count()
+    is_hot, keys = F.lit(False), ["h"]
     if n:  # at most one anchor for each ``hot_classes`` fragments; sent to all tasks up to 16 MB
         found = found.join(F.broadcast(hot) if n <= 1_000_000 else hot, "h", "left")
-        is_hot = F.coalesce("hot", F.lit(False))
-    else:
-        is_hot = F.lit(False)
-    found = found.withColumn("part", F.when(is_hot, F.col("c")).otherwise(F.lit(0)))
-    by_h, by_c = Window.partitionBy("h", "part"), Window.partitionBy("h", "part", "c")
+        is_hot, keys = F.coalesce("hot", F.lit(False)), ["h", "part"]
+        found = found.withColumn("part", F.when(is_hot, F.col("c")).otherwise(F.lit(0)))
+    by_h, by_c = Window.partitionBy(*keys), Window.partitionBy(*keys, "c")
     row = by_c.orderBy("direct", "id0", "th", "lo")
     # one exchange by anchor hash serves all windows, those by content too
-    return (found.repartition("h", "part").withColumn("rn", F.row_number().over(row))
+    return (found.repartition(*keys).withColumn("rn", F.row_number().over(row))
             .withColumn("n_hc", F.count("*").over(by_c))
             .withColumn("whole", F.col("multi") | (F.col("n_hc") > 1))
             .withColumn("classes", F.when(is_hot, F.lit(HOT)).otherwise(
