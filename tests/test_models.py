@@ -119,6 +119,19 @@ def test_fit_sample_keeps_the_share_of_every_class(spark):
     assert N.fit_sample(rows, n=10_000, by=["cv"]).count() == 20_000
 
 
+def test_fit_sample_of_one_part_of_a_split(spark):
+    """The train part of a split holds the upper three quarters of the hashes."""
+    from txscore.operators.sampling import stratified_split
+    rows = spark.range(20_000).select(F.col("id").alias("tx_id"), (F.col("id") % 10 == 0).cast("int").alias("label"))
+    train = stratified_split(rows).where("part = 'train'")
+    got = N.fit_sample(train, n=1000).toPandas()
+    assert len(got) == 1000 and got.tx_id.is_unique and got.label.sum() == 100
+    hashed = train.where("label = 1").select("tx_id", N.row_hash("tx_id").alias("h")).orderBy("h").limit(100)
+    assert {r.tx_id for r in hashed.collect()} == set(got.tx_id[got.label == 1])
+    none = N.fit_sample(train.withColumn("tx_id", F.when(F.col("tx_id") % 2 == 0, F.col("tx_id"))), n=1000)
+    assert none.count() == 1000 and {r.label: r["count"] for r in none.groupBy("label").count().collect()} == {0: 900, 1: 100}
+
+
 def test_a_fold_without_two_minority_rows_is_an_error(spark):
     folds, *_ = small_folds(spark)
     rare = folds.withColumn("label", (F.col("tx_id") == 0).cast("int"))
