@@ -210,3 +210,11 @@ def test_flagged_records_are_explained_once(spark, tmp_path):
 def test_exact_shapley_of_every_test_record(spark):
     rows = E.queries()["shapley_boosted"](spark, SMALL).collect()
     assert len({r.tx_id for r in rows}) == 250 and max(r["rank"] for r in rows) <= 14
+
+
+def test_a_table_of_several_files_is_streamed(spark, tmp_path):
+    for name in ("events", "embeddings"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").repartition(2).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert scoring.run_available_now(scoring.events_stream(spark, str(tmp_path)).select("event_id"), spark, "folder").count() == 1000
+    got, want = (sorted(map(tuple, E.queries()["stream_knn_scores"](spark, d).collect())) for d in (str(tmp_path), SMALL))
+    assert got == want and len(got)
