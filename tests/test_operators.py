@@ -234,3 +234,23 @@ def test_numeric_summary_imputed_quartiles_match_numpy(spark):
         assert abs(got[c]["median"] - med) < 1e-12
         assert abs(got[c]["q25"] - np.percentile(imp, 25)) < 1e-12
         assert abs(got[c]["q75"] - np.percentile(imp, 75)) < 1e-12
+
+
+def test_knn_boxes_prune_vectors_of_equal_sums(spark):
+    """All sums are zero, and some vectors are null or hold values at no finite distance."""
+    rng = np.random.default_rng(5)
+    u = rng.random((2400, 2)) * 100
+    x = np.stack([u[:, 0], -u[:, 0], u[:, 1], -u[:, 1]], axis=1)
+    schema = "id long, vec array<double>"
+    refs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], schema)
+    asked = spark.createDataFrame([(10_000 + i, (v + 0.5).tolist()) for i, v in enumerate(x[::20])], schema)
+    assert NB.candidate_share(asked, refs, 3) < 0.35
+    odd = spark.createDataFrame([(5000, None), (5001, [float("nan")] * 4), (5002, [None, 1.0, 1.0, 1.0]),
+                                 (5003, [float("inf")] * 4)], schema)
+    for metric in ("l1", "l2"):
+        got = NB.knn_join(asked.unionByName(odd), refs.unionByName(odd), 3, metric=metric).collect()
+        diff = x[::20][:, None, :] + 0.5 - x[None]
+        d = np.abs(diff).sum(2) if metric == "l1" else np.sqrt((diff ** 2).sum(2))
+        near = np.argsort(d, axis=1, kind="stable")[:, :3]
+        assert {(r.q_id, r["rank"], r.r_id) for r in got} == {
+            (10_000 + i, j + 1, int(r)) for i, own in enumerate(near) for j, r in enumerate(own)}
