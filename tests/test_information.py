@@ -68,3 +68,32 @@ def test_any_score_function_ranks_the_features(spark):
     assert model.selected == ["num__z"]
     assert seen == {f: f.startswith("cat__") for f in seen} and any(seen.values())
     assert P.fit_preparation(df, df, ["c"], ["x", "z"], k=1, score_function=I.nearest)[0].selected == ["num__x"]
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_nearest_over_many_blocks_and_cells_is_worked_out_once(spark, monkeypatch, copies):
+    for name, n in (("BLOCK_ROWS", 16), ("CELL_ROWS", 20), ("HELD_ROWS", 32)):
+        monkeypatch.setattr(I, name, n, raising=False)
+    rng = np.random.default_rng(5)
+    y, x = rng.integers(0, 3, 200), np.round(rng.normal(size=200), 1) * 3
+    rows = [(i, int(y[i]), float(x[i])) for i in range(200)] * copies + [(900, None, 0.5), (None, 1, 0.25)]
+    df = spark.createDataFrame(rows, "tx_id long, label int, x double").repartition(4)
+    found = I.nearest(df, ["x"], I.discrete_flags(["x"]))
+    assert "Exchange" not in found._jdf.queryExecution().toString()  # a table that is read, whoever asks
+    # the definition on noisy values: a row of one label, id and value has the neighbours of all its copies
+    noisy = df.select("tx_id", "label", (F.col("x") + (I.uniform(I.row_hash("tx_id", 42, F.lit("x"))) - F.lit(0.5))
+              * F.lit(I.NOISE * df.agg(F.greatest(F.avg(F.abs("x")), F.lit(1.0))).first()[0])).alias("x")).collect()
+    v = np.array([r.x for r in noisy])
+    own = {c: sum(r.label == c for r in noisy) for c in (0, 1, 2)}
+    each: dict[int, list] = {}
+    for i, r in enumerate(noisy):
+        if r.label is not None and r.tx_id is not None:
+            of = np.sort(np.abs(v[[j for j, q in enumerate(noisy) if j != i and q.label == r.label]] - r.x))[:6]
+            each.setdefault(r.tx_id, [r.label, r.x, []])[2].extend(of[:3] if copies == 1 else of)
+    total = 0.0
+    for label, at, gaps in each.values():
+        # the two copies see each other; then the nearest of either side, which both may see
+        r = np.sort(gaps)[2]
+        r -= 1e-15 * (abs(at) + r)
+        total += psi(3) - psi(own[label]) - psi(max(1, int(((v > at - r) & (v < at + r)).sum())))
+    assert found.first()["mi"] == pytest.approx(max(0.0, psi(len(each)) + total / len(each)), abs=1e-9)
