@@ -95,6 +95,40 @@ def test_forest_looks_at_its_features_and_random_cuts_differ(spark):
     assert auc(N.from_nodes(random, cuts[0], 0, 1).decision(x), y) > 0.95
 
 
+@pytest.mark.parametrize("plan", [G.Plan(trees=12, features=2, min_split=5), G.Plan(trees=3, criterion="entropy", min_leaf=3)])
+def test_trees_grown_in_tasks_equal_those_of_counts(spark, monkeypatch, plan):
+    x, y = learnable(300)
+    rows, cols = table(spark, np.round(x, 1), y, np.arange(len(x)) % 2)
+    cells, _ = G.cell_table(rows, cols, "cv")
+    monkeypatch.setattr(G, "HELD_CELLS", 1)
+    counted = G.grow(cells, plan)
+    monkeypatch.undo()
+    monkeypatch.setattr(G, "_count_cells", None)  # few cells: no shuffle of counts
+    monkeypatch.setattr(G, "NODE_COUNTS", 256, raising=False)
+    grown = G.grow(cells, plan)
+    assert all(np.array_equal(grown[g][k], counted[g][k]) for g in (0, 1) for k in G.NODE)
+
+
+def test_decision_equals_a_walk_and_scoring_deals_out_a_single_part(spark):
+    x, y = learnable(300)
+    x[::7, 1] = np.nan
+    forest = N.fit_forest(x, y, 6, None, 2)
+    stump = N.assemble([{"feature": np.array([1, -1, -1]), "cut": np.array([0.1, 0, 0]), "left": np.array([1, -1, -1]),
+                         "right": np.array([2, -1, -1]), "value": np.array([0, 0.3, -0.7]), "gain": np.zeros(3)}], [0.9], 0.2)
+    for m in (forest, stump):
+        want = np.full(len(x), m.bias)
+        for root, weight in zip(m.roots, m.weight, strict=True):
+            for i, row in enumerate(x):
+                at = root
+                while m.feature[at] >= 0:
+                    at = m.left[at] if row[m.feature[at]] <= m.cut[at] else m.right[at]
+                want[i] += weight * m.value[at]
+        assert np.array_equal(m.decision(x), want) and np.array_equal(N.Trees.from_bytes(m.to_bytes()).decision(x), want)
+    rows, cols = table(spark, x, y)
+    scored = N.score_table(rows.coalesce(1), {("RandomForest",): forest}, cols)
+    assert scored.rdd.getNumPartitions() > 1 and scored.count() == len(x)
+
+
 def test_growth_of_one_class_missing_values_and_empty_table(spark):
     x = np.full((20, 2), np.nan)
     rows, cols = table(spark, x, np.ones(20, int))
