@@ -193,3 +193,24 @@ def test_a_table_of_no_rows_and_one_of_null_labels(spark, large):
     alone = N.fit_table(rows.where("tx_id < 150"), cols, ["RandomForest"], PARAMS)
     a, b = (N.load_models(m)["RandomForest",].decision(x) for m in (models, alone))
     assert np.array_equal(a, b)
+
+
+def test_variants_of_a_small_table_are_dealt_out(spark, tmp_path):
+    """Many tasks score the variants of one part, and a donor of the same value asks for no prediction."""
+    from pyspark import TaskContext
+
+    from txscore.operators import explain as X
+    x, y = learnable(200)
+    x = np.nan_to_num(x)
+    x[:, 4] = 1.0
+    rows, cols = table(spark, x, y)
+
+    def predict(z):
+        part = TaskContext.get().partitionId()
+        (tmp_path / f"{part}-{np.random.default_rng().integers(1 << 60)}-{len(z)}").write_text("")
+        return (z[:, 2] > 1).astype(int)
+
+    got = {r.feature: r.importance_mean for r in X.permutation_importance(rows.coalesce(1), cols, predict, n_repeats=2).collect()}
+    assert got["c4"] == got["c0"] == 0 and got["c2"] > 0
+    names = [f.name.split("-") for f in tmp_path.iterdir()]
+    assert len({n[0] for n in names}) > 1 and sum(int(n[2]) for n in names) <= 2 * 200 * 5
